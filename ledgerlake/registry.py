@@ -27,5 +27,5 @@ def with_ctes(*ctes: str) -> str:
 def load_all() -> None:
     """Import every module that registers queries."""
     import importlib
-    for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl"):
+    for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget"):
         importlib.import_module(m)
