@@ -27,5 +27,6 @@ def with_ctes(*ctes: str) -> str:
 def load_all() -> None:
     """Import every module that registers queries."""
     import importlib
-    for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget"):
+    for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget",
+              "ledgerlake.plans.finance"):
         importlib.import_module(m)
