@@ -124,3 +124,25 @@ def ffill_bfill(df: DataFrame, by: list[str], order: str, value: str, out: str)
     wb = Window.partitionBy(*by).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
     return df.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(wf),
                                          F.first(value, ignorenulls=True).over(wb)))
+
+
+def ordered_cumsums(df: DataFrame, order: str, sums: list[str], descending: bool = True,
+                    resolution: int = 16) -> DataFrame:
+    """For each column in ``sums``: running total over all rows whose
+    ``order`` value ranks at or ahead of the current one (peers included),
+    as ``_cum_<col>``, plus the grand total ``_tot_<col>``.  Same bucketed
+    scheme as ``ranked_running_total`` (no single-task global window)."""
+    v = F.col(order)
+    vo = v.desc() if descending else v.asc()
+    x = df.withColumn("_bkt", _bucket_col(order, resolution, descending))
+    w_peer = Window.partitionBy("_bkt").orderBy(vo)
+    x = x.withColumns({f"_cl_{c}": F.sum(c).over(w_peer) for c in sums})
+    per_bucket = x.groupBy("_bkt").agg(*[F.sum(c).alias(f"_bs_{c}") for c in sums])
+    w_off = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy()
+    offsets = per_bucket.select("_bkt", *[
+        F.coalesce(F.sum(f"_bs_{c}").over(w_off), F.lit(0).cast(df.schema[c].dataType)).alias(f"_off_{c}")
+        for c in sums], *[F.sum(f"_bs_{c}").over(w_all).alias(f"_tot_{c}") for c in sums])
+    x = x.join(F.broadcast(offsets), "_bkt")
+    x = x.withColumns({f"_cum_{c}": F.col(f"_cl_{c}") + F.col(f"_off_{c}") for c in sums})
+    return x.drop("_bkt", *[f"_cl_{c}" for c in sums], *[f"_off_{c}" for c in sums])

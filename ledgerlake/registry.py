@@ -28,5 +28,6 @@ def load_all() -> None:
     """Import every module that registers queries."""
     import importlib
     for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget",
-              "ledgerlake.plans.finance", "ledgerlake.plans.plant", "ledgerlake.plans.treasury"):
+              "ledgerlake.plans.finance", "ledgerlake.plans.plant", "ledgerlake.plans.treasury",
+              "ledgerlake.plans.risk"):
         importlib.import_module(m)
