@@ -29,5 +29,6 @@ def load_all() -> None:
     import importlib
     for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget",
               "ledgerlake.plans.finance", "ledgerlake.plans.plant", "ledgerlake.plans.treasury",
-              "ledgerlake.plans.risk", "ledgerlake.plans.series"):
+              "ledgerlake.plans.risk", "ledgerlake.plans.series",
+              "ledgerlake.plans.quality"):
         importlib.import_module(m)
