@@ -138,7 +138,7 @@ CTL = [
     ("DesvioMargenBrutoPct", "MargenBrutoPctReal - MargenBrutoPctPresupuesto"),
     ("EfectoVolumen", z("ev")), ("EfectoPrecio", z("ep")), ("EfectoCosto", z("ec")),
     ("SumaEfectosTotales", "EfectoVolumen + EfectoPrecio + EfectoCosto"),
-    ("VerificacionDesvioCuadrado", "round(DesvioMargenBrutoTotal - SumaEfectosTotales, 2)"),
+    ("VerificacionDesvioCuadrado", "round(DesvioMargenBrutoTotal - SumaEfectosTotales, 2) + 0.0"),
     ("EstadoCuadratura", "CASE WHEN round(VerificacionDesvioCuadrado, 2) = 0 "
                          "THEN 'CUADRATURA EXACTA ($0.00)' ELSE 'DESCUADRE DETECTADO' END"),
     ("OPEXReal", "opex_real"), ("OPEXPresupuesto", "opex_ppto"),
