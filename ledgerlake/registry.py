@@ -30,5 +30,5 @@ def load_all() -> None:
     for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget",
               "ledgerlake.plans.finance", "ledgerlake.plans.plant", "ledgerlake.plans.treasury",
               "ledgerlake.plans.risk", "ledgerlake.plans.series",
-              "ledgerlake.plans.quality"):
+              "ledgerlake.plans.quality", "ledgerlake.plans.causal"):
         importlib.import_module(m)
