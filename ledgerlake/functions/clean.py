@@ -23,10 +23,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Shape of the text each layout can parse; a layout is only tried on text
+# of its shape, so rows never pay for failed parses of other layouts.
+_SHAPES = {
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$", "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$", "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "yyyyMMdd": r"^\d{8}$", "yyyy-M": r"^\d{4}-\d{1,2}$", "yyyy/M": r"^\d{4}/\d{1,2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+}
+
+
 def parse_date(c, patterns=DATE_PATTERNS) -> Column:
     """First layout that parses wins; unparsable or null -> null."""
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, p) for p in patterns])
+    return F.coalesce(*[F.when(s.rlike(_SHAPES[p]), F.try_to_date(s, p)) if p in _SHAPES
+                        else F.try_to_date(s, p) for p in patterns])
 
 
 def parse_date_sql(c: str) -> str:

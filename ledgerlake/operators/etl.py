@@ -32,10 +32,16 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None
 
 
 def flag_orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-                 flag: str = "_orphan") -> DataFrame:
-    """Left join on the distinct dimension keys and flag the misses."""
+                 flag: str = "_orphan", small_dim: bool = False) -> DataFrame:
+    """Left join on the distinct dimension keys and flag the misses.
+
+    ``small_dim``: the dimension has a known fixed size (e.g. a code list), so
+    its keys are broadcast; otherwise AQE picks the strategy from runtime
+    sizes."""
     dim_key = dim_key or fact_key
     keys = dim.select(F.col(dim_key).alias("_k"), F.lit(True).alias("_hit")).distinct()
+    if small_dim:
+        keys = F.broadcast(keys)
     return (fact.join(keys, fact[fact_key] == keys["_k"], "left")
                 .withColumn(flag, F.col("_hit").isNull() & F.col(fact_key).isNotNull()
                             | F.col(fact_key).isNull())
@@ -43,11 +49,11 @@ def flag_orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str |
 
 
 def resolve_orphans(fact: DataFrame, dim: DataFrame, fact_key: str, default,
-                    dim_key: str | None = None, flag: str | None = None) -> DataFrame:
+                    dim_key: str | None = None, flag: str | None = None, small_dim: bool = False) -> DataFrame:
     """Replace keys missing from the dimension with ``default`` (a literal or
     a Column such as a channel-dependent rule)."""
     f = flag or "_orphan"
-    x = flag_orphans(fact, dim, fact_key, dim_key, f)
+    x = flag_orphans(fact, dim, fact_key, dim_key, f, small_dim)
     d = default if isinstance(default, Column) else F.lit(default)
     x = x.withColumn(fact_key, F.when(F.col(f), d).otherwise(F.col(fact_key)))
     return x if flag else x.drop(f)

@@ -123,7 +123,7 @@ def clean_sales(raw: DataFrame, products: DataFrame, centres: DataFrame) -> Data
         C.map_values(C.clean_string("INCO1", "upper"), CHANNEL_MAP, CHANNEL_DEFAULT).alias("CanalVenta"))
     x = E.resolve_orphans(x, products, "ProductoID", DEFAULT_PRODUCT, flag="_orphan_prod")
     cc_rule = F.when(F.col("CanalVenta") == EXPORT_CHANNEL, B.CC_EXPORT).otherwise(B.CC_DOMESTIC)
-    x = E.resolve_orphans(x, centres, "CentroCostoID", cc_rule, flag="_orphan_cc")
+    x = E.resolve_orphans(x, centres, "CentroCostoID", cc_rule, flag="_orphan_cc", small_dim=True)
     return x.withColumn("DateKey", F.year("Fecha") * 10000 + F.month("Fecha") * 100 + F.dayofmonth("Fecha"))
 
 
