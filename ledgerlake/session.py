@@ -18,6 +18,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Broadcast only on a measured size: static estimates come from
+    # compressed parquet bytes and can let a fact table through, so they are
+    # off; AQE converts a join to broadcast from the real shuffle output.
+    # Tables bounded by design (nation, region, bucket tables) carry hints.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
