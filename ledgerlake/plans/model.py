@@ -80,7 +80,9 @@ FACTS = {
         "capital AS (\n  SELECT *,", "capital AS (\n  SELECT *, CAST(DateKey / 10000 AS INT) AS Anio, "
         "CAST(DateKey / 100 % 100 AS INT) AS Mes,")],
               _TIME,
-              {"dso": "AVG(DSO_DiasCobro)", "dio": "AVG(DIO_DiasInventario)", "dpo": "AVG(DPO_DiasPago)",
+              {"dso": "CAST(SUM(DSO_DiasCobro) AS DOUBLE) / COUNT(DSO_DiasCobro)",
+               "dio": "CAST(SUM(DIO_DiasInventario) AS DOUBLE) / COUNT(DIO_DiasInventario)",
+               "dpo": "CAST(SUM(DPO_DiasPago) AS DOUBLE) / COUNT(DPO_DiasPago)",
                "cxc": "SUM(CuentasPorCobrar)", "inv": "SUM(Inventario)", "cxp": "SUM(CuentasPorPagar)"}),
 }
 

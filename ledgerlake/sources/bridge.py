@@ -223,22 +223,23 @@ def capital_trabajo(spark: SparkSession, d: str) -> DataFrame:
         F.sum(_e(REVENUE)).alias("Ingresos"), F.sum(_e(COST)).alias("Costo"),
         F.sum(F.when(F.col("l_linestatus") == "O", _e(COST))).alias("Inventario"))
     j = sales.join(arap, "DateKey", "left")
-    ar = F.coalesce(F.col("CuentasPorCobrar"), F.lit(0)).cast("double")
-    ap = F.coalesce(F.col("CuentasPorPagar"), F.lit(0)).cast("double")
-    inv = F.coalesce(F.col("Inventario"), F.lit(0)).cast("double")
+    # amounts stay DECIMAL (exact sums downstream); day ratios are rounded
+    # to cents and carried as DECIMAL too
+    ar = F.coalesce(F.col("CuentasPorCobrar"), F.lit(0).cast(MONEY))
+    ap = F.coalesce(F.col("CuentasPorPagar"), F.lit(0).cast(MONEY))
+    inv = F.coalesce(F.col("Inventario"), F.lit(0).cast(MONEY))
     rev = F.col("Ingresos").cast("double")
     cost = F.col("Costo").cast("double")
-    dso = F.when(rev > 0, F.round(ar / rev * 30, 2)).otherwise(F.lit(0.0))
-    dio = F.when(cost > 0, F.round(inv / cost * 30, 2)).otherwise(F.lit(0.0))
-    dpo = F.when(cost > 0, F.round(ap / cost * 30, 2)).otherwise(F.lit(0.0))
+    days = lambda num, den: F.when(den > 0, F.round(num.cast("double") / den * 30, 2)).otherwise(
+        F.lit(0.0)).cast("decimal(12,2)")
     return j.select(
         "DateKey", "AnioMes", ar.alias("CuentasPorCobrar"), ap.alias("CuentasPorPagar"),
-        inv.alias("Inventario"), dso.alias("DSO_DiasCobro"), dio.alias("DIO_DiasInventario"),
-        dpo.alias("DPO_DiasPago"),
+        inv.alias("Inventario"), days(ar, rev).alias("DSO_DiasCobro"), days(inv, cost).alias("DIO_DiasInventario"),
+        days(ap, cost).alias("DPO_DiasPago"),
     ).withColumn("CicloConversionEfectivo_CCC",
-                 F.round(F.col("DSO_DiasCobro") + F.col("DIO_DiasInventario") - F.col("DPO_DiasPago"), 2)
+                 F.col("DSO_DiasCobro") + F.col("DIO_DiasInventario") - F.col("DPO_DiasPago")
     ).withColumn("NecesidadOperativaFondos_NOF",
-                 F.round(F.col("CuentasPorCobrar") + F.col("Inventario") - F.col("CuentasPorPagar"), 2))
+                 F.col("CuentasPorCobrar") + F.col("Inventario") - F.col("CuentasPorPagar"))
 
 
 CAPITAL_SQL = f"""arap AS (
@@ -253,20 +254,20 @@ sales_m AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
 capital0 AS (
   SELECT s.DateKey, s.AnioMes,
-         CAST(COALESCE(CuentasPorCobrar, 0) AS DOUBLE) AS CuentasPorCobrar,
-         CAST(COALESCE(CuentasPorPagar, 0) AS DOUBLE) AS CuentasPorPagar,
-         CAST(COALESCE(Inventario, 0) AS DOUBLE) AS Inventario,
+         COALESCE(CuentasPorCobrar, 0) AS CuentasPorCobrar,
+         COALESCE(CuentasPorPagar, 0) AS CuentasPorPagar,
+         COALESCE(Inventario, 0) AS Inventario,
          CAST(Ingresos AS DOUBLE) AS rev, CAST(Costo AS DOUBLE) AS cost
   FROM sales_m s LEFT JOIN arap a ON s.DateKey = a.DateKey),
 capital1 AS (
   SELECT DateKey, AnioMes, CuentasPorCobrar, CuentasPorPagar, Inventario,
-         CASE WHEN rev > 0 THEN round(CuentasPorCobrar / rev * 30, 2) ELSE 0.0 END AS DSO_DiasCobro,
-         CASE WHEN cost > 0 THEN round(Inventario / cost * 30, 2) ELSE 0.0 END AS DIO_DiasInventario,
-         CASE WHEN cost > 0 THEN round(CuentasPorPagar / cost * 30, 2) ELSE 0.0 END AS DPO_DiasPago
+         CAST(CASE WHEN rev > 0 THEN round(CAST(CuentasPorCobrar AS DOUBLE) / rev * 30, 2) ELSE 0.0 END AS DECIMAL(12,2)) AS DSO_DiasCobro,
+         CAST(CASE WHEN cost > 0 THEN round(CAST(Inventario AS DOUBLE) / cost * 30, 2) ELSE 0.0 END AS DECIMAL(12,2)) AS DIO_DiasInventario,
+         CAST(CASE WHEN cost > 0 THEN round(CAST(CuentasPorPagar AS DOUBLE) / cost * 30, 2) ELSE 0.0 END AS DECIMAL(12,2)) AS DPO_DiasPago
   FROM capital0),
 capital AS (
-  SELECT *, round(DSO_DiasCobro + DIO_DiasInventario - DPO_DiasPago, 2) AS CicloConversionEfectivo_CCC,
-         round(CuentasPorCobrar + Inventario - CuentasPorPagar, 2) AS NecesidadOperativaFondos_NOF
+  SELECT *, DSO_DiasCobro + DIO_DiasInventario - DPO_DiasPago AS CicloConversionEfectivo_CCC,
+         CuentasPorCobrar + Inventario - CuentasPorPagar AS NecesidadOperativaFondos_NOF
   FROM capital1)"""
 
 
@@ -286,7 +287,7 @@ def produccion(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("RemitoID"),
         _e(datekey(fecha)).alias("DateKey"), _e(month_key(fecha)).alias("MesDateKey"),
         F.col("n_name").alias("FincaOrigen"), F.col("p_type").alias("VariedadUva"),
-        _e(GROSS).alias("KilosEntrada"), F.col("l_quantity").alias("GradosBrix"),
+        _e(GROSS).alias("KilosEntrada"), _e(VOLUME).alias("GradosBrix"),
         _e(LITRES).alias("LitrosMostoObtenido"), _e(SANITARY).alias("CalificacionSanitaria")))
 
 
@@ -294,7 +295,7 @@ PRODUCCION_SQL = f"""produccion AS (
   SELECT concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING)) AS RemitoID,
          {datekey('CAST(l_shipdate AS DATE)')} AS DateKey, {month_key('CAST(l_shipdate AS DATE)')} AS MesDateKey,
          n_name AS FincaOrigen, p_type AS VariedadUva,
-         {GROSS} AS KilosEntrada, l_quantity AS GradosBrix, {LITRES} AS LitrosMostoObtenido,
+         {GROSS} AS KilosEntrada, {VOLUME} AS GradosBrix, {LITRES} AS LitrosMostoObtenido,
          {SANITARY} AS CalificacionSanitaria
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
        JOIN nation ON s_nationkey = n_nationkey)"""
@@ -314,14 +315,14 @@ def inventario(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy(_e(month_key(fecha)).alias("DateKey"), F.col("p_brand").alias("ProductoID"),
                      _e(VESSEL).alias("TipoVasija")).agg(
         F.sum(_e(VOLUME)).alias("Litros"), F.sum(_e(GROSS)).alias("ValorInventario"),
-        F.avg(_e(f"CAST(l_tax AS {RATE})")).alias("MermaPct"),
+        (F.sum(_e(f"CAST(l_tax AS {RATE})")).cast("double") / F.count(F.lit(1))).alias("MermaPct"),
         F.avg(_e("datediff(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE))")).alias("DIODias"))
 
 
 INVENTARIO_SQL = f"""inventario AS (
   SELECT {month_key('CAST(l_shipdate AS DATE)')} AS DateKey, p_brand AS ProductoID, {VESSEL} AS TipoVasija,
          SUM({VOLUME}) AS Litros, SUM({GROSS}) AS ValorInventario,
-         AVG(CAST(l_tax AS {RATE})) AS MermaPct,
+         CAST(SUM(CAST(l_tax AS {RATE})) AS DOUBLE) / COUNT(*) AS MermaPct,
          AVG(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS DIODias
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   GROUP BY 1, 2, 3)"""
