@@ -35,12 +35,28 @@ class Fact:
     prior_year: set = field(default_factory=set)
 
 
+CUBE_DIMS = ["MesDateKey", "AnioMes", "Anio", "Mes", "Linea", "Segmento", "CanalVenta", "CentroCostoID"]
+CUBE_SUMS = ["VolumenReal", "IngresosReales", "CostoReal", "MargenBrutoReal", "FacturacionBruta"]
+
+
+def sales_cube(spark, d):
+    """Sales summed to month x line x segment x channel x cost centre (exact
+    decimal sums, so any coarser SUM equals the sum over line items).  Its
+    size is bounded by the product of those dimensions, not by the number
+    of line items; it is written once to the shared checkpoint folder and
+    feeds every sales-derived branch of an evaluation (actuals, prior year,
+    variance terms and the budget's cells)."""
+    from ledgerlake.session import cut_lineage
+    v = B.ventas(spark, d)
+    return cut_lineage(v.groupBy(*CUBE_DIMS).agg(*[F.sum(c).alias(c) for c in CUBE_SUMS]))
+
+
 def _ventas(spark, d):
-    return B.ventas(spark, d)
+    return sales_cube(spark, d)
 
 
-def _presupuesto(spark, d):
-    p = BU.presupuesto(spark, d)
+def _presupuesto(spark, d, cube=None):
+    p = BU.budget_prior_year(cube if cube is not None else sales_cube(spark, d), materialise=False)
     return p.withColumnRenamed("ProductoID", "Linea")
 
 
@@ -60,7 +76,7 @@ _TIME = {"Anio", "Mes", "AnioMes"}
 
 FACTS = {
     "V": Fact("ventas", _ventas, [B.ventas_sql()],
-              _TIME | {"Linea", "Segmento", "CanalVenta", "CentroCostoID", "ProductoID"},
+              _TIME | {"Linea", "Segmento", "CanalVenta", "CentroCostoID"},
               {"vol_real": "SUM(VolumenReal)", "ing_real": "SUM(IngresosReales)",
                "costo_real": "SUM(CostoReal)", "mb_real": "SUM(MargenBrutoReal)",
                "fact_bruta": "SUM(FacturacionBruta)"},
@@ -244,18 +260,30 @@ def evaluate(spark, d: str, measures, by: list[str], where: dict | None = None)
     where = where or {}
     need = needed_bases(measures)
     parts = []
+    built: dict[str, DataFrame] = {}
+
+    def src_of(key):
+        # each fact is planned once per evaluation: branches share one plan
+        # (and the budget's materialised cells)
+        if key not in built:
+            if key == "P":
+                built[key] = _presupuesto(spark, d, src_of("V"))
+            else:
+                built[key] = FACTS[key].builder(spark, d)
+        return built[key]
+
     for key, f in FACTS.items():
         cols = [b for b in f.aggs if b in need]
         if not cols:
             continue
         if not set(by) <= f.dims:
             raise ValueError(f"fact {f.name} lacks {set(by) - f.dims}")
-        src = _filter(f.builder(spark, d), where, f.dims)
+        src = _filter(src_of(key), where, f.dims)
         g = src.groupBy(*by).agg(*[F.expr(f.aggs[c]).cast("double").alias(c) for c in cols])
         parts.append(g)
         if key == "V" and "ing_real_py" in need:
             py_where = {k: v for k, v in where.items() if k != "Anio"}
-            py_src = _filter(f.builder(spark, d), py_where, f.dims)
+            py_src = _filter(src_of(key), py_where, f.dims)
             if "Anio" in where:
                 years = where["Anio"] if isinstance(where["Anio"], (list, tuple)) else [where["Anio"]]
                 py_src = py_src.filter(F.col("Anio").isin(*[y - 1 for y in years]))
@@ -263,7 +291,7 @@ def evaluate(spark, d: str, measures, by: list[str], where: dict | None = None)
                 F.expr("SUM(IngresosReales)").cast("double").alias("ing_real_py"))
             parts.append(py)
     if need & {"ev", "ep", "ec"}:
-        parts.append(_variance_terms(spark, d, by, where))
+        parts.append(_variance_terms(src_of("V"), src_of("P"), by, where))
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, by, "full_outer") if by else out.join(p)
@@ -279,10 +307,10 @@ def evaluate(spark, d: str, measures, by: list[str], where: dict | None = None)
     return out.select(*by, *[n for n, _ in measures])
 
 
-def _variance_terms(spark, d, by, where):
+def _variance_terms(ventas, budget, by, where):
     """SUMX over products of the volume/price/cost effects."""
-    v = _filter(FACTS["V"].builder(spark, d), where, FACTS["V"].dims)
-    p = _filter(FACTS["P"].builder(spark, d), where, FACTS["P"].dims)
+    v = _filter(ventas, where, FACTS["V"].dims)
+    p = _filter(budget, where, FACTS["P"].dims)
     k = by + ["Linea"] if "Linea" not in by else by
     va = v.groupBy(*k).agg(F.sum("VolumenReal").cast("double").alias("qr"),
                            F.sum("IngresosReales").cast("double").alias("rr"),
