@@ -347,3 +347,93 @@ def q_fx_treasury(spark, d):
         F.when(spread > 150, "Vender Futuro Rofex (tasa implicita cara)")
         .when(spread < -150, "Financiar en Pesos (cobertura cara)").otherwise("Calce / Indiferencia")
         .alias("RecomendacionCobertura"))
+
+
+# ---------------------------------------------------------------------------
+# Reverse stress testing: shock scenarios applied to data-derived bases
+# ---------------------------------------------------------------------------
+
+# Scenario parameters (user input; the source's four shock levels): id,
+# name, sales shock, extra collection days, input devaluation, rate shock (bps).
+SCENARIOS = [
+    ("ESC-01", "Escenario Base Linea Central", 0.0, 0, 0.0, 0),
+    ("ESC-02", "Shock Macroeconómico Moderado", -0.15, 18, 0.20, 400),
+    ("ESC-03", "Shock Cambiario & Caida Exportaciones", -0.25, 35, 0.35, 850),
+    ("ESC-04", "Reverse Stress Breakpoint (Quiebre Tecnico)", -0.38, 52, 0.55, 1500),
+]
+SOLVENCY_RULES = [("<=", 0, "INSOLVENCIA"), ("<", 15000000, "BUFFER ALERTA")]
+SOLVENCY_DEFAULT = "RESILIENTE"
+BASE_BUFFER_MONTHS = 1.0   # base solvency buffer = this many months of cost
+
+
+def stress_scenarios(spark, ventas: DataFrame, capital: DataFrame, scenarios=SCENARIOS,
+                     buffer_months: float = BASE_BUFFER_MONTHS) -> DataFrame:
+    """Monthly cash impact of each scenario on the average month:
+    sales shock x revenue - extra collection days x daily revenue - input
+    devaluation x cost - rate shock x average receivables; remaining buffer
+    from a base of ``buffer_months`` of cost; days of cost it covers.  The
+    bases are one-row aggregates used as scalars (no join of the data)."""
+    m = ventas.groupBy("Anio", "Mes").agg(F.sum("IngresosReales").cast("double").alias("ing"),
+                                          F.sum("CostoReal").cast("double").alias("cost"))
+    ing = m.agg(F.avg("ing")).scalar()
+    cost = m.agg(F.avg("cost")).scalar()
+    cxc = capital.agg(F.avg(F.col("CuentasPorCobrar").cast("double"))).scalar()
+    sc = spark.createDataFrame(scenarios, "EscenarioID string, NombreEscenario string, ShockVentasPct double, "
+                                          "ShockMoraDias int, ShockDevaluacionInsumosPct double, "
+                                          "ShockTasaInteresBps int")
+    impact = (F.col("ShockVentasPct") * ing - F.col("ShockMoraDias") * ing / 30.0
+              - F.col("ShockDevaluacionInsumosPct") * cost - F.col("ShockTasaInteresBps") / 10000.0 * cxc)
+    buf = cost * buffer_months + impact
+    return sc.select("EscenarioID", "NombreEscenario", "ShockVentasPct", "ShockMoraDias",
+                     "ShockDevaluacionInsumosPct", "ShockTasaInteresBps",
+                     F.round(impact, 2).alias("ImpactoCajaNeto"), F.round(buf, 2).alias("BufferSolvenciaRestante"),
+                     F.greatest(F.lit(0), F.floor(buf / (cost / 30.0))).cast("int").alias("DiasCoberturaRestante"))
+
+
+def _scenarios_sql() -> str:
+    rows = ", ".join(f"('{a}', '{b}', {c}, {d}, {e}, {f})" for a, b, c, d, e, f in SCENARIOS)
+    return (f"sc AS (SELECT * FROM (VALUES {rows}) t(EscenarioID, NombreEscenario, ShockVentasPct, ShockMoraDias, "
+            "ShockDevaluacionInsumosPct, ShockTasaInteresBps))")
+
+
+_STRESS_SQL = with_ctes(B.ventas_sql(), B.CAPITAL_SQL, """m AS (
+  SELECT Anio, Mes, CAST(SUM(IngresosReales) AS DOUBLE) AS ing, CAST(SUM(CostoReal) AS DOUBLE) AS cost
+  FROM ventas GROUP BY 1, 2)""", """b AS (SELECT (SELECT avg(ing) FROM m) AS ing, (SELECT avg(cost) FROM m) AS cost,
+  (SELECT avg(CAST(CuentasPorCobrar AS DOUBLE)) FROM capital) AS cxc)""", _scenarios_sql(), f"""st AS (
+  SELECT EscenarioID, NombreEscenario, CAST(ShockVentasPct AS DOUBLE) AS ShockVentasPct, CAST(ShockMoraDias AS INT) AS ShockMoraDias,
+         CAST(ShockDevaluacionInsumosPct AS DOUBLE) AS ShockDevaluacionInsumosPct,
+         CAST(ShockTasaInteresBps AS INT) AS ShockTasaInteresBps,
+         ShockVentasPct * ing - ShockMoraDias * ing / 30.0 - ShockDevaluacionInsumosPct * cost
+           - ShockTasaInteresBps / 10000.0 * cxc AS impact, cost
+  FROM sc, b)""")
+
+
+@query("stress_scenarios", _STRESS_SQL + f"""SELECT EscenarioID, NombreEscenario, ShockVentasPct, ShockMoraDias,
+  ShockDevaluacionInsumosPct, ShockTasaInteresBps, round(impact, 2) AS ImpactoCajaNeto,
+  round(cost * {BASE_BUFFER_MONTHS} + impact, 2) AS BufferSolvenciaRestante,
+  CAST(greatest(0, floor((cost * {BASE_BUFFER_MONTHS} + impact) / (cost / 30.0))) AS INT) AS DiasCoberturaRestante
+FROM st""")
+def q_stress_scenarios(spark, d):
+    return stress_scenarios(spark, B.ventas(spark, d), B.capital_trabajo(spark, d))
+
+
+@query("stress_summary", _STRESS_SQL + f""", x AS (SELECT EscenarioID, NombreEscenario,
+  round(impact, 2) AS imp, round(cost * {BASE_BUFFER_MONTHS} + impact, 2) AS buf,
+  CAST(greatest(0, floor((cost * {BASE_BUFFER_MONTHS} + impact) / (cost / 30.0))) AS INT) AS dias FROM st)
+SELECT MIN(buf) AS BufferSolvenciaMinimo, MIN(dias) AS DiasCoberturaMinimo,
+  MAX(CASE WHEN EscenarioID = 'ESC-01' THEN buf END) AS BufferSolvenciaBase, MIN(imp) AS ImpactoCajaMaximo,
+  arg_min(NombreEscenario, buf) AS EscenarioMayorRiesgo,
+  CASE WHEN MIN(buf) <= 0 THEN 'INSOLVENCIA' WHEN MIN(buf) < 15000000 THEN 'BUFFER ALERTA' ELSE 'RESILIENTE' END AS SemaforoSolvencia
+FROM x""")
+def q_stress_summary(spark, d):
+    """Minimum buffer and cover, base buffer, largest impact, the worst
+    scenario (min_by) and the solvency light."""
+    s = stress_scenarios(spark, B.ventas(spark, d), B.capital_trabajo(spark, d))
+    g = s.agg(F.min("BufferSolvenciaRestante").alias("BufferSolvenciaMinimo"),
+              F.min("DiasCoberturaRestante").alias("DiasCoberturaMinimo"),
+              F.max(F.when(F.col("EscenarioID") == "ESC-01", F.col("BufferSolvenciaRestante"))).alias("BufferSolvenciaBase"),
+              F.min("ImpactoCajaNeto").alias("ImpactoCajaMaximo"),
+              F.min_by("NombreEscenario", "BufferSolvenciaRestante").alias("EscenarioMayorRiesgo"))
+    b = F.col("BufferSolvenciaMinimo")
+    return g.withColumn("SemaforoSolvencia", F.when(b <= 0, "INSOLVENCIA").when(b < 15000000, "BUFFER ALERTA")
+                        .otherwise("RESILIENTE"))
