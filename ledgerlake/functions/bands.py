@@ -70,7 +70,10 @@ ABC_DEFAULT = "Clase C"
 
 ABC_ADVICE = {
     "Clase A": "Prioridad: Proteger stock y margen",
+    "Clase B": "Estrategia: Estimular volumen Horeca",
+    "Clase C": "Accion: Ajustar precio o descontinuar",
 }
+ABC_ADVICE_DEFAULT = "Revision de cartera"
 
 EXTRACTION_SQL_RULES = [(">=", 72.0, "Alta Eficiencia Enologica"),
                         (">=", 69.0, "Rendimiento Estandar Bodega")]

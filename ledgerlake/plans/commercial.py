@@ -59,3 +59,121 @@ FROM acc"""
 @query("pareto_commercial", PARETO_SQL)
 def q_pareto_commercial(spark, d):
     return pareto_commercial(B.ventas(spark, d), B.productos(spark, d))
+
+
+# ---------------------------------------------------------------------------
+# ABC classes at SKU grain and the class-A measures
+# ---------------------------------------------------------------------------
+from ledgerlake.functions.bands import ABC_ADVICE, ABC_ADVICE_DEFAULT, ABC_DEFAULT, ABC_RULES  # noqa: E402
+from ledgerlake.functions.clean import map_values  # noqa: E402
+from ledgerlake.plans import budget as BU  # noqa: E402
+
+ABC_YEAR = 2000
+
+
+def abc_classes(ventas: DataFrame) -> DataFrame:
+    """Per SKU: revenue, margin %, share of the revenue of all SKUs ranking at
+    or above it (ties included), class A/B/C by 75 % / 92 % and the advice."""
+    s = ventas.groupBy("ProductoID").agg(F.sum("IngresosReales").alias("ing"),
+                                         F.sum("MargenBrutoReal").alias("mb"))
+    r = ranked_running_total(s, "ing", tiebreak=["ProductoID"])
+    share = F.col("_cum").cast("double") / F.col("_total").cast("double")
+    cls = band(share, ABC_RULES, ABC_DEFAULT)
+    return r.select("ProductoID", F.col("ing").cast("double").alias("IngresosReales"),
+                    F.round(F.col("mb").cast("double") / F.col("ing").cast("double"), 10).alias("MargenBrutoPct"),
+                    F.round(share, 10).alias("VentasAcumuladasPct"),
+                    F.when(F.col("ing").isNull(), None).otherwise(cls).alias("ClasificacionABC")
+                    ).withColumn("RecomendacionABC", map_values("ClasificacionABC", ABC_ADVICE, ABC_ADVICE_DEFAULT))
+
+
+_ABC_SQL = with_ctes(B.ventas_sql(channel=False), f"""s AS (
+  SELECT ProductoID, SUM(IngresosReales) AS ing, SUM(MargenBrutoReal) AS mb FROM ventas WHERE Anio = {ABC_YEAR} GROUP BY 1)""",
+    """c AS (SELECT *, CAST(SUM(ing) OVER (ORDER BY ing DESC) AS DOUBLE) / CAST(SUM(ing) OVER () AS DOUBLE) AS share FROM s)""",
+    f"""abc AS (SELECT ProductoID, CAST(ing AS DOUBLE) AS IngresosReales,
+  round(CAST(mb AS DOUBLE) / CAST(ing AS DOUBLE), 10) AS MargenBrutoPct, round(share, 10) AS VentasAcumuladasPct,
+  CASE WHEN ing IS NULL THEN NULL WHEN share <= 0.75 THEN 'Clase A' WHEN share <= 0.92 THEN 'Clase B' ELSE 'Clase C' END AS ClasificacionABC
+  FROM c)""")
+
+
+@query("abc_classes", _ABC_SQL + """SELECT *, CASE ClasificacionABC WHEN 'Clase A' THEN 'Prioridad: Proteger stock y margen'
+  WHEN 'Clase B' THEN 'Estrategia: Estimular volumen Horeca' WHEN 'Clase C' THEN 'Accion: Ajustar precio o descontinuar'
+  ELSE 'Revision de cartera' END AS RecomendacionABC FROM abc""")
+def q_abc_classes(spark, d):
+    v = B.ventas(spark, d, channel=False)
+    return abc_classes(v.filter(F.col("Anio") == ABC_YEAR))
+
+
+@query("sales_kpis_class_a", _ABC_SQL + f""", v AS (SELECT * FROM ventas WHERE Anio = {ABC_YEAR})
+SELECT (SELECT COUNT(*) FROM abc WHERE ClasificacionABC = 'Clase A') AS SKUsClaseA,
+  (SELECT SUM(IngresosReales) FROM abc WHERE ClasificacionABC = 'Clase A') AS IngresosClaseA,
+  round((SELECT SUM(CAST(mb AS DOUBLE)) FROM s WHERE ProductoID IN (SELECT ProductoID FROM abc WHERE ClasificacionABC = 'Clase A'))
+        / (SELECT SUM(IngresosReales) FROM abc WHERE ClasificacionABC = 'Clase A'), 10) AS MargenPromedioClaseA,
+  COUNT(DISTINCT TransaccionID) AS CantidadPedidos,
+  round(CAST(SUM(IngresosReales) AS DOUBLE) / COUNT(DISTINCT TransaccionID), 6) AS TicketPromedio
+FROM v""")
+def q_sales_kpis_class_a(spark, d):
+    """Class-A count, revenue and margin (classes computed first, then
+    filtered), orders (distinct transactions) and average ticket."""
+    v = B.ventas(spark, d, channel=False).filter(F.col("Anio") == ABC_YEAR)
+    a = abc_classes(v).filter(F.col("ClasificacionABC") == "Clase A")
+    mb = v.groupBy("ProductoID").agg(F.sum("MargenBrutoReal").cast("double").alias("mb"))
+    ca = a.join(mb, "ProductoID").agg(F.count(F.lit(1)).alias("n"), F.sum("IngresosReales").alias("ing"),
+                                      F.sum("mb").alias("mb"))
+    tot = v.agg(F.countDistinct("TransaccionID").alias("ped"), F.sum("IngresosReales").cast("double").alias("ing"))
+    return tot.select(
+        ca.select("n").scalar().alias("SKUsClaseA"), ca.select("ing").scalar().alias("IngresosClaseA"),
+        F.round(ca.select(F.col("mb") / F.col("ing")).scalar(), 10).alias("MargenPromedioClaseA"),
+        F.col("ped").alias("CantidadPedidos"), F.round(F.col("ing") / F.col("ped"), 6).alias("TicketPromedio"))
+
+
+# ---------------------------------------------------------------------------
+# Budget allocated over channels
+# ---------------------------------------------------------------------------
+
+def budget_by_channel(ventas: DataFrame, budget: DataFrame, export_channel: str = B.EXPORT_SEGMENT) -> DataFrame:
+    """Per year and channel: the domestic budget split over the domestic
+    channels in proportion to their actual sales, plus the export cost
+    centre's own budget on the export channel; attainment and quota gap."""
+    real = ventas.groupBy("Anio", "CanalVenta").agg(F.sum("IngresosReales").alias("ing"),
+                                                    F.sum("VolumenReal").alias("vol"))
+    dom = real.filter(F.col("CanalVenta") != export_channel).groupBy("Anio").agg(
+        F.sum("ing").alias("ing_dom"), F.sum("vol").alias("vol_dom"))
+    bud = budget.groupBy("Anio").agg(
+        F.sum(F.when(F.col("CentroCostoID") == B.CC_DOMESTIC, F.col("IngresosPresupuestados"))).alias("bi_dom"),
+        F.sum(F.when(F.col("CentroCostoID") == B.CC_EXPORT, F.col("IngresosPresupuestados"))).alias("bi_exp"),
+        F.sum(F.when(F.col("CentroCostoID") == B.CC_DOMESTIC, F.col("VolumenPresupuestado"))).alias("bv_dom"),
+        F.sum(F.when(F.col("CentroCostoID") == B.CC_EXPORT, F.col("VolumenPresupuestado"))).alias("bv_exp"))
+    j = real.join(dom, "Anio", "left").join(bud, "Anio", "left")
+    is_exp = F.col("CanalVenta") == export_channel
+    d = lambda c: F.col(c).cast("double")
+    share_i = F.when(is_exp | (F.coalesce(d("ing_dom"), F.lit(0.0)) == 0), F.lit(0.0)).otherwise(d("ing") / d("ing_dom"))
+    share_v = F.when(is_exp | (F.coalesce(d("vol_dom"), F.lit(0.0)) == 0), F.lit(0.0)).otherwise(d("vol") / d("vol_dom"))
+    bi = F.coalesce(d("bi_dom"), F.lit(0.0)) * share_i + F.when(is_exp, F.coalesce(d("bi_exp"), F.lit(0.0))).otherwise(0.0)
+    bv = F.coalesce(d("bv_dom"), F.lit(0.0)) * share_v + F.when(is_exp, F.coalesce(d("bv_exp"), F.lit(0.0))).otherwise(0.0)
+    return j.select("Anio", "CanalVenta", d("ing").alias("IngresosReales"), F.round(bi, 4).alias("IngresosPresupuesto"),
+                    F.round(bv, 4).alias("VolumenPresupuesto"),
+                    F.round(F.when(bi == 0, 0.0).otherwise(d("ing") / bi), 10).alias("CumplimientoPresupuestoPct"),
+                    F.round(F.when(bi == 0, 0.0).otherwise((d("ing") - bi) / bi), 10).alias("DesvioCuotaPct"))
+
+
+@query("budget_allocation", with_ctes(B.ventas_sql(), BU.budget_sql(), f"""r AS (
+  SELECT Anio, CanalVenta, SUM(IngresosReales) AS ing, SUM(VolumenReal) AS vol FROM ventas GROUP BY 1, 2)""",
+    f"""dm AS (SELECT Anio, SUM(ing) AS ing_dom, SUM(vol) AS vol_dom FROM r WHERE CanalVenta <> '{B.EXPORT_SEGMENT}' GROUP BY 1)""",
+    f"""bu AS (SELECT Anio,
+      SUM(CASE WHEN CentroCostoID = '{B.CC_DOMESTIC}' THEN IngresosPresupuestados END) AS bi_dom,
+      SUM(CASE WHEN CentroCostoID = '{B.CC_EXPORT}' THEN IngresosPresupuestados END) AS bi_exp,
+      SUM(CASE WHEN CentroCostoID = '{B.CC_DOMESTIC}' THEN VolumenPresupuestado END) AS bv_dom,
+      SUM(CASE WHEN CentroCostoID = '{B.CC_EXPORT}' THEN VolumenPresupuestado END) AS bv_exp FROM presupuesto GROUP BY 1)""",
+    f"""a AS (SELECT r.Anio, r.CanalVenta, CAST(ing AS DOUBLE) AS ing,
+      COALESCE(CAST(bi_dom AS DOUBLE), 0.0) * (CASE WHEN CanalVenta = '{B.EXPORT_SEGMENT}' OR COALESCE(CAST(ing_dom AS DOUBLE), 0.0) = 0 THEN 0.0 ELSE CAST(ing AS DOUBLE) / CAST(ing_dom AS DOUBLE) END)
+        + CASE WHEN CanalVenta = '{B.EXPORT_SEGMENT}' THEN COALESCE(CAST(bi_exp AS DOUBLE), 0.0) ELSE 0.0 END AS bi,
+      COALESCE(CAST(bv_dom AS DOUBLE), 0.0) * (CASE WHEN CanalVenta = '{B.EXPORT_SEGMENT}' OR COALESCE(CAST(vol_dom AS DOUBLE), 0.0) = 0 THEN 0.0 ELSE CAST(vol AS DOUBLE) / CAST(vol_dom AS DOUBLE) END)
+        + CASE WHEN CanalVenta = '{B.EXPORT_SEGMENT}' THEN COALESCE(CAST(bv_exp AS DOUBLE), 0.0) ELSE 0.0 END AS bv
+    FROM r LEFT JOIN dm ON r.Anio = dm.Anio LEFT JOIN bu ON r.Anio = bu.Anio)""") + """SELECT Anio, CanalVenta,
+  ing AS IngresosReales, round(bi, 4) AS IngresosPresupuesto, round(bv, 4) AS VolumenPresupuesto,
+  round(CASE WHEN bi = 0 THEN 0.0 ELSE ing / bi END, 10) AS CumplimientoPresupuestoPct,
+  round(CASE WHEN bi = 0 THEN 0.0 ELSE (ing - bi) / bi END, 10) AS DesvioCuotaPct
+FROM a""")
+def q_budget_allocation(spark, d):
+    v = B.ventas(spark, d)
+    return budget_by_channel(v, BU.budget_prior_year(v))
