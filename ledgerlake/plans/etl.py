@@ -258,3 +258,23 @@ def q_orphan_detect(spark, d):
     raw = raw_sales_extract(spark, d).select(C.clean_string("MATNR", "upper").alias("ProductoID"))
     return E.orphans(raw, product_codes(spark, d), "ProductoID").groupBy("ProductoID").agg(
         F.count(F.lit(1)).alias("n_filas"))
+
+
+@query("gold_roundtrip", with_ctes(RAW_SQL, CLEAN_SQL_CTE) + """SELECT CanalVenta, CAST(COUNT(*) AS BIGINT) AS filas,
+  round(SUM(IngresosReales), 2) AS IngresosReales, CAST(COUNT(DISTINCT TransaccionID) AS BIGINT) AS transacciones
+FROM clean GROUP BY CanalVenta""")
+def q_gold_roundtrip(spark, d):
+    """Sinks and sources end to end: the curated sales are written as a
+    gold CSV under the shared checkpoint folder, read back as raw text
+    (all strings) and re-typed with the number cleaner."""
+    import uuid
+
+    from ledgerlake.session import checkpoint_dir
+    from ledgerlake.sources import io as IO
+    cleaned = clean_sales(raw_sales_extract(spark, d), product_codes(spark, d), sales_cost_centres(spark))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/gold/ventas-{uuid.uuid4().hex}"
+    IO.write_gold(cleaned.select(*SALES_COLS), path, fmt="csv")
+    back = IO.read_raw(spark, path, SALES_COLS)
+    return back.groupBy("CanalVenta").agg(
+        F.count(F.lit(1)).alias("filas"), F.round(F.sum(C.clean_number("IngresosReales")), 2).alias("IngresosReales"),
+        F.countDistinct("TransaccionID").alias("transacciones"))
