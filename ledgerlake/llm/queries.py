@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, secret_scan, sentencepiece_codec, url_filter
+from . import decontamination, ngram_join, secret_scan, sentencepiece_codec, substring_dedup, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,29 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+# --- 8 ---------------------------------------------------------------------------------------
+
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+first AS (SELECT k, min(doc_id) AS m FROM g GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM g JOIN first USING (k) WHERE m < doc_id),
+kept AS (
+  SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.pos) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d) x
+  ANTI JOIN gone ON gone.doc_id = x.doc_id AND gone.pos = x.pos GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay once passages of earlier documents are taken out."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 # --- 10 --------------------------------------------------------------------------------------
 
 @query()
