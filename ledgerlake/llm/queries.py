@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, secret_scan, sentencepiece_codec, substring_dedup, url_filter
+from . import decontamination, nearest, ngram_join, secret_scan, sentencepiece_codec, substring_dedup, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,15 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"), rules)
 
 
+# --- 6 ---------------------------------------------------------------------------------------
+
+@query()
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors to each whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 # --- 7 ---------------------------------------------------------------------------------------
 
 @query(r"""
