@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, nearest, ngram_join, secret_scan, sentencepiece_codec, substring_dedup, url_filter
+from . import decontamination, nearest, ngram_join, quality, secret_scan, sentencepiece_codec, substring_dedup, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,15 @@ def query(sql: str | None = None):
     return register
 
 
+# --- 1 ---------------------------------------------------------------------------------------
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text."""
+    return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 # --- 2 ---------------------------------------------------------------------------------------
 
 @query()
