@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, nearest, ngram_join, quality, secret_scan, sentencepiece_codec, substring_dedup, url_filter
+from . import decontamination, html_extract, license_scan, nearest, ngram_join, quality, secret_scan, sentencepiece_codec, substring_dedup, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,53 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode(docs, sentencepiece_codec.load(), check=True)
 
 
+# --- 3 ---------------------------------------------------------------------------------------
+
+def _quoted(text: str) -> str:
+    return "'" + " ".join(text.split()).replace("'", "''") + "'"
+
+
+_NORMAL = "trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+@query(f"""
+WITH template(k, license, text) AS (VALUES {', '.join(f"({k}, '{n}', {_quoted(t)})" for k, (n, t) in enumerate(license_scan.TEMPLATES))}),
+unit AS (
+  SELECT DISTINCT doc_id, {_NORMAL.format('u')} AS unit
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM documents
+        UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\n[ \t\r]*\n')) FROM documents)),
+word AS (SELECT doc_id, unit, string_split(unit, ' ') AS w FROM unit),
+pair AS (
+  SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS b
+  FROM (SELECT doc_id, unit, w, unnest(range(1, len(w))) AS i FROM word)),
+wanted AS (
+  SELECT DISTINCT k, license, w[i] || ' ' || w[i + 1] AS b
+  FROM (SELECT k, license, w, unnest(range(1, len(w))) AS i
+        FROM (SELECT k, license, string_split({_NORMAL.format('text')}, ' ') AS w FROM template))),
+n AS (SELECT doc_id, unit, count(*) AS n FROM pair GROUP BY ALL),
+m AS (SELECT k, count(*) AS m FROM wanted GROUP BY ALL),
+dice AS (
+  SELECT doc_id, unit, license, k, count(*) AS common FROM pair JOIN wanted USING (b) GROUP BY ALL),
+found AS (
+  SELECT doc_id, unit, license, max(2.0::DOUBLE * common / (n + m)) AS dice
+  FROM dice JOIN n USING (doc_id, unit) JOIN m USING (k) WHERE 2.0::DOUBLE * common / (n + m) >= 0.8 GROUP BY ALL),
+per_doc AS (
+  SELECT doc_id, count(DISTINCT unit) AS n_units, max(dice) AS best_dice,
+         (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT unnest(list(license)) AS x)) AS licenses
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units, coalesce(licenses, '') AS licenses, best_dice
+FROM documents d LEFT JOIN per_doc USING (doc_id)""")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that lines and blocks of every document match."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = (license_scan.scan(docs).groupBy("doc_id")
+             .agg(F.countDistinct("unit").alias("n_units"), F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
+                  F.max("dice").alias("best_dice")))
+    return (docs.select("doc_id").join(found, "doc_id", "left")
+            .select("doc_id", F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"),
+                    F.coalesce("licenses", F.lit("")).alias("licenses"), "best_dice"))
+
+
 # --- 4 ---------------------------------------------------------------------------------------
 
 @query(r"""
@@ -157,6 +204,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+# --- 9 ---------------------------------------------------------------------------------------
+
+@query()
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 # --- 10 --------------------------------------------------------------------------------------
 
 @query()
