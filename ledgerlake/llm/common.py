@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.session import checkpoint_dir
 
@@ -100,3 +101,21 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
             yield pa.RecordBatch.from_arrays(arrays, names=["_id", *out])
 
     return source.mapInArrow(run, f"_id {id_type}, {schema}").withColumnRenamed("_id", id_col)
+
+
+def with_texts(df: DataFrame, text_col: str, schema: str, function: Callable[[list], dict], as_bytes: bool = False) -> DataFrame:
+    """``df`` with the columns of ``schema`` put behind its own, from
+    ``function(texts)``.  Rows keep all their columns and are not moved."""
+    added = StructType.fromDDL(schema)
+    if clash := set(df.columns) & set(added.names):
+        raise ValueError(f"columns {sorted(clash)} are there already")
+    width = len(df.columns)
+
+    def run(batches):
+        for part in text_batches(batches, width):
+            out = function(part.column(width).to_pylist())
+            arrays = [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v) for v in out.values()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:width], *arrays], names=[*part.schema.names[:width], *out])
+
+    source = df.withColumn("_text_of_row", F.col(text_col).cast("binary" if as_bytes else "string"))
+    return source.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import text_batches, with_texts, written
 
 WINDOW = 10
 #: Characters of patterns in one automaton.  More patterns are dealt over
@@ -92,6 +92,18 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def shared_patterns(docs: DataFrame, items: DataFrame, item_col: str, text_col: str, window: int, pattern_chars: int) -> list:
+    """Broadcast lists of patterns, each of about ``pattern_chars`` at most."""
+    patterns = written(item_windows(items, item_col, text_col, window))
+    total = patterns.agg(F.sum(F.length("pattern"))).first()[0] or 0
+    count = int(total // pattern_chars) + 1
+    shards = []
+    for shard in range(count):
+        rows = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(count)) == shard).collect()
+        shards.append(docs.sparkSession.sparkContext.broadcast([(bytes(r.pattern), r.n, r["items"]) for r in rows]))
+    return shards
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   pattern_chars: int = PATTERN_CHARS) -> DataFrame:
@@ -105,20 +117,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     each scanned; other columns take no part; an empty table on either side is
     no error.
     """
-    patterns = written(item_windows(items, item_col, item_text_col, window))
-    total = patterns.agg(F.sum(F.length("pattern"))).first()[0] or 0
-    shards = int(total // pattern_chars) + 1
-    sc = docs.sparkSession.sparkContext
+    shards = shared_patterns(docs, items, item_col, item_text_col, window, pattern_chars)
     id_type = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     span = pa.struct([("word", pa.int32()), ("word_end", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
     fields = (f"_id {id_type}, _text binary, n_words long, n_hit long, items array<string>, "
               "spans array<struct<word:int,word_end:int,start:int,end:int>>")
-    for shard in range(shards):
-        rows = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == shard).collect()
-        shared = sc.broadcast([(bytes(r.pattern), r.n, r["items"]) for r in rows])
+    for number, shard in enumerate(shards):
 
-        def search(batches, shared=shared, first=shard == 0, last=shard == shards - 1):
+        def search(batches, shared=shard, first=number == 0, last=number == len(shards) - 1):
             automaton = build(shared.value)
             for part in text_batches(batches):
                 texts = part.column(1).to_pylist()
@@ -142,3 +149,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
         out = out.mapInArrow(search, fields)
     return out.drop("_text").withColumnRenamed("_id", id_col)
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+               window: int = WINDOW, pattern_chars: int = PATTERN_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which no pattern of the items occurs, as they are."""
+    for shard in shared_patterns(docs, items, item_col, item_text_col, window, pattern_chars):
+        known: dict = {}
+
+        def search(texts, shared=shard, known=known):
+            if "automaton" not in known:
+                known["automaton"] = build(shared.value)
+            return {"hit_": pa.array([bool(hits(known["automaton"], t)[1]) for t in texts], pa.bool_())}
+
+        docs = with_texts(docs, text_col, "hit_ boolean", search, as_bytes=True).filter("not hit_").drop("hit_")
+    return docs

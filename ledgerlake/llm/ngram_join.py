@@ -411,3 +411,17 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     grouped = measured.filter("n > 0").join(named, "digest", "left").select("id", "n", F.expr("if(id is null, null, component_id)").alias("c"))
     alone = measured.filter("n = 0").select("id", "n", F.col("id").alias("c"))
     return grouped.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` without those that link, directly or over others, with a
+    row of a smaller id; of rows with equal id and text one stays."""
+    groups = written(jaccard_groups(df, id_col, text_col, words, percent).select(F.col(id_col).alias("id"), F.col("component_id").alias("c")))
+    dropped = _listed(groups.filter("id <> c").select(F.col("id").alias(id_col)).distinct())
+    kept = df.join(dropped, id_col, "left_anti").select(df.columns)
+    again = written(groups.filter("id = c").groupBy("id").count().filter("count > 1").select(F.col("id").alias(id_col)))
+    if again.isEmpty():
+        return kept
+    again = _listed(again)
+    return (kept.join(again, id_col, "left_anti").select(df.columns)
+            .unionByName(kept.join(again, id_col, "left_semi").select(df.columns).dropDuplicates([id_col, text_col])))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_batches, written
+from .common import map_texts, text_batches, with_texts, written
 
 BUCKETS, DIMENSIONS, SIGNS, REACH = 1 << 14, 32, 2, 2
 #: Labelled rows that the network is fitted on at most (the first by a hash of their id).
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
     """The network, fitted on at most ``sample`` labelled rows of ``docs`` (id, text).
     Null labels are left out; of several labels of an id the greater number decides, 1 of equal ones."""
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).filter(~held_out(id_col))
-             .groupBy(F.col(id_col).cast("long").alias("id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
+             .groupBy(F.col(id_col).cast("long").alias("id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("target"))
              .orderBy(F.xxhash64("id"), "id").limit(sample))
     known = F.broadcast(written(known))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
@@ -217,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
     rows = (map_texts(chosen, "id", "text", "x array<float>", pool, as_bytes=True).join(known, "id")
             .orderBy(F.xxhash64("id"), "id").limit(sample).collect())
     x = np.array([r.x for r in rows], np.float32).reshape(len(rows), FEATURES)
-    return fit(x, np.array([r.label for r in rows], np.float64))
+    return fit(x, np.array([r.target for r in rows], np.float64))
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
@@ -230,10 +230,18 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     not held out; other columns take no part; an empty table gives an empty
     result, and without labels every score is 0.5.
     """
+    score = scorer(df, labels, id_col, text_col, label_id_col, label_col, sample)
+    scored = map_texts(df, id_col, text_col, "score double", score, as_bytes=True)
+    return scored.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def scorer(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str, sample: int):
+    """Fit word vectors and network on ``df``; the function that scores texts."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     vectors = word_vectors(docs)
-    network = train(docs, labels.select(F.col(label_id_col).alias("doc_id"), F.col(label_col).alias("label_")),
-                    vectors, "doc_id", "label_", sample)
+    known = labels.select(F.col(label_id_col).alias("label_id"), F.col(label_col).alias("label"))
+    network = train(docs, known, vectors, "label_id", "label", sample)
     shared = df.sparkSession.sparkContext.broadcast((vectors, network))
 
     def score(texts):
@@ -241,6 +249,12 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         x = np.array([features(t, vectors) for t in texts], np.float32).reshape(len(texts), FEATURES)
         return {"score": pa.array(network.score(x), pa.float64())}
 
-    scored = map_texts(df, id_col, text_col, "score double", score, as_bytes=True)
-    return scored.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return score
+
+
+def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
+              label_col: str = "quality", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` whose text scores at least ``threshold``, as they are."""
+    score = scorer(df, labels, id_col, text_col, label_id_col, label_col, sample)
+    return (with_texts(df, text_col, "quality_score_ double", lambda texts: {"quality_score_": score(texts)["score"]}, as_bytes=True)
+            .filter(F.col("quality_score_") >= threshold).drop("quality_score_"))

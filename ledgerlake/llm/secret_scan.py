@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, with_texts
 
 
 @dataclass(frozen=True)
@@ -234,17 +234,15 @@ def listed(spans: Column) -> Column:
                                                                 s["end"].cast("string"))), ",")
 
 
-def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]",
-           rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Id and ``text`` with every span (overlapping ones as one) replaced by
-    ``mark``, and ``n_spans``.  A text without spans stays as it is, null too."""
+def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``df`` with every span of its texts (overlapping ones as one) replaced by
+    ``mark``.  A text without spans stays as it is, null too."""
 
     def replace(texts):
         if rules not in _SCANNERS:
             _SCANNERS[rules] = Scanner(rules)
-        out, counts = [], []
+        out = []
         for text, spans in zip(texts, _SCANNERS[rules].spans(texts), strict=True):
-            counts.append(len(spans))
             if spans:
                 parts, done = [], 0
                 for start, _, end in spans:
@@ -253,6 +251,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark:
                     done = max(done, end)
                 text = "".join(parts) + text[done:]
             out.append(text)
-        return {"text": pa.array(out, pa.string()), "n_spans": pa.array(counts, pa.int32())}
+        return {"redacted_text_": pa.array(out, pa.string())}
 
-    return map_texts(df, id_col, text_col, "text string, n_spans int", replace)
+    return (with_texts(df, text_col, "redacted_text_ string", replace)
+            .withColumn(text_col, F.col("redacted_text_")).drop("redacted_text_"))
