@@ -2,11 +2,15 @@
 
 Global orderings (a Pareto over every product, a ROC over every score) would
 run in a single task with ``Window.orderBy`` and no partition key.  The
-operators here split the ordering into monotone log-scale value buckets, run
-the window per bucket in parallel, and add the running totals of the
-preceding buckets from a bucket-sized table (its size is bounded by the
-value range, so broadcasting it is safe).  Ties never straddle a bucket, so
-RANGE-frame (peer-inclusive) semantics are exact.
+operators here cut the ordering at quantiles of the values themselves, so the
+buckets hold about equally many rows whatever the distribution (revenues over
+many magnitudes, scores in [0, 1]); the window runs per bucket in parallel, and
+the totals of the preceding buckets are added from a table of one row per
+bucket.  Equal values never straddle a bucket, so RANGE-frame (peer-inclusive)
+semantics are exact; null values form the last bucket and keep their rows.
+
+The input is written once to the shared folder: the quantiles, the bucket
+totals and the result all start from that file.
 """
 
 from __future__ import annotations
@@ -14,49 +18,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import materialise
 
-def _bucket_col(value: str, resolution: int, descending: bool) -> Column:
-    """Monotone bucket of a value: sign(v) * floor(ln(1 + |v|) * resolution).
+#: Buckets of a global ordering at least and at most.
+LEAST_BUCKETS, MOST_BUCKETS = 64, 1000
 
-    Non-decreasing in v, so buckets partition the ordering; equal values
-    share a bucket.  One bucket spans a factor of about e^(1/resolution) in
-    magnitude, and the number of distinct buckets is bounded by
-    2 * resolution * ln(max |v|) (about 900 for |v| < 1e12 at 16), which
-    bounds the offsets table that is broadcast back."""
+
+def bucketed(df: DataFrame, value: str, descending: bool, out: str = "_bkt") -> DataFrame:
+    """``df`` with the number of its value's bucket in the ordering, nulls last.
+    The edges are approximate quantiles (within a tenth of a bucket)."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(MOST_BUCKETS, max(LEAST_BUCKETS, wanted))
     v = F.col(value).cast("double")
-    b = F.signum(v) * F.floor(F.log1p(F.abs(v)) * resolution)
-    b = b.cast("long")
-    return -b if descending else b
+    # at most MOST_BUCKETS numbers, whatever the input
+    edges = df.agg(F.percentile_approx(v, [k / n for k in range(1, n)], 20 * n)).first()[0] or []
+    edges = F.array(*[F.lit(e) for e in sorted(set(edges))]).cast("array<double>")
+    above = F.size(F.filter(edges, lambda e: e < v))
+    return df.withColumn(out, F.when(v.isNull(), n).otherwise(n - 1 - above if descending else above))
+
+
+def _offsets(per_bucket: DataFrame, sums: dict[str, str], types: dict[str, str]) -> DataFrame:
+    """Per bucket, for each ``bucket sum -> name``: ``_off_name``, the sum of the
+    buckets before, and ``_tot_name``.  One row per bucket: one task is fine."""
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    zero = {c: F.lit(0).cast(types[c]) for c in sums}
+    return per_bucket.select("_bkt", *[F.coalesce(F.sum(c).over(before), zero[c]).alias(f"_off_{n}") for c, n in sums.items()],
+                             *[F.sum(c).over(Window.partitionBy()).alias(f"_tot_{n}") for c, n in sums.items()])
 
 
 def ranked_running_total(df: DataFrame, value: str, tiebreak: list[str] | None = None,
-                         descending: bool = True, resolution: int = 16,
-                         rank_col: str = "_rank", cum_col: str = "_cum",
+                         descending: bool = True, rank_col: str = "_rank", cum_col: str = "_cum",
                          total_col: str = "_total") -> DataFrame:
     """Add a global row number (order by value, then ``tiebreak``), the
     running total over all rows ranking at or above the current value (peers
-    included, like SQL's default RANGE frame) and the grand total."""
-    tiebreak = tiebreak or []
+    included, like SQL's default RANGE frame) and the grand total.  Rows with a
+    null value rank last; their running total is the total."""
     v = F.col(value)
-    vo = v.desc() if descending else v.asc()
-    x = df.withColumn("_bkt", _bucket_col(value, resolution, descending))
-    w_peer = Window.partitionBy("_bkt").orderBy(vo)
-    w_row = Window.partitionBy("_bkt").orderBy(vo, *[F.col(c).asc() for c in tiebreak])
-    x = (x.withColumn("_cum_local", F.sum(v).over(w_peer))
-          .withColumn("_rn_local", F.row_number().over(w_row)))
+    order = v.desc_nulls_last() if descending else v.asc_nulls_last()
+    x = bucketed(materialise(df), value, descending)
+    peers = Window.partitionBy("_bkt").orderBy(order)
+    rows = Window.partitionBy("_bkt").orderBy(order, *[F.col(c).asc() for c in tiebreak or []])
     per_bucket = x.groupBy("_bkt").agg(F.sum(v).alias("_bsum"), F.count(F.lit(1)).alias("_bcnt"))
-    # the bucket table is small (bounded, see _bucket_col): one task is fine
-    w_off = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy()
-    offsets = per_bucket.select(
-        "_bkt",
-        F.coalesce(F.sum("_bsum").over(w_off), F.lit(0).cast(df.schema[value].dataType)).alias("_off_sum"),
-        F.coalesce(F.sum("_bcnt").over(w_off), F.lit(0)).alias("_off_cnt"),
-        F.sum("_bsum").over(w_all).alias(total_col))
-    return (x.join(F.broadcast(offsets), "_bkt")
-             .withColumn(rank_col, (F.col("_rn_local") + F.col("_off_cnt")).cast("long"))
-             .withColumn(cum_col, F.col("_cum_local") + F.col("_off_sum"))
-             .drop("_bkt", "_cum_local", "_rn_local", "_off_sum", "_off_cnt"))
+    types = dict(per_bucket.dtypes)
+    offsets = _offsets(per_bucket, {"_bsum": "sum", "_bcnt": "cnt"}, types)
+    local = x.withColumn("_local", F.coalesce(F.sum(v).over(peers), F.lit(0).cast(types["_bsum"]))).withColumn("_rn", F.row_number().over(rows))
+    return (local.join(F.broadcast(offsets), "_bkt")
+            .withColumn(rank_col, (F.col("_rn") + F.col("_off_cnt")).cast("long"))
+            .withColumn(cum_col, F.col("_local") + F.col("_off_sum"))
+            .withColumnRenamed("_tot_sum", total_col)
+            .drop("_bkt", "_local", "_rn", "_off_sum", "_off_cnt", "_tot_cnt"))
 
 
 def cum_share(df: DataFrame, value: str, out: str = "cum_share", **kw) -> DataFrame:
@@ -126,23 +136,56 @@ def ffill_bfill(df: DataFrame, by: list[str], order: str, value: str, out: str)
                                          F.first(value, ignorenulls=True).over(wb)))
 
 
-def ordered_cumsums(df: DataFrame, order: str, sums: list[str], descending: bool = True,
-                    resolution: int = 16) -> DataFrame:
+def ordered_cumsums(df: DataFrame, order: str, sums: list[str], descending: bool = True) -> DataFrame:
     """For each column in ``sums``: running total over all rows whose
-    ``order`` value ranks at or ahead of the current one (peers included),
-    as ``_cum_<col>``, plus the grand total ``_tot_<col>``.  Same bucketed
-    scheme as ``ranked_running_total`` (no single-task global window)."""
+    ``order`` value ranks at or ahead of the current one (peers included, nulls
+    last), as ``_cum_<col>``, plus the grand total ``_tot_<col>``."""
     v = F.col(order)
-    vo = v.desc() if descending else v.asc()
-    x = df.withColumn("_bkt", _bucket_col(order, resolution, descending))
-    w_peer = Window.partitionBy("_bkt").orderBy(vo)
-    x = x.withColumns({f"_cl_{c}": F.sum(c).over(w_peer) for c in sums})
-    per_bucket = x.groupBy("_bkt").agg(*[F.sum(c).alias(f"_bs_{c}") for c in sums])
-    w_off = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy()
-    offsets = per_bucket.select("_bkt", *[
-        F.coalesce(F.sum(f"_bs_{c}").over(w_off), F.lit(0).cast(df.schema[c].dataType)).alias(f"_off_{c}")
-        for c in sums], *[F.sum(f"_bs_{c}").over(w_all).alias(f"_tot_{c}") for c in sums])
+    peers = Window.partitionBy("_bkt").orderBy(v.desc_nulls_last() if descending else v.asc_nulls_last())
+    x = bucketed(materialise(df), order, descending)
+    per_bucket = x.groupBy("_bkt").agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
+    types = dict(per_bucket.dtypes)
+    offsets = _offsets(per_bucket, {f"_b_{c}": c for c in sums}, types)
+    x = x.withColumns({f"_local_{c}": F.coalesce(F.sum(c).over(peers), F.lit(0).cast(types[f"_b_{c}"])) for c in sums})
     x = x.join(F.broadcast(offsets), "_bkt")
-    x = x.withColumns({f"_cum_{c}": F.col(f"_cl_{c}") + F.col(f"_off_{c}") for c in sums})
-    return x.drop("_bkt", *[f"_cl_{c}" for c in sums], *[f"_off_{c}" for c in sums])
+    x = x.withColumns({f"_cum_{c}": F.col(f"_local_{c}") + F.col(f"_off_{c}") for c in sums})
+    return x.drop("_bkt", *[f"_local_{c}" for c in sums], *[f"_off_{c}" for c in sums])
+
+
+def cum_share_rows(df: DataFrame, value: str, by: list[str], out: str = "cum_share") -> DataFrame:
+    """Cumulative share of ``value`` within ``by``, one row at a time from the
+    largest (peers not merged): the last row of a group has 1."""
+    whole = Window.partitionBy(*by)
+    rows = whole.orderBy(F.col(value).desc(), *[F.col(c) for c in df.columns if c not in (*by, value)]).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(out, F.sum(value).over(rows).cast("double") / F.sum(value).over(whole).cast("double"))
+
+
+def pct_rank_points(df: DataFrame, value: str, by: list[str], out: str = "pct_rank") -> DataFrame:
+    """Position of each row in its group as a share of the rows: (rank - 0.5) / n."""
+    w = Window.partitionBy(*by)
+    return df.withColumn(out, (F.row_number().over(w.orderBy(value)) - 0.5) / F.count(F.lit(1)).over(w))
+
+
+def exact_quantiles(df: DataFrame, by: list[str], value: str, points: list[float]) -> DataFrame:
+    """(by, q): linearly interpolated quantiles, exact, in two passes.  The first
+    cuts every group at approximate quantiles and counts rows per bucket; the
+    second sorts only the values of the buckets that hold a wanted position, so a
+    group of any size never stands in one task."""
+    n = 200
+    x = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    edges = x.groupBy(*by).agg(F.percentile_approx("_v", [k / n for k in range(1, n)], 20 * n).alias("_edges"))
+    x = x.join(F.broadcast(edges), by).withColumn("_b", F.expr("size(filter(_edges, e -> e < _v))")).drop("_edges")
+    counts = x.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by).orderBy("_b")
+    counts = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("_total", F.sum("_n").over(Window.partitionBy(*by))))
+    wanted = counts.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in points])))
+    wanted = (wanted.withColumn("_pos", F.col("_p") * (F.col("_total") - 1))
+              .withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))))
+              .filter("_k >= _before and _k < _before + _n"))
+    rows = x.join(F.broadcast(wanted.select(*by, "_b", "_before").distinct()), [*by, "_b"])
+    rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_v")) - 1 + F.col("_before"))
+    got = rows.join(F.broadcast(wanted.select(*by, "_b", "_k", "_p", "_pos")), [*by, "_b", "_k"])
+    near = got.groupBy(*by, "_p", "_pos").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    value_at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))
+    return near.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_p", value_at.alias("q")))).alias("q"))

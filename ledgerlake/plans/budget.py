@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.registry import query, with_ctes
-from ledgerlake.session import cut_lineage
+from ledgerlake.session import materialise
 from ledgerlake.sources import bridge as B
 
 
@@ -54,13 +54,13 @@ def inflation_assumption(cells: DataFrame) -> DataFrame:
 
 
 def budget_prior_year(ventas: DataFrame, vol_drift: float = 0.0, price_drift: float = 0.0,
-                      cost_drift: float = 0.0, materialise: bool = True) -> DataFrame:
+                      cost_drift: float = 0.0, write: bool = True) -> DataFrame:
     cells = actual_cells(ventas)
-    if materialise:
+    if write:
         # the cell aggregate (months x lines x cost centres, bounded by the
         # dimensions) feeds six branches below: write it once to the shared
         # checkpoint folder instead of re-running the sales join per branch
-        cells = cut_lineage(cells)
+        cells = materialise(cells)
     infl = inflation_assumption(cells)
     base_year = infl.filter("i = 1").select(F.col("Anio").alias("base"))
     # yearly compound factors (one row per year)

@@ -9,6 +9,7 @@ from ledgerlake.functions.bands import (PARETO_SQL_DEFAULT, PARETO_SQL_RULES, ba
                                         band_sql)
 from ledgerlake.operators.windows import ranked_running_total
 from ledgerlake.registry import query, with_ctes
+from ledgerlake.session import materialise
 from ledgerlake.sources import bridge as B
 
 
@@ -36,24 +37,19 @@ def pareto_commercial(ventas: DataFrame, productos: DataFrame) -> DataFrame:
                           band("PctAcumuladoVentas", PARETO_SQL_RULES, PARETO_SQL_DEFAULT))
 
 
-PARETO_SQL = with_ctes(B.ventas_sql(), B.PRODUCTOS_SQL, """rc AS (
-  SELECT v.ProductoID, p.SKU, p.Descripcion, p.Linea, v.CanalVenta,
-         SUM(VolumenReal) AS VolumenTotal, SUM(IngresosReales) AS IngresosTotales,
-         SUM(MargenBrutoReal) AS MargenBrutoTotal
-  FROM ventas v JOIN productos p ON v.ProductoID = p.ProductoID
-  GROUP BY v.ProductoID, p.SKU, p.Descripcion, p.Linea, v.CanalVenta)""",
-    """tg AS (SELECT SUM(IngresosTotales) AS GranTotal FROM rc)""",
-    """acc AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY IngresosTotales DESC, ProductoID, CanalVenta) AS RankingComercial,
-         ProductoID, SKU, Descripcion, Linea, CanalVenta,
-         CAST(VolumenTotal AS DOUBLE) AS VolumenTotal,
-         CAST(ROUND(IngresosTotales, 2) AS DOUBLE) AS IngresosTotales,
-         CAST(ROUND(MargenBrutoTotal, 2) AS DOUBLE) AS MargenBrutoTotal,
-         ROUND(CAST(IngresosTotales AS DOUBLE) / CAST(GranTotal AS DOUBLE) * 100.0, 2) AS ParticipacionVentasPct,
-         ROUND(CAST(SUM(IngresosTotales) OVER (ORDER BY IngresosTotales DESC) AS DOUBLE)
-               / CAST(GranTotal AS DOUBLE) * 100.0, 2) AS PctAcumuladoVentas
-  FROM rc CROSS JOIN tg)""") + f"""SELECT *, {band_sql('PctAcumuladoVentas', PARETO_SQL_RULES, PARETO_SQL_DEFAULT)} AS ClasificacionPareto
-FROM acc"""
+PARETO_SQL = with_ctes(B.ventas_sql(), B.PRODUCTOS_SQL, """par AS (
+  SELECT ProductoID, CanalVenta, SUM(VolumenReal) AS vol, SUM(IngresosReales) AS ing, SUM(MargenBrutoReal) AS mb
+  FROM ventas GROUP BY ALL)""", """ahead AS (
+  SELECT x.ProductoID, x.CanalVenta, SUM(y.ing) AS upto,
+         COUNT(*) FILTER (WHERE y.ing > x.ing OR (y.ProductoID, y.CanalVenta) <= (x.ProductoID, x.CanalVenta)) AS place
+  FROM par x JOIN par y ON y.ing >= x.ing GROUP BY ALL)""") + f"""SELECT *,
+  {band_sql('PctAcumuladoVentas', PARETO_SQL_RULES, PARETO_SQL_DEFAULT)} AS ClasificacionPareto
+FROM (
+  SELECT place AS RankingComercial, p.ProductoID, p.SKU, p.Descripcion, p.Linea, CanalVenta, vol::DOUBLE AS VolumenTotal,
+         round(ing, 2)::DOUBLE AS IngresosTotales, round(mb, 2)::DOUBLE AS MargenBrutoTotal,
+         round(100.0 * (ing::DOUBLE / whole::DOUBLE), 2) AS ParticipacionVentasPct,
+         round(100.0 * (upto::DOUBLE / whole::DOUBLE), 2) AS PctAcumuladoVentas
+  FROM par JOIN ahead USING (ProductoID, CanalVenta) JOIN productos p USING (ProductoID), (SELECT SUM(ing) AS whole FROM par)) t"""
 
 
 @query("pareto_commercial", PARETO_SQL)
@@ -68,9 +64,6 @@ from ledgerlake.functions.bands import ABC_ADVICE, ABC_ADVICE_DEFAULT, ABC_DEFAU
 from ledgerlake.functions.clean import map_values  # noqa: E402
 from ledgerlake.plans import budget as BU  # noqa: E402
 
-ABC_YEAR = 2000
-
-
 def abc_classes(ventas: DataFrame) -> DataFrame:
     """Per SKU: revenue, margin %, share of the revenue of all SKUs ranking at
     or above it (ties included), class A/B/C by 75 % / 92 % and the advice."""
@@ -86,8 +79,8 @@ def abc_classes(ventas: DataFrame) -> DataFrame:
                     ).withColumn("RecomendacionABC", map_values("ClasificacionABC", ABC_ADVICE, ABC_ADVICE_DEFAULT))
 
 
-_ABC_SQL = with_ctes(B.ventas_sql(channel=False), f"""s AS (
-  SELECT ProductoID, SUM(IngresosReales) AS ing, SUM(MargenBrutoReal) AS mb FROM ventas WHERE Anio = {ABC_YEAR} GROUP BY 1)""",
+_ABC_SQL = with_ctes(B.ventas_sql(channel=False), """s AS (
+  SELECT ProductoID, SUM(IngresosReales) AS ing, SUM(MargenBrutoReal) AS mb FROM ventas GROUP BY 1)""",
     """c AS (SELECT *, CAST(SUM(ing) OVER (ORDER BY ing DESC) AS DOUBLE) / CAST(SUM(ing) OVER () AS DOUBLE) AS share FROM s)""",
     f"""abc AS (SELECT ProductoID, CAST(ing AS DOUBLE) AS IngresosReales,
   round(CAST(mb AS DOUBLE) / CAST(ing AS DOUBLE), 10) AS MargenBrutoPct, round(share, 10) AS VentasAcumuladasPct,
@@ -99,31 +92,34 @@ _ABC_SQL = with_ctes(B.ventas_sql(channel=False), f"""s AS (
   WHEN 'Clase B' THEN 'Estrategia: Estimular volumen Horeca' WHEN 'Clase C' THEN 'Accion: Ajustar precio o descontinuar'
   ELSE 'Revision de cartera' END AS RecomendacionABC FROM abc""")
 def q_abc_classes(spark, d):
-    v = B.ventas(spark, d, channel=False)
-    return abc_classes(v.filter(F.col("Anio") == ABC_YEAR))
+    return abc_classes(B.ventas(spark, d, channel=False))
 
 
-@query("sales_kpis_class_a", _ABC_SQL + f""", v AS (SELECT * FROM ventas WHERE Anio = {ABC_YEAR})
+@query("sales_kpis_class_a", _ABC_SQL + """
 SELECT (SELECT COUNT(*) FROM abc WHERE ClasificacionABC = 'Clase A') AS SKUsClaseA,
   (SELECT SUM(IngresosReales) FROM abc WHERE ClasificacionABC = 'Clase A') AS IngresosClaseA,
   round((SELECT SUM(CAST(mb AS DOUBLE)) FROM s WHERE ProductoID IN (SELECT ProductoID FROM abc WHERE ClasificacionABC = 'Clase A'))
         / (SELECT SUM(IngresosReales) FROM abc WHERE ClasificacionABC = 'Clase A'), 10) AS MargenPromedioClaseA,
   COUNT(DISTINCT TransaccionID) AS CantidadPedidos,
   round(CAST(SUM(IngresosReales) AS DOUBLE) / COUNT(DISTINCT TransaccionID), 6) AS TicketPromedio
-FROM v""")
+FROM ventas""")
 def q_sales_kpis_class_a(spark, d):
     """Class-A count, revenue and margin (classes computed first, then
-    filtered), orders (distinct transactions) and average ticket."""
-    v = B.ventas(spark, d, channel=False).filter(F.col("Anio") == ABC_YEAR)
-    a = abc_classes(v).filter(F.col("ClasificacionABC") == "Clase A")
-    mb = v.groupBy("ProductoID").agg(F.sum("MargenBrutoReal").cast("double").alias("mb"))
-    ca = a.join(mb, "ProductoID").agg(F.count(F.lit(1)).alias("n"), F.sum("IngresosReales").alias("ing"),
-                                      F.sum("mb").alias("mb"))
-    tot = v.agg(F.countDistinct("TransaccionID").alias("ped"), F.sum("IngresosReales").cast("double").alias("ing"))
-    return tot.select(
-        ca.select("n").scalar().alias("SKUsClaseA"), ca.select("ing").scalar().alias("IngresosClaseA"),
-        F.round(ca.select(F.col("mb") / F.col("ing")).scalar(), 10).alias("MargenPromedioClaseA"),
-        F.col("ped").alias("CantidadPedidos"), F.round(F.col("ing") / F.col("ped"), 6).alias("TicketPromedio"))
+    filtered), orders (distinct transactions) and average ticket.  The sales are
+    read once: one aggregate holds the sums per product and a row per order."""
+    v = B.ventas(spark, d, channel=False)
+    g = materialise(v.groupingSets([[F.col("ProductoID")], [F.col("TransaccionID")]], F.col("ProductoID"), F.col("TransaccionID")).agg(
+        F.grouping("ProductoID").alias("es_pedido"), F.sum("IngresosReales").alias("IngresosReales"),
+        F.sum("MargenBrutoReal").alias("MargenBrutoReal")))
+    a = abc_classes(g.filter("es_pedido = 0").select("ProductoID", "IngresosReales", "MargenBrutoReal"))
+    classes = a.join(g.filter("es_pedido = 0").select("ProductoID", F.col("MargenBrutoReal").cast("double").alias("mb")), "ProductoID")
+    top = classes.filter("ClasificacionABC = 'Clase A'").agg(
+        F.count(F.lit(1)).alias("SKUsClaseA"), F.sum("IngresosReales").alias("IngresosClaseA"), F.sum("mb").alias("mb"))
+    orders = g.filter("es_pedido = 1").agg(F.count(F.lit(1)).alias("CantidadPedidos"), F.sum("IngresosReales").cast("double").alias("ing"))
+    # one row on either side
+    return top.crossJoin(orders).select(
+        "SKUsClaseA", "IngresosClaseA", F.round(F.col("mb") / F.col("IngresosClaseA"), 10).alias("MargenPromedioClaseA"),
+        "CantidadPedidos", F.round(F.col("ing") / F.col("CantidadPedidos"), 6).alias("TicketPromedio"))
 
 
 # ---------------------------------------------------------------------------

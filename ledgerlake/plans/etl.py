@@ -267,12 +267,10 @@ def q_gold_roundtrip(spark, d):
     """Sinks and sources end to end: the curated sales are written as a
     gold CSV under the shared checkpoint folder, read back as raw text
     (all strings) and re-typed with the number cleaner."""
-    import uuid
-
-    from ledgerlake.session import checkpoint_dir
+    from ledgerlake.session import scratch_path
     from ledgerlake.sources import io as IO
     cleaned = clean_sales(raw_sales_extract(spark, d), product_codes(spark, d), sales_cost_centres(spark))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/gold/ventas-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "gold")  # removed by session.release
     IO.write_gold(cleaned.select(*SALES_COLS), path, fmt="csv")
     back = IO.read_raw(spark, path, SALES_COLS)
     return back.groupBy("CanalVenta").agg(

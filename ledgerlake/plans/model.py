@@ -46,9 +46,9 @@ def sales_cube(spark, d):
     of line items; it is written once to the shared checkpoint folder and
     feeds every sales-derived branch of an evaluation (actuals, prior year,
     variance terms and the budget's cells)."""
-    from ledgerlake.session import cut_lineage
+    from ledgerlake.session import materialise
     v = B.ventas(spark, d)
-    return cut_lineage(v.groupBy(*CUBE_DIMS).agg(*[F.sum(c).alias(c) for c in CUBE_SUMS]))
+    return materialise(v.groupBy(*CUBE_DIMS).agg(*[F.sum(c).alias(c) for c in CUBE_SUMS]))
 
 
 def _ventas(spark, d):
@@ -56,7 +56,7 @@ def _ventas(spark, d):
 
 
 def _presupuesto(spark, d, cube=None):
-    p = BU.budget_prior_year(cube if cube is not None else sales_cube(spark, d), materialise=False)
+    p = BU.budget_prior_year(cube if cube is not None else sales_cube(spark, d), write=False)
     return p.withColumnRenamed("ProductoID", "Linea")
 
 

@@ -147,13 +147,13 @@ def q_classification_metrics(spark, d):
     return classification_metrics(minmax_prob(scored(spark, d)))
 
 
-@query("confusion_matrix", with_ctes(SCORED_SQL, PROB_SQL) + """SELECT Cuadrante, CAST(COUNT(*) AS BIGINT) AS Conteo FROM (
-  SELECT CASE WHEN p >= 0.5 AND label = 1 THEN 'TP' WHEN p >= 0.5 THEN 'FP' WHEN label = 1 THEN 'FN' ELSE 'TN' END AS Cuadrante
-  FROM pr) t GROUP BY Cuadrante""")
+@query("confusion_matrix", with_ctes(SCORED_SQL, PROB_SQL) + """SELECT Cuadrante, CAST(COUNT(p) AS BIGINT) AS Conteo
+FROM (VALUES ('TN', false, 0), ('FP', true, 0), ('FN', false, 1), ('TP', true, 1)) q(Cuadrante, es_positivo, es_bueno)
+LEFT JOIN pr ON (p >= 0.5) = es_positivo AND label = es_bueno GROUP BY Cuadrante""")
 def q_confusion_matrix(spark, d):
     m = classification_metrics(minmax_prob(scored(spark, d)))
     return m.select(F.expr("stack(4, 'TN', tn, 'FP', fp, 'FN', fn, 'TP', tp) AS (Cuadrante, Conteo)")).select(
-        "Cuadrante", F.col("Conteo").cast("long").alias("Conteo")).filter("Conteo > 0")
+        "Cuadrante", F.coalesce(F.col("Conteo"), F.lit(0)).cast("long").alias("Conteo"))
 
 
 # ---------------------------------------------------------------------------
@@ -170,7 +170,7 @@ def credit_scoring(df: DataFrame, seed: int = 42, test_frac: float = 0.25) -> tu
 
     x = df.withColumn("log_len", F.log1p("score"))
     # stratified split: a hash of the row id, thresholded within each label
-    x = x.withColumn("_u", (F.abs(F.xxhash64("doc_id", F.lit(seed))) % 10000) / 10000.0)
+    x = x.withColumn("_u", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(10000)) / 10000.0)
     train, test = x.filter(F.col("_u") >= test_frac), x.filter(F.col("_u") < test_frac)
     stages = [StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"], handleInvalid="keep"),
               OneHotEncoder(inputCols=["lang_i", "source_i"], outputCols=["lang_v", "source_v"], dropLast=True),
@@ -190,7 +190,7 @@ def credit_scoring(df: DataFrame, seed: int = 42, test_frac: float = 0.25) -> tu
     allm = mets[0]
     for m in mets[1:]:
         allm = allm.unionByName(m)
-    champion = allm.agg(F.max_by("Modelo", "AUC_ROC")).scalar()
+    champion = allm.agg(F.max(F.struct("AUC_ROC", "Modelo"))["Modelo"]).scalar()  # ties: last by name
     allm = allm.withColumn("EsCampeon", F.col("Modelo") == champion)
     return allm, preds
 

@@ -8,8 +8,11 @@ for the checkpoint folder.
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Broadcast only on a measured size: static estimates come from
     # compressed parquet bytes and can let a fact table through, so they are
-    # off; AQE converts a join to broadcast from the real shuffle output.
-    # Tables bounded by design (nation, region, bucket tables) carry hints.
+    # off.  Dimensions are hinted by their counted rows (sources.tables.small);
+    # else AQE converts a join to broadcast from the real shuffle output.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
@@ -52,23 +55,48 @@ def get_spark(master: str | None = None, app: str = "ledgerlake",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` (or the context's folder).  Only when the
-    session has none (local tests) is a private folder created and set.
+    Reads the context's folder or ``spark.checkpoint.dir``.  Where neither is
+    set, a session in one process gets a private folder, removed when it ends;
+    on a cluster executors and driver share no such folder, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed by :func:`release`."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: what
+    follows starts from the files, and losing an executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the tables that :func:`materialise` wrote in this session, once no
+    result that was derived from them is needed; returns how many."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

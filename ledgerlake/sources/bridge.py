@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.sources.tables import read
+from ledgerlake.sources.tables import read, small
 
 # ---------------------------------------------------------------------------
 # Shared expression text (valid Spark SQL and DuckDB SQL)
@@ -116,11 +116,11 @@ def ventas(spark: SparkSession, d: str, channel: bool = True, product: bool = Tr
     if channel:
         o = read(spark, d, "orders", "o_orderkey", "o_custkey")
         c = read(spark, d, "customer", "c_custkey", "c_mktsegment")
-        oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_mktsegment")
-        df = df.join(oc, df.l_orderkey == oc.o_orderkey)
+        oc = o.join(small(c, d, "customer", 32), o.o_custkey == c.c_custkey).select("o_orderkey", "c_mktsegment")
+        df = df.join(small(oc, d, "orders", 32), df.l_orderkey == oc.o_orderkey)
     if product:
         p = read(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_retailprice")
-        df = df.join(p, df.l_partkey == p.p_partkey)
+        df = df.join(small(p, d, "part", 96), df.l_partkey == p.p_partkey)
     fecha = "CAST(l_shipdate AS DATE)"
     cols = [
         F.col("l_orderkey").alias("TransaccionID"),
@@ -174,7 +174,7 @@ def opex_lines(spark: SparkSession, d: str) -> DataFrame:
     n = read(spark, d, "nation", "n_nationkey", "n_name")
     sn = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
     fecha = "CAST(l_shipdate AS DATE)"
-    return li.join(sn, li.l_suppkey == sn.s_suppkey).select(
+    return li.join(small(sn, d, "supplier", 40), li.l_suppkey == sn.s_suppkey).select(
         _e(month_key(fecha)).alias("DateKey"), _e(anio_mes(fecha)).alias("AnioMes"),
         F.col("n_name").alias("CentroCostoID"), F.col("l_returnflag").alias("CuentaID"),
         _e(OPEX_PLAN).alias("OPEXPresupuestado"), _e(OPEX_REAL).alias("OPEXReal"))
@@ -218,7 +218,7 @@ def capital_trabajo(spark: SparkSession, d: str) -> DataFrame:
               "l_linestatus", "l_shipdate")
     p = read(spark, d, "part", "p_partkey", "p_retailprice")
     sd = "CAST(l_shipdate AS DATE)"
-    sales = li.join(p, li.l_partkey == p.p_partkey).groupBy(
+    sales = li.join(small(p, d, "part", 32), li.l_partkey == p.p_partkey).groupBy(
         _e(month_key(sd)).alias("DateKey"), _e(anio_mes(sd)).alias("AnioMes")).agg(
         F.sum(_e(REVENUE)).alias("Ingresos"), F.sum(_e(COST)).alias("Costo"),
         F.sum(F.when(F.col("l_linestatus") == "O", _e(COST))).alias("Inventario"))
@@ -283,7 +283,8 @@ def produccion(spark: SparkSession, d: str) -> DataFrame:
     n = read(spark, d, "nation", "n_nationkey", "n_name")
     sn = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
     fecha = "CAST(l_shipdate AS DATE)"
-    return (li.join(p, li.l_partkey == p.p_partkey).join(sn, li.l_suppkey == sn.s_suppkey).select(
+    return (li.join(small(p, d, "part", 64), li.l_partkey == p.p_partkey)
+            .join(small(sn, d, "supplier", 40), li.l_suppkey == sn.s_suppkey).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("RemitoID"),
         _e(datekey(fecha)).alias("DateKey"), _e(month_key(fecha)).alias("MesDateKey"),
         F.col("n_name").alias("FincaOrigen"), F.col("p_type").alias("VariedadUva"),
@@ -311,7 +312,8 @@ def inventario(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders", "o_orderkey", "o_orderdate")
     p = read(spark, d, "part", "p_partkey", "p_brand")
     fecha = "CAST(l_shipdate AS DATE)"
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    j = (li.join(small(o, d, "orders", 32), li.l_orderkey == o.o_orderkey)
+         .join(small(p, d, "part", 40), li.l_partkey == p.p_partkey))
     return j.groupBy(_e(month_key(fecha)).alias("DateKey"), F.col("p_brand").alias("ProductoID"),
                      _e(VESSEL).alias("TipoVasija")).agg(
         F.sum(_e(VOLUME)).alias("Litros"), F.sum(_e(GROSS)).alias("ValorInventario"),
