@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import checks as K
 from ledgerlake.operators import etl as E
-from ledgerlake.operators.windows import ffill_bfill, top_n_ties
+from ledgerlake.operators.windows import exact_quantiles, ffill_bfill, top_n_ties
 from ledgerlake.registry import query, with_ctes
 from ledgerlake.sources import bridge as B
 from ledgerlake.sources.tables import read
@@ -110,7 +110,7 @@ def q_agg_conditional(spark, d):
         .alias("pct_urgente"))
 
 
-@query("agg_latest_arg_best", """SELECT user_id, max_by(event_type, ts) AS ultimo_evento, max(ts) AS ultimo_ts,
+@query("agg_latest_arg_best", """SELECT user_id, (array_agg(event_type ORDER BY ts DESC, event_type DESC))[1] AS ultimo_evento, max(ts) AS ultimo_ts,
   max(value) AS mayor_valor, (array_agg(event_type ORDER BY value, event_type))[1] AS evento_menor_valor,
   CASE WHEN COUNT(DISTINCT event_type) = 1 THEN MIN(event_type) ELSE 'varios' END AS tipo_unico,
   string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tipos
@@ -120,7 +120,7 @@ def q_agg_latest_arg_best(spark, d):
     (HASONEVALUE) and CONCATENATEX of the distinct members."""
     e = read(spark, d, "events", "user_id", "event_type", "ts", "value")
     return e.groupBy("user_id").agg(
-        F.max_by("event_type", "ts").alias("ultimo_evento"), F.max("ts").alias("ultimo_ts"),
+        F.max(F.struct("ts", "event_type"))["event_type"].alias("ultimo_evento"), F.max("ts").alias("ultimo_ts"),
         F.max("value").alias("mayor_valor"), F.min(F.struct("value", "event_type"))["event_type"].alias("evento_menor_valor"),
         F.when(F.countDistinct("event_type") == 1, F.min("event_type")).otherwise("varios").alias("tipo_unico"),
         F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("tipos"))
@@ -133,18 +133,18 @@ def q_agg_latest_arg_best(spark, d):
   round(avg(CASE WHEN value <= (SELECT quantile_cont(value, 0.05) FROM events e2 WHERE e2.event_type = e.event_type) THEN value END), 6) AS media_cola
 FROM events e GROUP BY event_type""")
 def q_agg_stats(spark, d):
-    """Moments, exact percentiles, correlation, OLS by moments, tail mean."""
+    """Moments, exact percentiles (counted per value bucket first, so no task
+    holds a group), correlation, OLS by moments, tail mean."""
     e = read(spark, d, "events", "event_type", "value", "user_id")
-    q05 = e.groupBy("event_type").agg(F.percentile("value", 0.05).alias("q05"))
-    tail = e.join(q05, "event_type").groupBy("event_type").agg(
-        F.round(F.avg(F.when(F.col("value") <= F.col("q05"), F.col("value"))), 6).alias("media_cola"))
+    q = exact_quantiles(e, ["event_type"], "value", [0.05, 0.5, 0.95])  # one row per event type
     x = F.col("user_id").cast("double")
-    s = e.groupBy("event_type").agg(
+    s = e.join(F.broadcast(q), "event_type").groupBy("event_type").agg(
         F.round(F.var_samp("value"), 6).alias("var_samp"), F.round(F.stddev_pop("value"), 6).alias("std_pop"),
-        F.round(F.percentile("value", 0.5), 6).alias("mediana"), F.round(F.percentile("value", 0.95), 6).alias("p95"),
+        F.round(F.first(F.col("q")[0.5]), 6).alias("mediana"), F.round(F.first(F.col("q")[0.95]), 6).alias("p95"),
         F.round(F.corr("value", x), 8).alias("corr_user"), F.round(F.regr_slope("value", x), 8).alias("pendiente"),
-        F.round(F.regr_intercept("value", x), 6).alias("intercepto"))
-    return s.join(tail, "event_type")
+        F.round(F.regr_intercept("value", x), 6).alias("intercepto"),
+        F.round(F.avg(F.when(F.col("value") <= F.col("q")[0.05], F.col("value"))), 6).alias("media_cola"))
+    return s
 
 
 @query("json_props", """SELECT event_type, CAST(SUM(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS suma_k,
@@ -159,7 +159,7 @@ def q_json_props(spark, d):
 @query("joins_semi_anti_outer", """SELECT 'semi' AS tipo, COUNT(*) AS n FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
 UNION ALL SELECT 'anti', COUNT(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
 UNION ALL SELECT 'left_nulls', COUNT(*) FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o ON c.c_custkey = o.o_custkey WHERE o.o_custkey IS NULL
-UNION ALL SELECT 'full_outer', COUNT(*) FROM (SELECT DISTINCT s_nationkey AS k FROM supplier) a FULL OUTER JOIN (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9000) b ON a.k = b.k""")
+UNION ALL SELECT 'full_outer', COUNT(*) FROM (SELECT DISTINCT s_nationkey AS k FROM supplier) a FULL OUTER JOIN (SELECT DISTINCT c_nationkey AS k FROM customer) b ON a.k = b.k""")
 def q_joins_semi_anti_outer(spark, d):
     c = read(spark, d, "customer", "c_custkey", "c_nationkey", "c_acctbal")
     o = read(spark, d, "orders", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -172,7 +172,7 @@ def q_joins_semi_anti_outer(spark, d):
     left = c.join(urg, c.c_custkey == urg.k, "left").filter(F.col("k").isNull()).agg(
         F.count(F.lit(1)).alias("n")).select(F.lit("left_nulls").alias("tipo"), "n")
     a = s.select(F.col("s_nationkey").alias("k")).distinct()
-    b = c.filter(F.col("c_acctbal") > 9000).select(F.col("c_nationkey").alias("k2")).distinct()
+    b = c.select(F.col("c_nationkey").alias("k2")).distinct()
     full = a.join(b, a.k == b.k2, "full_outer").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("full_outer").alias("tipo"), "n")
     return semi.unionByName(anti).unionByName(left).unionByName(full)
@@ -261,19 +261,16 @@ def q_dedupe_first(spark, d):
     return f.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("primera_orden"))
 
 
-@query("densify_months", with_ctes(B.ventas_sql(channel=False), """m AS (
-  SELECT Linea, CAST(date_trunc('month', Fecha) AS DATE) AS mes, SUM(IngresosReales) AS ing
-  FROM ventas WHERE VolumenReal >= 48 GROUP BY 1, 2)""", """r AS (
-  SELECT Linea, CAST(unnest(generate_series(MIN(mes), MAX(mes), INTERVAL 1 MONTH)) AS DATE) AS mes FROM m GROUP BY Linea)""") + """SELECT r.Linea, r.mes,
-  CAST(COALESCE(m.ing, 0) AS DOUBLE) AS ingresos FROM r LEFT JOIN m ON r.Linea = m.Linea AND r.mes = m.mes""")
+@query("densify_months", with_ctes(B.ventas_sql(channel=False, product=False), """m AS (
+  SELECT ProductoID, CAST(date_trunc('month', Fecha) AS DATE) AS mes, SUM(IngresosReales) AS ing FROM ventas GROUP BY 1, 2)""", """r AS (
+  SELECT ProductoID, CAST(unnest(generate_series(MIN(mes), MAX(mes), INTERVAL 1 MONTH)) AS DATE) AS mes FROM m GROUP BY ProductoID)""") + """SELECT
+  r.ProductoID, r.mes, CAST(COALESCE(m.ing, 0) AS DOUBLE) AS ingresos FROM r LEFT JOIN m ON r.ProductoID = m.ProductoID AND r.mes = m.mes""")
 def q_densify_months(spark, d):
-    """asfreq('MS') of the bulk-order revenue (quantity >= 48) per line:
-    every month between a series' first and last, zero where no sales
-    (sequence + explode per series, then a left join)."""
-    v = B.ventas(spark, d, channel=False)
-    m = v.filter(F.col("VolumenReal") >= 48).groupBy("Linea", F.trunc("Fecha", "month").alias("mes")).agg(
-        F.sum("IngresosReales").alias("ing"))
-    r = m.groupBy("Linea").agg(F.sequence(F.min("mes"), F.max("mes"), F.expr("INTERVAL 1 MONTH")).alias("s"))
-    r = r.select("Linea", F.explode("s").alias("mes"))
-    return r.join(m, ["Linea", "mes"], "left").select(
-        "Linea", "mes", F.coalesce(F.col("ing"), F.lit(0)).cast("double").alias("ingresos"))
+    """asfreq('MS') of the revenue per SKU: every month between a series' first
+    and last, zero where no sales (sequence + explode per series, then a left join)."""
+    v = B.ventas(spark, d, channel=False, product=False)
+    m = v.groupBy("ProductoID", F.trunc("Fecha", "month").alias("mes")).agg(F.sum("IngresosReales").alias("ing"))
+    r = m.groupBy("ProductoID").agg(F.sequence(F.min("mes"), F.max("mes"), F.expr("INTERVAL 1 MONTH")).alias("s"))
+    r = r.select("ProductoID", F.explode("s").alias("mes"))
+    return r.join(m, ["ProductoID", "mes"], "left").select(
+        "ProductoID", "mes", F.coalesce(F.col("ing"), F.lit(0)).cast("double").alias("ingresos"))

@@ -10,39 +10,45 @@ and one series is bounded by its number of months.
   the month, trend; incomplete rows dropped.
 * forecast_backtest: last-12 holdout; seasonal naive and trend + seasonal
   effects (closed-form OLS by aggregates); RMSE/MAE/MAPE/R2/bias and rank.
-* price_elasticity: log-log panel, unit and period fixed effects by double
-  demeaning (exact on a balanced panel), HC1 standard error.
+* price_elasticity: log-log panel of the domestic channels, SKU and
+  calendar-month effects, HC1 standard error, global and per segment.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import norm_cdf
 from ledgerlake.registry import query, with_ctes
+from ledgerlake.session import materialise
 from ledgerlake.sources import bridge as B
 
-LAST_FULL_MONTH = 200110  # the test data's last month (2001-11) holds four days
 
-
-def monthly_series(ventas: DataFrame, by: str | None = None) -> DataFrame:
-    """(serie, t, Anio, Mes, y): revenue per month, complete months only."""
+def monthly_series(ventas: DataFrame, by: str | None = None, complete: bool = True) -> DataFrame:
+    """(serie, t, Anio, Mes, y): revenue per month.  With ``complete`` the last
+    month counts only if the data reach its end (one month at most is left out)."""
     keys = [F.col(by).alias("serie")] if by else [F.lit("TOTAL").alias("serie")]
-    g = ventas.filter(F.col("Anio") * 100 + F.col("Mes") <= LAST_FULL_MONTH).groupBy(*keys, "Anio", "Mes").agg(
-        F.sum("IngresosReales").cast("double").alias("y"))
-    return g.withColumn("t", F.col("Anio") * 12 + F.col("Mes"))
+    g = materialise(ventas.groupBy(*keys, "Anio", "Mes").agg(F.sum("IngresosReales").cast("double").alias("y"),
+                                                             F.max("Fecha").alias("hasta")))
+    if complete:
+        last = g.agg(F.max("hasta")).scalar()
+        g = g.filter(F.last_day("hasta") <= last)
+    return g.withColumn("t", F.col("Anio") * 12 + F.col("Mes")).drop("hasta")
 
 
 def series_sql(by: str | None = None) -> str:
     key = by if by else "'TOTAL'"
     return f"""ms AS (SELECT {key} AS serie, Anio, Mes, CAST(SUM(IngresosReales) AS DOUBLE) AS y, Anio * 12 + Mes AS t
-  FROM ventas WHERE Anio * 100 + Mes <= {LAST_FULL_MONTH} GROUP BY 1, 2, 3)"""
+  FROM ventas GROUP BY 1, 2, 3
+  HAVING make_date(Anio, Mes, 1) + INTERVAL 1 MONTH <= (SELECT max(Fecha) + INTERVAL 1 DAY FROM ventas))"""
 
 
-def seasonal_index(series: DataFrame) -> DataFrame:
+def seasonal_index(series: DataFrame, digits: int = 8) -> DataFrame:
     w = Window.partitionBy("serie").orderBy("t")
     terms = [0.5 * F.lag("y", 6).over(w), 0.5 * F.lead("y", 6).over(w)]
     terms += [F.lag("y", k).over(w) for k in range(1, 6)] + [F.lead("y", k).over(w) for k in range(1, 6)]
@@ -54,7 +60,7 @@ def seasonal_index(series: DataFrame) -> DataFrame:
     mt = x.groupBy("serie").agg(F.avg("trend").alias("mean_trend"))
     sm = x.groupBy("serie", "Mes").agg(F.avg("seasonal").alias("swing"))
     return sm.join(mt, "serie").select("serie", "Mes",
-                                       F.round(F.col("swing") / F.col("mean_trend") + 1, 8).alias("indice_estacional"))
+                                       F.round(F.col("swing") / F.col("mean_trend") + 1, digits).alias("indice_estacional"))
 
 
 def seasonal_sql() -> str:
@@ -126,7 +132,7 @@ def forecast_backtest(series: DataFrame, horizon: int = 12) -> DataFrame:
         (1 - F.sum((F.col("y") - F.col("yhat")) ** 2) / (F.count("y") * F.var_pop("y"))).alias("R2_Score"),
         F.avg(F.col("yhat") - F.col("y")).alias("Sesgo"))
     r = m.withColumn("Ranking_Precision", F.rank().over(Window.partitionBy("serie").orderBy("RMSE")))
-    return r.select("serie", "Modelo", *[F.round(c, 4).alias(c) for c in ("RMSE", "MAE", "MAPE_Pct", "R2_Score", "Sesgo")],
+    return r.select("serie", "Modelo", *[F.round(c, n).alias(c) for c, n in (("RMSE", 2), ("MAE", 2), ("MAPE_Pct", 4), ("R2_Score", 4), ("Sesgo", 2))],
                     "Ranking_Precision")
 
 
@@ -143,8 +149,8 @@ def forecast_backtest(series: DataFrame, horizon: int = 12) -> DataFrame:
     """m AS (SELECT serie, Modelo, sqrt(avg((y - yhat) ^ 2)) AS RMSE, avg(abs(y - yhat)) AS MAE,
                   avg(abs((y - yhat) / y)) * 100 AS MAPE_Pct,
                   1 - sum((y - yhat) ^ 2) / (count(y) * var_pop(y)) AS R2_Score, avg(yhat - y) AS Sesgo
-           FROM lng GROUP BY serie, Modelo)""") + """SELECT serie, Modelo, round(RMSE, 4) AS RMSE, round(MAE, 4) AS MAE,
-  round(MAPE_Pct, 4) AS MAPE_Pct, round(R2_Score, 4) AS R2_Score, round(Sesgo, 4) AS Sesgo,
+           FROM lng GROUP BY serie, Modelo)""") + """SELECT serie, Modelo, round(RMSE, 2) AS RMSE, round(MAE, 2) AS MAE,
+  round(MAPE_Pct, 4) AS MAPE_Pct, round(R2_Score, 4) AS R2_Score, round(Sesgo, 2) AS Sesgo,
   CAST(rank() OVER (PARTITION BY serie ORDER BY RMSE) AS INT) AS Ranking_Precision
 FROM m""")
 def q_forecast_backtest(spark, d):
@@ -155,44 +161,78 @@ def q_forecast_backtest(spark, d):
 # Panel price elasticity
 # ---------------------------------------------------------------------------
 
-PANEL_FROM, PANEL_TO = 1995, 2000   # complete years of the test data
+MONTHS = list(range(2, 13))
+
+
+def elasticity_panel(ventas: DataFrame, export_channel: str = B.EXPORT_SEGMENT) -> DataFrame:
+    """SKU x month panel of the domestic channels: ln volume and ln mean price."""
+    g = (ventas.filter(F.col("CanalVenta") != export_channel).groupBy("ProductoID", "Segmento", "Anio", "Mes")
+         .agg(F.sum("VolumenReal").cast("double").alias("q"), F.sum("IngresosReales").cast("double").alias("r")))
+    return g.filter("q > 0 and r > 0").select("ProductoID", "Segmento", "Mes", F.log(F.col("r") / F.col("q")).alias("x"), F.log("q").alias("y"))
+
+
+def _solve(rows: pa.Table) -> pa.Table:
+    """Per scope, from the sums of products of (month dummies, x, y) within SKUs:
+    coefficients of x and y on the dummies, slope of y on x given them, and the
+    number of fitted parameters."""
+    out = []
+    size = len(MONTHS) + 2
+    for r in rows.to_pylist():
+        gram = np.zeros((size, size))
+        gram[np.triu_indices(size)] = r["gram"]
+        gram = gram + gram.T - np.diag(np.diag(gram))
+        d, dx, dy = gram[:-2, :-2], gram[:-2, -2], gram[:-2, -1]
+        inverse = np.linalg.pinv(d, rcond=1e-10, hermitian=True)
+        on_x, on_y = inverse @ dx, inverse @ dy
+        sxx, sxy, syy = gram[-2, -2] - dx @ on_x, gram[-2, -1] - dx @ on_y, gram[-1, -1] - dy @ on_y
+        k = r["skus"] + int(np.linalg.matrix_rank(d, tol=1e-8 * max(1.0, r["n"]), hermitian=True)) + 1
+        known = sxx > 1e-9 * max(gram[-2, -2], 1e-300) and r["n"] > k
+        out.append({"Segmento": r["Segmento"], "n": r["n"], "k": k, "sst": r["sst"], "sxx": float(sxx), "on_x": on_x.tolist(), "on_y": on_y.tolist(),
+                    "beta": float(sxy / sxx) if known else None})
+    return pa.Table.from_pylist(out, schema=_FITTED)
 
 
-def elasticity_panel(ventas: DataFrame, unit: str = "Segmento") -> DataFrame:
-    v = ventas.filter(F.col("Anio").between(PANEL_FROM, PANEL_TO))
-    g = v.groupBy(F.col(unit).alias("unidad"), F.col("Anio") * 100 + F.col("Mes")).agg(
-        F.sum("VolumenReal").cast("double").alias("q"), F.sum("IngresosReales").cast("double").alias("r"))
-    g = g.withColumnRenamed(g.columns[1], "periodo")
-    return g.filter("q > 0 AND r > 0").select("unidad", "periodo", F.log(F.col("r") / F.col("q")).alias("x"),
-                                             F.log("q").alias("y"))
+_FITTED = pa.schema([("Segmento", pa.string()), ("n", pa.int64()), ("k", pa.int64()), ("sst", pa.float64()), ("sxx", pa.float64()),
+                     ("on_x", pa.list_(pa.float64())), ("on_y", pa.list_(pa.float64())), ("beta", pa.float64())])
 
 
 def price_elasticity(panel: DataFrame) -> DataFrame:
-    """beta of ln q on ln p with unit and period fixed effects (two-way
-    within transform), HC1 standard error, normal p-value, within R2."""
-    wu, wp = Window.partitionBy("unidad"), Window.partitionBy("periodo")
-    gx = panel.agg(F.avg("x")).scalar()
-    gy = panel.agg(F.avg("y")).scalar()
-    t = panel.select(
-        "unidad", "periodo",
-        (F.col("x") - F.avg("x").over(wu) - F.avg("x").over(wp) + gx).alias("xt"),
-        (F.col("y") - F.avg("y").over(wu) - F.avg("y").over(wp) + gy).alias("yt"))
-    m = t.agg(F.sum(F.col("xt") * F.col("yt")).alias("sxy"), F.sum(F.col("xt") ** 2).alias("sxx"),
-              F.sum(F.col("yt") ** 2).alias("syy"), F.count(F.lit(1)).alias("n"),
-              F.countDistinct("unidad").alias("nu"), F.countDistinct("periodo").alias("np"))
-    beta = F.col("sxy") / F.col("sxx")
-    m = m.withColumn("beta", beta).withColumn("k", F.col("nu") - 1 + F.col("np") - 1 + 2)
-    r = t.withColumn("beta", F.lit(m.select("beta").scalar()))
-    e = r.agg(F.sum((F.col("xt") ** 2) * (F.col("yt") - F.col("beta") * F.col("xt")) ** 2).alias("meat"),
-              F.sum((F.col("yt") - F.col("beta") * F.col("xt")) ** 2).alias("sse"))
-    j = m.select("beta", "sxx", "syy", "n", "k",
-                 e.select("meat").scalar().alias("meat"), e.select("sse").scalar().alias("sse"))
+    """Slope of ln volume on ln price with SKU and calendar-month effects, HC1
+    error, normal p-value and R2, over all SKUs (GLOBAL) and per segment.
+
+    SKU effects go by demeaning within the SKU; the month effects and the slope
+    follow from one aggregate of products per segment (13 x 13 sums, added up for
+    the global fit), so this is exact on any panel, balanced or not.  A second
+    pass sums the squared residuals.  Where the parameters use up the
+    observations, slope and error are null."""
+    w = Window.partitionBy("ProductoID")
+    z = [((F.col("Mes") == m).cast("double") - F.avg((F.col("Mes") == m).cast("double")).over(w)).alias(f"d{m}") for m in MONTHS]
+    within = materialise(panel.select("ProductoID", "Segmento", *z, (F.col("x") - F.avg("x").over(w)).alias("xt"),
+                                      (F.col("y") - F.avg("y").over(w)).alias("yt"), "y"))
+    names = [f"d{m}" for m in MONTHS] + ["xt", "yt"]
+    products = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
+    # one row per segment and one for all
+    sums = within.groupingSets([[F.col("Segmento")], []], F.col("Segmento")).agg(
+        F.array(*products).alias("gram"), F.count(F.lit(1)).alias("n"), F.count_distinct("ProductoID").alias("skus"),
+        (F.var_pop("y") * F.count("y")).alias("sst"))
+    sums = sums.withColumn("Segmento", F.coalesce("Segmento", F.lit("GLOBAL")))
+    fitted = materialise(sums.select("Segmento", "gram", "n", "skus", "sst").mapInArrow(
+        lambda batches: (_solve(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows),
+        "Segmento string, n long, k long, sst double, sxx double, on_x array<double>, on_y array<double>, beta double"))
+    scopes = within.withColumn("Segmento", F.explode(F.array(F.lit("GLOBAL"), F.col("Segmento"))))
+    months = F.array(*[F.col(f"d{m}") for m in MONTHS])
+    dot = lambda c: F.aggregate(F.zip_with(months, F.col(c), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    res = (scopes.join(F.broadcast(fitted.select("Segmento", "on_x", "on_y", "beta")), "Segmento")  # one row per segment
+           .select("Segmento", (F.col("xt") - dot("on_x")).alias("xr"), (F.col("yt") - dot("on_y")).alias("yr"), "beta"))
+    error = F.col("yr") - F.col("beta") * F.col("xr")
+    squares = res.groupBy("Segmento").agg(F.sum((F.col("xr") * error) ** 2).alias("meat"), F.sum(error ** 2).alias("sse"))
+    j = fitted.join(squares, "Segmento")
     se = F.sqrt(F.col("meat") * F.col("n") / (F.col("n") - F.col("k"))) / F.col("sxx")
-    z = F.col("beta") / se
-    return j.select(F.round("beta", 8).alias("Beta_Elasticidad"), F.round(se, 8).alias("ErrorEstandar"),
-                    F.round(2 * (1 - norm_cdf(F.abs(z))), 6).alias("PValue"),
-                    F.round(1 - F.col("sse") / F.col("syy"), 8).alias("R2"), F.col("n").alias("NObs"),
-                    (2 * (1 - norm_cdf(F.abs(z))) < 0.05).alias("Significativo"))
+    p = 2 * (1 - norm_cdf(F.abs(F.col("beta") / se)))
+    return j.select("Segmento", F.round("beta", 6).alias("Beta_Elasticidad"), F.round(F.when(F.col("beta").isNotNull(), se), 6).alias("ErrorEstandar"),
+                    F.round(F.when(F.col("beta").isNotNull(), p), 5).alias("PValue"),
+                    F.round(F.when(F.col("beta").isNotNull(), 1 - F.col("sse") / F.col("sst")), 6).alias("R2"), F.col("n").alias("NObs"),
+                    F.coalesce(p < 0.05, F.lit(False)).alias("Significativo"))
 
 
 def _ncdf_sql(x: str) -> str:
@@ -203,21 +243,115 @@ def _ncdf_sql(x: str) -> str:
     return f"(CASE WHEN {x} >= 0 THEN 0.5 * (1.0 + {erf}) ELSE 0.5 * (1.0 - {erf}) END)"
 
 
-@query("price_elasticity", with_ctes(B.ventas_sql(channel=False), f"""g AS (
-  SELECT Segmento AS unidad, Anio * 100 + Mes AS periodo, CAST(SUM(VolumenReal) AS DOUBLE) AS q,
-         CAST(SUM(IngresosReales) AS DOUBLE) AS r
-  FROM ventas WHERE Anio BETWEEN {PANEL_FROM} AND {PANEL_TO} GROUP BY 1, 2)""",
-    """p AS (SELECT unidad, periodo, ln(r / q) AS x, ln(q) AS y FROM g WHERE q > 0 AND r > 0)""",
-    """t AS (SELECT unidad, periodo,
-           x - avg(x) OVER (PARTITION BY unidad) - avg(x) OVER (PARTITION BY periodo) + (SELECT avg(x) FROM p) AS xt,
-           y - avg(y) OVER (PARTITION BY unidad) - avg(y) OVER (PARTITION BY periodo) + (SELECT avg(y) FROM p) AS yt FROM p)""",
-    """m AS (SELECT sum(xt * yt) / sum(xt * xt) AS beta, sum(xt * xt) AS sxx, sum(yt * yt) AS syy, count(*) AS n,
-                  count(DISTINCT unidad) - 1 + count(DISTINCT periodo) - 1 + 2 AS k FROM t)""",
-    """e AS (SELECT sum(xt * xt * (yt - beta * xt) ^ 2) AS meat, sum((yt - beta * xt) ^ 2) AS sse FROM t, m)""",
-    """s AS (SELECT beta, sqrt(meat * n / (n - k)) / sxx AS se, 1 - sse / syy AS r2, n FROM m, e)""") + f"""SELECT
-  round(beta, 8) AS Beta_Elasticidad, round(se, 8) AS ErrorEstandar,
-  round(2 * (1 - {_ncdf_sql('abs(beta / se)')}), 6) AS PValue, round(r2, 8) AS R2, n AS NObs,
-  2 * (1 - {_ncdf_sql('abs(beta / se)')}) < 0.05 AS Significativo
-FROM s""")
+#: Rounds of alternating projections in the oracle; it partials the effects out by
+#: subtracting SKU means and month means in turn, which tends to the same residuals.
+_ROUNDS = 60
+
+_ELASTICITY_CTES = [B.ventas_sql(), f"""panel AS (
+  SELECT ProductoID, Segmento, Mes, ln(SUM(IngresosReales)::DOUBLE / SUM(VolumenReal)::DOUBLE) AS x, ln(SUM(VolumenReal)::DOUBLE) AS y
+  FROM ventas WHERE CanalVenta <> '{B.EXPORT_SEGMENT}' GROUP BY ProductoID, Segmento, Anio, Mes HAVING SUM(VolumenReal) > 0 AND SUM(IngresosReales) > 0)""",
+    """scoped AS (SELECT 'GLOBAL' AS scope, * FROM panel UNION ALL SELECT Segmento, * FROM panel)""",
+    f"""proj AS (
+  SELECT 0 AS i, scope, ProductoID, Mes, x, y, y AS y0, row_number() OVER () AS id FROM scoped
+  UNION ALL
+  SELECT i + 1, scope, ProductoID, Mes, x1 - avg(x1) OVER (PARTITION BY scope, Mes), y1 - avg(y1) OVER (PARTITION BY scope, Mes), y0, id
+  FROM (SELECT *, x - avg(x) OVER (PARTITION BY scope, ProductoID) AS x1, y - avg(y) OVER (PARTITION BY scope, ProductoID) AS y1 FROM proj WHERE i < {_ROUNDS}) s)""",
+    f"""fin AS (
+  SELECT scope, ProductoID, Mes, x - avg(x) OVER (PARTITION BY scope, ProductoID) AS x, y - avg(y) OVER (PARTITION BY scope, ProductoID) AS y, y0
+  FROM proj WHERE i = {_ROUNDS})""",
+    """fit AS (SELECT scope, sum(x * y) / sum(x * x) AS beta, sum(x * x) AS sxx, count(*) AS n,
+         count(DISTINCT ProductoID) + count(DISTINCT Mes) AS k, var_pop(y0) * count(*) AS sst FROM fin GROUP BY scope)""",
+    """err AS (SELECT scope, sum((x * (y - beta * x)) ^ 2) AS meat, sum((y - beta * x) ^ 2) AS sse FROM fin JOIN fit USING (scope) GROUP BY scope)""",
+    """el AS (SELECT scope, n, CASE WHEN n > k THEN beta END AS beta, sqrt(meat * n / nullif(n - k, 0)) / sxx AS se, 1 - sse / sst AS r2, n > k AS known FROM fit JOIN err USING (scope))"""]
+
+_ELASTICITY_SQL = with_ctes(*_ELASTICITY_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + f"""SELECT scope AS Segmento, round(beta, 6) AS Beta_Elasticidad,
+  CASE WHEN known THEN round(se, 6) END AS ErrorEstandar, CASE WHEN known THEN round(2 * (1 - {_ncdf_sql('abs(beta / se)')}), 5) END AS PValue,
+  CASE WHEN known THEN round(r2, 6) END AS R2, n AS NObs, COALESCE(2 * (1 - {_ncdf_sql('abs(beta / se)')}) < 0.05, false) AS Significativo
+FROM el"""
+
+
+@query("price_elasticity", _ELASTICITY_SQL)
 def q_price_elasticity(spark, d):
-    return price_elasticity(elasticity_panel(B.ventas(spark, d, channel=False)))
+    return price_elasticity(elasticity_panel(B.ventas(spark, d)))
+
+
+# Labels of the order check and limits of the pricing strategy.
+ORDER_UNKNOWN, ORDER_OK, ORDER_BROKEN = "NO EVALUABLE", "OK", "OBSERVACION"
+INELASTIC_ABOVE, ELASTIC_BELOW = -0.005, -0.010
+STRATEGY = {"sin_dato": "Seleccione un segmento para evaluar la respuesta de precios", "inelastica": "DEMANDA INELASTICA",
+            "elastica": "DEMANDA ELASTICA", "moderada": "ELASTICIDAD MODERADA"}
+
+
+def economic_order_check(betas: DataFrame, elastic: list[str], inelastic: list[str]) -> DataFrame:
+    """One row: whether the most negative slope of the segments expected to be
+    elastic lies below the highest of those expected not to be."""
+    pick = lambda names, f: f(F.when(F.col("Segmento").isin(names), F.col("Beta_Elasticidad")))
+    g = betas.agg(pick(elastic, F.min).alias("BetaElastica"), pick(inelastic, F.max).alias("BetaInelastica"))
+    known = F.col("BetaElastica").isNotNull() & F.col("BetaInelastica").isNotNull()
+    return g.withColumn("Chequeo", F.when(~known, ORDER_UNKNOWN).when(F.col("BetaElastica") < F.col("BetaInelastica"), ORDER_OK).otherwise(ORDER_BROKEN))
+
+
+def elasticity_strategy(betas: DataFrame, premium: list[str], entry: list[str]) -> DataFrame:
+    beta, seg = F.col("Beta_Elasticidad"), F.col("Segmento")
+    kind = (F.when(beta.isNull(), STRATEGY["sin_dato"]).when(seg.isin(premium) | (beta > INELASTIC_ABOVE), STRATEGY["inelastica"])
+            .when(seg.isin(entry) | (beta < ELASTIC_BELOW), STRATEGY["elastica"]).otherwise(STRATEGY["moderada"]))
+    text = F.when(beta.isNull(), kind).otherwise(F.format_string("%s (%s, beta=%.4f)", kind, seg, beta))
+    return betas.select("Segmento", "Beta_Elasticidad", kind.alias("Estrategia"), text.alias("Texto"))
+
+
+ELASTIC, INELASTIC = ["ECONOMY", "STANDARD"], ["PROMO", "MEDIUM"]
+
+
+@query("economic_order_check", with_ctes(*_ELASTICITY_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + f"""SELECT BetaElastica, BetaInelastica,
+  CASE WHEN BetaElastica IS NULL OR BetaInelastica IS NULL THEN '{ORDER_UNKNOWN}' WHEN BetaElastica < BetaInelastica THEN '{ORDER_OK}' ELSE '{ORDER_BROKEN}' END AS Chequeo
+FROM (SELECT min(round(beta, 6)) FILTER (WHERE scope IN ('{ELASTIC[0]}', '{ELASTIC[1]}')) AS BetaElastica,
+             max(round(beta, 6)) FILTER (WHERE scope IN ('{INELASTIC[0]}', '{INELASTIC[1]}')) AS BetaInelastica FROM el) t""")
+def q_economic_order_check(spark, d):
+    panel = elasticity_panel(B.ventas(spark, d))
+    return economic_order_check(price_elasticity(panel), ELASTIC, INELASTIC)
+
+
+@query("elasticity_strategy", with_ctes(*_ELASTICITY_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + f"""SELECT Segmento, Beta_Elasticidad, Estrategia,
+  CASE WHEN Beta_Elasticidad IS NULL THEN Estrategia ELSE printf('%s (%s, beta=%.4f)', Estrategia, Segmento, Beta_Elasticidad) END AS Texto FROM (
+  SELECT scope AS Segmento, round(beta, 6) AS Beta_Elasticidad, CASE WHEN beta IS NULL THEN '{STRATEGY['sin_dato']}'
+    WHEN scope IN ('{INELASTIC[0]}', '{INELASTIC[1]}') OR round(beta, 6) > {INELASTIC_ABOVE} THEN '{STRATEGY['inelastica']}'
+    WHEN scope IN ('{ELASTIC[0]}', '{ELASTIC[1]}') OR round(beta, 6) < {ELASTIC_BELOW} THEN '{STRATEGY['elastica']}' ELSE '{STRATEGY['moderada']}' END AS Estrategia FROM el) t""")
+def q_elasticity_strategy(spark, d):
+    panel = elasticity_panel(B.ventas(spark, d))
+    return elasticity_strategy(price_elasticity(panel), INELASTIC, ELASTIC)
+
+
+@query("price_series", with_ctes(B.ventas_sql()) + f"""SELECT Anio, Mes,
+  round(avg(CAST(IngresosReales AS DOUBLE) / CAST(VolumenReal AS DOUBLE)) FILTER (WHERE CanalVenta = '{B.EXPORT_SEGMENT}'), 6) AS PrecioExportacion,
+  round(CAST(SUM(IngresosReales) FILTER (WHERE CanalVenta <> '{B.EXPORT_SEGMENT}') AS DOUBLE)
+        / CAST(SUM(VolumenReal) FILTER (WHERE CanalVenta <> '{B.EXPORT_SEGMENT}') AS DOUBLE), 6) AS PrecioDomestico
+FROM ventas WHERE VolumenReal <> 0 GROUP BY Anio, Mes""")
+def q_price_series(spark, d):
+    """Monthly prices: export as the simple mean of the unit prices, domestic
+    weighted by volume."""
+    v = B.ventas(spark, d, product=False).filter("VolumenReal <> 0")
+    export = F.col("CanalVenta") == B.EXPORT_SEGMENT
+    money, volume = F.col("IngresosReales"), F.col("VolumenReal")
+    return v.groupBy("Anio", "Mes").agg(
+        F.round(F.avg(F.when(export, money.cast("double") / volume.cast("double"))), 6).alias("PrecioExportacion"),
+        F.round(F.sum(F.when(~export, money)).cast("double") / F.sum(F.when(~export, volume)).cast("double"), 6).alias("PrecioDomestico"))
+
+
+@query("seasonal_compare", with_ctes(B.ventas_sql(channel=False), series_sql("Segmento"), seasonal_sql(), """own AS (
+  SELECT s.serie, s.Mes, s.swing / m.mean_trend + 1 AS idx
+  FROM (SELECT serie, Mes, AVG(seasonal) AS swing FROM x GROUP BY 1, 2) s JOIN (SELECT serie, AVG(trend) AS mean_trend FROM x GROUP BY 1) m USING (serie))""",
+    """ext AS (SELECT Mes, AVG(idx) AS ref FROM own GROUP BY Mes)""") + """SELECT serie, round(max(abs(idx - ref)), 8) AS DiferenciaMaxima,
+  round(avg(abs(idx - ref)), 8) AS DiferenciaMedia, round(corr(idx, ref), 8) AS Correlacion,
+  CAST(arg_max(Mes, idx) AS INT) AS MesPico, round(max(idx), 8) AS IndicePico
+FROM own JOIN ext USING (Mes) GROUP BY serie""")
+def q_seasonal_compare(spark, d):
+    """Each series' seasonal index against the mean index of all: largest and
+    mean difference, correlation, and the peak month (``seasonal_peak``)."""
+    own = seasonal_index(monthly_series(B.ventas(spark, d, channel=False), "Segmento"), 15)
+    ref = own.groupBy("Mes").agg(F.avg("indice_estacional").alias("ref"))  # twelve rows
+    gap = F.abs(F.col("indice_estacional") - F.col("ref"))
+    peak = F.max(F.struct("indice_estacional", "Mes"))
+    return own.join(F.broadcast(ref), "Mes").groupBy("serie").agg(
+        F.round(F.max(gap), 8).alias("DiferenciaMaxima"), F.round(F.avg(gap), 8).alias("DiferenciaMedia"),
+        F.round(F.corr("indice_estacional", "ref"), 8).alias("Correlacion"), peak["Mes"].cast("int").alias("MesPico"),
+        F.round(peak["indice_estacional"], 8).alias("IndicePico"))
