@@ -1,6 +1,6 @@
 """Treasury and market-risk jobs: Miller-Orr cash bands and daily path,
-cash-flow-at-risk by bootstrap Monte Carlo, covered-parity forwards and the
-latest-date FX measures.
+cash-flow-at-risk from the observed h-day sums of each account, covered-parity
+forwards, export receivables and the latest-date FX measures.
 
 Cash flows come from ``events`` (purchase = +4 x value, other = -value) per
 day, either as one series or one per user (many independent accounts).
@@ -8,17 +8,17 @@ day, either as one series or one per user (many independent accounts).
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.registry import query, with_ctes
 from ledgerlake.sources import bridge as B
 
-# Parameters (source's meaning; values scaled to the test flows): fixed cost
-# per transfer, lower band, domestic annual rate, foreign annual rate.
+# Parameters (scaled to the test flows): fixed cost per transfer, lower band,
+# foreign annual rate.  The domestic rate is the mean of the market series.
 COST_PER_OP = 45.0
 LOWER_BAND = 1000.0
-TNA = 0.42
 FOREIGN_RATE = 0.045
 
 # Actions and labels of the cash path and position bands.
@@ -27,84 +27,93 @@ ACT_REDEEM = "RESCATAR FONDOS"
 ACT_HOLD = "ZONA DE EQUILIBRIO"
 
 
-def miller_orr_params(flows: DataFrame, c: float = COST_PER_OP, lower: float = LOWER_BAND,
-                      tna: float = TNA) -> DataFrame:
+def market_rate(mercado: DataFrame):
+    """Mean domestic annual rate of the market series, as a scalar column."""
+    return mercado.agg(F.round(F.avg("TasaDomesticaTNA"), 10)).scalar()
+
+
+def miller_orr_params(flows: DataFrame, tna, c: float = COST_PER_OP, lower: float = LOWER_BAND) -> DataFrame:
     """Per account: variance of daily flows (ddof=1), daily rate
     (1+TNA)^(1/365)-1, return point z = L + cbrt(3 c s2 / (4 r)),
     upper band h = 3z - 2L, expected mean balance (4z - L)/3."""
-    r = (1.0 + tna) ** (1.0 / 365.0) - 1.0
-    g = flows.groupBy("CuentaID").agg(F.var_samp("FlujoNetoDiario").alias("sigma2"),
-                                      F.stddev_samp("FlujoNetoDiario").alias("sigma"))
-    zc = F.lit(lower) + F.cbrt(3.0 * c * F.col("sigma2") / (4.0 * r))
-    return g.select("CuentaID", "sigma2", "sigma", F.lit(lower).alias("L"), zc.alias("z"),
-                    (3.0 * zc - 2.0 * lower).alias("h"), ((4.0 * zc - lower) / 3.0).alias("saldo_medio"),
-                    F.lit(r).alias("r_diaria"))
-
-
-def params_sql(c=COST_PER_OP, lower=LOWER_BAND, tna=TNA) -> str:
-    r = (1.0 + tna) ** (1.0 / 365.0) - 1.0
-    return f"""params AS (
-  SELECT CuentaID, sigma2, sigma, {lower} AS L, z, 3.0 * z - 2.0 * {lower} AS h, (4.0 * z - {lower}) / 3.0 AS saldo_medio,
-         {r!r} AS r_diaria
-  FROM (SELECT CuentaID, var_samp(FlujoNetoDiario) AS sigma2, stddev_samp(FlujoNetoDiario) AS sigma,
-               {lower} + cbrt(3.0 * {c} * var_samp(FlujoNetoDiario) / (4.0 * {r!r})) AS z
-        FROM flujos GROUP BY CuentaID) t)"""
-
-
-@query("miller_orr_params", with_ctes(B.flujos_sql(True), params_sql()) + """SELECT CuentaID, Parametro, Valor FROM (
-  SELECT CuentaID, 'Saldo_Minimo_L' AS Parametro, round(L, 2) AS Valor FROM params UNION ALL
-  SELECT CuentaID, 'Punto_Retorno_Z', round(z, 2) FROM params UNION ALL
-  SELECT CuentaID, 'Banda_Superior_H', round(h, 2) FROM params UNION ALL
-  SELECT CuentaID, 'Saldo_Promedio_Esperado', round(saldo_medio, 2) FROM params UNION ALL
-  SELECT CuentaID, 'Varianza_Diaria_Flujos', round(sigma2, 2) FROM params UNION ALL
-  SELECT CuentaID, 'Desvio_Estandar_Diario', round(sigma, 2) FROM params) u""")
+    g = flows.groupBy("CuentaID").agg(F.var_samp("FlujoNetoDiario").alias("sigma2"), F.stddev_samp("FlujoNetoDiario").alias("sigma"))
+    g = g.withColumn("tna", tna).withColumn("r_diaria", F.pow(1.0 + F.col("tna"), F.lit(1.0 / 365.0)) - 1.0)
+    zc = F.lit(lower) + F.cbrt(3.0 * c * F.col("sigma2") / (4.0 * F.col("r_diaria")))
+    return g.select("CuentaID", "sigma2", "sigma", F.lit(lower).alias("L"), zc.alias("z"), (3.0 * zc - 2.0 * lower).alias("h"),
+                    ((4.0 * zc - lower) / 3.0).alias("saldo_medio"), "tna", F.lit(c).alias("c"), "r_diaria")
+
+
+# Parameter names, the column each shows, digits, unit and description.
+PARAMETERS = [
+    ("Saldo_Minimo_L", "L", 2, "moneda", "Piso de seguridad de caja"),
+    ("Punto_Retorno_Z", "z", 2, "moneda", "Saldo al que vuelve la caja tras intervenir"),
+    ("Banda_Superior_H", "h", 2, "moneda", "Saldo desde el que se invierte el exceso"),
+    ("Saldo_Promedio_Esperado", "saldo_medio", 2, "moneda", "Saldo medio de largo plazo"),
+    ("Varianza_Diaria_Flujos", "sigma2", 2, "moneda^2", "Varianza de los flujos diarios"),
+    ("Desvio_Estandar_Diario", "sigma", 2, "moneda", "Desvio de los flujos diarios"),
+    ("Tasa_Costo_Oportunidad_Anual", "tna", 4, "tasa anual", "Media de la tasa de mercado"),
+    ("Costo_Transaccion_Fijo", "c", 2, "moneda", "Costo fijo de cada operacion"),
+]
+
+
+def params_sql(c=COST_PER_OP, lower=LOWER_BAND) -> str:
+    return B.MERCADO_SQL + f""",
+params AS (
+  SELECT CuentaID, sigma2, sigma, {lower} AS L, z, 3.0 * z - 2.0 * {lower} AS h, (4.0 * z - {lower}) / 3.0 AS saldo_medio, tna, {c} AS c, r_diaria
+  FROM (SELECT *, {lower} + cbrt(0.75 * {c} * sigma2 / r_diaria) AS z
+        FROM (SELECT CuentaID, var_samp(FlujoNetoDiario) AS sigma2, stddev_samp(FlujoNetoDiario) AS sigma,
+                     (SELECT round(avg(TasaDomesticaTNA), 10) FROM mercado) AS tna,
+                     (1.0 + (SELECT round(avg(TasaDomesticaTNA), 10) FROM mercado)) ** (1.0 / 365.0) - 1.0 AS r_diaria
+              FROM flujos GROUP BY CuentaID) v) t)"""
+
+
+@query("miller_orr_params", with_ctes(B.flujos_sql(True), params_sql()) + "SELECT CuentaID, Parametro, Valor, Unidad, Descripcion FROM (" + " UNION ALL ".join(
+    f"SELECT CuentaID, '{n}' AS Parametro, round(CAST({c} AS DOUBLE), {k}) AS Valor, '{u}' AS Unidad, '{t}' AS Descripcion FROM params" for n, c, k, u, t in PARAMETERS) + ") u")
 def q_miller_orr_params(spark, d):
-    """Long parameter table (stack) for every account."""
-    p = miller_orr_params(B.flujos(spark, d, per_user=True))
-    return p.select("CuentaID", F.expr(
-        "stack(6, 'Saldo_Minimo_L', round(L, 2), 'Punto_Retorno_Z', round(z, 2), "
-        "'Banda_Superior_H', round(h, 2), 'Saldo_Promedio_Esperado', round(saldo_medio, 2), "
-        "'Varianza_Diaria_Flujos', round(sigma2, 2), 'Desvio_Estandar_Diario', round(sigma, 2)) "
-        "AS (Parametro, Valor)"))
+    """Long parameter table (one row per account and parameter)."""
+    p = miller_orr_params(B.flujos(spark, d, per_user=True), market_rate(B.mercado(spark, d)))
+    rows = F.array(*[F.struct(F.lit(n).alias("Parametro"), F.round(F.col(c).cast("double"), k).alias("Valor"), F.lit(u).alias("Unidad"),
+                              F.lit(t).alias("Descripcion")) for n, c, k, u, t in PARAMETERS])
+    return p.select("CuentaID", F.inline(rows))
+
+
+def _fold_days(days: pa.Table) -> pa.Table:
+    """Balance, action and amount of one account's days in order."""
+    days = days.sort_by("Fecha")
+    flow = days["FlujoNetoDiario"].to_pylist()
+    low, z, h = (days[c][0].as_py() for c in ("L", "z", "h"))
+    balance, saldo, accion, monto = z, [], [], []
+    for f in flow:
+        balance += f
+        if balance >= h:
+            act, amount, balance = ACT_INVEST, balance - z, z
+        elif balance <= low:
+            act, amount, balance = ACT_REDEEM, z - balance, z
+        else:
+            act, amount = ACT_HOLD, 0.0
+        saldo.append(balance)
+        accion.append(act)
+        monto.append(amount)
+    return (days.append_column("saldo", pa.array(saldo, pa.float64())).append_column("accion", pa.array(accion, pa.string()))
+            .append_column("monto", pa.array(monto, pa.float64())))
 
 
 def miller_orr_path(flows: DataFrame, params: DataFrame) -> DataFrame:
     """Daily balance with the band rule: start at z, add each day's flow; at
     or above h invest the excess back to z, at or below L redeem up to z.
 
-    The reset makes this a true recurrence, so each account's days are
-    folded in order with the ``aggregate`` higher-order function (JVM side).
-    One account's series is bounded by its number of days, not by the data
-    volume; accounts are independent groups spread over the cluster."""
-    series = flows.groupBy("CuentaID").agg(
-        F.array_sort(F.collect_list(F.struct("Fecha", "FlujoNetoDiario"))).alias("s"))
-    j = series.join(params.select("CuentaID", "L", "z", "h", "r_diaria"), "CuentaID")
-    step_t = "struct<saldo:double,accion:string,monto:double>"
-    init = F.struct(F.col("z").alias("saldo"), F.array().cast(f"array<{step_t}>").alias("out"))
-
-    def step(acc, x):
-        s = acc["saldo"] + x["FlujoNetoDiario"]
-        up = s >= F.col("h")
-        down = s <= F.col("L")
-        new_s = F.when(up | down, F.col("z")).otherwise(s)
-        act = F.when(up, F.lit(ACT_INVEST)).when(down, F.lit(ACT_REDEEM)).otherwise(F.lit(ACT_HOLD))
-        amt = F.when(up, s - F.col("z")).when(down, F.col("z") - s).otherwise(F.lit(0.0))
-        rec = F.struct(new_s.alias("saldo"), act.alias("accion"), amt.alias("monto"))
-        return F.struct(new_s.alias("saldo"), F.array_append(acc["out"], rec).alias("out"))
-
-    folded = j.select("CuentaID", "s", "z", "h", "L", "r_diaria",
-                      F.aggregate("s", init, step)["out"].alias("p"))
-    z = folded.select("CuentaID", "z", "h", "L", "r_diaria",
-                      F.explode(F.arrays_zip("s", "p")).alias("e"))
-    idle = F.greatest(F.lit(0.0), F.col("e.p.saldo") - F.col("z"))
-    return z.select(
-        "CuentaID", F.col("e.s.Fecha").alias("Fecha"),
-        F.round("e.s.FlujoNetoDiario", 2).alias("FlujoNetoDiario"),
-        F.round("e.p.saldo", 2).alias("SaldoEfectivoReal"),
-        F.round("L", 2).alias("BandaInferior_L"), F.round("z", 2).alias("PuntoRetorno_Z"),
-        F.round("h", 2).alias("BandaSuperior_H"),
+    The reset makes this a true recurrence, so each account's days are folded in
+    order, in one pass.  A group is one account's days (bounded by the calendar,
+    not by the data volume); accounts are spread over the cluster."""
+    j = flows.join(params.select("CuentaID", "L", "z", "h", "r_diaria"), "CuentaID").select(
+        "CuentaID", "Fecha", F.col("FlujoNetoDiario").cast("double").alias("FlujoNetoDiario"), "L", "z", "h", "r_diaria")
+    p = j.groupBy("CuentaID").applyInArrow(_fold_days, j._jdf.schema().toDDL() + ", saldo double, accion string, monto double")
+    idle = F.greatest(F.lit(0.0), F.col("saldo") - F.col("z"))
+    return p.select(
+        "CuentaID", "Fecha", F.round("FlujoNetoDiario", 2).alias("FlujoNetoDiario"), F.round("saldo", 2).alias("SaldoEfectivoReal"),
+        F.round("L", 2).alias("BandaInferior_L"), F.round("z", 2).alias("PuntoRetorno_Z"), F.round("h", 2).alias("BandaSuperior_H"),
         F.round(idle, 2).alias("SaldoOcioso"), F.round(idle * F.col("r_diaria"), 2).alias("CostoOportunidadDiario"),
-        F.col("e.p.accion").alias("AccionRecomendada"), F.round("e.p.monto", 2).alias("MontoOperacion"))
+        F.col("accion").alias("AccionRecomendada"), F.round("monto", 2).alias("MontoOperacion"))
 
 
 PATH_SQL = with_ctes(B.flujos_sql(True), params_sql(), """f AS (
@@ -133,7 +142,7 @@ FROM path p JOIN f ON f.CuentaID = p.CuentaID AND f.rn = p.rn JOIN params pa ON
 @query("miller_orr_path", PATH_SQL)
 def q_miller_orr_path(spark, d):
     flows = B.flujos(spark, d, per_user=True)
-    return miller_orr_path(flows, miller_orr_params(flows))
+    return miller_orr_path(flows, miller_orr_params(flows, market_rate(B.mercado(spark, d))))
 
 
 def position_band(saldo, h, low):
@@ -158,7 +167,7 @@ def q_miller_orr_kpis(spark, d):
     """Per account: mean balance and bands, idle sum, annualised opportunity
     cost (sum x 365 / days) and the position band of the mean balance."""
     flows = B.flujos(spark, d, per_user=True)
-    p = miller_orr_path(flows, miller_orr_params(flows))
+    p = miller_orr_path(flows, miller_orr_params(flows, market_rate(B.mercado(spark, d))))
     g = p.groupBy("CuentaID").agg(
         F.avg("SaldoEfectivoReal").alias("SaldoEfectivoRealDiario"), F.avg("BandaInferior_L").alias("L"),
         F.avg("PuntoRetorno_Z").alias("Z"), F.avg("BandaSuperior_H").alias("H"),
@@ -170,129 +179,100 @@ def q_miller_orr_kpis(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# Cash flow at risk (bootstrap Monte Carlo)
+# Cash flow at risk from the observed flows
 # ---------------------------------------------------------------------------
 
-def _draw_index(sim, day, seed: int, n):
-    """Deterministic uniform index in [0, n): multiplicative hash of
-    (sim, day, seed) mod 2^32, scaled by n.  Integer arithmetic only, so any
-    engine reproduces the draws."""
-    a = (sim * 7919 + day * 104729 + seed) * 2654435761
-    h = F.pmod(a, F.lit(4294967296))
-    return F.floor(h * n / 4294967296).cast("long")
-
-
-def _observed(flows: DataFrame) -> tuple[DataFrame, int]:
-    """Observed daily flows indexed 0..n-1 (one row per day: the table is
-    as long as the series, so broadcasting it is bounded)."""
-    obs = flows.select("Fecha", "CuentaID", "FlujoNetoDiario").withColumn(
-        "idx", F.row_number().over(Window.orderBy("Fecha", "CuentaID")) - 1)
-    obs = obs.select("idx", F.col("FlujoNetoDiario").cast("decimal(18,2)").alias("f"))
-    return obs, obs.count()
-
-
-def simulate_paths(spark, flows: DataFrame, horizons=(30, 60, 90), n_paths: int = 10000,
-                   seed: int = 101) -> DataFrame:
-    """Bootstrap paths: (HorizonteDias, sim, acc) with acc the cumulated flow.
-
-    Draws come from ``spark.range`` (n_paths x horizon rows, spread over the
-    default parallelism); each draw picks an observed day by a hashed index
-    and joins the broadcast day table; map-side partial sums per path keep
-    the shuffle at n_paths rows per horizon."""
-    obs, n = _observed(flows)
-    parts = []
-    for hz in horizons:
-        dr = spark.range(0, n_paths * hz).select(
-            F.lit(hz).alias("HorizonteDias"), (F.col("id") / hz).cast("long").alias("sim"),
-            (F.col("id") % hz).alias("day"))
-        parts.append(dr.withColumn("idx", _draw_index(F.col("sim"), F.col("day"), seed + hz, F.lit(n))))
-    draws = parts[0]
-    for p in parts[1:]:
-        draws = draws.unionByName(p)
-    return draws.join(F.broadcast(obs), "idx").groupBy("HorizonteDias", "sim").agg(
-        F.sum("f").cast("double").alias("acc"))
-
-
-def cfvar(spark, flows: DataFrame, horizons=(30, 60, 90), n_paths: int = 10000, seed: int = 101,
-          lower: float = LOWER_BAND) -> DataFrame:
-    """CF-VaR / CVaR per horizon: quantiles of the simulated paths, tail
-    means below them, required buffer and the risk light."""
-    paths = simulate_paths(spark, flows, horizons, n_paths, seed)
-    st = paths.groupBy("HorizonteDias").agg(
-        F.avg("acc").alias("mu"), F.stddev_pop("acc").alias("sd"),
-        F.percentile("acc", 0.05).alias("q95"), F.percentile("acc", 0.01).alias("q99"))
-    # one row per horizon: joined back on the horizon key
-    tl = paths.join(F.broadcast(st.select("HorizonteDias", "q95", "q99")), "HorizonteDias").groupBy(
-        "HorizonteDias").agg(F.avg(F.when(F.col("acc") <= F.col("q95"), F.col("acc"))).alias("cvar95"),
-                             F.avg(F.when(F.col("acc") <= F.col("q99"), F.col("acc"))).alias("cvar99"))
-    j = st.join(tl, "HorizonteDias")
-    neg = lambda c: -F.least(F.lit(0.0), F.col(c))
-    return j.select(
-        "HorizonteDias", F.round("mu", 2).alias("FlujoMedioEsperado"), F.round("sd", 2).alias("DesvioEstandar"),
-        F.round("q95", 2).alias("FlujoMinimo_Percentil_5"), F.round("q99", 2).alias("FlujoMinimo_Percentil_1"),
-        F.round(neg("q95"), 2).alias("CF_VaR_95"), F.round(neg("q99"), 2).alias("CF_VaR_99"),
-        F.round(neg("cvar95"), 2).alias("CVaR_95_ExpectedShortfall"),
-        F.round(neg("cvar99"), 2).alias("CVaR_99_ExpectedShortfall"),
-        F.round(F.abs(F.least(F.lit(0.0), F.col("cvar95"))) + lower, 2).alias("BufferLiquidezRequerido"),
-        F.when(F.col("q95") >= 0, "RIESGO CONTROLADO").when(F.col("q95") >= -15000000, "ALERTA DEFICIT MODERADO")
+# Days of a holding period in the queries; the test flows cover one month.
+HORIZONS = (3, 7, 14)
+MODERATE_DEFICIT = -15000000
+
+
+def horizon_sums(flows: DataFrame, horizons=HORIZONS) -> DataFrame:
+    """(CuentaID, HorizonteDias, acc): the net flow of every run of that many
+    days of an account, days without flow counting as zero."""
+    span = flows.groupBy("CuentaID").agg(F.explode(F.sequence(F.min("Fecha"), F.max("Fecha"))).alias("Fecha"))
+    days = span.join(flows, ["CuentaID", "Fecha"], "left").select(
+        "CuentaID", "Fecha", F.coalesce(F.col("FlujoNetoDiario").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")).alias("f"))
+    w = Window.partitionBy("CuentaID").orderBy("Fecha")
+    runs = [F.when(F.row_number().over(w) >= h, F.sum("f").over(w.rowsBetween(1 - h, 0))).cast("double") for h in horizons]
+    wide = days.select("CuentaID", F.map_from_arrays(F.array(*[F.lit(h) for h in horizons]), F.array(*runs)).alias("m"))
+    return wide.select("CuentaID", F.explode("m").alias("HorizonteDias", "acc")).filter("acc is not null")
+
+
+def cfvar(flows: DataFrame, horizons=HORIZONS, lower: float = LOWER_BAND) -> DataFrame:
+    """CF-VaR / CVaR per account and horizon: quantiles of the observed h-day
+    sums, tail means below them, required buffer and the risk light.  One group
+    has at most as many sums as the calendar has days."""
+    acc = horizon_sums(flows, horizons)
+    keys = ["CuentaID", "HorizonteDias"]
+    q = acc.groupBy(*keys).agg(F.avg("acc").alias("mu"), F.stddev_pop("acc").alias("sd"), F.percentile("acc", [0.05, 0.01]).alias("q"),
+                               F.collect_list("acc").alias("all"))
+    below = lambda k: F.filter("all", lambda v: v <= F.col("q")[k])
+    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y) / F.size(a)
+    q = q.select(*keys, "mu", "sd", F.col("q")[0].alias("q95"), F.col("q")[1].alias("q99"), mean(below(0)).alias("cvar95"), mean(below(1)).alias("cvar99"))
+    loss = lambda c: F.abs(F.least(F.lit(0.0), F.col(c)))
+    return q.select(
+        *keys, F.round("mu", 6).alias("FlujoMedioEsperado"), F.round("sd", 6).alias("DesvioEstandar"),
+        F.round("q95", 6).alias("FlujoMinimo_Percentil_5"), F.round("q99", 6).alias("FlujoMinimo_Percentil_1"),
+        F.round(loss("q95"), 6).alias("CF_VaR_95"), F.round(loss("q99"), 6).alias("CF_VaR_99"),
+        F.round(loss("cvar95"), 6).alias("CVaR_95_ExpectedShortfall"), F.round(loss("cvar99"), 6).alias("CVaR_99_ExpectedShortfall"),
+        F.round(loss("cvar95") + lower, 6).alias("BufferLiquidezRequerido"),
+        F.when(F.col("q95") >= 0, "RIESGO CONTROLADO").when(F.col("q95") >= MODERATE_DEFICIT, "ALERTA DEFICIT MODERADO")
         .otherwise("CRITICO REQUERIMIENTO BUFFER").alias("SemaforoRiesgo"))
 
 
-def cfvar_sql(horizons=(30, 60, 90), n_paths=10000, seed=101, lower=LOWER_BAND) -> str:
-    parts = []
-    for hz in horizons:
-        parts.append(f"""SELECT {hz} AS HorizonteDias, acc FROM (
-      SELECT sim, CAST(SUM(o.f) AS DOUBLE) AS acc FROM (
-        SELECT id // {hz} AS sim, id % {hz} AS day FROM range(0, {n_paths * hz}) r(id)) dr
-      JOIN obs o ON o.idx = CAST(floor((((dr.sim * 7919 + dr.day * 104729 + {seed + hz}) * 2654435761) % 4294967296)
-                                        * (SELECT COUNT(*) FROM obs) / 4294967296) AS BIGINT)
-      GROUP BY sim) t{hz}""")
-    return with_ctes(B.flujos_sql(False), """obs AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY Fecha, CuentaID) - 1 AS idx, CAST(FlujoNetoDiario AS DECIMAL(18,2)) AS f FROM flujos)""",
-                     "paths AS (" + "\n  UNION ALL\n".join(parts) + ")", """st AS (
-  SELECT HorizonteDias, avg(acc) AS mu, stddev_pop(acc) AS sd, quantile_cont(acc, 0.05) AS q95,
-         quantile_cont(acc, 0.01) AS q99 FROM paths GROUP BY HorizonteDias)""", """tl AS (
-  SELECT p.HorizonteDias, avg(CASE WHEN acc <= q95 THEN acc END) AS cvar95, avg(CASE WHEN acc <= q99 THEN acc END) AS cvar99
-  FROM paths p JOIN st s ON p.HorizonteDias = s.HorizonteDias GROUP BY p.HorizonteDias)""") + f"""SELECT s.HorizonteDias,
-  round(mu, 2) AS FlujoMedioEsperado, round(sd, 2) AS DesvioEstandar, round(q95, 2) AS FlujoMinimo_Percentil_5,
-  round(q99, 2) AS FlujoMinimo_Percentil_1, round(-least(0.0, q95), 2) AS CF_VaR_95, round(-least(0.0, q99), 2) AS CF_VaR_99,
-  round(-least(0.0, cvar95), 2) AS CVaR_95_ExpectedShortfall, round(-least(0.0, cvar99), 2) AS CVaR_99_ExpectedShortfall,
-  round(abs(least(0.0, cvar95)) + {lower}, 2) AS BufferLiquidezRequerido,
-  CASE WHEN q95 >= 0 THEN 'RIESGO CONTROLADO' WHEN q95 >= -15000000 THEN 'ALERTA DEFICIT MODERADO'
-       ELSE 'CRITICO REQUERIMIENTO BUFFER' END AS SemaforoRiesgo
-FROM st s JOIN tl t ON s.HorizonteDias = t.HorizonteDias"""
-
-
-@query("cfvar", cfvar_sql())
+def _runs_sql(horizons=HORIZONS, per_user: bool = True) -> str:
+    """Oracle: each run of days by a self-join of the flows on dates."""
+    return with_ctes(B.flujos_sql(per_user), "span AS (SELECT CuentaID, min(Fecha) AS a, max(Fecha) AS z FROM flujos GROUP BY CuentaID)", f"""runs AS (
+  SELECT s.CuentaID, h AS HorizonteDias, e.fin, COALESCE(SUM(CAST(f.FlujoNetoDiario AS DECIMAL(18,2))), 0)::DOUBLE AS acc
+  FROM span s, (VALUES {', '.join(f'({h})' for h in horizons)}) hh(h),
+       LATERAL (SELECT CAST(unnest(generate_series(s.a + h - 1, s.z, INTERVAL 1 DAY)) AS DATE) AS fin) e
+  LEFT JOIN flujos f ON f.CuentaID = s.CuentaID AND f.Fecha <= e.fin AND f.Fecha > e.fin - h
+  GROUP BY ALL)""")
+
+
+_CFVAR_SQL = _runs_sql() + f""", st AS (
+  SELECT CuentaID, HorizonteDias, avg(acc) AS mu, stddev_pop(acc) AS sd, quantile_cont(acc, 0.05) AS q95, quantile_cont(acc, 0.01) AS q99
+  FROM runs GROUP BY 1, 2),
+tl AS (
+  SELECT CuentaID, HorizonteDias, avg(acc) FILTER (WHERE acc <= q95) AS c95, avg(acc) FILTER (WHERE acc <= q99) AS c99
+  FROM runs JOIN st USING (CuentaID, HorizonteDias) GROUP BY 1, 2)
+SELECT CuentaID, HorizonteDias, round(mu, 6) AS FlujoMedioEsperado, round(sd, 6) AS DesvioEstandar, round(q95, 6) AS FlujoMinimo_Percentil_5,
+  round(q99, 6) AS FlujoMinimo_Percentil_1, round(greatest(0.0, -q95), 6) AS CF_VaR_95, round(greatest(0.0, -q99), 6) AS CF_VaR_99,
+  round(greatest(0.0, -c95), 6) AS CVaR_95_ExpectedShortfall, round(greatest(0.0, -c99), 6) AS CVaR_99_ExpectedShortfall,
+  round(greatest(0.0, -c95) + {LOWER_BAND}, 6) AS BufferLiquidezRequerido,
+  CASE WHEN q95 >= 0 THEN 'RIESGO CONTROLADO' WHEN q95 >= {MODERATE_DEFICIT} THEN 'ALERTA DEFICIT MODERADO' ELSE 'CRITICO REQUERIMIENTO BUFFER' END AS SemaforoRiesgo
+FROM st JOIN tl USING (CuentaID, HorizonteDias)"""
+
+
+@query("cfvar", _CFVAR_SQL)
 def q_cfvar(spark, d):
-    return cfvar(spark, B.flujos(spark, d))
+    return cfvar(B.flujos(spark, d, per_user=True))
 
 
-_QLIST = "[" + ", ".join(repr((0.5 + i) / 100.0) for i in range(100)) + "]"
+# Tail zones of the quantile curve.
+ZONES = [(1.0, "Cola Critica 1%"), (5.0, "Cola Alerta 5%"), (95.0, "Rango Mediano")]
+ZONE_ABOVE = "Cola Superavitaria"
+_POINTS = [0.5 + k for k in range(100)]
 
 
-@query("risk_quantile_curve", with_ctes(B.flujos_sql(False), """obs AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY Fecha, CuentaID) - 1 AS idx, CAST(FlujoNetoDiario AS DECIMAL(18,2)) AS f FROM flujos)""",
-    """paths AS (SELECT sim, CAST(SUM(o.f) AS DOUBLE) AS acc FROM (
-        SELECT id // 30 AS sim, id % 30 AS day FROM range(0, 300000) r(id)) dr
-      JOIN obs o ON o.idx = CAST(floor((((dr.sim * 7919 + dr.day * 104729 + 131) * 2654435761) % 4294967296)
-                                        * (SELECT COUNT(*) FROM obs) / 4294967296) AS BIGINT)
-      GROUP BY sim)""", f"q AS (SELECT quantile_cont(acc, {_QLIST}) AS qs FROM paths)") + """SELECT round(0.5 + i, 1) AS Percentil,
-  round(qs[i + 1], 2) AS FlujoAcumuladoSimulado,
-  CASE WHEN 0.5 + i <= 1.0 THEN 'Cola Critica 1%' WHEN 0.5 + i <= 5.0 THEN 'Cola Alerta 5%'
-       WHEN 0.5 + i <= 95.0 THEN 'Rango Mediano' ELSE 'Cola Superavitaria' END AS ZonaRiesgo
-FROM q, range(0, 100) r(i)""")
+def _zone_sql(p: str) -> str:
+    return "CASE " + " ".join(f"WHEN {p} <= {limit} THEN '{name}'" for limit, name in ZONES) + f" ELSE '{ZONE_ABOVE}' END"
+
+
+@query("risk_quantile_curve", _runs_sql((7,)) + f""", q AS (
+  SELECT CuentaID, quantile_cont(acc, {[p / 100 for p in _POINTS]}) AS qs FROM runs GROUP BY CuentaID)
+SELECT CuentaID, 0.5 + i AS Percentil, round(qs[i + 1], 6) AS FlujoAcumulado, {_zone_sql('0.5 + i')} AS ZonaRiesgo FROM q, range(0, 100) r(i)""")
 def q_risk_quantile_curve(spark, d):
-    """100 percentiles (0.5 ... 99.5) of the 30-day simulated flow, with the
-    tail zone of each point."""
-    paths = simulate_paths(spark, B.flujos(spark, d), horizons=(30,))
-    pts = [0.5 + i for i in range(100)]
-    q = paths.agg(F.percentile("acc", [p / 100.0 for p in pts]).alias("q"))
-    e = q.select(F.posexplode("q").alias("i", "v"))
+    """100 percentiles (0.5 ... 99.5) of each account's observed 7-day flow, with
+    the tail zone of each point."""
+    q = horizon_sums(B.flujos(spark, d, per_user=True), (7,)).groupBy("CuentaID").agg(F.percentile("acc", [p / 100 for p in _POINTS]).alias("q"))
     p = F.lit(0.5) + F.col("i")
-    return e.select(F.round(p, 1).alias("Percentil"), F.round("v", 2).alias("FlujoAcumuladoSimulado"),
-                    F.when(p <= 1.0, "Cola Critica 1%").when(p <= 5.0, "Cola Alerta 5%")
-                    .when(p <= 95.0, "Rango Mediano").otherwise("Cola Superavitaria").alias("ZonaRiesgo"))
+    zone = F.when(p <= ZONES[0][0], ZONES[0][1])
+    for limit, name in ZONES[1:]:
+        zone = zone.when(p <= limit, name)
+    return q.select("CuentaID", F.posexplode("q").alias("i", "v")).select(
+        "CuentaID", p.alias("Percentil"), F.round("v", 6).alias("FlujoAcumulado"), zone.otherwise(ZONE_ABOVE).alias("ZonaRiesgo"))
 
 
 # ---------------------------------------------------------------------------
@@ -353,20 +333,17 @@ def q_fx_treasury(spark, d):
 # Reverse stress testing: shock scenarios applied to data-derived bases
 # ---------------------------------------------------------------------------
 
-# Scenario parameters (user input; the source's four shock levels): id,
-# name, sales shock, extra collection days, input devaluation, rate shock (bps).
-SCENARIOS = [
-    ("ESC-01", "Escenario Base Linea Central", 0.0, 0, 0.0, 0),
-    ("ESC-02", "Shock Macroeconómico Moderado", -0.15, 18, 0.20, 400),
-    ("ESC-03", "Shock Cambiario & Caida Exportaciones", -0.25, 35, 0.35, 850),
-    ("ESC-04", "Reverse Stress Breakpoint (Quiebre Tecnico)", -0.38, 52, 0.55, 1500),
-]
+# Levels of the query; callers give their own table of scenarios.
+SCENARIOS = [("S0", "Sin shock", 0.0, 0, 0.0, 0), ("S1", "Leve", -0.1, 10, 0.1, 250),
+             ("S2", "Medio", -0.2, 30, 0.25, 500), ("S3", "Severo", -0.4, 60, 0.5, 1000)]
+SCENARIO_COLUMNS = ("EscenarioID string, NombreEscenario string, ShockVentasPct double, ShockMoraDias int, "
+                    "ShockDevaluacionInsumosPct double, ShockTasaInteresBps int")
 SOLVENCY_RULES = [("<=", 0, "INSOLVENCIA"), ("<", 15000000, "BUFFER ALERTA")]
 SOLVENCY_DEFAULT = "RESILIENTE"
 BASE_BUFFER_MONTHS = 1.0   # base solvency buffer = this many months of cost
 
 
-def stress_scenarios(spark, ventas: DataFrame, capital: DataFrame, scenarios=SCENARIOS,
+def stress_scenarios(scenarios: DataFrame, ventas: DataFrame, capital: DataFrame,
                      buffer_months: float = BASE_BUFFER_MONTHS) -> DataFrame:
     """Monthly cash impact of each scenario on the average month:
     sales shock x revenue - extra collection days x daily revenue - input
@@ -378,13 +355,10 @@ def stress_scenarios(spark, ventas: DataFrame, capital: DataFrame, scenarios=SCE
     ing = m.agg(F.avg("ing")).scalar()
     cost = m.agg(F.avg("cost")).scalar()
     cxc = capital.agg(F.avg(F.col("CuentasPorCobrar").cast("double"))).scalar()
-    sc = spark.createDataFrame(scenarios, "EscenarioID string, NombreEscenario string, ShockVentasPct double, "
-                                          "ShockMoraDias int, ShockDevaluacionInsumosPct double, "
-                                          "ShockTasaInteresBps int")
     impact = (F.col("ShockVentasPct") * ing - F.col("ShockMoraDias") * ing / 30.0
               - F.col("ShockDevaluacionInsumosPct") * cost - F.col("ShockTasaInteresBps") / 10000.0 * cxc)
     buf = cost * buffer_months + impact
-    return sc.select("EscenarioID", "NombreEscenario", "ShockVentasPct", "ShockMoraDias",
+    return scenarios.select("EscenarioID", "NombreEscenario", "ShockVentasPct", "ShockMoraDias",
                      "ShockDevaluacionInsumosPct", "ShockTasaInteresBps",
                      F.round(impact, 2).alias("ImpactoCajaNeto"), F.round(buf, 2).alias("BufferSolvenciaRestante"),
                      F.greatest(F.lit(0), F.floor(buf / (cost / 30.0))).cast("int").alias("DiasCoberturaRestante"))
@@ -414,26 +388,74 @@ _STRESS_SQL = with_ctes(B.ventas_sql(), B.CAPITAL_SQL, """m AS (
   CAST(greatest(0, floor((cost * {BASE_BUFFER_MONTHS} + impact) / (cost / 30.0))) AS INT) AS DiasCoberturaRestante
 FROM st""")
 def q_stress_scenarios(spark, d):
-    return stress_scenarios(spark, B.ventas(spark, d), B.capital_trabajo(spark, d))
+    return stress_scenarios(spark.createDataFrame(SCENARIOS, SCENARIO_COLUMNS), B.ventas(spark, d), B.capital_trabajo(spark, d))
 
 
 @query("stress_summary", _STRESS_SQL + f""", x AS (SELECT EscenarioID, NombreEscenario,
   round(impact, 2) AS imp, round(cost * {BASE_BUFFER_MONTHS} + impact, 2) AS buf,
   CAST(greatest(0, floor((cost * {BASE_BUFFER_MONTHS} + impact) / (cost / 30.0))) AS INT) AS dias FROM st)
 SELECT MIN(buf) AS BufferSolvenciaMinimo, MIN(dias) AS DiasCoberturaMinimo,
-  MAX(CASE WHEN EscenarioID = 'ESC-01' THEN buf END) AS BufferSolvenciaBase, MIN(imp) AS ImpactoCajaMaximo,
-  arg_min(NombreEscenario, buf) AS EscenarioMayorRiesgo,
+  MAX(CASE WHEN EscenarioID = 'S0' THEN buf END) AS BufferSolvenciaBase, MIN(imp) AS ImpactoCajaMaximo,
+  (array_agg(NombreEscenario ORDER BY buf, NombreEscenario))[1] AS EscenarioMayorRiesgo,
   CASE WHEN MIN(buf) <= 0 THEN 'INSOLVENCIA' WHEN MIN(buf) < 15000000 THEN 'BUFFER ALERTA' ELSE 'RESILIENTE' END AS SemaforoSolvencia
 FROM x""")
 def q_stress_summary(spark, d):
     """Minimum buffer and cover, base buffer, largest impact, the worst
     scenario (min_by) and the solvency light."""
-    s = stress_scenarios(spark, B.ventas(spark, d), B.capital_trabajo(spark, d))
+    s = stress_scenarios(spark.createDataFrame(SCENARIOS, SCENARIO_COLUMNS), B.ventas(spark, d), B.capital_trabajo(spark, d))
     g = s.agg(F.min("BufferSolvenciaRestante").alias("BufferSolvenciaMinimo"),
               F.min("DiasCoberturaRestante").alias("DiasCoberturaMinimo"),
-              F.max(F.when(F.col("EscenarioID") == "ESC-01", F.col("BufferSolvenciaRestante"))).alias("BufferSolvenciaBase"),
+              F.max(F.when(F.col("EscenarioID") == "S0", F.col("BufferSolvenciaRestante"))).alias("BufferSolvenciaBase"),
               F.min("ImpactoCajaNeto").alias("ImpactoCajaMaximo"),
-              F.min_by("NombreEscenario", "BufferSolvenciaRestante").alias("EscenarioMayorRiesgo"))
+              F.min(F.struct("BufferSolvenciaRestante", "NombreEscenario"))["NombreEscenario"].alias("EscenarioMayorRiesgo"))
     b = F.col("BufferSolvenciaMinimo")
     return g.withColumn("SemaforoSolvencia", F.when(b <= 0, "INSOLVENCIA").when(b < 15000000, "BUFFER ALERTA")
                         .otherwise("RESILIENTE"))
+
+
+# ---------------------------------------------------------------------------
+# Monthly forward curve and export receivables
+# ---------------------------------------------------------------------------
+
+# Labels of the forward/spot check and its limit.
+FORWARD_OK, FORWARD_ALERT, FORWARD_CORRELATION = "OK", "ALERTA", 0.95
+
+
+@query("cip_monthly", with_ctes(B.MERCADO_SQL, _cip_sql()) + f""", c AS (
+  SELECT CAST(date_trunc('month', Fecha) AS DATE) AS Mes, TipoCambioSpot AS s, Forward30d AS f FROM cip),
+m AS (SELECT Mes, avg(s) AS s, avg(f) AS f FROM c GROUP BY Mes)
+SELECT Mes, round(s, 6) AS Spot, round(f, 6) AS Forward30d, round((f - s) / s, 8) AS Prima,
+  round((SELECT corr(s, f) FROM m), 6) AS Correlacion, CASE WHEN (SELECT corr(s, f) FROM m) > {FORWARD_CORRELATION} THEN '{FORWARD_OK}' ELSE '{FORWARD_ALERT}' END AS Chequeo
+FROM m""")
+def q_cip_monthly(spark, d):
+    """Monthly mean spot and 30-day forward, the premium, and the check that the
+    two move together over all months."""
+    c = cip_forward(B.mercado(spark, d))
+    m = c.groupBy(F.trunc("Fecha", "month").alias("Mes")).agg(F.avg("TipoCambioSpot").alias("s"), F.avg("Forward30d").alias("f"))
+    r = m.agg(F.corr("s", "f")).scalar()
+    return m.withColumn("r", r).select(
+        "Mes", F.round("s", 6).alias("Spot"), F.round("f", 6).alias("Forward30d"), F.round((F.col("f") - F.col("s")) / F.col("s"), 8).alias("Prima"),
+        F.round("r", 6).alias("Correlacion"), F.when(F.col("r") > FORWARD_CORRELATION, FORWARD_OK).otherwise(FORWARD_ALERT).alias("Chequeo"))
+
+
+@query("receivables_fx", with_ctes(B.cobranzas_sql(), B.MERCADO_SQL) + """SELECT Anio, round(avg(PlazoDiasCobro), 4) AS PlazoPromedioCobroDias, CAST(COUNT(*) AS BIGINT) AS Cobranzas,
+  (SELECT CAST(SUM(ImporteFOB) AS DOUBLE) FROM cobranzas WHERE EstadoCobranza = 'Pendiente') AS CobranzasPendientes,
+  (SELECT CAST(SUM(ImporteFOB) AS DOUBLE) FROM cobranzas WHERE EstadoCobranza = 'Cobrado') AS CobranzasCobradas,
+  (SELECT COUNT(*) FROM cobranzas WHERE EstadoCobranza = 'Pendiente') AS CantidadPendientes,
+  round((SELECT CAST(SUM(ImporteFOB) AS DOUBLE) FROM cobranzas WHERE EstadoCobranza = 'Pendiente')
+        * (SELECT TipoCambioSpot FROM mercado WHERE Fecha = (SELECT max(Fecha) FROM mercado)), 2) AS ExposicionNetaLocal
+FROM cobranzas GROUP BY Anio""")
+def q_receivables_fx(spark, d):
+    """Per year: mean term and count in that year; amounts pending and collected,
+    pending count and exposure at the latest spot over all years, as those
+    measures drop the calendar filter."""
+    c = B.cobranzas(spark, d)
+    pending = F.col("EstadoCobranza") == "Pendiente"
+    whole = c.agg(F.sum(F.when(pending, F.col("ImporteFOB"))).cast("double").alias("p"), F.sum(F.when(~pending, F.col("ImporteFOB"))).cast("double").alias("c"),
+                  F.count_if(pending).alias("n"))
+    spot = B.mercado(spark, d).agg(F.max(F.struct("Fecha", "TipoCambioSpot"))["TipoCambioSpot"].alias("s"))
+    by_year = c.groupBy("Anio").agg(F.round(F.avg("PlazoDiasCobro"), 4).alias("PlazoPromedioCobroDias"), F.count(F.lit(1)).alias("Cobranzas"))
+    # one-row tables on the right
+    return by_year.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(spot)).select(
+        "Anio", "PlazoPromedioCobroDias", "Cobranzas", F.col("p").alias("CobranzasPendientes"), F.col("c").alias("CobranzasCobradas"),
+        F.col("n").alias("CantidadPendientes"), F.round(F.col("p") * F.col("s"), 2).alias("ExposicionNetaLocal"))

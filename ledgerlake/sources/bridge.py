@@ -375,3 +375,27 @@ def flujos_sql(per_user: bool = False) -> str:
     return f"""flujos AS (
   SELECT {key} AS CuentaID, CAST(ts AS DATE) AS Fecha, CAST(SUM({FLOW}) AS DOUBLE) AS FlujoNetoDiario
   FROM events GROUP BY 1, 2)"""
+
+
+# ---------------------------------------------------------------------------
+# Export receivables: orders of the export segment
+# ---------------------------------------------------------------------------
+
+RECEIVABLE = ("CASE WHEN o_orderstatus = 'F' THEN 'Cobrado' ELSE 'Pendiente' END", "30 * CAST(substr(o_orderpriority, 1, 1) AS INT)")
+
+
+def cobranzas(spark: SparkSession, d: str) -> DataFrame:
+    """One row per export order: amount, whether it is paid, term in days (30 for
+    each step of the order's priority)."""
+    o = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = read(spark, d, "customer", "c_custkey", "c_mktsegment").filter(F.col("c_mktsegment") == EXPORT_SEGMENT)
+    j = o.join(small(c, d, "customer", 32), o.o_custkey == c.c_custkey)
+    return j.select(F.col("o_orderkey").alias("CobranzaID"), F.year("o_orderdate").alias("Anio"), _e(f"CAST(o_totalprice AS {MONEY})").alias("ImporteFOB"),
+                    _e(RECEIVABLE[0]).alias("EstadoCobranza"), _e(RECEIVABLE[1]).alias("PlazoDiasCobro"))
+
+
+def cobranzas_sql() -> str:
+    return f"""cobranzas AS (
+  SELECT o_orderkey AS CobranzaID, year(o_orderdate) AS Anio, CAST(o_totalprice AS {MONEY}) AS ImporteFOB, {RECEIVABLE[0]} AS EstadoCobranza,
+         {RECEIVABLE[1]} AS PlazoDiasCobro
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = '{EXPORT_SEGMENT}')"""

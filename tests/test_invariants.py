@@ -30,7 +30,7 @@ def test_miller_orr_band_order_and_var_order(spark):
                      (F.col("Punto_Retorno_Z") < F.col("Banda_Superior_H")))).count()
     assert bad == 0
     v = registry.QUERIES["cfvar"](spark, SF001).collect()
-    assert len(v) == 3
+    assert {r.HorizonteDias for r in v} == {3, 7, 14}
     for r in v:
         assert r.CF_VaR_99 >= r.CF_VaR_95 and r.CVaR_95_ExpectedShortfall >= r.CF_VaR_95
 
