@@ -7,9 +7,10 @@ compounded each year by the inflation known when the budget was made (the
 previous year's December-on-December change of the unit-price index) times
 (1 + drift).  Noise terms of the source are off (deterministic).
 
-No grid cross join: the non-empty cells are the base-year cells plus the
-prior-year cells shifted one year and kept where that month is observed.
-Zero-volume cells carry no amount, so sums are unchanged.
+The result is the full grid of observed months x products x cost centres (the
+month list is exploded per product and cost centre, no cross join); cells
+without a prior-year sale have volume 0.  ``product`` names the grain: the line
+(default) or the SKU.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from ledgerlake.session import materialise
 from ledgerlake.sources import bridge as B
 
 
-def actual_cells(ventas: DataFrame) -> DataFrame:
-    return ventas.groupBy("MesDateKey", "AnioMes", "Anio", "Mes", F.col("Linea").alias("ProductoID"),
+def actual_cells(ventas: DataFrame, product: str = "Linea") -> DataFrame:
+    return ventas.groupBy("MesDateKey", "AnioMes", "Anio", "Mes", F.col(product).alias("ProductoID"),
                           "CentroCostoID").agg(
         F.sum("VolumenReal").alias("VolumenReal"), F.sum("IngresosReales").alias("IngresosReales"),
         F.sum("CostoReal").alias("CostoReal"))
@@ -54,8 +55,8 @@ def inflation_assumption(cells: DataFrame) -> DataFrame:
 
 
 def budget_prior_year(ventas: DataFrame, vol_drift: float = 0.0, price_drift: float = 0.0,
-                      cost_drift: float = 0.0, write: bool = True) -> DataFrame:
-    cells = actual_cells(ventas)
+                      cost_drift: float = 0.0, write: bool = True, product: str = "Linea") -> DataFrame:
+    cells = actual_cells(ventas, product)
     if write:
         # the cell aggregate (months x lines x cost centres, bounded by the
         # dimensions) feeds six branches below: write it once to the shared
@@ -78,17 +79,19 @@ def budget_prior_year(ventas: DataFrame, vol_drift: float = 0.0, price_drift: fl
         "ProductoID",
         F.when(F.col("_v") > 0, F.col("_r").cast("double") / F.col("_v").cast("double")).alias("p0"),
         F.when(F.col("_v") > 0, F.col("_c").cast("double") / F.col("_v").cast("double")).alias("c0"))
-    months = cells.select("MesDateKey", "AnioMes", "Anio", "Mes").distinct()
+    # the grid: every observed month (a short list) for every product and cost centre
+    months = cells.select(F.struct("MesDateKey", "AnioMes", "Anio", "Mes").alias("m")).agg(F.collect_set("m")).scalar()
+    centres = cells.agg(F.collect_set("CentroCostoID")).scalar()
+    grid = (cells.select("ProductoID").distinct().withColumn("months", months).withColumn("centres", centres)
+            .select("ProductoID", F.explode("centres").alias("CentroCostoID"), "months")
+            .select("ProductoID", "CentroCostoID", F.inline("months")))
     base_cells = cells.join(base_year, cells.Anio == base_year.base, "left_semi").select(
-        "MesDateKey", "AnioMes", "Anio", "Mes", "ProductoID", "CentroCostoID",
-        F.round(F.col("VolumenReal")).cast("long").alias("VolumenPresupuestado"))
+        "Anio", "Mes", "ProductoID", "CentroCostoID", F.round(F.col("VolumenReal")).cast("long").alias("_v"))
     shifted = cells.select(
         (F.col("Anio") + 1).alias("Anio"), "Mes", "ProductoID", "CentroCostoID",
-        F.greatest(F.lit(0), F.round(F.col("VolumenReal").cast("double") * (1 + vol_drift)))
-        .cast("long").alias("VolumenPresupuestado"))
-    later = shifted.join(months, ["Anio", "Mes"]).select(
-        "MesDateKey", "AnioMes", "Anio", "Mes", "ProductoID", "CentroCostoID", "VolumenPresupuestado")
-    b = base_cells.unionByName(later)
+        F.greatest(F.lit(0), F.round(F.col("VolumenReal").cast("double") * (1 + vol_drift))).cast("long").alias("_v"))
+    b = grid.join(base_cells.unionByName(shifted), ["Anio", "Mes", "ProductoID", "CentroCostoID"], "left").withColumn(
+        "VolumenPresupuestado", F.coalesce("_v", F.lit(0).cast("long"))).drop("_v")
     b = b.join(fac, "Anio").join(anchors, "ProductoID", "left")
     px = F.round(F.col("p0") * F.col("fp"), 2).cast("decimal(18,2)")
     cs = F.round(F.col("c0") * F.col("fc"), 2).cast("decimal(18,2)")
@@ -101,9 +104,9 @@ def budget_prior_year(ventas: DataFrame, vol_drift: float = 0.0, price_drift: fl
     ).withColumn("MargenBrutoPresupuestado", F.col("IngresosPresupuestados") - F.col("CostoPresupuestado"))
 
 
-def budget_sql(vol_drift: float = 0.0, price_drift: float = 0.0, cost_drift: float = 0.0) -> str:
+def budget_sql(vol_drift: float = 0.0, price_drift: float = 0.0, cost_drift: float = 0.0, product: str = "Linea") -> str:
     return f"""cells AS (
-  SELECT MesDateKey, AnioMes, Anio, Mes, Linea AS ProductoID, CentroCostoID,
+  SELECT MesDateKey, AnioMes, Anio, Mes, {product} AS ProductoID, CentroCostoID,
          SUM(VolumenReal) AS VolumenReal, SUM(IngresosReales) AS IngresosReales, SUM(CostoReal) AS CostoReal
   FROM ventas GROUP BY 1, 2, 3, 4, 5, 6),
 idx AS (SELECT Anio, Mes, CAST(SUM(IngresosReales) AS DOUBLE) / CAST(SUM(VolumenReal) AS DOUBLE) AS idx
@@ -129,12 +132,12 @@ anchors AS (SELECT ProductoID,
          FROM cells WHERE Anio = (SELECT base FROM base_year) GROUP BY ProductoID),
 months AS (SELECT DISTINCT MesDateKey, AnioMes, Anio, Mes FROM cells),
 bcells AS (
-  SELECT MesDateKey, AnioMes, Anio, Mes, ProductoID, CentroCostoID, CAST(ROUND(VolumenReal) AS BIGINT) AS VolumenPresupuestado
-  FROM cells WHERE Anio = (SELECT base FROM base_year)
-  UNION ALL
-  SELECT m.MesDateKey, m.AnioMes, m.Anio, m.Mes, c.ProductoID, c.CentroCostoID,
-         CAST(greatest(0, ROUND(CAST(c.VolumenReal AS DOUBLE) * (1 + {vol_drift}))) AS BIGINT)
-  FROM cells c JOIN months m ON m.Anio = c.Anio + 1 AND m.Mes = c.Mes),
+  SELECT m.MesDateKey, m.AnioMes, m.Anio, m.Mes, p.ProductoID, k.CentroCostoID,
+         COALESCE(CASE WHEN m.Anio = (SELECT base FROM base_year) THEN CAST(ROUND(own.VolumenReal) AS BIGINT)
+                       ELSE CAST(greatest(0, ROUND(CAST(prev.VolumenReal AS DOUBLE) * (1 + {vol_drift}))) AS BIGINT) END, 0) AS VolumenPresupuestado
+  FROM months m CROSS JOIN (SELECT DISTINCT ProductoID FROM cells) p CROSS JOIN (SELECT DISTINCT CentroCostoID FROM cells) k
+  LEFT JOIN cells own ON own.MesDateKey = m.MesDateKey AND own.ProductoID = p.ProductoID AND own.CentroCostoID = k.CentroCostoID
+  LEFT JOIN cells prev ON prev.Anio = m.Anio - 1 AND prev.Mes = m.Mes AND prev.ProductoID = p.ProductoID AND prev.CentroCostoID = k.CentroCostoID),
 presupuesto0 AS (
   SELECT b.MesDateKey AS DateKey, b.AnioMes, b.Anio, b.Mes, b.ProductoID, b.CentroCostoID, b.VolumenPresupuestado,
          CAST(ROUND(a.p0 * f.fp, 2) AS DECIMAL(18,2)) AS PrecioPresupuestadoUnit,
@@ -167,6 +170,17 @@ def q_budget_prior_year(spark, d):
                        "CostoPresupuestado", "MargenBrutoPresupuestado")])
 
 
+@query("budget_by_sku_year", with_ctes(B.ventas_sql(), budget_sql(product="ProductoID")) + """SELECT ProductoID, CentroCostoID, Anio,
+  CAST(COUNT(*) AS BIGINT) AS Meses, CAST(SUM(VolumenPresupuestado) AS BIGINT) AS VolumenPresupuestado, CAST(SUM(IngresosPresupuestados) AS DOUBLE) AS IngresosPresupuestados
+FROM presupuesto GROUP BY 1, 2, 3""")
+def q_budget_by_sku_year(spark, d):
+    """The same budget at SKU grain (dense months x SKUs x cost centres), by year."""
+    b = budget_prior_year(B.ventas(spark, d), product="ProductoID")
+    return b.groupBy("ProductoID", "CentroCostoID", "Anio").agg(
+        F.count(F.lit(1)).alias("Meses"), F.sum("VolumenPresupuestado").alias("VolumenPresupuestado"),
+        F.sum("IngresosPresupuestados").cast("double").alias("IngresosPresupuestados"))
+
+
 @query("inflation_assumption", with_ctes(B.ventas_sql(), budget_sql()) + """SELECT Anio, inflacion FROM infl""")
 def q_inflation_assumption(spark, d):
     return inflation_assumption(actual_cells(B.ventas(spark, d))).select("Anio", "inflacion")

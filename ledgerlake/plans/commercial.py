@@ -146,7 +146,7 @@ def budget_by_channel(ventas: DataFrame, budget: DataFrame, export_channel: str
     share_v = F.when(is_exp | (F.coalesce(d("vol_dom"), F.lit(0.0)) == 0), F.lit(0.0)).otherwise(d("vol") / d("vol_dom"))
     bi = F.coalesce(d("bi_dom"), F.lit(0.0)) * share_i + F.when(is_exp, F.coalesce(d("bi_exp"), F.lit(0.0))).otherwise(0.0)
     bv = F.coalesce(d("bv_dom"), F.lit(0.0)) * share_v + F.when(is_exp, F.coalesce(d("bv_exp"), F.lit(0.0))).otherwise(0.0)
-    return j.select("Anio", "CanalVenta", d("ing").alias("IngresosReales"), F.round(bi, 4).alias("IngresosPresupuesto"),
+    return j.select("Anio", "CanalVenta", d("ing").alias("IngresosReales"), bi.alias("_plan"), F.round(bi, 4).alias("IngresosPresupuesto"),
                     F.round(bv, 4).alias("VolumenPresupuesto"),
                     F.round(F.when(bi == 0, 0.0).otherwise(d("ing") / bi), 10).alias("CumplimientoPresupuestoPct"),
                     F.round(F.when(bi == 0, 0.0).otherwise((d("ing") - bi) / bi), 10).alias("DesvioCuotaPct"))
@@ -172,4 +172,71 @@ def budget_by_channel(ventas: DataFrame, budget: DataFrame, export_channel: str
 FROM a""")
 def q_budget_allocation(spark, d):
     v = B.ventas(spark, d)
-    return budget_by_channel(v, BU.budget_prior_year(v))
+    return budget_by_channel(v, BU.budget_prior_year(v)).drop("_plan")
+
+
+# ---------------------------------------------------------------------------
+# Prices against the list, and the budget of a channel selection
+# ---------------------------------------------------------------------------
+
+# Limits, labels and rules of the price deviation.
+PRICE_BANDS = [("<", -0.05, "Critico"), ("<", 0.0, "Bajo Plan")]
+PRICE_BAND_ELSE = "En Plan"
+PRICE_RULES = [("<", -0.05, "Suspender bonificaciones y auditar acuerdos comerciales"), ("<", 0.0, "Revisar escala de volumen por canal y defender margen")]
+PRICE_RULE_ELSE = "Defender precio de lista y capitalizar pricing power"
+
+
+def price_vs_list(ventas: DataFrame, budget: DataFrame, by: list[str]) -> DataFrame:
+    """Average price against the budget's list price; gross billing is volume at
+    list price per product, added up over products; deductions are what is missing
+    to it.  Both facts are summed to ``by`` and product first, so sums are joined."""
+    k = [*by, "Linea"]
+    v = ventas.groupBy(*k).agg(F.sum("VolumenReal").cast("double").alias("q"), F.sum("IngresosReales").cast("double").alias("r"),
+                               F.sum("CostoReal").cast("double").alias("c"))
+    b = budget.withColumnRenamed("ProductoID", "Linea").groupBy(*k).agg(
+        F.sum("VolumenPresupuestado").cast("double").alias("qp"), F.sum("IngresosPresupuestados").cast("double").alias("rp"))
+    ratio = lambda a, c: F.when(F.coalesce(c, F.lit(0.0)) == 0, F.lit(0.0)).otherwise(a / c)
+    j = v.join(b, k, "full_outer").withColumn("gross", F.coalesce("q", F.lit(0.0)) * ratio(F.col("rp"), F.col("qp")))
+    g = j.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("q", "r", "c", "qp", "rp", "gross")])
+    price, listed = ratio(F.col("r"), F.col("q")), ratio(F.col("rp"), F.col("qp"))
+    dev = ratio(price - listed, listed)
+    return g.select(*by, F.round(price, 8).alias("PrecioPromedioReal"), F.round(listed, 8).alias("PrecioLista"), F.round(price - listed, 8).alias("DesvioPrecio"),
+                    F.round(ratio(listed - price, listed), 8).alias("DescuentoComercialPct"), F.round("gross", 2).alias("FacturacionBruta"),
+                    F.round(F.col("gross") - F.col("r"), 2).alias("Deducciones"), F.round(ratio(F.col("gross") - F.col("r"), F.col("gross")), 8).alias("DeduccionesPct"),
+                    F.round(F.col("r") - F.col("c"), 2).alias("MargenContribucion"), F.round(dev, 8).alias("DesvioPrecioPct"),
+                    band(dev, PRICE_BANDS, PRICE_BAND_ELSE).alias("SemaforoVariacionPrecio"), band(dev, PRICE_RULES, PRICE_RULE_ELSE).alias("ReglaDecisionPrecio"))
+
+
+@query("price_vs_list", with_ctes(B.ventas_sql(), BU.budget_sql(), """rows_ AS (
+  SELECT Anio, Linea AS l, VolumenReal AS q, IngresosReales AS r, CostoReal AS c, NULL AS qp, NULL AS rp FROM ventas
+  UNION ALL SELECT Anio, ProductoID, NULL, NULL, NULL, VolumenPresupuestado, IngresosPresupuestados FROM presupuesto)""", """per AS (
+  SELECT Anio, l, SUM(q)::DOUBLE AS q, SUM(r)::DOUBLE AS r, SUM(c)::DOUBLE AS c, SUM(qp)::DOUBLE AS qp, SUM(rp)::DOUBLE AS rp FROM rows_ GROUP BY 1, 2)""", """y AS (
+  SELECT Anio, SUM(q) AS q, SUM(r) AS r, SUM(c) AS c, SUM(rp) / SUM(qp) AS lst, SUM(r) / SUM(q) AS px,
+         SUM(CASE WHEN COALESCE(qp, 0) = 0 THEN 0 ELSE COALESCE(q, 0) * rp / qp END) AS gross FROM per GROUP BY Anio)""") + f"""SELECT Anio, round(px, 8) AS PrecioPromedioReal,
+  round(lst, 8) AS PrecioLista, round(px - lst, 8) AS DesvioPrecio, round(1 - px / lst, 8) AS DescuentoComercialPct, round(gross, 2) AS FacturacionBruta,
+  round(gross - r, 2) AS Deducciones, round(1 - r / gross, 8) AS DeduccionesPct, round(r - c, 2) AS MargenContribucion, round(px / lst - 1, 8) AS DesvioPrecioPct,
+  {band_sql('(px / lst - 1)', PRICE_BANDS, PRICE_BAND_ELSE)} AS SemaforoVariacionPrecio, {band_sql('(px / lst - 1)', PRICE_RULES, PRICE_RULE_ELSE)} AS ReglaDecisionPrecio
+FROM y""")
+def q_price_vs_list(spark, d):
+    v = B.ventas(spark, d)
+    return price_vs_list(v, BU.budget_prior_year(v), ["Anio"])
+
+
+SELECTED = ["BUILDING", "MACHINERY"]
+
+
+@query("com_channel_selection", with_ctes(B.ventas_sql(), BU.budget_sql()) + f"""SELECT y.Anio, CAST(sel AS DOUBLE) AS IngresosReales,
+  round(bd * CAST(dom_sel AS DOUBLE) / CAST(dom AS DOUBLE) + bx, 4) AS IngresosPresupuesto, round(CAST(sel AS DOUBLE) / (bd * CAST(dom_sel AS DOUBLE) / CAST(dom AS DOUBLE) + bx), 10) AS CumplimientoPct
+FROM (SELECT Anio, SUM(IngresosReales) FILTER (WHERE CanalVenta IN {tuple(SELECTED)}) AS sel,
+             SUM(IngresosReales) FILTER (WHERE CanalVenta IN {tuple(SELECTED)} AND CanalVenta <> '{B.EXPORT_SEGMENT}') AS dom_sel,
+             SUM(IngresosReales) FILTER (WHERE CanalVenta <> '{B.EXPORT_SEGMENT}') AS dom FROM ventas GROUP BY Anio) y
+JOIN (SELECT Anio, CAST(SUM(IngresosPresupuestados) FILTER (WHERE CentroCostoID = '{B.CC_DOMESTIC}') AS DOUBLE) AS bd,
+             CAST(SUM(IngresosPresupuestados) FILTER (WHERE CentroCostoID = '{B.CC_EXPORT}') AS DOUBLE) AS bx FROM presupuesto GROUP BY Anio) b USING (Anio)""")
+def q_com_channel_selection(spark, d):
+    """Budget of a channel selection: the shares come from sales that ignore the
+    channel filter, intersected with the selection again; the export plan counts
+    if its channel is selected."""
+    v = B.ventas(spark, d)
+    parts = budget_by_channel(v, BU.budget_prior_year(v)).filter(F.col("CanalVenta").isin(SELECTED))
+    g = parts.groupBy("Anio").agg(F.sum("IngresosReales").alias("IngresosReales"), F.sum("_plan").alias("p"))
+    return g.select("Anio", "IngresosReales", F.round("p", 4).alias("IngresosPresupuesto"), F.round(F.col("IngresosReales") / F.col("p"), 10).alias("CumplimientoPct"))

@@ -7,7 +7,10 @@ relationship does), aggregated once at the ``by`` grain, the per-fact results
 are full-outer joined on ``by``, and derived measures are added in
 dependency layers.  Two-level measures (SUMX over products) aggregate at
 ``by`` + product first.  Same-period-last-year values come from the same fact
-aggregated with the year shifted by one.
+with every month key moved one year on, so they hold at any grain.  A dimension
+that a fact does not have leaves it unfiltered and unsplit: its value repeats.
+``remove`` names slicers that some sums ignore; ``total`` adds a row that is
+evaluated again at total level.
 
 Measure expressions are SQL text over base sums and other measures, so the
 DuckDB oracle evaluates the very same definitions on its own aggregation.
@@ -16,7 +19,7 @@ DuckDB oracle evaluates the very same definitions on its own aggregation.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +35,7 @@ class Fact:
     sql_ctes: list
     dims: set
     aggs: dict
-    prior_year: set = field(default_factory=set)
+    table: str = ""
 
 
 CUBE_DIMS = ["MesDateKey", "AnioMes", "Anio", "Mes", "Linea", "Segmento", "CanalVenta", "CentroCostoID"]
@@ -79,19 +82,22 @@ FACTS = {
               _TIME | {"Linea", "Segmento", "CanalVenta", "CentroCostoID"},
               {"vol_real": "SUM(VolumenReal)", "ing_real": "SUM(IngresosReales)",
                "costo_real": "SUM(CostoReal)", "mb_real": "SUM(MargenBrutoReal)",
-               "fact_bruta": "SUM(FacturacionBruta)"},
-              prior_year={"ing_real"}),
+               "fact_bruta": "SUM(FacturacionBruta)"}, "ventas"),
+    "Y": Fact("ventas del anio anterior", None, [B.ventas_sql(), """ventas_y AS (
+  SELECT * REPLACE (MesDateKey + 10000 AS MesDateKey, Anio + 1 AS Anio, CAST(Anio + 1 AS VARCHAR) || substr(AnioMes, 5) AS AnioMes)
+  FROM ventas WHERE MesDateKey + 10000 <= (SELECT max(MesDateKey) FROM ventas))"""],
+              _TIME | {"Linea", "Segmento", "CanalVenta", "CentroCostoID"}, {"ing_real_py": "SUM(IngresosReales)"}, "ventas_y"),
     "P": Fact("presupuesto", _presupuesto, [B.ventas_sql(), BU.budget_sql(),
                                             "presupuesto_l AS (SELECT *, ProductoID AS Linea FROM presupuesto)"],
               _TIME | {"Linea", "CentroCostoID"},
               {"vol_ppto": "SUM(VolumenPresupuestado)", "ing_ppto": "SUM(IngresosPresupuestados)",
-               "costo_ppto": "SUM(CostoPresupuestado)", "mb_ppto": "SUM(MargenBrutoPresupuestado)"}),
+               "costo_ppto": "SUM(CostoPresupuestado)", "mb_ppto": "SUM(MargenBrutoPresupuestado)"}, "presupuesto_l"),
     "G": Fact("gastos", _gastos, [B.GASTOS_SQL.replace(
         "gastos AS (\n  SELECT DateKey,", "gastos AS (\n  SELECT CAST(DateKey / 10000 AS INT) AS Anio, "
         "CAST(DateKey / 100 % 100 AS INT) AS Mes, DateKey,").replace(
         "GROUP BY DateKey, AnioMes", "GROUP BY CAST(DateKey / 10000 AS INT), CAST(DateKey / 100 % 100 AS INT), DateKey, AnioMes")],
               _TIME | {"CentroCostoID", "CuentaID"},
-              {"opex_real": "SUM(OPEXReal)", "opex_ppto": "SUM(OPEXPresupuestado)"}),
+              {"opex_real": "SUM(OPEXReal)", "opex_ppto": "SUM(OPEXPresupuestado)"}, "gastos"),
     "K": Fact("capital", _capital, [B.CAPITAL_SQL.replace(
         "capital AS (\n  SELECT *,", "capital AS (\n  SELECT *, CAST(DateKey / 10000 AS INT) AS Anio, "
         "CAST(DateKey / 100 % 100 AS INT) AS Mes,")],
@@ -99,7 +105,7 @@ FACTS = {
               {"dso": "CAST(SUM(DSO_DiasCobro) AS DOUBLE) / COUNT(DSO_DiasCobro)",
                "dio": "CAST(SUM(DIO_DiasInventario) AS DOUBLE) / COUNT(DIO_DiasInventario)",
                "dpo": "CAST(SUM(DPO_DiasPago) AS DOUBLE) / COUNT(DPO_DiasPago)",
-               "cxc": "SUM(CuentasPorCobrar)", "inv": "SUM(Inventario)", "cxp": "SUM(CuentasPorPagar)"}),
+               "cxc": "SUM(CuentasPorCobrar)", "inv": "SUM(Inventario)", "cxp": "SUM(CuentasPorPagar)"}, "capital"),
 }
 
 # Spark integer division differs from DuckDB's: fix the year/month split in
@@ -213,7 +219,7 @@ CTL = [
                               "abs(EfectoPrecio) >= abs(EfectoCosto) THEN 'Efecto Precio (EP)' ELSE 'Efecto Costo (EC)' END"),
 ]
 
-BASES = {b for f in FACTS.values() for b in f.aggs} | {"ev", "ep", "ec", "ing_real_py"}
+BASES = {b for f in FACTS.values() for b in f.aggs} | {"ev", "ep", "ec"}
 
 
 def _refs(expr: str, names: set) -> set:
@@ -256,55 +262,74 @@ def _filter_sql(where: dict, dims: set) -> str:
     return (" WHERE " + " AND ".join(conds)) if conds else ""
 
 
-def evaluate(spark, d: str, measures, by: list[str], where: dict | None = None) -> DataFrame:
-    where = where or {}
+MONTH_COLUMNS = ["MesDateKey", "AnioMes", "Anio", "Mes"]
+
+
+def _prior_year(ventas: DataFrame) -> DataFrame:
+    """The sales with their months moved one year on, as far as the data go."""
+    last = ventas.agg(F.max("MesDateKey")).scalar()
+    moved = ventas.withColumns({"MesDateKey": F.col("MesDateKey") + 10000, "Anio": F.col("Anio") + 1,
+                                "AnioMes": F.concat((F.col("Anio") + 1).cast("string"), F.substring("AnioMes", 5, 3))})
+    return moved.filter(F.col("MesDateKey") <= last)
+
+
+def _joined(parts: list[tuple[list[str], DataFrame]], by: list[str]) -> DataFrame:
+    """Parts with all of ``by`` are full-outer joined; one that lacks some joins
+    on those it has, so its value repeats (one row if it has none)."""
+    whole = [df for keys, df in parts if keys == by]
+    if not whole:
+        raise ValueError(f"no fact has the dimensions {by}")
+    out = whole[0]
+    for df in whole[1:]:
+        out = out.join(df, by, "full_outer") if by else out.crossJoin(df)  # one row on either side
+    for keys, df in parts:
+        if keys != by:
+            out = out.join(df, keys, "left") if keys else out.crossJoin(F.broadcast(df))  # df has one row
+    return out
+
+
+def evaluate(spark, d: str, measures, by: list[str], where: dict | None = None, total: bool = False,
+             remove: dict[str, list[str]] | None = None, cube: DataFrame | None = None) -> DataFrame:
+    """Measures by ``by`` under the slicers ``where``.  ``remove``: base sum ->
+    columns whose slicers and grouping it ignores."""
+    where, remove = where or {}, remove or {}
     need = needed_bases(measures)
-    parts = []
-    built: dict[str, DataFrame] = {}
+    parts: list[tuple[list[str], DataFrame]] = []
+    built: dict[str, DataFrame] = {"V": cube} if cube is not None else {}
 
     def src_of(key):
         # each fact is planned once per evaluation: branches share one plan
         # (and the budget's materialised cells)
         if key not in built:
-            if key == "P":
-                built[key] = _presupuesto(spark, d, src_of("V"))
-            else:
-                built[key] = FACTS[key].builder(spark, d)
+            built[key] = (_presupuesto(spark, d, src_of("V")) if key == "P" else _prior_year(src_of("V")) if key == "Y"
+                          else FACTS[key].builder(spark, d))
         return built[key]
 
     for key, f in FACTS.items():
-        cols = [b for b in f.aggs if b in need]
-        if not cols:
-            continue
-        if not set(by) <= f.dims:
-            raise ValueError(f"fact {f.name} lacks {set(by) - f.dims}")
-        src = _filter(src_of(key), where, f.dims)
-        g = src.groupBy(*by).agg(*[F.expr(f.aggs[c]).cast("double").alias(c) for c in cols])
-        parts.append(g)
-        if key == "V" and "ing_real_py" in need:
-            py_where = {k: v for k, v in where.items() if k != "Anio"}
-            py_src = _filter(src_of(key), py_where, f.dims)
-            if "Anio" in where:
-                years = where["Anio"] if isinstance(where["Anio"], (list, tuple)) else [where["Anio"]]
-                py_src = py_src.filter(F.col("Anio").isin(*[y - 1 for y in years]))
-            py = py_src.withColumn("Anio", F.col("Anio") + 1).groupBy(*by).agg(
-                F.expr("SUM(IngresosReales)").cast("double").alias("ing_real_py"))
-            parts.append(py)
+        wanted: dict[tuple, list[str]] = {}
+        for b in f.aggs:
+            if b in need:
+                wanted.setdefault(tuple(remove.get(b, ())), []).append(b)
+        for gone, cols in wanted.items():
+            keys = [c for c in by if c in f.dims and c not in gone]
+            src = _filter(src_of(key), {c: v for c, v in where.items() if c not in gone}, f.dims)
+            parts.append((keys, src.groupBy(*keys).agg(*[F.expr(f.aggs[c]).cast("double").alias(c) for c in cols])))
     if need & {"ev", "ep", "ec"}:
-        parts.append(_variance_terms(src_of("V"), src_of("P"), by, where))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, by, "full_outer") if by else out.join(p)
-    if "ing_real_py" in need:
-        # prior-year rows only matter where the current context has a row
-        present = [c for c in out.columns if c not in by and c != "ing_real_py"]
-        cond = F.col(present[0]).isNotNull()
-        for c in present[1:]:
-            cond = cond | F.col(c).isNotNull()
-        out = out.filter(cond)
+        keys = [c for c in by if c in FACTS["P"].dims]
+        parts.append((keys, _variance_terms(src_of("V"), src_of("P"), keys, where)))
+    own = [p for p in parts if "ing_real_py" not in p[1].columns]
+    prior = [p for p in parts if "ing_real_py" in p[1].columns]
+    out = _joined(own or prior, by)
+    for keys, df in prior if own else []:  # only where the current context has a row
+        out = out.join(df, keys, "left") if keys else out.crossJoin(F.broadcast(df))
     for layer in layers(measures):
         out = out.withColumns({n: F.expr(e) for n, e in layer})
-    return out.select(*by, *[n for n, _ in measures])
+    out = out.select(*by, *[n for n, _ in measures])
+    if total and by:
+        types = dict(out.dtypes)
+        whole = evaluate(spark, d, measures, [], where, remove=remove, cube=built.get("V"))
+        out = out.unionByName(whole.select(*[F.lit(None).cast(types[c]).alias(c) for c in by], *whole.columns))
+    return out
 
 
 def _variance_terms(ventas, budget, by, where):
@@ -329,62 +354,54 @@ def _variance_terms(ventas, budget, by, where):
         F.sum(F.expr("_qr * (_cpl - _crl)")).alias("ec"))
 
 
-def evaluate_sql(measures, by: list[str], where: dict | None = None) -> str:
-    """The same evaluation as DuckDB SQL (oracle)."""
-    where = where or {}
+def evaluate_sql(measures, by: list[str], where: dict | None = None, total: bool = False,
+                 remove: dict[str, list[str]] | None = None) -> str:
+    """Oracle.  For each context row and base sum a scalar subquery over the fact's
+    own rows that agree with the row and the slicers, as a filter context is
+    defined; the measures' formulas, being data, are the same."""
+    where, remove = where or {}, remove or {}
     need = needed_bases(measures)
-    ctes, seen, parts = [], set(), []
-    for key, f in FACTS.items():
-        cols = [b for b in f.aggs if b in need]
-        if not cols and not (key in ("V", "P") and need & {"ev", "ep", "ec"}):
-            continue
-        for c in f.sql_ctes:
-            if c not in seen:
-                ctes.append(c)
-                seen.add(c)
-        if not cols:
-            continue
-        src = "presupuesto_l" if key == "P" else f.name
-        sel = ", ".join(by + [f"CAST({f.aggs[c]} AS DOUBLE) AS {c}" for c in cols])
-        grp = (" GROUP BY " + ", ".join(by)) if by else ""
-        ctes.append(f"agg_{key} AS (SELECT {sel} FROM {src}{_filter_sql(where, f.dims)}{grp})")
-        parts.append(f"agg_{key}")
-        if key == "V" and "ing_real_py" in need:
-            pyw = {k: v for k, v in where.items() if k != "Anio"}
-            cond = _filter_sql(pyw, f.dims)
-            if "Anio" in where:
-                years = where["Anio"] if isinstance(where["Anio"], (list, tuple)) else [where["Anio"]]
-                extra = "Anio IN (" + ", ".join(str(y - 1) for y in years) + ")"
-                cond = (cond + " AND " + extra) if cond else (" WHERE " + extra)
-            bysel = ", ".join(["Anio + 1 AS Anio" if b == "Anio" else b for b in by])
-            grp = ", ".join(["Anio + 1" if b == "Anio" else b for b in by])
-            ctes.append(f"agg_PY AS (SELECT {bysel}, CAST(SUM(IngresosReales) AS DOUBLE) AS ing_real_py "
-                        f"FROM ventas{cond} GROUP BY {grp})")
-            parts.append("agg_PY")
+    facts = {k: f for k, f in FACTS.items() if set(f.aggs) & need}
+    ctes: list[str] = []
+    for k in [*facts, *(["V", "P"] if need & {"ev", "ep", "ec"} else [])]:
+        ctes += [c for c in FACTS[k].sql_ctes if c not in ctes]
+    spines = [f"SELECT DISTINCT {', '.join(by)} FROM {f.table}{_filter_sql(where, f.dims)}"
+              for k, f in facts.items() if k != "Y" and set(by) <= f.dims and any(not remove.get(b) for b in f.aggs if b in need)] if by else ["SELECT 1"]
+    if not spines:
+        spines = [f"SELECT DISTINCT {', '.join(by)} FROM ventas{_filter_sql(where, FACTS['V'].dims)}"]
+    ctes.append(f"ctx({', '.join(by) or 'uno'}) AS ({' UNION '.join(spines)})")
+    for k, f in facts.items():
+        for gone in {tuple(remove.get(b, ())) for b in f.aggs if b in need}:
+            keys = [c for c in by if c in f.dims and c not in gone]
+            cols = [b for b in f.aggs if b in need and tuple(remove.get(b, ())) == gone]
+            name = f"base_{k}_{len(gone)}"
+            sums = ", ".join(f"CAST({f.aggs[c]} AS DOUBLE) AS {c}" for c in cols)
+            inner = f"SELECT * FROM {f.table}{_filter_sql({c: v for c, v in where.items() if c not in gone}, f.dims)}"
+            ctes.append(f"{name} AS (SELECT {''.join(c + ', ' for c in keys)}{sums} FROM ({inner}) z{' GROUP BY ' + ', '.join(keys) if keys else ''})")
+            ctes.append(f"j{name} AS (SELECT {', '.join(['x.' + c for c in by] or ['uno'])}, {', '.join('y.' + c for c in cols)} FROM ctx x LEFT JOIN {name} y ON "
+                        + (" AND ".join(f"x.{c} = y.{c}" for c in keys) or "true") + ")")
+    joins = [c.split(" AS ", 1)[0] for c in ctes if c.startswith("jbase_")]
     if need & {"ev", "ep", "ec"}:
-        k = by + ["Linea"] if "Linea" not in by else by
+        keys = [c for c in by if c in FACTS["P"].dims]
+        k = [*keys, "Linea"] if "Linea" not in keys else keys
         kk = ", ".join(k)
-        ctes.append(f"va AS (SELECT {kk}, CAST(SUM(VolumenReal) AS DOUBLE) AS qr, CAST(SUM(IngresosReales) AS DOUBLE) AS rr, "
-                    f"CAST(SUM(CostoReal) AS DOUBLE) AS cr FROM ventas{_filter_sql(where, FACTS['V'].dims)} GROUP BY {kk})")
-        ctes.append(f"pa AS (SELECT {kk}, CAST(SUM(VolumenPresupuestado) AS DOUBLE) AS qp, "
-                    f"CAST(SUM(IngresosPresupuestados) AS DOUBLE) AS rp, CAST(SUM(CostoPresupuestado) AS DOUBLE) AS cp "
-                    f"FROM presupuesto_l{_filter_sql(where, FACTS['P'].dims)} GROUP BY {kk})")
-        jk = ", ".join(f"COALESCE(va.{c}, pa.{c}) AS {c}" for c in k)
-        ctes.append(f"vj AS (SELECT {jk}, qr, rr, cr, qp, rp, cp FROM va FULL OUTER JOIN pa USING ({kk}))")
-        ctes.append(f"vt AS (SELECT *, {div('rp', 'qp')} AS _pp, {div('cp', 'qp')} AS _cpl, {div('rr', 'qr')} AS _pr, "
-                    f"{div('cr', 'qr')} AS _crl, {z('qr')} AS _qr, {z('qp')} AS _qp FROM vj)")
-        grp = (" GROUP BY " + ", ".join(by)) if by else ""
-        bysel = (", ".join(by) + ", ") if by else ""
-        ctes.append(f"agg_X AS (SELECT {bysel}SUM((_qr - _qp) * (_pp - _cpl)) AS ev, SUM(_qr * (_pr - _pp)) AS ep, "
-                    f"SUM(_qr * (_cpl - _crl)) AS ec FROM vt{grp})")
-        parts.append("agg_X")
-    frm = parts[0]
-    for p in parts[1:]:
-        frm += f" FULL OUTER JOIN {p} USING ({', '.join(by)})" if by else f" CROSS JOIN {p}"
-    body = f"SELECT * FROM {frm}"
-    if "ing_real_py" in need:
-        present = [b for b in need if b != "ing_real_py"]
-        body += " WHERE " + " OR ".join(f"{c} IS NOT NULL" for c in present)
+        rows = [f"SELECT {kk}, VolumenReal AS qr, IngresosReales AS rr, CostoReal AS cr, NULL AS qp, NULL AS rp, NULL AS cp FROM ventas{_filter_sql(where, FACTS['V'].dims)}",
+                f"SELECT {kk}, NULL, NULL, NULL, VolumenPresupuestado, IngresosPresupuestados, CostoPresupuestado FROM presupuesto_l{_filter_sql(where, FACTS['P'].dims)}"]
+        sums = ", ".join(f"CAST(SUM({c}) AS DOUBLE) AS {c}" for c in ("qr", "rr", "cr", "qp", "rp", "cp"))
+        unit = lambda a, q: f"(CASE WHEN COALESCE({q}, 0) = 0 THEN 0.0 ELSE {a} / {q} END)"
+        ctes.append(f"lines AS (SELECT {kk}, {sums} FROM ({' UNION ALL '.join(rows)}) u GROUP BY {kk})")
+        ctes.append("effects AS (SELECT " + "".join(c + ", " for c in keys) +
+                    f"SUM((COALESCE(qr, 0) - COALESCE(qp, 0)) * ({unit('rp', 'qp')} - {unit('cp', 'qp')})) AS ev, "
+                    f"SUM(COALESCE(qr, 0) * ({unit('rr', 'qr')} - {unit('rp', 'qp')})) AS ep, SUM(COALESCE(qr, 0) * ({unit('cp', 'qp')} - {unit('cr', 'qr')})) AS ec "
+                    f"FROM lines{' GROUP BY ' + ', '.join(keys) if keys else ''})")
+        ctes.append(f"jeffects AS (SELECT {', '.join(['x.' + c for c in by] or ['uno'])}, ev, ep, ec FROM ctx x LEFT JOIN effects y ON "
+                    + (" AND ".join(f"x.{c} = y.{c}" for c in keys) or "true") + ")")
+        joins.append("jeffects")
+    body = "SELECT * FROM ctx" + "".join(f" JOIN {j} USING ({', '.join(by) or 'uno'})" for j in joins)
     for i, layer in enumerate(layers(measures)):
-        body = f"SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in layer) + f" FROM ({body}) l{i}"
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join(by + [n for n, _ in measures])} FROM ({body}) fin"
+        body = "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in layer) + f" FROM ({body}) l{i}"
+    sql = "WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join(by + [n for n, _ in measures])} FROM ({body}) fin"
+    if not (total and by):
+        return sql
+    whole = evaluate_sql(measures, [], where, remove=remove)
+    return f"SELECT * FROM ({sql}) r UNION ALL SELECT {', '.join(['NULL'] * len(by) + [n for n, _ in measures])} FROM ({whole}) t"

@@ -61,8 +61,10 @@ CC_DOMESTIC = "CC-202"
 SALES_CC = f"CASE WHEN c_mktsegment = '{EXPORT_SEGMENT}' THEN '{CC_EXPORT}' ELSE '{CC_DOMESTIC}' END"
 SANITARY = ("CASE l_returnflag WHEN 'N' THEN 'Optima' WHEN 'A' THEN 'Buena' "
             "ELSE 'Regular' END")
-VESSEL = ("CASE l_linestatus WHEN 'O' THEN 'Piletas de Acero Inoxidable' "
-          "ELSE 'Barricas de Roble Frances' END")
+# The four vessels of the aging inventory (by line status and line number).
+VESSELS = ("Piletas de Acero Inoxidable", "Barricas de Roble Frances", "Barricas de Roble Americano", "Botellero en Estiba Climatizada")
+VESSEL = (f"CASE WHEN l_linestatus = 'O' THEN '{VESSELS[0]}' WHEN l_linenumber % 3 = 0 THEN '{VESSELS[1]}' "
+          f"WHEN l_linenumber % 3 = 1 THEN '{VESSELS[2]}' ELSE '{VESSELS[3]}' END")
 ACCOUNT_NAME = ("CASE l_returnflag WHEN 'A' THEN 'Insumos Secos (Botellas, Corchos, Capsulas, Cajas)' "
                 "WHEN 'N' THEN 'Energia y Servicios' ELSE 'Mano de Obra Directa' END")
 
@@ -308,7 +310,7 @@ PRODUCCION_SQL = f"""produccion AS (
 
 def inventario(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
-              "l_tax", "l_linestatus", "l_shipdate")
+              "l_tax", "l_linestatus", "l_linenumber", "l_shipdate")
     o = read(spark, d, "orders", "o_orderkey", "o_orderdate")
     p = read(spark, d, "part", "p_partkey", "p_brand")
     fecha = "CAST(l_shipdate AS DATE)"
