@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from ledgerlake.session import checkpoint_dir
 
 #: Bytes of text that an Arrow function handles at once (one longer text is a batch of its own).
-TEXT_BATCH = 8 << 20
+TEXT_BATCH = 4 << 20
 
 _WRITTEN: list[str] = []
 

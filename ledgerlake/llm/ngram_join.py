@@ -30,11 +30,11 @@ from .common import map_texts, text_batches, written
 #: Links need PERCENT * union <= 100 * intersection; WORDS words make a shingle.
 WORDS, PERCENT = 5, 75
 #: In one block of texts, shingles in so many distinct sets are counted for the order.
-SEEN = 3
+SEEN = 2
 #: So many of the most frequent shingles are ordered last.  Any order gives the same links.
 FREQUENT = 200_000
 #: A shingle of more documents is joined tile by tile; documents in a tile.
-SMALL, TILE = 64, 256
+SMALL, TILE = 12, 2048
 #: Id lists up to this length (8 bytes each) are broadcast, longer ones shuffled.
 BROADCAST_IDS = 1_000_000
 #: Bits of a signature for each shingle (rounded up to a power of two), least and most.
@@ -48,7 +48,7 @@ class _Words(dict):
     """64-bit hashes of words, with a bound on what a worker remembers."""
 
     def __missing__(self, word):
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -204,58 +204,93 @@ def _grouped_pairs(batches, percent):
         yield batch(a=both[0], b=both[1])
 
 
-def _tile_pairs(forest: bool, percent: int):
-    """For the rows of one pair of tiles (a, n, pos, tile, signature, label): pairs that
-    sizes, positions and bit counts allow; with ``forest`` only those of a spanning
-    forest, likeliest first; else all between different labels."""
-
-    def run(group: pa.Table) -> pa.Table:
-        ids = group["a"].to_numpy()
-        order = np.lexsort((ids, group["n"].to_numpy()))
-        ids, n = ids[order], group["n"].to_numpy()[order]
-        pos, label = group["pos"].to_numpy()[order], group["label"].to_numpy()[order]
-        tile, across = group["tile"].to_numpy()[order], group["i"][0].as_py() != group["j"][0].as_py()
-        raw = group["signature"].to_pylist()
-        bitmaps = [np.frombuffer(raw[k], np.uint64) for k in order]
-        words = min(map(len, bitmaps))
-        bits = np.stack([_folded(b, words) for b in bitmaps])
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for start in range(0, len(ids), 64):
-            rows = slice(start, start + 64)
-            need = least_overlap(n[rows, None], n[None], percent)
-            can = (np.minimum((n - pos)[rows, None], (n - pos)[None]) >= need)
-            can &= (np.minimum(n[rows, None], n[None]) >= need) & (label[rows, None] != label[None])
-            can &= np.arange(len(ids))[rows, None] < np.arange(len(ids))[None]
-            if across:  # pairs within a tile have a cell of their own
-                can &= tile[rows, None] != tile[None]
-            i, j = np.nonzero(can)
-            for cut in range(0, len(i), 8192):
-                p, q = i[cut:cut + 8192] + start, j[cut:cut + 8192]
-                differ = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
-                spare = (n[p] + n[q] - differ) // 2 - least_overlap(n[p], n[q], percent)
-                ok = spare >= 0
-                found.append((p[ok], q[ok], (differ / (n[p] + n[q]))[ok]))
-        p, q, apart = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
-        if forest and len(p):
-            root = list(range(len(ids)))
-
-            def top(x):
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-
-            keep = []
-            for k in np.argsort(apart, kind="stable").tolist():
-                x, y = top(int(p[k])), top(int(q[k]))
-                if x != y:
-                    root[x] = y
-                    keep.append(k)
-            p, q = p[keep], q[keep]
-        return pa.table({"a": pa.array(np.minimum(ids[p], ids[q]), pa.int64()),
-                         "b": pa.array(np.maximum(ids[p], ids[q]), pa.int64())})
-
-    return run
+def _cells(batches):
+    """Runs of rows with one (token, i, j), the first three columns."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = [batch.column(k).to_numpy() for k in range(3)]
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        for start, stop in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows], strict=True):
+            if start == stop:
+                continue
+            key = tuple(int(k[start]) for k in keys)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(start, stop - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _cell_pairs(cell: pa.Table, forest: bool, percent: int) -> np.ndarray:
+    """Pairs in one pair of tiles that sizes, positions and bit counts allow, and
+    whose labels differ; with ``forest`` only a spanning forest, likeliest first."""
+    ids, n = cell["a"].to_numpy(), cell["n"].to_numpy()
+    order = np.lexsort((ids, n))
+    ids, n, pos, label, tile = (cell[c].to_numpy()[order] for c in ("a", "n", "pos", "label", "tile"))
+    none = np.empty((2, 0), np.int64)
+    if (label == label[0]).all():
+        return none
+    across = cell["i"][0].as_py() != cell["j"][0].as_py()
+    raw = cell["signature"].to_pylist()
+    bitmaps = [np.frombuffer(raw[k], np.uint64) for k in order]
+    words = min(map(len, bitmaps))
+    bits = np.stack([_folded(b, words) for b in bitmaps])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for start in range(0, len(ids), 64):
+        rows = slice(start, start + 64)
+        need = least_overlap(n[rows, None], n[None], percent)
+        can = np.minimum((n - pos)[rows, None], (n - pos)[None]) >= need
+        can &= (np.minimum(n[rows, None], n[None]) >= need) & (label[rows, None] != label[None])
+        can &= np.arange(len(ids))[rows, None] < np.arange(len(ids))[None]
+        if across:  # pairs within a tile have a cell of their own
+            can &= tile[rows, None] != tile[None]
+        i, j = np.nonzero(can)
+        for cut in range(0, len(i), 8192):
+            p, q = i[cut:cut + 8192] + start, j[cut:cut + 8192]
+            differ = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
+            ok = (n[p] + n[q] - differ) // 2 >= least_overlap(n[p], n[q], percent)
+            found.append((p[ok], q[ok], (differ / (n[p] + n[q]))[ok]))
+    if not found:
+        return none
+    p, q, apart = (np.concatenate(c) for c in zip(*found, strict=True))
+    if forest and len(p):
+        root = list(range(len(ids)))
+
+        def top(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        keep = []
+        for k in np.argsort(apart, kind="stable").tolist():
+            x, y = top(int(p[k])), top(int(q[k]))
+            if x != y:
+                root[x] = y
+                keep.append(k)
+        p, q = p[keep], q[keep]
+    return np.stack([np.minimum(ids[p], ids[q]), np.maximum(ids[p], ids[q])])
+
+
+def _tile_pairs(batches, forest: bool, percent: int):
+    """The pairs (a, b) of all cells of a partition, each once."""
+    held, size = [], 0
+
+    def batch():
+        both = np.unique(np.concatenate(held, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+    for cell in _cells(batches):
+        held.append(_cell_pairs(cell, forest, percent))
+        size += held[-1].shape[1]
+        if size > 200_000:
+            yield batch()
+            held, size = [], 0
+    if size:
+        yield batch()
 
 
 def _listed(ids: DataFrame) -> DataFrame:
@@ -400,7 +435,8 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             rows = (signed.join(labels, "a", "left").withColumn("label", F.coalesce("label", "a")) if labels is not None
                     else signed.withColumn("label", F.col("a")))
             return (rows.join(cells, ["token", "tile"]).select("token", "i", "j", "tile", "a", "n", "pos", "signature", "label")
-                    .groupBy("token", "i", "j").applyInArrow(_tile_pairs(forest, percent), "a long, b long").distinct())
+                    .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+                    .mapInArrow(lambda batches: _tile_pairs(batches, forest, percent), "a long, b long").distinct())
 
         first = written(_verified(pairs.union(across(None, True)), texts, words, percent))
         joined = components(first).select(F.col("id").alias("a"), "label")

@@ -40,7 +40,7 @@ KINDS = 6
 
 class _Buckets(dict):
     def __missing__(self, word):
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = zlib.crc32(word) & (BUCKETS - 1)
         return value

@@ -45,7 +45,7 @@ _ONE, _64 = np.uint64(1), np.int64(63)
 
 class _Words(dict):
     def __missing__(self, word):
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
