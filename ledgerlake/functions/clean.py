@@ -10,11 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date layouts, tried in this order (day first before
-# month first, as the source does).
-DATE_PATTERNS = ["yyyy-M-d", "d/M/yyyy", "yyyy/M/d", "d-M-yyyy", "yyyyMMdd", "yyyy-M",
-                 "yyyy/M", "M/d/yyyy"]
-# The same layouts in strptime notation (for SQL oracles / DuckDB).
+# The accepted date layouts in strptime notation, in the order in
+# which they are tried (for SQL oracles / DuckDB).
 DATE_PATTERNS_STRPTIME = ["%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d", "%d-%m-%Y", "%Y%m%d", "%Y-%m",
                           "%Y/%m", "%m/%d/%Y"]
 
@@ -23,21 +20,33 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Shape of the text each layout can parse; a layout is only tried on text
-# of its shape, so rows never pay for failed parses of other layouts.
-_SHAPES = {
-    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$", "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
-    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$", "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
-    "yyyyMMdd": r"^\d{8}$", "yyyy-M": r"^\d{4}-\d{1,2}$", "yyyy/M": r"^\d{4}/\d{1,2}$",
-    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
-}
-
-
-def parse_date(c, patterns=DATE_PATTERNS) -> Column:
-    """First layout that parses wins; unparsable or null -> null."""
+# Layouts by how the text begins, with the shape that each can parse: a row is only
+# tried against the few layouts of its kind, so none pays for failed parses.  After
+# the fixed list come day-first layouts that a lenient parser also reads.
+_DATE_KINDS = [
+    (r"^\d{4}-", [(r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{4}-\d{1,2}$", "yyyy-M"),
+                  (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "yyyy-M-d")]),
+    (r"^\d{4}/", [(r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{4}/\d{1,2}$", "yyyy/M")]),
+    (r"^\d{8}$", [(r"^\d{8}$", "yyyyMMdd")]),
+    (r"^\d{1,2}/", [(r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"), (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+                    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy")]),
+    (r"^\d{1,2}-", [(r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"), (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+                    (r"^\d{1,2}-\d{1,2}-\d{2}$", "d-M-yy")]),
+    (r"^\d{1,2}\.", [(r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy")]),
+    (r"^\d{1,2} ", [(r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy")]),
+]
+
+
+def parse_date(c) -> Column:
+    """First layout that parses wins, day first before month first; a time of day
+    is passed over; unparsable or null -> null."""
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(*[F.when(s.rlike(_SHAPES[p]), F.try_to_date(s, p)) if p in _SHAPES
-                        else F.try_to_date(s, p) for p in patterns])
+    day = F.substring_index(F.substring_index(s, " ", 1), "T", 1)
+    out = None
+    for start, layouts in _DATE_KINDS:
+        tried = F.coalesce(*[F.when(s.rlike(shape), F.try_to_date(day if ":" in shape else s, layout)) for shape, layout in layouts])
+        out = F.when(s.rlike(start), tried) if out is None else out.when(s.rlike(start), tried)
+    return out
 
 
 def parse_date_sql(c: str) -> str:
@@ -62,7 +71,7 @@ def clean_number(c) -> Column:
     norm = (F.when(has_dot & has_comma, both)
              .when(has_comma, F.replace(s, F.lit(","), F.lit(".")))
              .otherwise(s))
-    return F.coalesce(norm.try_cast("double"), F.lit(0.0))
+    return F.coalesce(F.when(norm.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), norm.try_cast("double")), F.lit(0.0))
 
 
 def clean_number_sql(c: str) -> str:
@@ -119,22 +128,15 @@ def replace_values(c, values: list, replacement) -> Column:
     return F.when(col.isNull() | col.isin(*values), F.lit(replacement)).otherwise(col)
 
 
-def normalise_id(c, prefix: str, width: int = 5) -> Column:
-    """Delimiters ``[ /_]`` -> ``-``; numeric last token -> prefix + zero
-    padded number, otherwise prefix + the raw text."""
+def normalise_id(c, prefix: str, width: int = 5, numeric_prefix: str | None = None) -> Column:
+    """Delimiters ``[ /_]`` -> ``-``; numeric last token -> ``numeric_prefix``
+    (``prefix`` if not given) + zero padded number, otherwise prefix + the text."""
     s = F.regexp_replace(F.trim(_c(c).cast("string")), r"[ /_]", "-")
     last = F.element_at(F.split(s, "-"), -1)
-    return F.when(last.rlike(r"^\d+$"), F.concat(F.lit(prefix), F.lpad(last, width, "0")))\
+    return F.when(last.rlike(r"^\d+$"), F.concat(F.lit(numeric_prefix or prefix), F.lpad(last, width, "0")))\
         .otherwise(F.concat(F.lit(prefix), s))
 
 
-def normalise_id_sql(c: str, prefix: str, width: int = 5) -> str:
-    s = f"regexp_replace(trim(CAST({c} AS VARCHAR)), '[ /_]', '-', 'g')"
-    last = f"split_part({s}, '-', -1)"
-    return (f"CASE WHEN regexp_full_match({last}, '\\d+') THEN '{prefix}' || lpad({last}, {width}, '0') "
-            f"ELSE '{prefix}' || {s} END")
-
-
 def impute_from_expr(value, fallback) -> Column:
     """null or <= 0 -> fallback expression (net weight = gross - tare)."""
     v = _c(value)

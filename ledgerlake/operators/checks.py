@@ -63,3 +63,51 @@ def series_gaps(months: DataFrame, month_col: str, table: str) -> DataFrame:
     obs = months.select(F.col(month_col).alias("m")).distinct()
     return full.join(obs, "m", "left_anti").agg(F.count(F.lit(1)).cast("long").alias("violaciones")).select(
         F.lit(table).alias("tabla"), F.lit("series_no_gaps").alias("regla"), "violaciones")
+
+
+def domain_set(df: DataFrame, col: str, expected: list, table: str) -> DataFrame:
+    """Values outside the expected set plus expected values that never occur."""
+    have = df.select(F.col(col).alias("_v")).distinct()
+    got = have.agg(F.collect_set("_v").alias("s"))  # a code list: few values
+    want = F.array(*[F.lit(v) for v in expected])
+    return got.select(F.lit(table).alias("tabla"), F.lit(f"domain_set_{col}").alias("regla"),
+                      (F.size(F.array_except("s", want)) + F.size(F.array_except(want, F.col("s")))).cast("long").alias("violaciones"))
+
+
+def totals_close(before: DataFrame, after: DataFrame, cols: list[str], table: str, within: float = 0.01) -> DataFrame:
+    """Number of columns whose total a step changed by ``within`` or more."""
+    a = before.agg(*[F.sum(c).alias(f"a{i}") for i, c in enumerate(cols)])
+    b = after.agg(*[F.sum(c).alias(f"b{i}") for i, c in enumerate(cols)])
+    off = F.lit(0)
+    for i in range(len(cols)):
+        off = off + (F.abs(F.col(f"a{i}") - F.col(f"b{i}")) >= within).cast("int")
+    return a.crossJoin(b).select(F.lit(table).alias("tabla"), F.lit("totals_close").alias("regla"), off.cast("long").alias("violaciones"))  # one row each
+
+
+def min_obs(df: DataFrame, series: list[str], least: int, table: str) -> DataFrame:
+    """Series with fewer rows than ``least``."""
+    n = df.groupBy(*series).count()
+    return n.agg(F.count_if(F.col("count") < least).alias("violaciones")).select(
+        F.lit(table).alias("tabla"), F.lit(f"min_obs_{least}").alias("regla"), "violaciones")
+
+
+def in_band(df: DataFrame, value: Column, low: float, high: float, table: str, rule: str) -> DataFrame:
+    """0 if an aggregate lies in [low, high], else 1."""
+    return df.agg(value.alias("_v")).select(
+        F.lit(table).alias("tabla"), F.lit(rule).alias("regla"), F.coalesce((~F.col("_v").between(low, high)).cast("long"), F.lit(1)).alias("violaciones"))
+
+
+def ordered(df: DataFrame, cols: list[str], table: str, strict: bool = True) -> DataFrame:
+    """Rows in which the columns do not rise from left to right."""
+    ok = F.lit(True)
+    for a, b in zip(cols, cols[1:], strict=False):
+        ok = ok & ((F.col(a) < F.col(b)) if strict else (F.col(a) <= F.col(b)))
+    return df.agg(F.count_if(~F.coalesce(ok, F.lit(False))).alias("violaciones")).select(
+        F.lit(table).alias("tabla"), F.lit("ordering_" + "_".join(cols)).alias("regla"), "violaciones")
+
+
+def missing_months(months: DataFrame, month_col: str) -> DataFrame:
+    """The months missing between the first and the last one, as rows."""
+    rng = months.agg(F.min(month_col).alias("a"), F.max(month_col).alias("b"))
+    full = rng.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("mes"))
+    return full.join(months.select(F.col(month_col).alias("mes")).distinct(), "mes", "left_anti")

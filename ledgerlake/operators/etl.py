@@ -116,8 +116,9 @@ def allocate_exact(amounts: DataFrame, weights: DataFrame, keys: list[str], memb
     """Split each amount over members by weight, rounded to cents; the last
     member (by ``member`` order) takes the residual so totals close exactly.
 
-    The weight table is a small parameter table per key (broadcast)."""
-    j = amounts.join(F.broadcast(weights), keys)
+    Weights of keys without an amount take no part; amounts without weights are
+    dropped, so give every key its weights."""
+    j = amounts.join(weights, keys)
     amt = F.col(amount).cast("decimal(18,2)")
     share = F.round(amt * F.col(weight).cast("decimal(18,8)"), 2).cast("decimal(18,2)")
     grp = keys + [c for c in amounts.columns if c not in keys and c != amount]
@@ -146,8 +147,22 @@ def unpivot_months(df: DataFrame, ids: list[str], month_cols: list[str], measure
     mnum = F.array_position(F.array(*[F.lit(m) for m in names]), F.col("mes")).cast("int")
     measures = sorted({c.split(measure_sep)[1] for c in month_cols})
     return long.withColumn("MesNumero", mnum).groupBy(*ids, "MesNumero").pivot("medida", measures).agg(
-        F.first("value"))
+        F.sum("value"))
 
 
 def default_date(c, default: _dt.date) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(default))
+
+
+def season_weights(weights: DataFrame, months: list[int], high: str = "en_temporada") -> DataFrame:
+    """One row per key, member and month from weights given for the season and the
+    rest of the year (boolean column ``high``)."""
+    rest = [m for m in range(1, 13) if m not in months]
+    month = F.when(F.col(high), F.array(*[F.lit(m) for m in months])).otherwise(F.array(*[F.lit(m) for m in rest]).cast("array<int>"))
+    return weights.withColumn("Mes", F.explode(month)).drop(high)
+
+
+def split_union(df: DataFrame, condition: Column, process) -> DataFrame:
+    """Rows that meet ``condition`` go through ``process``, the others stay; the
+    results are put together by column name."""
+    return process(df.filter(condition)).unionByName(df.filter(~condition | condition.isNull()))

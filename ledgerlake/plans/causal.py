@@ -8,9 +8,9 @@ the outcome residual on the treatment residual (no intercept), the source's
 standard error sqrt(mean(e^2) / sum(d^2)), normal p-value, 95 % interval,
 the naive OLS slope and the share of confounding bias removed.
 
-Cell means are a groupBy (map-side partial sums) joined back on the cell
-key; the cell table is bounded by the product of the confounders'
-cardinalities, so broadcasting it is safe.
+Every figure follows from the moments of the cells (count, sums, products), so
+one groupBy with map-side partial sums reads the lines once and nothing is
+joined back.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.scalar import norm_cdf
 from ledgerlake.plans.series import _ncdf_sql
 from ledgerlake.registry import query, with_ctes
-from ledgerlake.sources.tables import read
+from ledgerlake.sources.tables import read, small
 
 CELLS = ["p_type", "c_mktsegment", "anio"]
 
@@ -31,36 +31,41 @@ def dml_frame(spark, d: str) -> DataFrame:
     o = read(spark, d, "orders", "o_orderkey", "o_custkey")
     c = read(spark, d, "customer", "c_custkey", "c_mktsegment")
     p = read(spark, d, "part", "p_partkey", "p_type")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(
-        p, li.l_partkey == p.p_partkey)
+    oc = o.join(small(c, d, "customer", 32), o.o_custkey == c.c_custkey).select("o_orderkey", "c_mktsegment")
+    j = (li.join(small(oc, d, "orders", 32), li.l_orderkey == oc.o_orderkey)
+         .join(small(p, d, "part", 40), li.l_partkey == p.p_partkey))
     return j.select("p_type", "c_mktsegment", F.year("l_shipdate").alias("anio"),
                     (F.col("l_discount") * 100).alias("D"), F.log("l_quantity").alias("Y"))
 
 
-def residualise(df: DataFrame, cells=CELLS) -> DataFrame:
-    means = df.groupBy(*cells).agg(F.avg("D").alias("md"), F.avg("Y").alias("my"))
-    return df.join(F.broadcast(means), cells).select(
-        *cells, "D", "Y", (F.col("D") - F.col("md")).alias("dt"), (F.col("Y") - F.col("my")).alias("yt"))
+def cell_moments(df: DataFrame, cells=CELLS) -> DataFrame:
+    """Count, sums and products of D and Y per confounder cell."""
+    d, y = F.col("D"), F.col("Y")
+    return df.filter(d.isNotNull() & y.isNotNull()).groupBy(*cells).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(d).alias("sd"), F.sum(y).alias("sy"),
+        F.sum(d * d).alias("sdd"), F.sum(d * y).alias("sdy"), F.sum(y * y).alias("syy"))
 
 
-def dml_ate(res: DataFrame, by: list[str] | None = None) -> DataFrame:
+def dml_ate(moments: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Orthogonal effect from cell moments: products around the cell means give
+    theta and its error, products around the group's means the naive slope."""
     by = by or []
-    m = res.groupBy(*by).agg(
-        (F.sum(F.col("dt") * F.col("yt")) / F.sum(F.col("dt") ** 2)).alias("theta"),
-        F.sum(F.col("dt") ** 2).alias("sdd"), F.count(F.lit(1)).alias("n"),
-        F.regr_slope("Y", "D").alias("naive"))
-    e = res.join(m.select(*by, "theta"), by) if by else res.withColumn("theta", F.lit(m.select("theta").scalar()))
-    mse = e.groupBy(*by).agg(F.avg((F.col("yt") - F.col("theta") * F.col("dt")) ** 2).alias("mse"))
-    j = m.join(mse, by) if by else m.withColumn("mse", F.lit(mse.select("mse").scalar()))
-    se = F.sqrt(F.col("mse") / F.col("sdd"))
+    n = F.col("n")
+    around = moments.select(*by, "n", "sd", "sy", "sdd", "sdy", (F.col("sdd") - F.col("sd") ** 2 / n).alias("dd"),
+                            (F.col("sdy") - F.col("sd") * F.col("sy") / n).alias("dy"), (F.col("syy") - F.col("sy") ** 2 / n).alias("yy"))
+    g = around.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("n", "sd", "sy", "sdd", "sdy", "dd", "dy", "yy")])
+    theta = F.col("dy") / F.col("dd")
+    naive = (F.col("sdy") - F.col("sd") * F.col("sy") / n) / (F.col("sdd") - F.col("sd") ** 2 / n)
+    mse = (F.col("yy") - 2 * theta * F.col("dy") + theta ** 2 * F.col("dd")) / n
+    j = g.select(*by, "n", theta.alias("theta"), naive.alias("naive"), F.sqrt(mse / F.col("dd")).alias("se"))
+    se = F.col("se")
     p = 2 * (1 - norm_cdf(F.abs(F.col("theta") / se)))
     return j.select(*by, F.round("theta", 8).alias("CoeficienteEstimado"), F.round(se, 8).alias("ErrorEstandar"),
                     F.round(F.col("theta") - 1.96 * se, 8).alias("IC_95_Inferior"),
                     F.round(F.col("theta") + 1.96 * se, 8).alias("IC_95_Superior"),
                     F.round(p, 6).alias("P_Valor"), (p < 0.05).alias("Significativo_P05"),
                     F.round("naive", 8).alias("Benchmark_OLS_Ingenuo"),
-                    F.round((F.col("naive") - F.col("theta")) / F.col("naive") * 100, 6).alias("SesgoEliminadoPct"),
-                    "n")
+                    F.round((F.col("naive") - F.col("theta")) / F.col("naive") * 100, 6).alias("SesgoEliminadoPct"), "n")
 
 
 _DML_CTES = ["""f AS (SELECT p_type, c_mktsegment, year(l_shipdate) AS anio, l_discount * 100 AS D, ln(l_quantity) AS Y
@@ -87,10 +92,10 @@ FROM s"""
 
 @query("dml_ate", _dml_sql(None))
 def q_dml_ate(spark, d):
-    return dml_ate(residualise(dml_frame(spark, d)))
+    return dml_ate(cell_moments(dml_frame(spark, d)))
 
 
 @query("segment_ate", _dml_sql("p_type"))
 def q_segment_ate(spark, d):
     """The same estimator per product type (one group per segment)."""
-    return dml_ate(residualise(dml_frame(spark, d)), ["p_type"])
+    return dml_ate(cell_moments(dml_frame(spark, d)), ["p_type"])

@@ -19,7 +19,7 @@ from ledgerlake.functions import clean as C
 from ledgerlake.operators import etl as E
 from ledgerlake.registry import query, with_ctes
 from ledgerlake.sources import bridge as B
-from ledgerlake.sources.tables import read
+from ledgerlake.sources.tables import read, small
 
 DEFAULT_DATE = dt.date(1995, 1, 1)
 DEFAULT_PRODUCT = "PRD-0"
@@ -84,8 +84,8 @@ def raw_sales_extract(spark, d: str) -> DataFrame:
               "l_extendedprice", "l_discount", "l_shipdate")
     o = read(spark, d, "orders", "o_orderkey", "o_custkey")
     c = read(spark, d, "customer", "c_custkey", "c_mktsegment")
-    oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_mktsegment")
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    oc = o.join(small(c, d, "customer", 32), o.o_custkey == c.c_custkey).select("o_orderkey", "c_mktsegment")
+    j = li.join(small(oc, d, "orders", 32), li.l_orderkey == oc.o_orderkey)
     return j.select(F.expr(_VBELN).alias("VBELN"), F.expr(_fkdat(_spark_fmt)).alias("FKDAT"),
                     F.expr(_MATNR).alias("MATNR"), F.expr(_FKIMG).alias("FKIMG"),
                     F.expr(_NETWR).alias("NETWR"), F.expr(_VKBUR).alias("VKBUR"),
@@ -104,8 +104,9 @@ def sales_cost_centres(spark) -> DataFrame:
 
 
 def product_codes(spark, d: str) -> DataFrame:
-    return read(spark, d, "part", "p_partkey").select(
+    codes = read(spark, d, "part", "p_partkey").select(
         F.concat(F.lit("PRD-"), F.col("p_partkey").cast("string")).alias("ProductoID"))
+    return small(codes, d, "part", 32)
 
 
 def clean_sales(raw: DataFrame, products: DataFrame, centres: DataFrame) -> DataFrame:
@@ -159,30 +160,55 @@ def q_etl_sales_clean(spark, d):
                        sales_cost_centres(spark)).select(*SALES_COLS)
 
 
-def sales_quality(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Quality metrics of the sales table: one aggregate over the cleaned
-    rows (which still carry the raw text)."""
+def sales_quality(cleaned: DataFrame, products: DataFrame, centres: DataFrame) -> DataFrame:
+    """Quality metrics of the sales table: one aggregate over the cleaned rows
+    (which still carry the raw text).  A key counts as resolved if what it was
+    replaced by is in its dimension, found by joining again; curated rows are
+    those whose keys and date are all valid."""
     date_fmt_issue = F.col("FKDAT").rlike("/|-") & (F.length("FKDAT") != 10)
     changed = (F.when(date_fmt_issue | F.col("_bad_date"), 1).otherwise(0)
                + C.changed("MATNR", "ProductoID") + C.changed("VKBUR", "CentroCostoID")
                + C.changed("INCO1", "CanalVenta"))
-    orph = F.col("_orphan_prod").cast("int") + F.col("_orphan_cc").cast("int") + F.col("_bad_date").cast("int")
-    return cleaned.agg(*E.quality_metrics(
-        "Ventas", F.count(F.lit(1)), F.count(F.lit(1)), F.sum(changed), F.sum(orph), F.sum(orph)))
+    x = E.flag_orphans(cleaned, products, "ProductoID", flag="_still_prod")
+    x = E.flag_orphans(x, centres, "CentroCostoID", flag="_still_cc", small_dim=True)
+    found = F.col("_orphan_prod").cast("int") + F.col("_orphan_cc").cast("int") + F.col("_bad_date").cast("int")
+    solved = ((F.col("_orphan_prod") & ~F.col("_still_prod")).cast("int") + (F.col("_orphan_cc") & ~F.col("_still_cc")).cast("int")
+              + (F.col("_bad_date") & F.col("Fecha").isNotNull()).cast("int"))
+    valid = ~F.col("_still_prod") & ~F.col("_still_cc") & F.col("Fecha").isNotNull()
+    return x.agg(*E.quality_metrics("Ventas", F.count(F.lit(1)), F.count_if(valid), F.sum(changed), F.sum(found), F.sum(solved)))
+
+
+def keyed_quality(table: str, lines: DataFrame, missing: list) -> DataFrame:
+    """Metrics of a fact whose rows must match their dimensions: ``missing`` are
+    flags of keys that no dimension row has; such rows are not curated."""
+    bad = F.lit(0)
+    none = F.lit(True)
+    for m in missing:
+        bad, none = bad + m.cast("int"), none & ~m
+    return lines.agg(*E.quality_metrics(table, F.count(F.lit(1)), F.count_if(none), F.lit(0), F.sum(bad), F.lit(0)))
 
 
 @query("quality_report", with_ctes(RAW_SQL, CLEAN_SQL_CTE, B.GASTOS_SQL) + """, q AS (
-  SELECT 'Ventas' AS tabla, COUNT(*) AS registros_leidos, COUNT(*) AS registros_curados,
+  SELECT 'Ventas' AS tabla, (SELECT COUNT(*) FROM raw) AS registros_leidos,
+         COUNT(*) FILTER (WHERE ProductoID IN (SELECT 'PRD-' || CAST(p_partkey AS VARCHAR) FROM part)) AS registros_curados,
          SUM((CASE WHEN (regexp_matches(FKDAT, '/|-') AND length(FKDAT) <> 10) OR _bad_date THEN 1 ELSE 0 END)
              + (CASE WHEN MATNR IS NOT DISTINCT FROM ProductoID THEN 0 ELSE 1 END)
              + (CASE WHEN VKBUR IS NOT DISTINCT FROM CentroCostoID THEN 0 ELSE 1 END)
              + (CASE WHEN INCO1 IS NOT DISTINCT FROM CanalVenta THEN 0 ELSE 1 END)) AS inconsistencias_corregidas,
-         SUM(CAST(_orphan_prod AS INT) + CAST(_orphan_cc AS INT) + CAST(_bad_date AS INT)) AS claves_huerfanas_detectadas,
-         SUM(CAST(_orphan_prod AS INT) + CAST(_orphan_cc AS INT) + CAST(_bad_date AS INT)) AS claves_huerfanas_resueltas
+         COUNT(*) FILTER (WHERE _orphan_prod) + COUNT(*) FILTER (WHERE _orphan_cc) + COUNT(*) FILTER (WHERE _bad_date) AS claves_huerfanas_detectadas,
+         COUNT(*) FILTER (WHERE _orphan_prod AND ProductoID IN (SELECT 'PRD-' || CAST(p_partkey AS VARCHAR) FROM part))
+           + COUNT(*) FILTER (WHERE _orphan_cc) + COUNT(*) FILTER (WHERE _bad_date) AS claves_huerfanas_resueltas
   FROM clean
   UNION ALL
   SELECT 'GastosOperativos', (SELECT COUNT(*) FROM opex_lines), (SELECT COUNT(*) FROM gastos),
-         (SELECT COUNT(*) FROM opex_lines) - (SELECT COUNT(*) FROM gastos), 0, 0),
+         (SELECT COUNT(*) FROM opex_lines) - (SELECT COUNT(*) FROM gastos), 0, 0
+  UNION ALL
+  SELECT 'ProduccionPlanta', COUNT(*), COUNT(*) FILTER (WHERE p_partkey IS NOT NULL AND s_suppkey IS NOT NULL), 0,
+         COUNT(*) FILTER (WHERE p_partkey IS NULL) + COUNT(*) FILTER (WHERE s_suppkey IS NULL), 0
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey
+  UNION ALL
+  SELECT 'CapitalTrabajo', COUNT(*), COUNT(*) FILTER (WHERE c_custkey IS NOT NULL), 0, COUNT(*) FILTER (WHERE c_custkey IS NULL), 0
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey),
 t AS (
   SELECT tabla, CAST(registros_leidos AS BIGINT) AS registros_leidos, CAST(registros_curados AS BIGINT) AS registros_curados,
          CAST(inconsistencias_corregidas AS BIGINT) AS inconsistencias_corregidas,
@@ -195,17 +221,22 @@ SELECT *, CASE WHEN claves_huerfanas_detectadas = claves_huerfanas_resueltas THE
   ELSE round(claves_huerfanas_resueltas * 100.0 / greatest(claves_huerfanas_detectadas, 1), 2) END AS tasa_integridad_pct
 FROM t""")
 def q_quality_report(spark, d):
-    raw = raw_sales_extract(spark, d)
-    cleaned = clean_sales(raw, product_codes(spark, d), sales_cost_centres(spark))
-    lines = B.opex_lines(spark, d)
-    gastos = B.gastos_operativos(spark, d)
+    products, centres = product_codes(spark, d), sales_cost_centres(spark)
+    cleaned = clean_sales(raw_sales_extract(spark, d), products, centres)
     # one pass over the opex lines gives both counts (lines and distinct grains)
     grain = F.struct("DateKey", "CentroCostoID", "CuentaID")
-    opex = lines.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(grain).alias("g")).select(
-        *E.quality_metrics("GastosOperativos", F.col("n"), F.col("g"), F.col("n") - F.col("g"),
-                           F.lit(0), F.lit(0)))
-    del gastos
-    return E.quality_report([sales_quality(raw, cleaned), opex])
+    opex = B.opex_lines(spark, d).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(grain).alias("g")).select(
+        *E.quality_metrics("GastosOperativos", F.col("n"), F.col("g"), F.col("n") - F.col("g"), F.lit(0), F.lit(0)))
+    li = read(spark, d, "lineitem", "l_partkey", "l_suppkey")
+    part = small(read(spark, d, "part", "p_partkey"), d, "part", 16)
+    supplier = small(read(spark, d, "supplier", "s_suppkey"), d, "supplier", 16)
+    plant = li.join(part, li.l_partkey == part.p_partkey, "left").join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
+    orders, customer = read(spark, d, "orders", "o_custkey"), small(read(spark, d, "customer", "c_custkey"), d, "customer", 16)
+    capital = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    return E.quality_report([
+        sales_quality(cleaned, products, centres), opex,
+        keyed_quality("ProduccionPlanta", plant, [F.col("p_partkey").isNull(), F.col("s_suppkey").isNull()]),
+        keyed_quality("CapitalTrabajo", capital, [F.col("c_custkey").isNull()])])
 
 
 @query("build_calendar", with_ctes(RAW_SQL, CLEAN_SQL_CTE, B.PRODUCCION_SQL, B.GASTOS_SQL) + """, rng AS (
@@ -225,8 +256,9 @@ SELECT year(Fecha) * 10000 + month(Fecha) * 100 + dayofmonth(Fecha) AS DateKey,
        CASE WHEN dayofweek(Fecha) IN (0, 6) THEN 1 ELSE 0 END AS EsFinDeSemana
 FROM days""")
 def q_build_calendar(spark, d):
-    raw = raw_sales_extract(spark, d)
-    parsed = raw.select(C.parse_date("FKDAT").alias("f"))
+    # the extract's date text depends on the line alone: no join is needed for it
+    text = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate").select(F.expr(_fkdat(_spark_fmt)).alias("FKDAT"))
+    parsed = text.select(C.parse_date("FKDAT").alias("f"))
     li = read(spark, d, "lineitem", "l_shipdate").select(F.to_date("l_shipdate").alias("f"))
     o = read(spark, d, "orders", "o_orderdate").select(F.to_date("o_orderdate").alias("f"))
     rng = E.observed_date_range([(parsed, "f"), (li, "f"), (o, "f")])

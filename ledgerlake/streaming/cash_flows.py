@@ -3,18 +3,15 @@
 The same flow rule as the batch bridge (purchase = +4 x value, other =
 -value) applied to a stream of events: a one-day event-time window per
 account with a watermark, so late events within the allowed lateness still
-update their day and state for closed days is dropped.  The stateless
+update their day and state for closed days is dropped once they are written.  The stateless
 Column cleaners of ``ledgerlake.functions`` work unchanged on such streams.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.session import checkpoint_dir
 from ledgerlake.sources import bridge as B
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
@@ -30,14 +27,16 @@ def daily_flows(events: DataFrame, lateness: str = "2 days") -> DataFrame:
             .select("CuentaID", F.to_date(F.col("w.start")).alias("Fecha"), "FlujoNetoDiario"))
 
 
-def run_available(spark: SparkSession, source: str, name: str = "flujos_stream",
-                  lateness: str = "2 days") -> DataFrame:
-    """Process everything available in ``source`` (a parquet path or glob)
-    once and return the result table.  Progress is checkpointed under the
-    session's shared checkpoint folder, so a restarted job resumes."""
+def run_available(spark: SparkSession, source: str, sink: str, lateness: str = "2 days") -> DataFrame:
+    """Process everything available in ``source`` (a parquet path or glob) once
+    into the parquet files of ``sink`` and return them.
+
+    Append mode: a day is written once, when the watermark has passed its end, and
+    its state is dropped then; days that may still change wait for later events.
+    Progress is checkpointed beside the sink, so a restarted job resumes."""
     stream = spark.readStream.schema(EVENTS_SCHEMA).parquet(source)
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    q = (daily_flows(stream, lateness).writeStream.outputMode("complete").format("memory")
-         .queryName(name).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    flows = daily_flows(stream, lateness)
+    q = (flows.writeStream.outputMode("append").format("parquet").option("path", sink)
+         .option("checkpointLocation", f"{sink.rstrip('/')}-checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(flows.schema).parquet(sink)
