@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.windows import ordered_cumsums
 from ledgerlake.registry import query, with_ctes
+from ledgerlake.session import materialise
 from ledgerlake.sources.tables import read
 
 
@@ -178,11 +179,13 @@ def credit_scoring(df: DataFrame, seed: int = 42, test_frac: float = 0.25) -> tu
     models = {"Regresion_Logistica_L2": LogisticRegression(regParam=0.01, maxIter=100),
               "Random_Forest_Classifier": RandomForestClassifier(numTrees=100, maxDepth=5, seed=seed),
               "Gradient_Boosting_Tree": GBTClassifier(maxIter=100, maxDepth=3, seed=seed)}
+    # the feature stages are fitted once; every model reads the same written features
+    prepared = Pipeline(stages=stages).fit(train)
+    columns = ["doc_id", "label", "score", "features"]
+    train, test = (materialise(prepared.transform(part).select(*columns)) for part in (train, test))
     mets, preds = [], {}
     for name, est in models.items():
-        fit = Pipeline(stages=stages + [est]).fit(train)
-        pr = fit.transform(test).select("doc_id", "label", "score",
-                                        vector_to_array("probability")[1].alias("p"))
+        pr = materialise(est.fit(train).transform(test).select("doc_id", "label", "score", vector_to_array("probability")[1].alias("p")))
         preds[name] = pr
         roc = roc_curve(pr.select("label", F.col("p").alias("score")))
         m = classification_metrics(pr).withColumn("AUC_ROC", auc(roc).scalar()).withColumn("Modelo", F.lit(name))

@@ -8,8 +8,9 @@ and one series is bounded by its number of months.
   swing per calendar month / mean trend + 1.
 * forecast_features: lags 1/2/3/12, previous-3/12 rolling means, sin/cos of
   the month, trend; incomplete rows dropped.
-* forecast_backtest: last-12 holdout; seasonal naive and trend + seasonal
-  effects (closed-form OLS by aggregates); RMSE/MAE/MAPE/R2/bias and rank.
+* forecast_backtest: last-12 holdout; seasonal naive, trend + seasonal
+  effects, drift and moving mean (closed forms by aggregates); RMSE/MAE/MAPE/R2/
+  bias, share inside the 95 % band and rank; lag order by AIC; unit roots.
 * price_elasticity: log-log panel of the domestic channels, SKU and
   calendar-month effects, HC1 standard error, global and per segment.
 """
@@ -109,54 +110,153 @@ def q_forecast_features(spark, d):
     return forecast_features(monthly_series(B.ventas(spark, d, channel=False)))
 
 
+# Names of the candidates; quantile of the band; advice on the plan.
+CANDIDATES = ["Seasonal_Naive", "Tendencia_Estacional", "Naive_Deriva", "Media_Movil_12"]
+BAND = 1.96
+ADVICE = ("Usar el modelo de mayor precision", "Mantener el benchmark estacional")
+
+
 def forecast_backtest(series: DataFrame, horizon: int = 12) -> DataFrame:
-    """Holdout = last ``horizon`` months of each series.  Candidates:
-    seasonal naive (value 12 months earlier) and linear trend + mean
-    seasonal effect fitted on the training months.  Metrics per series x
-    model and the rank by RMSE (1 = winner)."""
+    """Holdout = last ``horizon`` months of each series.  Candidates: value twelve
+    months earlier, linear trend + mean seasonal effect, last value + mean drift,
+    mean of the last twelve months; all closed forms of the training months.
+    Metrics per series x model, share of months inside the 95 % band (from the
+    training residuals of the trend model), rank by RMSE (1 = winner)."""
     w = Window.partitionBy("serie").orderBy(F.col("t").desc())
     x = series.withColumn("_k", F.row_number().over(w)).withColumn("test", F.col("_k") <= horizon)
     x = x.withColumn("snaive", F.lag("y", 12).over(Window.partitionBy("serie").orderBy("t")))
     tr = x.filter(~F.col("test"))
-    fit = tr.groupBy("serie").agg(F.regr_slope("y", "t").alias("b"), F.regr_intercept("y", "t").alias("a"))
-    seas = tr.join(fit, "serie").groupBy("serie", "Mes").agg(
-        F.avg(F.col("y") - (F.col("a") + F.col("b") * F.col("t"))).alias("s"))
-    te = x.filter("test").join(fit, "serie").join(seas, ["serie", "Mes"], "left")
-    te = te.withColumn("trend_seasonal", F.col("a") + F.col("b") * F.col("t") + F.coalesce("s", F.lit(0.0)))
-    long = te.select("serie", "t", "y", F.expr(
-        "stack(2, 'Seasonal_Naive', snaive, 'Tendencia_Estacional', trend_seasonal) AS (Modelo, yhat)"))
-    m = long.groupBy("serie", "Modelo").agg(
-        F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2)).alias("RMSE"),
-        F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("MAE"),
-        (F.avg(F.abs((F.col("y") - F.col("yhat")) / F.col("y"))) * 100).alias("MAPE_Pct"),
-        (1 - F.sum((F.col("y") - F.col("yhat")) ** 2) / (F.count("y") * F.var_pop("y"))).alias("R2_Score"),
-        F.avg(F.col("yhat") - F.col("y")).alias("Sesgo"))
+    last = F.max(F.struct("t", "y"))
+    fit = tr.groupBy("serie").agg(
+        F.regr_slope("y", "t").alias("b"), F.regr_intercept("y", "t").alias("a"), last["t"].alias("t1"), last["y"].alias("y1"),
+        F.min(F.struct("t", "y")).alias("f"), F.avg(F.when(F.col("_k") <= horizon + 12, F.col("y"))).alias("mm"))
+    fit = fit.withColumn("drift", (F.col("y1") - F.col("f.y")) / (F.col("t1") - F.col("f.t"))).drop("f")
+    line = F.col("a") + F.col("b") * F.col("t")
+    # one row per series and calendar month
+    seas = tr.join(fit, "serie").groupBy("serie", "Mes").agg(F.avg(F.col("y") - line).alias("s"))
+    sd = tr.join(fit, "serie").join(seas, ["serie", "Mes"]).groupBy("serie").agg(F.sqrt(F.avg((F.col("y") - line - F.col("s")) ** 2)).alias("sd"))
+    te = x.filter("test").join(fit, "serie").join(seas, ["serie", "Mes"], "left").join(sd, "serie")
+    te = te.select("serie", "t", "y", "sd", F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in CANDIDATES]), F.array(
+        F.col("snaive"), line + F.coalesce("s", F.lit(0.0)), F.col("y1") + F.col("drift") * (F.col("t") - F.col("t1")), F.col("mm")))).alias("Modelo", "yhat"))
+    e = F.col("yhat") - F.col("y")
+    m = te.groupBy("serie", "Modelo").agg(
+        F.sqrt(F.avg(e ** 2)).alias("RMSE"), F.avg(F.abs(e)).alias("MAE"), (F.avg(F.abs(e / F.col("y"))) * 100).alias("MAPE_Pct"),
+        (1 - F.sum(e ** 2) / (F.count("y") * F.var_pop("y"))).alias("R2_Score"), F.avg(e).alias("Sesgo"),
+        F.avg((F.abs(e) <= BAND * F.col("sd")).cast("double")).alias("EnBanda"))
     r = m.withColumn("Ranking_Precision", F.rank().over(Window.partitionBy("serie").orderBy("RMSE")))
-    return r.select("serie", "Modelo", *[F.round(c, n).alias(c) for c, n in (("RMSE", 2), ("MAE", 2), ("MAPE_Pct", 4), ("R2_Score", 4), ("Sesgo", 2))],
+    return r.select("serie", "Modelo", *[F.round(c, n).alias(c) for c, n in (("RMSE", 2), ("MAE", 2), ("MAPE_Pct", 4), ("R2_Score", 4), ("Sesgo", 2), ("EnBanda", 6))],
                     "Ranking_Precision")
 
 
-@query("forecast_backtest", with_ctes(B.ventas_sql(channel=False), series_sql("Segmento"), """x AS (
-  SELECT *, row_number() OVER (PARTITION BY serie ORDER BY t DESC) <= 12 AS test,
-         lag(y, 12) OVER (PARTITION BY serie ORDER BY t) AS snaive FROM ms)""",
-    """fit AS (SELECT serie, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM x WHERE NOT test GROUP BY serie)""",
-    """seas AS (SELECT x.serie, Mes, avg(y - (a + b * t)) AS s FROM x JOIN fit ON x.serie = fit.serie WHERE NOT test
-              GROUP BY x.serie, Mes)""",
-    """te AS (SELECT x.serie, t, y, snaive, a + b * t + COALESCE(s, 0.0) AS ts
-            FROM x JOIN fit ON x.serie = fit.serie LEFT JOIN seas ON seas.serie = x.serie AND seas.Mes = x.Mes WHERE test)""",
-    """lng AS (SELECT serie, t, y, 'Seasonal_Naive' AS Modelo, snaive AS yhat FROM te
-             UNION ALL SELECT serie, t, y, 'Tendencia_Estacional', ts FROM te)""",
-    """m AS (SELECT serie, Modelo, sqrt(avg((y - yhat) ^ 2)) AS RMSE, avg(abs(y - yhat)) AS MAE,
-                  avg(abs((y - yhat) / y)) * 100 AS MAPE_Pct,
-                  1 - sum((y - yhat) ^ 2) / (count(y) * var_pop(y)) AS R2_Score, avg(yhat - y) AS Sesgo
-           FROM lng GROUP BY serie, Modelo)""") + """SELECT serie, Modelo, round(RMSE, 2) AS RMSE, round(MAE, 2) AS MAE,
-  round(MAPE_Pct, 4) AS MAPE_Pct, round(R2_Score, 4) AS R2_Score, round(Sesgo, 2) AS Sesgo,
-  CAST(rank() OVER (PARTITION BY serie ORDER BY RMSE) AS INT) AS Ranking_Precision
-FROM m""")
+_BACKTEST_CTES = [B.ventas_sql(channel=False), series_sql("Segmento"), """x AS (
+  SELECT *, row_number() OVER (PARTITION BY serie ORDER BY t DESC) AS k, max(t) OVER (PARTITION BY serie) AS tz FROM ms)""",
+    """tr AS (SELECT * FROM x WHERE k > 12)""",
+    """fit AS (SELECT serie, covar_pop(y, t) / var_pop(t) AS b, avg(y) - covar_pop(y, t) / var_pop(t) * avg(t) AS a, max(t) AS t1, arg_max(y, t) AS y1,
+         (arg_max(y, t) - arg_min(y, t)) / (max(t) - min(t)) AS drift, avg(y) FILTER (WHERE k <= 24) AS mm FROM tr GROUP BY serie)""",
+    """seas AS (SELECT serie, Mes, avg(y - a - b * t) AS s FROM tr JOIN fit USING (serie) GROUP BY 1, 2)""",
+    """sd AS (SELECT serie, sqrt(avg((y - a - b * t - s) ^ 2)) AS sd FROM tr JOIN fit USING (serie) JOIN seas USING (serie, Mes) GROUP BY 1)""",
+    """te AS (SELECT h.serie, h.t, h.y, sd, o.y AS sn, a + b * h.t + COALESCE(s, 0) AS ts, y1 + drift * (h.t - t1) AS nd, mm
+         FROM x h JOIN fit USING (serie) JOIN sd USING (serie) LEFT JOIN seas ON seas.serie = h.serie AND seas.Mes = h.Mes
+         LEFT JOIN ms o ON o.serie = h.serie AND o.t = h.t - 12 WHERE h.k <= 12)""",
+    f"""lng AS (SELECT serie, y, sd, unnest({CANDIDATES}) AS Modelo, unnest([sn, ts, nd, mm]) AS yhat FROM te)""",
+    f"""m AS (SELECT serie, Modelo, sqrt(avg((y - yhat) ^ 2)) AS RMSE, avg(abs(y - yhat)) AS MAE, avg(abs((y - yhat) / y)) * 100 AS MAPE_Pct,
+                  1 - sum((y - yhat) ^ 2) / (count(y) * var_pop(y)) AS R2_Score, avg(yhat - y) AS Sesgo,
+                  avg(CASE WHEN abs(yhat - y) <= {BAND} * sd THEN 1.0 ELSE 0.0 END) AS EnBanda FROM lng GROUP BY 1, 2)"""]
+
+
+@query("forecast_backtest", with_ctes(*_BACKTEST_CTES) + """SELECT serie, Modelo, round(RMSE, 2) AS RMSE, round(MAE, 2) AS MAE,
+  round(MAPE_Pct, 4) AS MAPE_Pct, round(R2_Score, 4) AS R2_Score, round(Sesgo, 2) AS Sesgo, round(EnBanda, 6) AS EnBanda,
+  CAST(rank() OVER (PARTITION BY serie ORDER BY RMSE) AS INT) AS Ranking_Precision FROM m""")
 def q_forecast_backtest(spark, d):
     return forecast_backtest(monthly_series(B.ventas(spark, d, channel=False), "Segmento"))
 
 
+@query("demand_plan_advice", with_ctes(*_BACKTEST_CTES) + f"""SELECT serie, arg_min(Modelo, RMSE) AS Ganador, round(min(RMSE), 2) AS RMSE_Ganador,
+  round(max(RMSE) FILTER (WHERE Modelo = '{CANDIDATES[0]}'), 2) AS RMSE_Benchmark,
+  CASE WHEN min(RMSE) < max(RMSE) FILTER (WHERE Modelo = '{CANDIDATES[0]}') THEN '{ADVICE[0]}' ELSE '{ADVICE[1]}' END AS Consejo FROM m GROUP BY serie""")
+def q_demand_plan_advice(spark, d):
+    """Winner of the backtest per series against the seasonal benchmark."""
+    m = forecast_backtest(monthly_series(B.ventas(spark, d, channel=False), "Segmento"))
+    best = F.min(F.struct("RMSE", "Modelo"))
+    bench = F.max(F.when(F.col("Modelo") == CANDIDATES[0], F.col("RMSE")))
+    return m.groupBy("serie").agg(best["Modelo"].alias("Ganador"), best["RMSE"].alias("RMSE_Ganador"), bench.alias("RMSE_Benchmark")).withColumn(
+        "Consejo", F.when(F.col("RMSE_Ganador") < F.col("RMSE_Benchmark"), ADVICE[0]).otherwise(ADVICE[1]))
+
+
+# Lags of the order candidates: one regressor each, besides the intercept.
+ORDERS = (1, 2, 3, 12)
+
+
+@query("order_selection", with_ctes(B.ventas_sql(channel=False), series_sql("Segmento"), f"""c AS (
+  SELECT a.serie, p, a.y, b.y AS x FROM ms a CROSS JOIN (VALUES {', '.join(f'({p})' for p in ORDERS)}) o(p) JOIN ms b ON b.serie = a.serie AND b.t = a.t - p
+  WHERE a.t - {max(ORDERS)} >= (SELECT min(t) FROM ms z WHERE z.serie = a.serie))""", """f AS (
+  SELECT serie, p, count(*) AS n, (sum(y * y) - sum(y) ^ 2 / count(*)) - (sum(x * y) - sum(x) * sum(y) / count(*)) ^ 2 / (sum(x * x) - sum(x) ^ 2 / count(*)) AS sse FROM c GROUP BY 1, 2)""") + """SELECT serie, p AS Rezago, n AS Observaciones,
+  round(n * ln(sse / n) + 4, 4) AS AIC, round(n * ln(sse / n) + 4, 4) = min(round(n * ln(sse / n) + 4, 4)) OVER (PARTITION BY serie) AS Elegido FROM f""")
+def q_order_selection(spark, d):
+    """AIC = n ln(sse / n) + 2 k of the regression on one lag, over the months that
+    all candidates have; the smallest is chosen."""
+    s = monthly_series(B.ventas(spark, d, channel=False), "Segmento")
+    w = Window.partitionBy("serie").orderBy("t").rangeBetween
+    lagged = [F.max("y").over(w(-p, -p)) for p in ORDERS]  # by month number, so a missing month is no lag
+    first = F.min("t").over(Window.partitionBy("serie"))
+    x = s.withColumn("all", F.map_from_arrays(F.array(*[F.lit(p) for p in ORDERS]), F.array(*lagged))).withColumn("first", first)
+    x = x.filter(F.col("t") - max(ORDERS) >= F.col("first")).select("serie", "y", F.explode("all").alias("Rezago", "x")).filter("x is not null")
+    g = x.groupBy("serie", "Rezago").agg(F.count(F.lit(1)).alias("Observaciones"), (F.regr_syy("y", "x") * (1 - F.regr_r2("y", "x"))).alias("sse"))
+    g = g.withColumn("AIC", F.round(F.col("Observaciones") * F.log(F.col("sse") / F.col("Observaciones")) + 4, 4))
+    return g.select("serie", "Rezago", "Observaciones", "AIC", (F.col("AIC") == F.min("AIC").over(Window.partitionBy("serie"))).alias("Elegido"))
+
+
+# 5 % critical values (constant; residuals of two series) and labels.
+ADF_CRITICAL, EG_CRITICAL = -2.86, -3.34
+COINT = ("RELACION DE LARGO PLAZO CONFIRMADA", "AUSENCIA DE COINTEGRACION", "Analisis de cointegracion no disponible")
+
+
+def _slope_t(y, x):
+    """t statistic of a slope from the moments of one regression."""
+    n = F.regr_count(y, x)
+    return F.regr_slope(y, x) / F.sqrt(F.regr_syy(y, x) * (1 - F.regr_r2(y, x)) / (n - 2) / F.regr_sxx(y, x))
+
+
+def dickey_fuller(series: DataFrame, value: str = "y") -> DataFrame:
+    """(serie, estadistico): t of the lagged level in the regression of the change
+    on it with a constant, for many series at once (window lags and moments)."""
+    w = Window.partitionBy("serie").orderBy("t")
+    x = series.withColumn("_l", F.lag(value).over(w)).withColumn("_d", F.col(value) - F.col("_l")).filter("_l is not null")
+    return x.groupBy("serie").agg(_slope_t("_d", "_l").alias("estadistico"))
+
+
+_LOGS_SQL = """lg AS (SELECT Segmento AS serie, Anio * 12 + Mes AS t, ln(SUM(VolumenReal)::DOUBLE) AS q, ln(SUM(IngresosReales)::DOUBLE / SUM(VolumenReal)::DOUBLE) AS p
+  FROM ventas GROUP BY 1, 2)"""
+
+
+def _df_sql(name: str, src: str, v: str) -> str:
+    return f"""{name} AS (
+  SELECT serie, sxy / sxx / sqrt((syy - sxy ^ 2 / sxx) / (n - 2) / sxx) AS st FROM (
+    SELECT serie, count(*) AS n, sum(l * d) - sum(l) * sum(d) / count(*) AS sxy, sum(l * l) - sum(l) ^ 2 / count(*) AS sxx, sum(d * d) - sum(d) ^ 2 / count(*) AS syy
+    FROM (SELECT serie, {v} - lag({v}) OVER w AS d, lag({v}) OVER w AS l FROM {src} WINDOW w AS (PARTITION BY serie ORDER BY t)) z WHERE l IS NOT NULL GROUP BY serie) m)"""
+
+
+@query("unit_root_cointegration", with_ctes(B.ventas_sql(channel=False), _LOGS_SQL, """eg AS (
+  SELECT serie, t, q - avg(q) OVER s - (avg(q * p) OVER s - avg(q) OVER s * avg(p) OVER s) / (avg(p * p) OVER s - avg(p) OVER s ^ 2) * (p - avg(p) OVER s) AS e
+  FROM lg WINDOW s AS (PARTITION BY serie))""", _df_sql("a", "lg", "q"), _df_sql("b", "lg", "p"), _df_sql("c", "eg", "e")) + f"""SELECT serie, round(a.st, 6) AS ADF_Volumen, round(b.st, 6) AS ADF_Precio,
+  round(c.st, 6) AS EngleGranger, a.st < {ADF_CRITICAL} AS VolumenEstacionario, b.st < {ADF_CRITICAL} AS PrecioEstacionario,
+  CASE WHEN c.st IS NULL THEN '{COINT[2]}' WHEN c.st < {EG_CRITICAL} THEN '{COINT[0]}' ELSE '{COINT[1]}' END AS Diagnostico
+FROM a JOIN b USING (serie) JOIN c USING (serie)""")
+def q_unit_root_cointegration(spark, d):
+    """Per segment: unit-root statistics of ln volume and ln price, and of the
+    residual of one on the other."""
+    v = B.ventas(spark, d, channel=False).groupBy(F.col("Segmento").alias("serie"), (F.col("Anio") * 12 + F.col("Mes")).alias("t")).agg(
+        F.log(F.sum("VolumenReal").cast("double")).alias("q"), F.log(F.sum("IngresosReales").cast("double") / F.sum("VolumenReal").cast("double")).alias("p"))
+    v = materialise(v)
+    fit = v.groupBy("serie").agg(F.regr_slope("q", "p").alias("b"), F.regr_intercept("q", "p").alias("a"))  # one row per series
+    res = v.join(fit, "serie").withColumn("e", F.col("q") - F.col("a") - F.col("b") * F.col("p"))
+    stat = lambda df, c, name: dickey_fuller(df, c).select("serie", F.col("estadistico").alias(name))
+    j = stat(v, "q", "a_").join(stat(v, "p", "b_"), "serie").join(stat(res, "e", "c_"), "serie")
+    text = F.when(F.col("c_").isNull(), COINT[2]).when(F.col("c_") < EG_CRITICAL, COINT[0]).otherwise(COINT[1])
+    return j.select("serie", F.round("a_", 6).alias("ADF_Volumen"), F.round("b_", 6).alias("ADF_Precio"), F.round("c_", 6).alias("EngleGranger"),
+                    (F.col("a_") < ADF_CRITICAL).alias("VolumenEstacionario"), (F.col("b_") < ADF_CRITICAL).alias("PrecioEstacionario"), text.alias("Diagnostico"))
+
+
 # ---------------------------------------------------------------------------
 # Panel price elasticity
 # ---------------------------------------------------------------------------
