@@ -3,7 +3,8 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.windows import ordered_cumsums, ranked_running_total, top_n_ties
+from ledgerlake.operators.windows import (bucketed, cum_share_rows, exact_quantiles, ordered_cumsums, pct_rank_points,
+                                          ranked_running_total, top_n_ties)
 
 
 def test_ranked_running_total_matches_brute_force(spark):
@@ -33,3 +34,39 @@ def test_top_n_keeps_ties(spark):
     assert sorted(r.k for r in top_n_ties(df, [], "v", 1).collect()) == [1, 2]
     g = df.withColumn("g", F.lit("x"))
     assert sorted(r.k for r in top_n_ties(g, ["g"], "v", 2).collect()) == [1, 2]
+
+
+def test_null_values_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 7.0), (4, None), (5, 5.0)], "k int, v double")
+    got = {r.k: (r["_rank"], r["_cum"]) for r in ranked_running_total(df, "v", tiebreak=["k"]).collect()}
+    assert got == {3: (1, 7.0), 1: (2, 17.0), 5: (3, 17.0), 2: (4, 17.0), 4: (5, 17.0)}
+    sums = {r.k: r["_cum_n"] for r in ordered_cumsums(df.withColumn("n", F.lit(1)), "v", ["n"]).collect()}
+    assert sums == {3: 1, 1: 3, 5: 3, 2: 5, 4: 5}
+    assert ranked_running_total(df.limit(0), "v").count() == 0
+    assert [r["_rank"] for r in ranked_running_total(df.filter("v is null"), "v", tiebreak=["k"]).orderBy("k").collect()] == [1, 2]
+
+
+def test_buckets_hold_at_most_twice_the_mean(spark):
+    """Revenues over many magnitudes, and scores in [0, 1]."""
+    rnd = random.Random(3)
+    for draw in (lambda: 10 ** rnd.uniform(-2, 9), lambda: rnd.betavariate(8, 1)):
+        df = spark.createDataFrame([(draw(),) for _ in range(20_000)], "v double")
+        sizes = [r["count"] for r in bucketed(df, "v", True).groupBy("_bkt").count().collect()]
+        assert len(sizes) > 50 and max(sizes) <= 2 * 20_000 / len(sizes)
+
+
+def test_exact_quantiles(spark):
+    rnd = random.Random(5)
+    rows = [(g, rnd.choice([rnd.gauss(0, 1), 0.0, 1.5, None])) for g in "abc" for _ in range({"a": 3000, "b": 7, "c": 400}[g])] + [("d", 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    pdf = pd.DataFrame(rows, columns=["g", "v"]).dropna()
+    points = [0.0, 0.01, 0.05, 0.5, 0.95, 1.0]
+    for r in exact_quantiles(df, ["g"], "v", points).collect():
+        want = pdf[pdf.g == r.g].v.quantile(points).to_dict()
+        assert all(abs(r.q[p] - want[p]) < 1e-9 for p in points)
+
+
+def test_row_shares_and_points(spark):
+    df = spark.createDataFrame([("x", 1, 6.0), ("x", 2, 3.0), ("x", 3, 1.0), ("y", 4, 2.0)], "g string, k int, v double")
+    assert [round(r.cum_share, 6) for r in cum_share_rows(df, "v", ["g"]).orderBy("k").collect()] == [0.6, 0.9, 1.0, 1.0]
+    assert [r.pct_rank for r in pct_rank_points(df.filter("g = 'x'"), "v", ["g"]).orderBy("v").collect()] == [0.5 / 3, 1.5 / 3, 2.5 / 3]
