@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts, text_batches, written
+from .words import runs, word_hashes
 
 #: Links need PERCENT * union <= 100 * intersection; WORDS words make a shingle.
 WORDS, PERCENT = 5, 75
@@ -38,37 +39,14 @@ SMALL, TILE = 12, 2048
 #: Id lists up to this length (8 bytes each) are broadcast, longer ones shuffled.
 BROADCAST_IDS = 1_000_000
 #: Bits of a signature for each shingle (rounded up to a power of two), least and most.
-BITS_PER_SHINGLE, LEAST_BITS, MOST_BITS = 4, 256, 1 << 16
-
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(29)
-
-
-class _Words(dict):
-    """64-bit hashes of words, with a bound on what a worker remembers."""
-
-    def __missing__(self, word):
-        if len(self) >= 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _Words()
+BITS_PER_SHINGLE, LEAST_BITS, MOST_BITS = 2, 256, 1 << 16
 
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes: of ``words`` words, or of all if there are
     fewer; A-Z lower-cased, words split at ASCII white space."""
-    tokens = text.lower().split() if text else []
-    if not tokens:
-        return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(_WORDS.__getitem__, tokens), np.uint64, len(tokens))
-    size = min(words, len(tokens))
-    value = hashed[:len(tokens) - size + 1] ^ np.uint64(size)
-    for k in range(1, size):
-        value = (value ^ (value >> _SHIFT)) * _MIX + hashed[k:len(tokens) - size + 1 + k]
-    return np.unique((value ^ (value >> _SHIFT)) * _MIX)
+    hashed = word_hashes(text.lower() if text else None)[0]
+    return np.unique(runs(hashed, min(words, len(hashed)))) if len(hashed) else hashed
 
 
 def least_overlap(a, b, percent: int = PERCENT):
@@ -113,6 +91,14 @@ def most_overlap(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
     return (n_a + n_b - differ) // 2
 
 
+def _allowed(n, pos, rows: slice, percent: int) -> np.ndarray:
+    """Which of all documents of a shingle each of ``rows`` may link with, by sizes
+    and by the shingle's position in the prefixes (as the first one in common)."""
+    need = least_overlap(n[rows, None], n[None], percent)
+    return ((np.minimum((n - pos)[rows, None], (n - pos)[None]) >= need) & (np.minimum(n[rows, None], n[None]) >= need)
+            & (np.arange(len(n))[rows, None] != np.arange(len(n))[None]))
+
+
 def _grouped_pairs(batches, percent):
     """From rows (token, n, id, pos) sorted by token, n, id: pairs that sizes and
     positions allow, of small groups; members with their tile, of large ones."""
@@ -190,7 +176,13 @@ def _grouped_pairs(batches, percent):
             rows = [c[:start[-1]] for c in rows]
             start, size = start[:-1], size[:-1]
         for k in np.flatnonzero(size > SMALL):
-            yield batch(**members([c[start[k]:start[k] + size[k]] for c in rows], 0))
+            group = [c[start[k]:start[k] + size[k]] for c in rows]
+            if size[k] <= TILE:  # else the tiles see to it
+                parts_of = [slice(x, x + 256) for x in range(0, int(size[k]), 256)]
+                some = np.concatenate([_allowed(group[1], group[3], x, percent).any(axis=1) for x in parts_of])
+                group = [c[some] for c in group]
+            if len(group[0]):
+                yield batch(**members(group, 0))
         few = np.repeat((size > 1) & (size <= SMALL), size)
         found = pairs([c[few] for c in rows])
         if found.shape[1]:
@@ -224,15 +216,16 @@ def _cells(batches):
         yield pa.Table.from_batches(held)
 
 
-def _cell_pairs(cell: pa.Table, forest: bool, percent: int) -> np.ndarray:
+def _cell_pairs(cell: pa.Table, forest: bool, percent: int) -> tuple[np.ndarray, bool]:
     """Pairs in one pair of tiles that sizes, positions and bit counts allow, and
-    whose labels differ; with ``forest`` only a spanning forest, likeliest first."""
+    whose labels differ; with ``forest`` only a spanning forest, likeliest first,
+    and whether there are more."""
     ids, n = cell["a"].to_numpy(), cell["n"].to_numpy()
     order = np.lexsort((ids, n))
     ids, n, pos, label, tile = (cell[c].to_numpy()[order] for c in ("a", "n", "pos", "label", "tile"))
     none = np.empty((2, 0), np.int64)
     if (label == label[0]).all():
-        return none
+        return none, False
     across = cell["i"][0].as_py() != cell["j"][0].as_py()
     raw = cell["signature"].to_pylist()
     bitmaps = [np.frombuffer(raw[k], np.uint64) for k in order]
@@ -241,9 +234,7 @@ def _cell_pairs(cell: pa.Table, forest: bool, percent: int) -> np.ndarray:
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for start in range(0, len(ids), 64):
         rows = slice(start, start + 64)
-        need = least_overlap(n[rows, None], n[None], percent)
-        can = np.minimum((n - pos)[rows, None], (n - pos)[None]) >= need
-        can &= (np.minimum(n[rows, None], n[None]) >= need) & (label[rows, None] != label[None])
+        can = _allowed(n, pos, rows, percent) & (label[rows, None] != label[None])
         can &= np.arange(len(ids))[rows, None] < np.arange(len(ids))[None]
         if across:  # pairs within a tile have a cell of their own
             can &= tile[rows, None] != tile[None]
@@ -254,7 +245,7 @@ def _cell_pairs(cell: pa.Table, forest: bool, percent: int) -> np.ndarray:
             ok = (n[p] + n[q] - differ) // 2 >= least_overlap(n[p], n[q], percent)
             found.append((p[ok], q[ok], (differ / (n[p] + n[q]))[ok]))
     if not found:
-        return none
+        return none, False
     p, q, apart = (np.concatenate(c) for c in zip(*found, strict=True))
     if forest and len(p):
         root = list(range(len(ids)))
@@ -271,26 +262,37 @@ def _cell_pairs(cell: pa.Table, forest: bool, percent: int) -> np.ndarray:
             if x != y:
                 root[x] = y
                 keep.append(k)
+        more = len(keep) < len(p)
         p, q = p[keep], q[keep]
-    return np.stack([np.minimum(ids[p], ids[q]), np.maximum(ids[p], ids[q])])
+    else:
+        more = False
+    return np.stack([np.minimum(ids[p], ids[q]), np.maximum(ids[p], ids[q])]), more
 
 
 def _tile_pairs(batches, forest: bool, percent: int):
-    """The pairs (a, b) of all cells of a partition, each once."""
-    held, size = [], 0
+    """The pairs (a, b) of all cells of a partition, each once; and, with a null a,
+    the cells (token, i, j) that have more than their forest."""
+    held, size, cells = [], 0, []
 
     def batch():
-        both = np.unique(np.concatenate(held, axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        both = np.unique(np.concatenate([*held, np.empty((2, 0), np.int64)], axis=1), axis=1)
+        keys = list(zip(*cells, strict=True)) or [(), (), ()]
+        none = [None] * len(cells)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*both[0].tolist(), *none], pa.int64()), pa.array([*both[1].tolist(), *none], pa.int64())]
+            + [pa.array([None] * both.shape[1] + list(k), t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()), strict=True)],
+            names=["a", "b", "token", "i", "j"])
 
     for cell in _cells(batches):
-        held.append(_cell_pairs(cell, forest, percent))
-        size += held[-1].shape[1]
+        found, more = _cell_pairs(cell, forest, percent)
+        held.append(found)
+        size += found.shape[1]
+        if more:
+            cells.append(tuple(cell[k][0].as_py() for k in ("token", "i", "j")))
         if size > 200_000:
             yield batch()
-            held, size = [], 0
-    if size:
-        yield batch()
+            held, size, cells = [], 0, []
+    yield batch()
 
 
 def _listed(ids: DataFrame) -> DataFrame:
@@ -429,18 +431,21 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         high = bands.select("token", F.col("tile").alias("j"), F.col("least").alias("least_j"))
         cells = (low.join(high, "token").filter(f"i <= j and {percent} * least_j <= 100 * most_i")
                  .select("token", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile")))
-        signed = large.join(texts.select(F.col("id").alias("a"), "signature"), "a")
-
-        def across(labels, forest):
-            rows = (signed.join(labels, "a", "left").withColumn("label", F.coalesce("label", "a")) if labels is not None
-                    else signed.withColumn("label", F.col("a")))
-            return (rows.join(cells, ["token", "tile"]).select("token", "i", "j", "tile", "a", "n", "pos", "signature", "label")
-                    .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-                    .mapInArrow(lambda batches: _tile_pairs(batches, forest, percent), "a long, b long").distinct())
-
-        first = written(_verified(pairs.union(across(None, True)), texts, words, percent))
-        joined = components(first).select(F.col("id").alias("a"), "label")
-        links = first.union(_verified(across(joined, False), texts, words, percent))
+        signatures = texts.select(F.col("id").alias("a"), "signature")
+
+        def across(cells, labels, forest):
+            # the signatures, which are the bulk, are joined last and moved once
+            rows = large.join(cells, ["token", "tile"])
+            rows = rows.join(labels, "a", "left").withColumn("label", F.coalesce("label", "a")) if labels is not None else rows.withColumn("label", F.col("a"))
+            return written(rows.join(signatures, "a").select("token", "i", "j", "tile", "a", "n", "pos", "signature", "label")
+                           .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+                           .mapInArrow(lambda batches: _tile_pairs(batches, forest, percent), "a long, b long, token long, i int, j int"))
+
+        forest = across(cells, None, True)
+        first = written(_verified(pairs.union(forest.filter("a is not null").select("a", "b")), texts, words, percent))
+        left = forest.filter("a is null").select("token", "i", "j").distinct()
+        rest = across(cells.join(left, ["token", "i", "j"], "left_semi"), components(first).select(F.col("id").alias("a"), "label"), False)
+        links = first.union(_verified(rest.select("a", "b"), texts, words, percent))
     labels = components(written(links))
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("label", "rep").alias("component_id"))
