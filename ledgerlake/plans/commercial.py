@@ -201,9 +201,9 @@ def price_vs_list(ventas: DataFrame, budget: DataFrame, by: list[str]) -> DataFr
     price, listed = ratio(F.col("r"), F.col("q")), ratio(F.col("rp"), F.col("qp"))
     dev = ratio(price - listed, listed)
     return g.select(*by, F.round(price, 8).alias("PrecioPromedioReal"), F.round(listed, 8).alias("PrecioLista"), F.round(price - listed, 8).alias("DesvioPrecio"),
-                    F.round(ratio(listed - price, listed), 8).alias("DescuentoComercialPct"), F.round("gross", 2).alias("FacturacionBruta"),
-                    F.round(F.col("gross") - F.col("r"), 2).alias("Deducciones"), F.round(ratio(F.col("gross") - F.col("r"), F.col("gross")), 8).alias("DeduccionesPct"),
-                    F.round(F.col("r") - F.col("c"), 2).alias("MargenContribucion"), F.round(dev, 8).alias("DesvioPrecioPct"),
+                    F.round(ratio(listed - price, listed), 8).alias("DescuentoComercialPct"), F.round("gross", 3).alias("FacturacionBruta"),
+                    F.round(F.col("gross") - F.col("r"), 3).alias("Deducciones"), F.round(ratio(F.col("gross") - F.col("r"), F.col("gross")), 8).alias("DeduccionesPct"),
+                    F.round(F.col("r") - F.col("c"), 4).alias("MargenContribucion"), F.round(dev, 8).alias("DesvioPrecioPct"),
                     band(dev, PRICE_BANDS, PRICE_BAND_ELSE).alias("SemaforoVariacionPrecio"), band(dev, PRICE_RULES, PRICE_RULE_ELSE).alias("ReglaDecisionPrecio"))
 
 
@@ -213,8 +213,8 @@ def price_vs_list(ventas: DataFrame, budget: DataFrame, by: list[str]) -> DataFr
   SELECT Anio, l, SUM(q)::DOUBLE AS q, SUM(r)::DOUBLE AS r, SUM(c)::DOUBLE AS c, SUM(qp)::DOUBLE AS qp, SUM(rp)::DOUBLE AS rp FROM rows_ GROUP BY 1, 2)""", """y AS (
   SELECT Anio, SUM(q) AS q, SUM(r) AS r, SUM(c) AS c, SUM(rp) / SUM(qp) AS lst, SUM(r) / SUM(q) AS px,
          SUM(CASE WHEN COALESCE(qp, 0) = 0 THEN 0 ELSE COALESCE(q, 0) * rp / qp END) AS gross FROM per GROUP BY Anio)""") + f"""SELECT Anio, round(px, 8) AS PrecioPromedioReal,
-  round(lst, 8) AS PrecioLista, round(px - lst, 8) AS DesvioPrecio, round(1 - px / lst, 8) AS DescuentoComercialPct, round(gross, 2) AS FacturacionBruta,
-  round(gross - r, 2) AS Deducciones, round(1 - r / gross, 8) AS DeduccionesPct, round(r - c, 2) AS MargenContribucion, round(px / lst - 1, 8) AS DesvioPrecioPct,
+  round(lst, 8) AS PrecioLista, round(px - lst, 8) AS DesvioPrecio, round(1 - px / lst, 8) AS DescuentoComercialPct, round(gross, 3) AS FacturacionBruta,
+  round(gross - r, 3) AS Deducciones, round(1 - r / gross, 8) AS DeduccionesPct, round(r - c, 4) AS MargenContribucion, round(px / lst - 1, 8) AS DesvioPrecioPct,
   {band_sql('(px / lst - 1)', PRICE_BANDS, PRICE_BAND_ELSE)} AS SemaforoVariacionPrecio, {band_sql('(px / lst - 1)', PRICE_RULES, PRICE_RULE_ELSE)} AS ReglaDecisionPrecio
 FROM y""")
 def q_price_vs_list(spark, d):
