@@ -69,3 +69,15 @@ def read_optional(spark: SparkSession, path: str, reader, required: bool = False
     if required:
         raise FileNotFoundError(path)
     return None
+
+
+def read_json_aligned(spark: SparkSession, path: str, maps: list[str], key_name: str = "fecha", value_type: str = "double") -> DataFrame:
+    """A document with several maps under one set of keys (``{"a": {k: v}, ...}``)
+    as one table: a row per key, a column per map, null where a map lacks the key."""
+    schema = T.StructType([T.StructField(m, T.MapType(T.StringType(), T.StructType.fromDDL(f"v {value_type}")["v"].dataType)) for m in maps])
+    doc = spark.read.schema(schema).option("multiLine", True).json(path)
+    out = None
+    for m in maps:
+        rows = doc.select(F.explode(m).alias(key_name, m))
+        out = rows if out is None else out.join(rows, key_name, "full_outer")
+    return out

@@ -34,3 +34,22 @@ def test_json_series_map_and_report(spark):
     IO.write_json_report(spark.createDataFrame([("Ventas", 10)], "tabla string, n int"), out)
     assert json.loads(spark.read.text(out).first().value) == {"tabla": "Ventas", "n": 10}
     assert IO.read_optional(spark, os.path.join(d, "missing"), spark.read.parquet) is None
+
+
+def test_json_maps_aligned_by_key(spark):
+    p = os.path.join(tempfile.mkdtemp(prefix="ll-io-"), "maps.json")
+    with open(p, "w") as f:
+        json.dump({"spot": {"2024-01": 10.0, "2024-02": 11.0}, "ipc": {"2024-02": 1.5, "2024-03": 2.0}, "otro": {}}, f)
+    got = IO.read_json_aligned(spark, p, ["spot", "ipc", "otro"]).orderBy("fecha").collect()
+    assert [tuple(r) for r in got] == [("2024-01", 10.0, None, None), ("2024-02", 11.0, 1.5, None), ("2024-03", None, 2.0, None)]
+
+
+def test_views_over_the_tables(spark):
+    from conftest import SF001
+    from ledgerlake.sources.tables import register_views, row_count, small
+    register_views(spark, SF001, ["nation", "region"])
+    assert spark.sql("select count(*) n from nation join region on n_regionkey = r_regionkey").first().n == 25
+    assert row_count(spark, SF001, "nation") == 25
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    nation = spark.table("nation")
+    assert "broadcast" in plan(small(nation, SF001, "nation", 100)) and "broadcast" not in plan(small(nation, SF001, "nation", 1 << 30))
