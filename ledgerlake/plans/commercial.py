@@ -63,6 +63,7 @@ def q_pareto_commercial(spark, d):
 from ledgerlake.functions.bands import ABC_ADVICE, ABC_ADVICE_DEFAULT, ABC_DEFAULT, ABC_RULES  # noqa: E402
 from ledgerlake.functions.clean import map_values  # noqa: E402
 from ledgerlake.plans import budget as BU  # noqa: E402
+from ledgerlake.plans import model as M  # noqa: E402
 
 def abc_classes(ventas: DataFrame) -> DataFrame:
     """Per SKU: revenue, margin %, share of the revenue of all SKUs ranking at
@@ -171,8 +172,8 @@ def budget_by_channel(ventas: DataFrame, budget: DataFrame, export_channel: str
   round(CASE WHEN bi = 0 THEN 0.0 ELSE (ing - bi) / bi END, 10) AS DesvioCuotaPct
 FROM a""")
 def q_budget_allocation(spark, d):
-    v = B.ventas(spark, d)
-    return budget_by_channel(v, BU.budget_prior_year(v)).drop("_plan")
+    v = M.sales_cube(spark, d)
+    return budget_by_channel(v, BU.budget_prior_year(v, write=False)).drop("_plan")
 
 
 # ---------------------------------------------------------------------------
@@ -218,8 +219,8 @@ def price_vs_list(ventas: DataFrame, budget: DataFrame, by: list[str]) -> DataFr
   {band_sql('(px / lst - 1)', PRICE_BANDS, PRICE_BAND_ELSE)} AS SemaforoVariacionPrecio, {band_sql('(px / lst - 1)', PRICE_RULES, PRICE_RULE_ELSE)} AS ReglaDecisionPrecio
 FROM y""")
 def q_price_vs_list(spark, d):
-    v = B.ventas(spark, d)
-    return price_vs_list(v, BU.budget_prior_year(v), ["Anio"])
+    v = M.sales_cube(spark, d)
+    return price_vs_list(v, BU.budget_prior_year(v, write=False), ["Anio"])
 
 
 SELECTED = ["BUILDING", "MACHINERY"]
@@ -236,7 +237,7 @@ def q_com_channel_selection(spark, d):
     """Budget of a channel selection: the shares come from sales that ignore the
     channel filter, intersected with the selection again; the export plan counts
     if its channel is selected."""
-    v = B.ventas(spark, d)
-    parts = budget_by_channel(v, BU.budget_prior_year(v)).filter(F.col("CanalVenta").isin(SELECTED))
+    v = M.sales_cube(spark, d)
+    parts = budget_by_channel(v, BU.budget_prior_year(v, write=False)).filter(F.col("CanalVenta").isin(SELECTED))
     g = parts.groupBy("Anio").agg(F.sum("IngresosReales").alias("IngresosReales"), F.sum("_plan").alias("p"))
     return g.select("Anio", "IngresosReales", F.round("p", 4).alias("IngresosPresupuesto"), F.round(F.col("IngresosReales") / F.col("p"), 10).alias("CumplimientoPct"))

@@ -51,7 +51,7 @@ def sales_cube(spark, d):
     variance terms and the budget's cells)."""
     from ledgerlake.session import materialise
     v = B.ventas(spark, d)
-    return materialise(v.groupBy(*CUBE_DIMS).agg(*[F.sum(c).alias(c) for c in CUBE_SUMS]))
+    return materialise(v.groupBy(*CUBE_DIMS).agg(F.min("DateKey").alias("DateKey"), *[F.sum(c).alias(c) for c in CUBE_SUMS]))
 
 
 def _ventas(spark, d):
