@@ -24,13 +24,20 @@ TEXT_BATCH = 4 << 20
 _WRITTEN: list[str] = []
 
 
+#: Bytes of an Arrow batch on its way to a Python worker; a session's larger bound is lowered.
+ARROW_BYTES = 8 << 20
+_ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that its
-    functions can be loaded there wherever the driver found it."""
+    """Prepare a session: bound the bytes of its Arrow batches, and send this
+    package to the executors, once per application, so that its functions can be
+    loaded there wherever the driver found it."""
     sc = spark.sparkContext
+    bound = spark.conf.get(_ARROW_SETTING, "64m")
+    if not bound.removesuffix("b").isdigit() or not 0 < int(bound.removesuffix("b")) <= ARROW_BYTES:
+        spark.conf.set(_ARROW_SETTING, str(ARROW_BYTES))
     if sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)
@@ -109,13 +116,13 @@ def with_texts(df: DataFrame, text_col: str, schema: str, function: Callable[[li
     added = StructType.fromDDL(schema)
     if clash := set(df.columns) & set(added.names):
         raise ValueError(f"columns {sorted(clash)} are there already")
-    width = len(df.columns)
+    place = df.columns.index(text_col)
 
     def run(batches):
-        for part in text_batches(batches, width):
-            out = function(part.column(width).to_pylist())
+        for part in text_batches(batches, place):
+            texts = part.column(place)
+            out = function((texts.cast(pa.binary()) if as_bytes else texts).to_pylist())
             arrays = [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v) for v in out.values()]
-            yield pa.RecordBatch.from_arrays([*part.columns[:width], *arrays], names=[*part.schema.names[:width], *out])
+            yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=[*part.schema.names, *out])
 
-    source = df.withColumn("_text_of_row", F.col(text_col).cast("binary" if as_bytes else "string"))
-    return source.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
