@@ -5,12 +5,15 @@ A text's units are its lines and its blocks (runs of lines without an empty one)
 A unit of n distinct bigrams reaches a coefficient of t with a template of m only
 if m lies between n * t / (2 - t) and n * (2 - t) / t, so every template stands in
 a small table once for each n that it can match, and an equi-join on n finds the
-candidates.  DataFrame functions only.
+candidates.  A match also shares so many of a template's bigrams that it must hold
+one of a few words of it; texts and units without any are passed over before
+their bigrams are built.  DataFrame functions only.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +101,33 @@ def bigrams(text: Column) -> Column:
     return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
+#: Words of so little weight as anchors that others are taken if there are any.
+COMMON = frozenset("the of and in to a an any is be by or for with this that under as at on not you may it its all are was from".split())
+
+
+def anchor_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every text that matches a template holds one at least.
+
+    A match shares ``threshold / (2 - threshold)`` of a template's m bigrams, so it
+    shares one of any m - that + 1.  Words are taken, long ones first, until so
+    many bigrams have one of them."""
+    chosen: list[str] = []
+    for _, text in sorted(templates, key=lambda t: (len(t[1]), t)):
+        words = re.sub(r"[\W_]+", " ", "".join(c.lower() if c in UPPER else c for c in text)).strip().split(" ")
+        pairs = set(zip(words, words[1:], strict=False))
+        need = len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9) + 1
+        open_ = {p for p in pairs if not set(p) & set(chosen)}
+        while pairs and len(pairs) - len(open_) < need:
+            def weight(word, open_=open_):
+                covers = sum(word in p for p in open_)
+                return covers and (0.02 if word in COMMON else min(len(word), 8) / 8 * (1 if len(word) > 3 else 0.3)) * (2 + covers)
+
+            best = max(sorted({w for p in open_ for w in p}), key=weight)
+            chosen.append(best)
+            open_ = {p for p in open_ if best not in p}
+    return sorted(chosen, key=lambda w: (-len(w), w))
+
+
 def prepare_templates(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     """template (its number), license, wanted (its bigrams), size."""
     if sum(len(text) for _, text in templates) > TEMPLATE_CHARS:
@@ -124,13 +154,23 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
                                                              F.floor(F.col("size") * high + 1e-9).cast("int"))).alias("n"))
     reach = prepared.agg(F.min("size").alias("least"), F.max("size").alias("most")).first()
     least = math.ceil((reach.least or 0) * low - 1e-9) if reach.least else 1
+    anchors = anchor_words(templates, threshold)
+
+    def any_of(where: Column, pattern: str) -> Column:
+        found = F.lit(False)
+        for word in anchors:
+            found = found | F.contains(where, F.lit(pattern.format(word)))
+        return found
+
     text = F.col(text_col).cast("string")
     lines = F.split(text, "\n")
     blocks = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda b: F.contains(F.trim(b), F.lit("\n")))
-    units = (df.select(F.col(id_col), F.explode(F.array_union(lines, blocks)).alias("_unit"))
+    units = (df.filter(any_of(F.lower(text), "{}"))
+             .select(F.col(id_col), F.explode(F.array_union(lines, blocks)).alias("_unit")).filter(any_of(F.lower("_unit"), "{}"))
              .select(id_col, normalised(F.col("_unit")).alias("unit"))
              # fewer words than a template's least size allows cannot match; the bound on the other side follows below
-             .filter(F.length("unit") - F.length(F.translate("unit", " ", "")) >= least)
+             .filter((F.length("unit") - F.length(F.translate("unit", " ", "")) >= least)
+                     & any_of(F.concat(F.lit(" "), F.col("unit"), F.lit(" ")), " {} "))
              .withColumn("_has", bigrams(F.col("unit"))).withColumn("n", F.size("_has")))
     pairs = (units.join(F.broadcast(sizes), "n").join(F.broadcast(prepared.select("template", "license", "wanted", "size")), "template")
              .withColumn("dice", 2.0 * F.size(F.array_intersect("_has", "wanted")) / (F.col("n") + F.col("size")))

@@ -49,3 +49,18 @@ def test_plan_has_no_python(spark):
     docs = documents(spark, ["x"])
     plan = s.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_every_match_has_an_anchor():
+    """Drop as many bigrams of a template as a match may lack: an anchor stays."""
+    import random
+    rng = random.Random(4)
+    anchors = set(s.anchor_words())
+    for _, text in s.TEMPLATES:
+        words = normal(text).split(" ")
+        wanted = pairs(text)
+        for _ in range(200):
+            cut = [w for w in words if rng.random() < rng.choice([0.7, 0.85, 0.95])]
+            has = set(zip(cut, cut[1:]))
+            if has and 2 * len(has & wanted) / (len(has) + len(wanted)) >= s.THRESHOLD:
+                assert anchors & set(cut)
