@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts, text_batches, written
+from .words import runs, word_hashes
 
 WINDOW, GRAM = 13, 5
 #: Words in one shard's index.  An anchor with more segments has several indexes.
@@ -39,19 +40,7 @@ BROADCAST_IDS = 1_000_000
 #: Windows searched at once; small arrays stay in the processor's cache.
 QUERIES = 1 << 16
 
-_MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
-_ONE, _64 = np.uint64(1), np.int64(63)
-
-
-class _Words(dict):
-    def __missing__(self, word):
-        if len(self) >= 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _Words()
+_ONE = np.uint64(1)
 
 
 def split(text: bytes | None) -> list[bytes]:
@@ -59,18 +48,12 @@ def split(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
-def anchors(words: list[bytes], window: int = WINDOW) -> np.ndarray:
-    """The anchor of every window of ``window`` words."""
-    n = len(words) - window + 1
-    if n < 1:
+def anchors(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The anchor of every window of ``window`` words, from the words' hashes."""
+    if len(hashes) < window:
         return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     gram = min(GRAM, window)
-    value = hashed[:len(words) - gram + 1].copy()
-    for k in range(1, gram):
-        value = (value ^ (value >> _SHIFT)) * _MIX + hashed[k:len(words) - gram + 1 + k]
-    value = (value ^ (value >> _SHIFT)) * _MIX
-    least, span, grams = value, 1, window - gram + 1
+    least, span, grams = runs(hashes, gram), 1, window - gram + 1
     while span < grams:
         step = min(span, grams - span)
         least = np.minimum(least[:len(least) - step], least[step:])
@@ -122,15 +105,19 @@ def _in_bloom(whole: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def _segments(words: list[bytes], bloom: np.ndarray | None, window: int):
-    """(anchor, first window, end of windows) of the runs that may occur elsewhere."""
-    anchor = anchors(words, window)
+def _segments(text: bytes | None, bloom: np.ndarray | None, window: int):
+    """(anchor, first window, the words) of the runs of windows that may occur elsewhere."""
+    hashes, first, last = word_hashes(text)
+    anchor = anchors(hashes, window)
     if not len(anchor):
         return
     start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    end = np.append(start[1:], len(anchor))
-    keep = _in_bloom(bloom, anchor[start])
-    yield from zip(anchor[start][keep].view(np.int64).tolist(), start[keep].tolist(), end[keep].tolist(), strict=True)
+    keep = np.flatnonzero(_in_bloom(bloom, anchor[start]))
+    end = np.append(start[1:], len(anchor))[keep]
+    start = start[keep]
+    for a, at, x, y in zip(anchor[start].view(np.int64).tolist(), start.tolist(), first[start].tolist(),
+                           last[end + window - 2].tolist(), strict=True):
+        yield a, at, b" ".join(text[x:y].split())
 
 
 class FMIndex:
@@ -309,7 +296,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def list_anchors(batches):
         for part in text_batches(batches):
-            found = [np.unique(anchors(split(t), window)) for t in part.column(1).to_pylist()]
+            found = [np.unique(anchors(word_hashes(t)[0], window)) for t in part.column(1).to_pylist()]
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(ids, [len(f) for f in found]))],
@@ -324,9 +311,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for part in text_batches(batches):
             held: dict[bytes, list] = {}
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                words = split(text)
-                for anchor, a, b in _segments(words, bloom.value, window):
-                    run = b" ".join(words[a:b + window - 1])
+                for anchor, _, run in _segments(text, bloom.value, window):
                     row = held.setdefault(xxhash.xxh3_128_digest(run), [anchor, run, doc, doc])
                     row[2], row[3] = min(row[2], doc), max(row[3], doc)
             rows = [pa.array([r[k] for r in held.values()], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64()))]
@@ -341,11 +326,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for part in text_batches(batches):
             rows: list[list] = [[], [], [], []]
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                words = split(text)
                 digest = None
-                for _, a, b in _segments(words, bloom.value, window):
-                    digest = digest or identity(words)
-                    for column, value in zip(rows, (doc, digest, a, xxhash.xxh3_128_digest(b" ".join(words[a:b + window - 1]))), strict=True):
+                for _, at, run in _segments(text, bloom.value, window):
+                    digest = digest or identity(split(text))
+                    for column, value in zip(rows, (doc, digest, at, xxhash.xxh3_128_digest(run)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.binary(), pa.int32(), pa.binary()), strict=True)],
                                              names=["id", "digest", "start", "segment"])
