@@ -23,6 +23,8 @@ THRESHOLD = 0.8
 #: Templates are broadcast with their bigrams; a set of more characters is refused.
 TEMPLATE_CHARS = 4 << 20
 
+#: Whatever is no letter or digit.
+SEPARATOR = r"[^\p{L}\p{N}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -90,7 +92,7 @@ TEMPLATES = (
 
 def normalised(text: Column) -> Column:
     """A-Z lower-cased; whatever is no letter or digit becomes one space."""
-    return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), SEPARATOR, " "))
 
 
 def bigrams(text: Column) -> Column:
@@ -154,23 +156,19 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
                                                              F.floor(F.col("size") * high + 1e-9).cast("int"))).alias("n"))
     reach = prepared.agg(F.min("size").alias("least"), F.max("size").alias("most")).first()
     least = math.ceil((reach.least or 0) * low - 1e-9) if reach.least else 1
-    anchors = anchor_words(templates, threshold)
+    anchors = F.array(*[F.lit(w) for w in anchor_words(templates, threshold)]).cast("array<string>")
 
-    def any_of(where: Column, pattern: str) -> Column:
-        found = F.lit(False)
-        for word in anchors:
-            found = found | F.contains(where, F.lit(pattern.format(word)))
-        return found
+    def may_match(where: Column) -> Column:
+        return F.arrays_overlap(F.split(F.lower(where), SEPARATOR), anchors)
 
     text = F.col(text_col).cast("string")
     lines = F.split(text, "\n")
     blocks = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda b: F.contains(F.trim(b), F.lit("\n")))
-    units = (df.filter(any_of(F.lower(text), "{}"))
-             .select(F.col(id_col), F.explode(F.array_union(lines, blocks)).alias("_unit")).filter(any_of(F.lower("_unit"), "{}"))
+    units = (df.filter(may_match(text))
+             .select(F.col(id_col), F.explode(F.array_union(lines, blocks)).alias("_unit")).filter(may_match(F.col("_unit")))
              .select(id_col, normalised(F.col("_unit")).alias("unit"))
              # fewer words than a template's least size allows cannot match; the bound on the other side follows below
-             .filter((F.length("unit") - F.length(F.translate("unit", " ", "")) >= least)
-                     & any_of(F.concat(F.lit(" "), F.col("unit"), F.lit(" ")), " {} "))
+             .filter(F.length("unit") - F.length(F.translate("unit", " ", "")) >= least)
              .withColumn("_has", bigrams(F.col("unit"))).withColumn("n", F.size("_has")))
     pairs = (units.join(F.broadcast(sizes), "n").join(F.broadcast(prepared.select("template", "license", "wanted", "size")), "template")
              .withColumn("dice", 2.0 * F.size(F.array_intersect("_has", "wanted")) / (F.col("n") + F.col("size")))
