@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import norm_cdf
 from ledgerlake.registry import query, with_ctes
-from ledgerlake.session import materialise
+from ledgerlake.session import materialise, ship_package
 from ledgerlake.sources import bridge as B
 
 
@@ -305,6 +305,7 @@ def price_elasticity(panel: DataFrame) -> DataFrame:
     the global fit), so this is exact on any panel, balanced or not.  A second
     pass sums the squared residuals.  Where the parameters use up the
     observations, slope and error are null."""
+    ship_package(panel.sparkSession)
     w = Window.partitionBy("ProductoID")
     z = [((F.col("Mes") == m).cast("double") - F.avg((F.col("Mes") == m).cast("double")).over(w)).alias(f"d{m}") for m in MONTHS]
     within = materialise(panel.select("ProductoID", "Segmento", *z, (F.col("x") - F.avg("x").over(w)).alias("xt"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.registry import query, with_ctes
+from ledgerlake.session import ship_package
 from ledgerlake.sources import bridge as B
 
 # Parameters (scaled to the test flows): fixed cost per transfer, lower band,
@@ -105,6 +106,7 @@ def miller_orr_path(flows: DataFrame, params: DataFrame) -> DataFrame:
     The reset makes this a true recurrence, so each account's days are folded in
     order, in one pass.  A group is one account's days (bounded by the calendar,
     not by the data volume); accounts are spread over the cluster."""
+    ship_package(flows.sparkSession)
     j = flows.join(params.select("CuentaID", "L", "z", "h", "r_diaria"), "CuentaID").select(
         "CuentaID", "Fecha", F.col("FlujoNetoDiario").cast("double").alias("FlujoNetoDiario"), "L", "z", "h", "r_diaria")
     p = j.groupBy("CuentaID").applyInArrow(_fold_days, j._jdf.schema().toDDL() + ", saldo double, accion string, monto double")

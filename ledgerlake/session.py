@@ -13,6 +13,8 @@ import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,3 +102,22 @@ def release(spark: SparkSession) -> int:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
     return len(paths)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that functions
+    that run in Python workers can be loaded there wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="ledgerlake-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
