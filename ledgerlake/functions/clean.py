@@ -20,20 +20,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Layouts by how the text begins, with the shape that each can parse: a row is only
-# tried against the few layouts of its kind, so none pays for failed parses.  After
-# the fixed list come day-first layouts that a lenient parser also reads.
+# Layouts by the first separator and its place, with the shape that each can parse: a
+# row is only tried against the few layouts of its kind, so none pays for failed
+# parses.  After the fixed list come day-first layouts that a lenient parser also reads.
+_YEAR, _DAY = (5,), (2, 3)
 _DATE_KINDS = [
-    (r"^\d{4}-", [(r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{4}-\d{1,2}$", "yyyy-M"),
+    ("-", _YEAR, [(r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{4}-\d{1,2}$", "yyyy-M"),
                   (r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "yyyy-M-d")]),
-    (r"^\d{4}/", [(r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{4}/\d{1,2}$", "yyyy/M")]),
-    (r"^\d{8}$", [(r"^\d{8}$", "yyyyMMdd")]),
-    (r"^\d{1,2}/", [(r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"), (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-                    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy")]),
-    (r"^\d{1,2}-", [(r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"), (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-                    (r"^\d{1,2}-\d{1,2}-\d{2}$", "d-M-yy")]),
-    (r"^\d{1,2}\.", [(r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy")]),
-    (r"^\d{1,2} ", [(r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy")]),
+    ("/", _YEAR, [(r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{4}/\d{1,2}$", "yyyy/M")]),
+    ("/", _DAY, [(r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"), (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+                 (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy")]),
+    ("-", _DAY, [(r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"), (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+                 (r"^\d{1,2}-\d{1,2}-\d{2}$", "d-M-yy")]),
+    (".", _DAY, [(r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy")]),
+    (" ", _DAY, [(r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy")]),
 ]
 
 
@@ -43,10 +43,11 @@ def parse_date(c) -> Column:
     s = F.trim(_c(c).cast("string"))
     day = F.substring_index(F.substring_index(s, " ", 1), "T", 1)
     out = None
-    for start, layouts in _DATE_KINDS:
+    for sign, places, layouts in _DATE_KINDS:
         tried = F.coalesce(*[F.when(s.rlike(shape), F.try_to_date(day if ":" in shape else s, layout)) for shape, layout in layouts])
-        out = F.when(s.rlike(start), tried) if out is None else out.when(s.rlike(start), tried)
-    return out
+        kind = F.instr(s, sign).isin(*places)
+        out = F.when(kind, tried) if out is None else out.when(kind, tried)
+    return out.otherwise(F.when(s.rlike(r"^\d{8}$"), F.try_to_date(s, "yyyyMMdd")))
 
 
 def parse_date_sql(c: str) -> str:
@@ -95,7 +96,11 @@ def title_case(c) -> Column:
 
 def clean_string(c, case: str = "none") -> Column:
     """null -> '', trim, collapse inner whitespace, optional case."""
-    s = F.regexp_replace(F.trim(F.coalesce(_c(c).cast("string"), F.lit(""))), r"\s+", " ")
+    s = F.trim(F.coalesce(_c(c).cast("string"), F.lit("")))
+    uneven = F.contains(s, F.lit("  "))  # few texts have anything to collapse
+    for sign in "\t\n\r\f\v":
+        uneven = uneven | F.contains(s, F.lit(sign))
+    s = F.when(uneven, F.regexp_replace(s, r"\s+", " ")).otherwise(s)
     if case == "upper":
         return F.upper(s)
     if case == "lower":
