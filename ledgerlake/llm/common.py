@@ -3,11 +3,7 @@ shared folder and bounded text batches for Arrow functions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,37 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.session import checkpoint_dir
+from ledgerlake.session import materialise, release, ship_package
+
+#: Intermediate tables: written into the shared folder and read back, so a lost
+#: executor costs no recomputation; ``release`` deletes a session's.
+written = materialise
+__all__ = ["map_texts", "release", "ship", "table", "text_batches", "with_texts", "written"]
 
 #: Bytes of text that an Arrow function handles at once (one longer text is a batch of its own).
 TEXT_BATCH = 4 << 20
 
-_WRITTEN: list[str] = []
-
-
 #: Bytes of an Arrow batch on its way to a Python worker; a session's larger bound is lowered.
 ARROW_BYTES = 8 << 20
 _ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-_SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Prepare a session: bound the bytes of its Arrow batches, and send this
     package to the executors, once per application, so that its functions can be
     loaded there wherever the driver found it."""
-    sc = spark.sparkContext
     bound = spark.conf.get(_ARROW_SETTING, "64m")
     if not bound.removesuffix("b").isdigit() or not 0 < int(bound.removesuffix("b")) <= ARROW_BYTES:
         spark.conf.set(_ARROW_SETTING, str(ARROW_BYTES))
-    if sc.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(sc.applicationId)
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for file in sorted(package.rglob("*.py")):
-            z.write(file, file.relative_to(package.parent))
-    sc.addPyFile(str(archive))
+    ship_package(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -55,26 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it
-    back: the plan is cut there, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this session.  Call it when no result
-    that was derived from them is needed any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
 def text_batches(batches: Iterator[pa.RecordBatch], column: int = 1,
                  limit: int = TEXT_BATCH) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold at most ``limit`` bytes of text, or one row."""
