@@ -300,33 +300,48 @@ def price_elasticity(panel: DataFrame) -> DataFrame:
     """Slope of ln volume on ln price with SKU and calendar-month effects, HC1
     error, normal p-value and R2, over all SKUs (GLOBAL) and per segment.
 
-    SKU effects go by demeaning within the SKU; the month effects and the slope
-    follow from one aggregate of products per segment (13 x 13 sums, added up for
-    the global fit), so this is exact on any panel, balanced or not.  A second
-    pass sums the squared residuals.  Where the parameters use up the
+    Products around SKU means follow from one row of sums per SKU (rows, x, y by
+    month), so the panel is summed once and the 13 x 13 products are taken over
+    SKUs, not over rows; added up they give the fits of the segments and the
+    global one.  This is exact on any panel, balanced or not.  A second pass over
+    the panel sums the squared residuals.  Where the parameters use up the
     observations, slope and error are null."""
     ship_package(panel.sparkSession)
-    w = Window.partitionBy("ProductoID")
-    z = [((F.col("Mes") == m).cast("double") - F.avg((F.col("Mes") == m).cast("double")).over(w)).alias(f"d{m}") for m in MONTHS]
-    within = materialise(panel.select("ProductoID", "Segmento", *z, (F.col("x") - F.avg("x").over(w)).alias("xt"),
-                                      (F.col("y") - F.avg("y").over(w)).alias("yt"), "y"))
-    names = [f"d{m}" for m in MONTHS] + ["xt", "yt"]
-    products = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
-    # one row per segment and one for all
-    sums = within.groupingSets([[F.col("Segmento")], []], F.col("Segmento")).agg(
-        F.array(*products).alias("gram"), F.count(F.lit(1)).alias("n"), F.count_distinct("ProductoID").alias("skus"),
-        (F.var_pop("y") * F.count("y")).alias("sst"))
+    panel = materialise(panel)
+    x, y = F.col("x"), F.col("y")
+    by_month = [F.sum(F.when(F.col("Mes") == m, v).otherwise(0.0)).alias(f"{n}{m}") for n, v in (("c", F.lit(1.0)), ("sx", x), ("sy", y)) for m in MONTHS]
+    skus = materialise(panel.groupBy("ProductoID", "Segmento").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
+        F.sum(x * y).alias("sxy"), F.sum(y * y).alias("syy"), *by_month))
+    n = F.col("n")
+    c = {m: F.col(f"c{m}") for m in MONTHS}
+
+    def product(a, b):
+        if a in c and b in c:
+            return (c[a] if a == b else F.lit(0.0)) - c[a] * c[b] / n
+        if a in c:
+            return F.col(f"s{b}{a}") - c[a] * F.col(f"s{b}") / n
+        return F.col(f"s{a}{b}") - F.col(f"s{a}") * F.col(f"s{b}") / n
+
+    names = [*MONTHS, "x", "y"]
+    sums = skus.groupingSets([[F.col("Segmento")], []], F.col("Segmento")).agg(  # one row per segment and one for all
+        F.array(*[F.sum(product(a, b)) for i, a in enumerate(names) for b in names[i:]]).alias("gram"), F.sum(n).cast("long").alias("n"),
+        F.count(F.lit(1)).alias("skus"), (F.sum("syy") - F.sum("sy") ** 2 / F.sum(n)).alias("sst"))
     sums = sums.withColumn("Segmento", F.coalesce("Segmento", F.lit("GLOBAL")))
     fitted = materialise(sums.select("Segmento", "gram", "n", "skus", "sst").mapInArrow(
         lambda batches: (_solve(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows),
         "Segmento string, n long, k long, sst double, sxx double, on_x array<double>, on_y array<double>, beta double"))
-    scopes = within.withColumn("Segmento", F.explode(F.array(F.lit("GLOBAL"), F.col("Segmento"))))
-    months = F.array(*[F.col(f"d{m}") for m in MONTHS])
-    dot = lambda c: F.aggregate(F.zip_with(months, F.col(c), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    res = (scopes.join(F.broadcast(fitted.select("Segmento", "on_x", "on_y", "beta")), "Segmento")  # one row per segment
-           .select("Segmento", (F.col("xt") - dot("on_x")).alias("xr"), (F.col("yt") - dot("on_y")).alias("yr"), "beta"))
+    # a residual is the value less its month's effect less a constant of the SKU
+    effects = F.broadcast(fitted.select(F.col("Segmento").alias("scope"), "on_x", "on_y", "beta"))  # one row per scope
+    counts = F.array(*c.values())
+    dot = lambda e: F.aggregate(F.zip_with(counts, F.col(e), lambda p, q: p * q), F.lit(0.0), lambda p, q: p + q)
+    level = (skus.withColumn("scope", F.explode(F.array(F.lit("GLOBAL"), F.col("Segmento")))).join(effects.drop("beta"), "scope")
+             .select("ProductoID", "Segmento", "scope", ((F.col("sx") - dot("on_x")) / n).alias("kx"), ((F.col("sy") - dot("on_y")) / n).alias("ky")))
+    month = lambda e: F.coalesce(F.get(F.col(e), F.col("Mes") - 2), F.lit(0.0))
+    res = (panel.join(level, ["ProductoID", "Segmento"]).join(effects, "scope")
+           .select("scope", (x - month("on_x") - F.col("kx")).alias("xr"), (y - month("on_y") - F.col("ky")).alias("yr"), "beta"))
     error = F.col("yr") - F.col("beta") * F.col("xr")
-    squares = res.groupBy("Segmento").agg(F.sum((F.col("xr") * error) ** 2).alias("meat"), F.sum(error ** 2).alias("sse"))
+    squares = res.groupBy(F.col("scope").alias("Segmento")).agg(F.sum((F.col("xr") * error) ** 2).alias("meat"), F.sum(error ** 2).alias("sse"))
     j = fitted.join(squares, "Segmento")
     se = F.sqrt(F.col("meat") * F.col("n") / (F.col("n") - F.col("k"))) / F.col("sxx")
     p = 2 * (1 - norm_cdf(F.abs(F.col("beta") / se)))
