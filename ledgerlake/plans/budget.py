@@ -62,18 +62,19 @@ def budget_prior_year(ventas: DataFrame, vol_drift: float = 0.0, price_drift: fl
         # dimensions) feeds six branches below: write it once to the shared
         # checkpoint folder instead of re-running the sales join per branch
         cells = materialise(cells)
-    infl = inflation_assumption(cells)
-    base_year = infl.filter("i = 1").select(F.col("Anio").alias("base"))
-    # yearly compound factors (one row per year)
-    wy = Window.orderBy("Anio").rowsBetween(Window.unboundedPreceding, 0)
-    fac = infl.select(
-        "Anio",
-        F.product(F.when(F.col("i") == 1, F.lit(1.0))
-                  .otherwise((1 + F.col("inflacion")) * (1 + price_drift))).over(wy).alias("fp"),
-        F.product(F.when(F.col("i") == 1, F.lit(1.0))
-                  .otherwise((1 + F.col("inflacion")) * (1 + cost_drift))).over(wy).alias("fc"))
+    # one row per year, so the yearly factors are folded here and enter as literals
+    years = sorted(inflation_assumption(cells).collect(), key=lambda r: r.Anio)
+    fp = fc = 1.0
+    factors = []
+    for r in years:
+        if r.i > 1:
+            fp, fc = fp * (1 + r.inflacion) * (1 + price_drift), fc * (1 + r.inflacion) * (1 + cost_drift)
+        factors.append((r.Anio, fp, fc))
+    base = years[0].Anio if years else None
+    is_base = F.col("Anio") == F.lit(base)
+    of_year = lambda k: F.element_at(F.map_from_arrays(F.array(*[F.lit(f[0]) for f in factors]), F.array(*[F.lit(f[k]) for f in factors])), F.col("Anio"))
     # base-year unit anchors per product (one row per product)
-    anchors = cells.join(base_year, cells.Anio == base_year.base).groupBy("ProductoID").agg(
+    anchors = cells.filter(is_base).groupBy("ProductoID").agg(
         F.sum("IngresosReales").alias("_r"), F.sum("CostoReal").alias("_c"), F.sum("VolumenReal").alias("_v"))
     anchors = anchors.select(
         "ProductoID",
@@ -85,16 +86,16 @@ def budget_prior_year(ventas: DataFrame, vol_drift: float = 0.0, price_drift: fl
     grid = (cells.select("ProductoID").distinct().withColumn("months", months).withColumn("centres", centres)
             .select("ProductoID", F.explode("centres").alias("CentroCostoID"), "months")
             .select("ProductoID", "CentroCostoID", F.inline("months")))
-    base_cells = cells.join(base_year, cells.Anio == base_year.base, "left_semi").select(
+    base_cells = cells.filter(is_base).select(
         "Anio", "Mes", "ProductoID", "CentroCostoID", F.round(F.col("VolumenReal")).cast("long").alias("_v"))
     shifted = cells.select(
         (F.col("Anio") + 1).alias("Anio"), "Mes", "ProductoID", "CentroCostoID",
         F.greatest(F.lit(0), F.round(F.col("VolumenReal").cast("double") * (1 + vol_drift))).cast("long").alias("_v"))
     b = grid.join(base_cells.unionByName(shifted), ["Anio", "Mes", "ProductoID", "CentroCostoID"], "left").withColumn(
         "VolumenPresupuestado", F.coalesce("_v", F.lit(0).cast("long"))).drop("_v")
-    b = b.join(fac, "Anio").join(anchors, "ProductoID", "left")
-    px = F.round(F.col("p0") * F.col("fp"), 2).cast("decimal(18,2)")
-    cs = F.round(F.col("c0") * F.col("fc"), 2).cast("decimal(18,2)")
+    b = b.join(anchors, "ProductoID", "left")
+    px = F.round(F.col("p0") * (of_year(1) if factors else F.lit(None)), 2).cast("decimal(18,2)")
+    cs = F.round(F.col("c0") * (of_year(2) if factors else F.lit(None)), 2).cast("decimal(18,2)")
     vol = F.col("VolumenPresupuestado").cast("decimal(18,0)")
     return b.select(
         F.col("MesDateKey").alias("DateKey"), "AnioMes", "Anio", "Mes", "ProductoID", "CentroCostoID",

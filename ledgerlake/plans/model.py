@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import budget as BU
+from ledgerlake.session import materialise
 from ledgerlake.sources import bridge as B
 
 
@@ -49,7 +50,6 @@ def sales_cube(spark, d):
     of line items; it is written once to the shared checkpoint folder and
     feeds every sales-derived branch of an evaluation (actuals, prior year,
     variance terms and the budget's cells)."""
-    from ledgerlake.session import materialise
     v = B.ventas(spark, d)
     return materialise(v.groupBy(*CUBE_DIMS).agg(F.min("DateKey").alias("DateKey"), *[F.sum(c).alias(c) for c in CUBE_SUMS]))
 
@@ -301,7 +301,8 @@ def evaluate(spark, d: str, measures, by: list[str], where: dict | None = None,
         # each fact is planned once per evaluation: branches share one plan
         # (and the budget's materialised cells)
         if key not in built:
-            built[key] = (_presupuesto(spark, d, src_of("V")) if key == "P" else _prior_year(src_of("V")) if key == "Y"
+            # the budget, a row per month, line and cost centre, is written once for its branches
+            built[key] = (materialise(_presupuesto(spark, d, src_of("V"))) if key == "P" else _prior_year(src_of("V")) if key == "Y"
                           else FACTS[key].builder(spark, d))
         return built[key]
 
