@@ -1,7 +1,9 @@
 """License scans: normalised text against license templates by the Dice
 coefficient over word bigrams.
 
-A text's units are its lines and its blocks (runs of lines without an empty one).
+A text's units are its lines, its blocks (runs of lines without an empty one) and its
+passages: where no line or block matches a template, the runs of consecutive lines,
+over empty ones too, that do, such as a notice in several paragraphs.
 A unit of n distinct bigrams reaches a coefficient of t with a template of m only
 if m lies between n * t / (2 - t) and n * (2 - t) / t, so every template stands in
 a small table once for each n that it can match, and an equi-join on n finds the
@@ -140,11 +142,81 @@ def prepare_templates(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
             .withColumn("size", F.size("wanted")).filter("size > 0"))
 
 
+def _held(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` and the given columns, which are computed once per row: the plan
+    does not put their expressions into functions that go through an array."""
+    row = F.explode_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))).alias("_held")
+    return df.select(*keep, row).select(*keep, *[F.col(f"_held.{name}").alias(name) for name in columns])
+
+
+def _passages(docs: DataFrame, prepared: DataFrame, threshold: float) -> DataFrame:
+    """(id, unit, license, dice) of the passages of ``docs`` (id, text).
+
+    A passage is a run of two or more lines with some letter or digit and no more
+    words than a match can have distinct bigrams.  Of runs that match one template
+    and overlap, the best counts; those that overlap a matching line or block of
+    no more words do not.  A text, and the lines that a run can take from its
+    first one on, are passed over if they share too few bigrams with a template."""
+    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    need = F.ceil(F.col("size") * low - 1e-9).cast("int")
+    # One row of all templates; its key is no constant, or the join would be a nested loop.
+    every = prepared.agg(F.max("size").alias("most"), F.array_distinct(F.flatten(F.collect_list("wanted"))).alias("all"),
+                         F.collect_list(F.struct("template", "wanted", need.alias("need"))).alias("templates"))
+    every = every.select((F.col("most") > 0).alias("key"), "all", "templates")
+    near = (docs.filter(F.contains("text", F.lit("\n"))).withColumn("key", F.length("text") > 0)
+            .withColumn("_has", bigrams(normalised(F.col("text")))).join(F.broadcast(every), "key")
+            .select("id", "text", "templates", F.array_intersect("_has", "all").alias("_shared"))
+            .select("id", "text", F.explode_outer(F.transform(
+                F.filter("templates", lambda t: F.size(F.array_intersect("_shared", t["wanted"])) >= t["need"]),
+                lambda t: t["template"])).alias("template")).filter("template is not null")
+            .join(F.broadcast(prepared), "template")
+            .withColumn("need", need).withColumn("most", F.floor(F.col("size") * high + 1e-9).cast("int") + 1))
+    lines = F.flatten(F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda b, k: F.transform(
+        F.split(b, "\n"), lambda x: F.struct(k.alias("block"), normalised(x).alias("text")))))
+    keep = ["id", "license", "wanted", "size", "need", "most"]
+    near = _held(near, keep, lines=F.filter(lines, lambda x: F.length(x["text"]) > 0))
+    near = _held(near, keep, texts=F.col("lines.text"), blocks=F.col("lines.block"))
+    # Per line its words and the template's bigrams that start in it, the one that goes on in the next line included.
+    after = F.concat(F.slice("texts", 2, F.size("texts")), F.array(F.lit("")))
+    near = _held(near, [*keep, "texts", "blocks"], words=F.transform("texts", lambda x: F.size(F.split(x, " "))),
+                 shared=F.zip_with("texts", after, lambda x, y: F.array_intersect(
+                     bigrams(F.trim(F.concat(x, F.lit(" "), F.split(y, " ")[0]))), "wanted")))
+
+    def reach(i: Column) -> Column:
+        """How many lines from ``i`` on have no more words than a match."""
+        start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("n"))
+        return F.aggregate(F.slice("words", i, F.col("most")), start, lambda a, w: F.struct(
+            (a["words"] + w).alias("words"), (a["n"] + (a["words"] + w <= F.col("most")).cast("int")).alias("n")))["n"]
+
+    def block(k: Column) -> Column:
+        return F.when(k > 0, F.get("blocks", k - 1))
+
+    def starts(i: Column) -> Column:
+        return ~block(i).eqNullSafe(block(i - 1))
+
+    def run(i: Column, j: Column) -> Column:
+        has = bigrams(F.array_join(F.slice("texts", i, j - i + 1), " "))
+        unit = (i == j) | ((block(i) == block(j)) & starts(i) & starts(j + 1))
+        return F.struct(unit.alias("unit"), (2.0 * F.size(F.array_intersect(has, "wanted")) / (F.size(has) + F.col("size"))).alias("dice"),
+                        (i - j).alias("less"), (-i).alias("early"), i.alias("i"), j.alias("j"))
+
+    keep += ["texts", "blocks"]
+    first = F.filter(F.transform("shared", lambda x, k: F.struct(
+        (k + 1).alias("i"), F.when((F.size(x) > 0) | starts(k + 1), reach(k + 1)).alias("n"))), lambda f: f["n"] > 0)
+    near = _held(near, [*keep, "shared"], first=first)
+    near = _held(near, keep, first=F.filter("first", lambda f: F.size(F.array_distinct(F.flatten(F.slice("shared", f["i"], f["n"])))) >= F.col("need")))
+    near = _held(near, ["id", "license", "texts"], runs=F.sort_array(F.flatten(F.transform("first", lambda f: F.filter(F.transform(
+        F.sequence(f["i"], f["i"] + f["n"] - 1), lambda j: run(f["i"], j)), lambda r: r["dice"] >= threshold))), asc=False))
+    taken = F.expr("aggregate(runs, slice(runs, 1, 0), (a, r) -> if(exists(a, b -> b.i <= r.j and r.i <= b.j), a, concat(a, array(r))))")
+    return (near.select("id", "license", "texts", F.explode_outer(F.filter(taken, lambda r: ~r["unit"])).alias("r")).filter("r is not null")
+            .select("id", F.expr("array_join(slice(texts, r.i, r.j - r.i + 1), ' ')").alias("unit"), "license", F.col("r.dice").alias("dice")))
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """(id, unit, license, dice) for each unit of each row and each license that it
     matches; ``unit`` is the unit's normalised text, ``dice`` the best coefficient
-    of the license's templates.
+    of the license's templates.  Units are lines, blocks and passages (see above).
 
     Null and empty texts, and units of fewer than two words, match nothing.  Equal
     units of a text count once, and so do repeated rows with their ids.  Other
@@ -173,4 +245,6 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
     pairs = (units.join(F.broadcast(sizes), "n").join(F.broadcast(prepared.select("template", "license", "wanted", "size")), "template")
              .withColumn("dice", 2.0 * F.size(F.array_intersect("_has", "wanted")) / (F.col("n") + F.col("size")))
              .filter(F.col("dice") >= threshold))
+    passages = _passages(df.filter(may_match(text)).select(F.col(id_col).alias("id"), text.alias("text")), prepared, threshold)
+    pairs = pairs.select(id_col, "unit", "license", "dice").union(passages)
     return pairs.groupBy(id_col, "unit", "license").agg(F.max("dice").alias("dice"))

@@ -64,3 +64,43 @@ def test_every_match_has_an_anchor():
             has = set(zip(cut, cut[1:]))
             if has and 2 * len(has & wanted) / (len(has) + len(wanted)) >= s.THRESHOLD:
                 assert anchors & set(cut)
+
+
+MIT_CUTS = ("The above copyright", "THE SOFTWARE IS PROVIDED")
+APACHE_CUTS = ("You may obtain", "Unless", "See the License")
+GPL_CUTS = ("This program is distributed", "You should have")
+BSD_CUTS = ("1. Redistributions", "2. Redistributions", "3. Neither", "THIS SOFTWARE")
+
+
+def published(template, cuts, width=70):
+    """A template as it is published: wrapped, paragraphs divided by empty lines."""
+    import textwrap
+    text = " ".join(template.split())
+    for c in cuts:
+        text = text.replace(" " + c, "\n\n" + c, 1)
+    return "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+
+
+def test_published_layouts(spark):
+    long = {}
+    for name, text in s.TEMPLATES:
+        long[name] = max(long.get(name, ""), text, key=len)
+    layouts = [(n, published(long[n], c)) for n, c in (("MIT", MIT_CUTS), ("Apache-2.0", APACHE_CUTS), ("GPL-3.0", GPL_CUTS),
+                                                       ("BSD-2-Clause", BSD_CUTS), ("BSD-3-Clause", BSD_CUTS))]
+    code = "import os\nprint(os.name)\n"
+    rows, wanted = [], {}
+    for name, text in layouts:
+        hashed = "".join(f"# {x}\n" for x in text.split("\n"))
+        for whole in (text, text.replace("\n", "\r\n"), code + "\n" + text + "\n\n" + code, hashed + code * 30, "\n".join(map(" ".join, (prose(k, 9) for k in range(300)))) + "\n" + text):
+            wanted[len(rows)] = name, normal(text)
+            rows.append((len(rows), whole))
+    rows += [(100, layouts[0][1] + "\n\n\n" + layouts[0][1].replace("Permission is", "Right was")), (101, layouts[0][1][:500]),
+             (102, published(long["MIT"], MIT_CUTS, 60).replace("\n\n", "\n")), (103, "x y\nLicensed under CC\n\nBY 4.0.\nx y")]
+    got = {}
+    for r in s.scan(crowded(documents(spark, rows))).collect():
+        got.setdefault(r.doc_id, {})[r.license, r.unit] = r.dice
+    for k, (name, unit) in wanted.items():
+        assert got[k][name, unit] == 1.0, (k, name)
+    assert len([1 for n, _ in got[100] if n == "MIT"]) == 2 and 101 not in got
+    assert len(got[102]) == 1  # the block alone, no run within it
+    assert got[103] == {("CC-BY-4.0", "licensed under cc by 4 0"): 1.0}
