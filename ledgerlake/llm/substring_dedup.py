@@ -7,7 +7,9 @@
    are found nowhere else.
 3. Maximal runs of windows with one anchor are segments.  Distinct segments are
    dealt to shards by their anchor: a window can occur only in the shard of its
-   anchor.  Each shard has a compressed FM-index of its segments (suffixes in the
+   anchor.  Anchors of more words than a shard may have are hot: each of their
+   windows is a segment of its own, dealt by its hash, with the least document
+   aggregated before the shuffle.  Each shard has a compressed FM-index of its segments (suffixes in the
    order of their first 16 words, Burrows-Wheeler transform in a wavelet matrix of
    packed bits with counts); the segments stream through it again, and backward
    search narrows each window's interval until it is found or known to be alone.
@@ -30,7 +32,7 @@ from .common import map_texts, text_batches, written
 from .words import runs, word_hashes
 
 WINDOW, GRAM = 13, 5
-#: Words in one shard's index.  An anchor with more segments has several indexes.
+#: Words in one shard's index.  An anchor with more is dealt by window, not searched in a shard.
 SHARD_WORDS = 400_000
 #: Bloom filter: 256 segments of so many bits, probes for each key; with more keys
 #: than one for every 8 bits it is left out, and every window is searched.
@@ -105,8 +107,10 @@ def _in_bloom(whole: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def _segments(text: bytes | None, bloom: np.ndarray | None, window: int):
-    """(anchor, first window, the words) of the runs of windows that may occur elsewhere."""
+def _segments(text: bytes | None, bloom: np.ndarray | None, window: int, hot: np.ndarray, of_hot: bool | None = None):
+    """(anchor, first window, the words) of the runs of windows that may occur
+    elsewhere; windows with anchors in ``hot`` (sorted) are each a run.
+    ``of_hot``: only those with such an anchor, or only the others."""
     hashes, first, last = word_hashes(text)
     anchor = anchors(hashes, window)
     if not len(anchor):
@@ -115,6 +119,14 @@ def _segments(text: bytes | None, bloom: np.ndarray | None, window: int):
     keep = np.flatnonzero(_in_bloom(bloom, anchor[start]))
     end = np.append(start[1:], len(anchor))[keep]
     start = start[keep]
+    if len(hot) or of_hot:
+        is_hot = np.isin(anchor[start], hot)
+        if of_hot is not None:
+            start, end, is_hot = (x[is_hot == of_hot] for x in (start, end, is_hot))
+        times = np.where(is_hot, end - start, 1)
+        step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        end = np.where(np.repeat(is_hot, times), np.repeat(start, times) + step + 1, np.repeat(end, times))
+        start = np.repeat(start, times) + step
     for a, at, x, y in zip(anchor[start].view(np.int64).tolist(), start.tolist(), first[start].tolist(),
                            last[end + window - 2].tolist(), strict=True):
         yield a, at, b" ".join(text[x:y].split())
@@ -296,22 +308,33 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def list_anchors(batches):
         for part in text_batches(batches):
-            found = [np.unique(anchors(word_hashes(t)[0], window)) for t in part.column(1).to_pylist()]
+            found, words = [], []
+            for t in part.column(1).to_pylist():
+                anchor = anchors(word_hashes(t)[0], window)
+                start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.empty(0, np.int64)
+                own, place = np.unique(anchor[start], return_inverse=True)
+                found.append(own)
+                words.append(np.bincount(place, np.diff(np.append(start, len(anchor))) + window - 1, len(own)).astype(np.int64))
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(ids, [len(f) for f in found]))],
-                names=["anchor", "id"])
-
-    repeated = written(distinct.mapInArrow(list_anchors, "anchor long, id long").groupBy("anchor")
-                       .agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("anchor"))
-    bloom = df.sparkSession.sparkContext.broadcast(_bloom(repeated))
+                [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(ids, [len(f) for f in found])),
+                 pa.array(np.concatenate(words))], names=["anchor", "id", "words"])
+
+    repeated = written(distinct.mapInArrow(list_anchors, "anchor long, id long, words long").groupBy("anchor")
+                       .agg(F.min("id").alias("a"), F.max("id").alias("b"), F.sum("words").alias("words"))
+                       .filter("a < b").select("anchor", "words"))
+    context = df.sparkSession.sparkContext
+    bloom = context.broadcast(_bloom(repeated.select("anchor")))
+    # At most one for every SHARD_WORDS words of the input.
+    large = [r.anchor for r in repeated.filter(F.col("words") > SHARD_WORDS).select("anchor").toLocalIterator()]
+    hot = context.broadcast(np.sort(np.array(large, np.int64).view(np.uint64)))
 
     def index_rows(batches):
         """Distinct segments of a block of texts with their least and largest id."""
         for part in text_batches(batches):
             held: dict[bytes, list] = {}
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                for anchor, _, run in _segments(text, bloom.value, window):
+                for anchor, _, run in _segments(text, bloom.value, window, hot.value, False):
                     row = held.setdefault(xxhash.xxh3_128_digest(run), [anchor, run, doc, doc])
                     row[2], row[3] = min(row[2], doc), max(row[3], doc)
             rows = [pa.array([r[k] for r in held.values()], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64()))]
@@ -322,17 +345,39 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     .repartition(F.col("anchor")).sortWithinPartitions("anchor", "segment")
                     .mapInArrow(lambda batches: _shards(batches, window), "segment binary, least array<long>"))
 
+    def hot_windows(batches):
+        """Distinct windows with a hot anchor of a block of texts, with their least and largest id."""
+        for part in text_batches(batches):
+            held: dict[bytes, list[int]] = {}
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for _, _, run in _segments(text, bloom.value, window, hot.value, True):
+                    row = held.setdefault(xxhash.xxh3_128_digest(run), [doc, doc])
+                    row[0], row[1] = min(row[0], doc), max(row[1], doc)
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), *(pa.array([r[k] for r in held.values()], pa.int64()) for k in (0, 1))],
+                                             names=["segment", "low", "high"])
+
+    if large:
+        found = found.unionByName(written(
+            distinct.mapInArrow(hot_windows, "segment binary, low long, high long").groupBy("segment")
+            .agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("segment", F.array("low").alias("least"))))
+
     def occurrences(batches):
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.binary(), pa.int32(), pa.binary()), strict=True)],
+                                              names=["id", "digest", "start", "segment"])
+
         for part in text_batches(batches):
             rows: list[list] = [[], [], [], []]
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 digest = None
-                for _, at, run in _segments(text, bloom.value, window):
+                for _, at, run in _segments(text, bloom.value, window, hot.value):
                     digest = digest or identity(split(text))
                     for column, value in zip(rows, (doc, digest, at, xxhash.xxh3_128_digest(run)), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.binary(), pa.int32(), pa.binary()), strict=True)],
-                                             names=["id", "digest", "start", "segment"])
+                    if len(rows[0]) >= QUERIES:
+                        yield batch(rows)
+                        rows = [[], [], [], []]
+            yield batch(rows)
 
     lost = (distinct.mapInArrow(occurrences, "id long, digest binary, start int, segment binary").join(found, "segment")
             .withColumn("hit", F.expr("filter(transform(least, (m, k) -> if(m < id, start + k, -1)), x -> x >= 0)"))

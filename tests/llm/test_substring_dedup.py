@@ -89,3 +89,25 @@ def test_index_counts_patterns():
             low, high = index.extend(low, high, np.array([c]))
         places = [k for k in range(len(text) - len(pattern) + 1) if (text[k:k + len(pattern)] == pattern).all()]
         assert sorted(index.order[low[0]:max(low[0], high[0])].tolist()) == places
+
+
+def test_no_group_outgrows_a_shard(spark, monkeypatch):
+    """A short line in most texts: its anchor's segments do not meet in one task."""
+    bound, inner = 150, s._shards
+
+    def guarded(batches, window):
+        batches, words = list(batches), {}
+        for b in batches:
+            for anchor, segment in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                words[anchor] = words.get(anchor, 0) + segment.count(b" ") + 1
+        assert max(words.values(), default=0) <= bound
+        yield from inner(iter(batches), window)
+
+    monkeypatch.setattr(s, "SHARD_WORDS", bound)
+    monkeypatch.setattr(s, "_shards", guarded)
+    line = "all of this is said in every text"
+    texts = [" ".join([*prose(k, 20, 5000), line, *prose(k % 30 + 100, 20, 5000)]) for k in range(60)]
+    texts += ["ha " * 500, "ha " * 400 + line, *corpus(5)[3][1:]]
+    rows = list(enumerate(texts))
+    got = s.remove_repeats(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == brute(rows)
