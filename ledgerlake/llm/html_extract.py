@@ -45,6 +45,8 @@ OUT_WORDS = frozenset("ad ads adv advert advertisement adverts advertising spons
 #: These count only outside an article, where they may hold its title.
 OUT_OUTSIDE = frozenset(("header", "masthead", "topbar"))
 MAIN = frozenset(("article", "main"))
+#: Elements that are no part of an article whatever they hold; a form may be around a whole page.
+STAYS_OUT = OUT_TAGS - {"form"}
 
 #: Share of the running text that a part must hold for the search to go on inside it.
 SHARE = 0.7
@@ -59,6 +61,8 @@ _TAG = re.compile(r"""<(?:!--|[!?][^>]*>|(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
+#: Words after these say what a page has or is about, not what the element is.
+_ABOUT = re.compile(r"\b(?:no|has|with|without|category|tag)[-_][\w-]+")
 
 
 def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
@@ -75,7 +79,7 @@ def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
             elif kind == "itemprop":
                 name += f"[{value}]" if value == "articleBody" else ""
             else:
-                words = {w.lower() for w in _WORD.findall(value)}
+                words = {w.lower() for w in _WORD.findall(_ABOUT.sub(" ", value))}
                 out |= not words.isdisjoint(OUT_WORDS)
                 outside |= not words.isdisjoint(OUT_OUTSIDE)
                 name += (".", "#")[kind == "id"] + _DIGITS.sub("0", "-".join(value.split()))
@@ -151,6 +155,42 @@ def events(page: str):
         yield ("close", stack.pop())
 
 
+def judged(page: str):
+    """The events, without the mark "out" on elements that hold the article: html,
+    body, main, an article outside others, and what holds all of these articles or
+    mains, or on a page without any ``SHARE`` of the running text.  Elements that
+    are no article whatever they hold, such as nav, keep it."""
+    found = list(events(page))
+    if not any(e[0] == "open" and e[3] and e[1] not in STAYS_OUT for e in found):
+        return found
+    stack: list[tuple[int, int, int]] = []  # place, running text and marked elements before it
+    held: list[tuple[int, int, int]] = []
+    text = marked = links = inside = fixed = 0
+    for k, event in enumerate(found):
+        if event[0] == "text":
+            text += 0 if links or fixed else len(event[1].strip())
+        elif event[0] == "open":
+            stack.append((k, text, marked))
+            marked += event[1] in MAIN and not inside and not fixed
+            inside += event[1] in MAIN
+            links += event[1] == "a"
+            fixed += event[1] in STAYS_OUT
+        else:
+            at, text_before, marked_before = stack.pop()
+            tag = event[1]
+            inside -= tag in MAIN
+            links -= tag == "a"
+            fixed -= tag in STAYS_OUT
+            if found[at][3] and tag not in STAYS_OUT:
+                held.append((at, text - text_before, marked - marked_before))
+                if tag in ("html", "body", "main") or (tag == "article" and not inside):
+                    held[-1] = (at, text, -1)
+    for at, size, articles in held:
+        if articles < 0 or (articles == marked if marked else size and size >= SHARE * text):
+            found[at] = (*found[at][:3], False, found[at][4])
+    return found
+
+
 # A pattern: {l: label, x: no part of an article, n: times seen, a: characters of own text,
 # k: characters in links, s: own text if it is always the same, lo/hi: times in a row, c: patterns within}.
 # A group of several patterns that repeats has the label "()".
@@ -163,7 +203,7 @@ def pattern(page: str) -> dict:
     """A page's own expression, folded."""
     root = _pattern("", False)
     stack, links, inside = [root], 0, 0
-    for event in events(page):
+    for event in judged(page):
         if event[0] == "text":
             size = len(event[1].strip())
             if size:
@@ -334,7 +374,7 @@ def _blocks(page: str, path: list[str] | None) -> list[str]:
             out.append(text)
         words.clear()
 
-    for event in events(page):
+    for event in judged(page):
         if event[0] == "text":
             if depth >= len(path) and not (left_out and left_out[-1]):
                 words.append(event[1])

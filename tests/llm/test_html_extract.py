@@ -76,3 +76,19 @@ def test_given_pages(spark):
         inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         parts = [" ".join(unescape(re.sub(r"</?b>", "", p)).split()) for p in re.split(r"<(?:/?p|/?h1|br)>", inner)]
         assert got[r.page_id] == "\n".join(p for p in parts if p)
+
+
+@pytest.mark.parametrize("whole", [
+    "<body class='no-sidebar'><article><p>{t}</p></article></body>", "<body class='home sidebar'><div><p>{t}</p></div></body>",
+    "<body><main class='content has-sidebar'><p>{t}</p></main></body>", "<body><article class='post category-social'><p>{t}</p></article></body>",
+    "<body><div id='page' class='with-nav'><article><p>{t}</p></article></div></body>", "<body><div class='sidebar-left'><div><p>{t}</p></div></div></body>",
+    "<body><form action=x><div><p>{t}</p></div></form></body>", "<body><div class='widget'><main><p>{t}</p></main></div></body>"])
+def test_names_do_not_exclude_the_article(whole):
+    text = "Running text of the article. " * 5
+    own = whole.format(t=text)
+    assert h.main_text(own, None) == text.strip() == h.main_text(own, h.main_path(h.pattern(own)))
+
+
+def test_comments_stay_out():
+    own = "<body><article><p>Short.</p></article><div id='comments'><article><p>" + "A long comment. " * 20 + "</p></article></div></body>"
+    assert h.main_text(own, None) == "Short."
