@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extract, license_scan, nearest, ngram_join, quality, secret_scan, sentencepiece_codec, substring_dedup, url_filter
+from . import (centroids, decontamination, filter_audit, html_extract, license_scan, nearest, ngram_join, quality, secret_scan,
+               sentencepiece_codec, substring_dedup, url_filter)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +228,89 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.size(of([kind])).cast("long").alias(f"n_{kind}") for kind in base),
                         F.sha2(secret_scan.listed(of(base)), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+# --- 12 --------------------------------------------------------------------------------------
+
+_LETTERS = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
+
+
+@query(rf"""
+WITH seen AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS m FROM seen GROUP BY t),
+masked AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END ||
+         CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END ||
+         CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END ||
+         CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END ||
+         CASE WHEN doc_id > m THEN 'E' ELSE '' END AS fails
+  FROM seen JOIN first USING (t)),
+label AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masked LEFT JOIN label USING (doc_id) GROUP BY ALL),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM {_LETTERS} a(x), {_LETTERS} b(x), {_LETTERS} c(x), {_LETTERS} d(x), {_LETTERS} e(x)
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+grid AS (SELECT filter_order, step, substr(filter_order, step, 1) AS f FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+fate AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS failing, fails = f AS alone,
+         len(fails) > 0 AND regexp_matches(left(filter_order, step), '[' || fails || 'x]') AS gone,
+         len(fails) > 0 AND regexp_matches(left(filter_order, step - 1), '[' || fails || 'x]') AS before
+  FROM counts, grid),
+per_step AS (
+  SELECT part, filter_order, step, f, sum(n) FILTER (NOT gone) AS kept, sum(n) FILTER (gone AND NOT before) AS removed,
+         sum(n) FILTER (failing AND before) AS redundant, sum(n) FILTER (alone) AS unique_fails,
+         sum(good) FILTER (gone AND NOT before) AS good_lost, sum(toxic) FILTER (gone AND NOT before) AS toxic_lost
+  FROM fate GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       {', '.join(f'CAST(coalesce({c}, 0) AS BIGINT) AS {c}' for c in 'kept removed redundant unique_fails good_lost toxic_lost'.split())},
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM per_step""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters take from every part, in each of their 120 orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+                              table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+# --- 13 --------------------------------------------------------------------------------------
+
+CENTROIDS, ROUNDS = 40, 5
+
+
+def _centroid_sql() -> str:
+    """The rounds written out: c0 holds the first centroids, c1 to cN those after each round."""
+    nearest = """a{k} AS (
+  SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT row, cluster, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v, c)])::BIGINT AS d
+        FROM kept, c{k}) GROUP BY row)"""
+    update = """s{k} AS (
+  SELECT cluster, j, sum(v[j])::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM a{b} JOIN kept USING (row), (SELECT unnest(range(1, 65)) AS j) GROUP BY ALL),
+m{k} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS c FROM s{k} GROUP BY cluster),
+c{k} AS MATERIALIZED (SELECT cluster, coalesce(m{k}.c, c{b}.c) AS c FROM c{b} LEFT JOIN m{k} USING (cluster))"""
+    rounds = ",\n".join(nearest.format(k=k) + ",\n" + update.format(k=k + 1, b=k) for k in range(ROUNDS))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v AS c
+  FROM (SELECT * FROM kept ORDER BY sha256('2:' || vec_id), v LIMIT {CENTROIDS})),
+{rounds},
+{nearest.format(k=ROUNDS)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN kept USING (row) JOIN c{ROUNDS} USING (cluster)"""
+
+
+@query(_centroid_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors around 40 centroids, after five rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), CENTROIDS, ROUNDS, "2")
