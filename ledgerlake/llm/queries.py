@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (centroids, decontamination, filter_audit, html_extract, license_scan, nearest, ngram_join, quality, secret_scan,
-               sentencepiece_codec, substring_dedup, url_filter)
+from . import (centroids, decontamination, filter_audit, html_extract, license_scan, mixing, nearest, ngram_join, quality,
+               secret_scan, sentencepiece_codec, substring_dedup, url_filter)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,6 +230,60 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+# --- 11 --------------------------------------------------------------------------------------
+
+#: Weights of the sources, in turn.
+MIX_WEIGHTS = (5, 2, 1)
+
+
+@query(rf"""
+WITH RECURSIVE row AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest
+  FROM documents),
+unit AS (
+  SELECT *, md5(concat_ws(':', '11', coalesce(CAST(doc_id AS VARCHAR), ''), key, digest, CAST(copy AS VARCHAR))) AS uid
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, key, digest) AS copy FROM row)),
+src AS (
+  SELECT key, CAST(sum(size) AS BIGINT) AS s, count(*) FILTER (size > 0) AS n,
+         {list(MIX_WEIGHTS)}[(row_number() OVER (ORDER BY key) - 1) % {len(MIX_WEIGHTS)} + 1] AS w FROM unit GROUP BY key),
+place AS (
+  SELECT *, CAST(sum(s) OVER () AS BIGINT) AS total,
+         CAST(coalesce(sum(3 * s) OVER (ORDER BY 3.0 * s / w, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS capped,
+         CAST(sum(w) OVER (ORDER BY 3.0 * s / w, key ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS share,
+         row_number() OVER (ORDER BY 3.0 * s / w, key) AS k FROM src),
+cut AS (SELECT total - capped AS words, share FROM place WHERE 3 * s * share >= w * (total - capped) ORDER BY k LIMIT 1),
+wanted AS (
+  SELECT key, s, n, CASE WHEN 3 * s * share < w * words THEN CAST(3 * s AS DOUBLE) ELSE CAST(w * words AS DOUBLE) / CAST(share AS DOUBLE) END AS target
+  FROM src, cut),
+stream AS (
+  SELECT uid, key, size, s, n, target, CAST(sum(size) OVER (PARTITION BY key ORDER BY uid) AS BIGINT) - size AS start,
+         row_number() OVER (PARTITION BY key ORDER BY uid) - 1 AS pos FROM unit JOIN wanted USING (key) WHERE size > 0),
+begun AS (
+  SELECT *, CAST(start + size <= target AS INTEGER) + CAST(start + s + size <= target AS INTEGER) + CAST(start + 2 * s + size <= target AS INTEGER) AS copies
+  FROM stream),
+following AS (
+  SELECT uid, key, size, target - (start + copies * s) AS gap, row_number() OVER (PARTITION BY key ORDER BY copies * n + pos) AS k
+  FROM begun WHERE copies < 3 QUALIFY k <= {mixing.FILL + 1}),
+fill AS (
+  SELECT key, k, uid, gap, size AS size1, CAST(0 AS BIGINT) AS filled, false AS took FROM following WHERE k = 1
+  UNION ALL
+  SELECT f.key, f.k, f.uid, p.gap, p.size1, p.filled + CASE WHEN f.size <= p.gap - p.filled THEN f.size ELSE 0 END, f.size <= p.gap - p.filled
+  FROM fill p JOIN following f ON f.key = p.key AND f.k = p.k + 1),
+extra AS (
+  SELECT uid FROM (SELECT *, size1 - gap < gap - max(filled) OVER (PARTITION BY key) AS whole FROM fill)
+  WHERE CASE WHEN whole THEN k = 1 ELSE took END)
+SELECT unit.doc_id, unit.size, wanted.s AS source_size, wanted.target,
+       CAST(unit.size * (coalesce(copies, 0) + CASE WHEN extra.uid IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
+FROM unit JOIN wanted ON wanted.key = unit.key LEFT JOIN begun ON begun.uid = unit.uid LEFT JOIN extra ON extra.uid = unit.uid""")
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix by source weights takes of every document, added up over its shards."""
+    taken, shards = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"), MIX_WEIGHTS, seed="11")
+    drawn = shards.groupBy("uid").agg(F.sum("size").alias("taken"))
+    return (taken.join(drawn, "uid", "left")
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
 # --- 12 --------------------------------------------------------------------------------------
 
 _LETTERS = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
