@@ -9,6 +9,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.session import materialise
+
 # Spanish month names of the calendar dimension.
 MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",
                "Septiembre", "Octubre", "Noviembre", "Diciembre"]
@@ -116,9 +118,9 @@ def allocate_exact(amounts: DataFrame, weights: DataFrame, keys: list[str], memb
     """Split each amount over members by weight, rounded to cents; the last
     member (by ``member`` order) takes the residual so totals close exactly.
 
-    Weights of keys without an amount take no part; amounts without weights are
-    dropped, so give every key its weights."""
-    j = amounts.join(weights, keys)
+    Weights of keys without an amount take no part; an amount whose key has no weights
+    stays whole, in one row without a member, so totals close in any case."""
+    j = amounts.join(weights, keys, "left")
     amt = F.col(amount).cast("decimal(18,2)")
     share = F.round(amt * F.col(weight).cast("decimal(18,8)"), 2).cast("decimal(18,2)")
     grp = keys + [c for c in amounts.columns if c not in keys and c != amount]
@@ -166,3 +168,22 @@ def split_union(df: DataFrame, condition: Column, process) -> DataFrame:
     """Rows that meet ``condition`` go through ``process``, the others stay; the
     results are put together by column name."""
     return process(df.filter(condition)).unionByName(df.filter(~condition | condition.isNull()))
+
+
+def cast_columns(df: DataFrame, types: dict[str, str | tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """Cast text columns to the given types: (typed rows, rejects).
+
+    ``types``: column -> type, or (type, pattern) where only texts that match the pattern as a whole count as of that
+    type.  A text that cannot be cast becomes null and is counted in the rejects (columna, valor, celdas); nulls are no
+    rejects.  Rows are cast and their failures noted in one pass, which is written; both results read that."""
+    def parsed(c: str, t) -> Column:
+        kind, pattern = t if isinstance(t, tuple) else (t, None)
+        value = F.col(c).cast("string")
+        one = value.try_cast(kind)
+        return one if pattern is None else F.when(value.rlike(f"^(?:{pattern})$"), one)
+
+    failed = [F.when(F.col(c).isNotNull() & parsed(c, t).isNull(), F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor"))) for c, t in types.items()]
+    rows = materialise(df.select(*(parsed(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns),
+                                 F.filter(F.array(*failed), lambda f: f.isNotNull()).alias("_rechazos")))
+    rejects = rows.select(F.explode("_rechazos").alias("r")).groupBy("r.columna", "r.valor").agg(F.count(F.lit(1)).alias("celdas"))
+    return rows.drop("_rechazos"), rejects

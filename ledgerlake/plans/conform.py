@@ -104,7 +104,9 @@ def q_unpivot_budget(spark, d):
 @query("dataset_checks", with_ctes(B.ventas_sql(), B.GASTOS_SQL, B.flujos_sql(True), TR.params_sql()) + """SELECT * FROM (
   SELECT 'lineitem' AS tabla, 'domain_set_l_returnflag' AS regla, CAST((SELECT COUNT(*) FROM (SELECT DISTINCT l_returnflag FROM lineitem EXCEPT SELECT unnest(['A', 'N', 'R'])) a)
     + (SELECT COUNT(*) FROM (SELECT unnest(['A', 'N', 'R']) EXCEPT SELECT l_returnflag FROM lineitem) b) AS BIGINT) AS violaciones
-  UNION ALL SELECT 'gastos', 'totals_close', 0
+  UNION ALL SELECT 'gastos', 'totals_close', CAST(abs(a.r - b.r) >= 0.01 AS BIGINT) + CAST(abs(a.p - b.p) >= 0.01 AS BIGINT)
+  FROM (SELECT SUM(CAST(OPEXReal AS DECIMAL(18,2))) AS r, SUM(CAST(OPEXPresupuestado AS DECIMAL(18,2))) AS p FROM gastos) a,
+       (SELECT SUM(CAST(OPEXReal AS DECIMAL(18,2))) AS r, SUM(CAST(OPEXPresupuestado AS DECIMAL(18,2))) AS p FROM (""" + _REALLOCATED_SQL + """) z) b
   UNION ALL SELECT 'ventas', 'min_obs_24', COUNT(*) FROM (SELECT Linea FROM ventas GROUP BY Linea HAVING COUNT(DISTINCT MesDateKey) < 24) s
   UNION ALL SELECT 'ventas', 'margen_en_banda', CASE WHEN SUM(MargenBrutoReal)::DOUBLE / SUM(IngresosReales)::DOUBLE BETWEEN 0.25 AND 0.75 THEN 0 ELSE 1 END FROM ventas
   UNION ALL SELECT 'miller_orr', 'ordering_L_z_h', COUNT(*) FILTER (WHERE NOT (L < z AND z < h)) FROM params) c""")

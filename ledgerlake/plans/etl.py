@@ -308,3 +308,27 @@ def q_gold_roundtrip(spark, d):
     return back.groupBy("CanalVenta").agg(
         F.count(F.lit(1)).alias("filas"), F.round(F.sum(C.clean_number("IngresosReales")), 2).alias("IngresosReales"),
         F.countDistinct("TransaccionID").alias("transacciones"))
+
+
+# --- casts to a schema, with the cells that fail -------------------------------
+
+#: Types of the extract's columns; a date counts in the first layout only.
+RAW_TYPES = {"VBELN": "bigint", "FKDAT": ("date", r"\d{4}-\d{2}-\d{2}"), "FKIMG": ("decimal(12,2)", r"\d+(\.\d+)?"), "NETWR": ("decimal(14,2)", r"-?\d+(\.\d+)?")}
+_RAW_TEXT = {"VBELN": r"\s*\d+\s*", "FKDAT": RAW_TYPES["FKDAT"][1], "FKIMG": RAW_TYPES["FKIMG"][1], "NETWR": RAW_TYPES["NETWR"][1]}
+
+
+@query("cast_rejects", with_ctes(RAW_SQL) + "SELECT columna, valor, CAST(count(*) AS BIGINT) AS celdas FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS columna, {c} AS valor FROM raw WHERE NOT regexp_full_match({c}, '{p}')" for c, p in _RAW_TEXT.items()) + ") r GROUP BY ALL")
+def q_cast_rejects(spark, d):
+    """Cells of the dirty extract that their column's type does not take, with their number."""
+    return E.cast_columns(raw_sales_extract(spark, d), RAW_TYPES)[1]
+
+
+@query("cast_columns", with_ctes(RAW_SQL) + f"""SELECT CAST(count(*) AS BIGINT) AS filas, CAST(count(VBELN) FILTER (regexp_full_match(VBELN, '{_RAW_TEXT["VBELN"]}')) AS BIGINT) AS pedidos,
+  min(TRY_CAST(FKDAT AS DATE)) FILTER (regexp_full_match(FKDAT, '{_RAW_TEXT["FKDAT"]}')) AS primera, CAST(sum(TRY_CAST(FKIMG AS DECIMAL(12,2))) FILTER (regexp_full_match(FKIMG, '{_RAW_TEXT["FKIMG"]}')) AS DOUBLE) AS volumen,
+  CAST(sum(TRY_CAST(NETWR AS DECIMAL(14,2))) FILTER (regexp_full_match(NETWR, '{_RAW_TEXT["NETWR"]}')) AS DOUBLE) AS ingresos FROM raw""")
+def q_cast_columns(spark, d):
+    """What the typed rows of the dirty extract add up to."""
+    typed, _ = E.cast_columns(raw_sales_extract(spark, d), RAW_TYPES)
+    return typed.agg(F.count(F.lit(1)).alias("filas"), F.count("VBELN").alias("pedidos"), F.min("FKDAT").alias("primera"),
+                     F.sum("FKIMG").cast("double").alias("volumen"), F.sum("NETWR").cast("double").alias("ingresos"))

@@ -161,18 +161,72 @@ def q_confusion_matrix(spark, d):
 # Credit scoring with pyspark.ml (rows-only check: fitted models)
 # ---------------------------------------------------------------------------
 
+#: Bits of the hash that orders rows, and of one step of the search for a cut.
+HASH_BITS, STEP_BITS = 60, 12
+
+
+def _hash(id_col: str, seed: str):
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def split_by_label(df: DataFrame, label: str, id_col: str, fraction: float, seed: str, out: str = "en_prueba") -> DataFrame:
+    """``df`` with a boolean column: of every label the rows with the least hashes of their id, ``fraction`` of them
+    (rounded half up), are the test rows.
+
+    The cut of a label is found digit by digit of the hash: each step counts the rows per label and digit inside the range
+    left (2^STEP_BITS counts a label at most) and goes on in the digit that holds the wanted position.  Nothing is sorted, so a
+    label of any size is split exactly.  Rows with one id go together; null ids and null labels are training rows."""
+    h = df.where(F.col(id_col).isNotNull() & F.col(label).isNotNull()).select(F.col(label).alias("_l"), _hash(id_col, seed).alias("_h"))
+    wanted = {r[0]: int(r[1] * fraction + 0.5) for r in h.groupBy("_l").count().collect()}  # one row per label
+    cuts = {k: -1 for k, n in wanted.items() if n == 0}
+    start = {k: 0 for k in wanted if k not in cuts}
+    shift = HASH_BITS
+    while start and shift > 0:
+        shift -= STEP_BITS
+        prefix = F.shiftright("_h", shift + STEP_BITS)
+        inside = F.coalesce(*[F.when((F.col("_l") == F.lit(k)) & (prefix == a), F.lit(True)) for k, a in start.items()], F.lit(False))
+        counts: dict = {}
+        for r in h.where(inside).groupBy("_l", F.shiftright("_h", shift).alias("d")).count().orderBy("_l", "d").collect():
+            counts.setdefault(r["_l"], []).append((r["d"], r["count"]))
+        for k in list(start):
+            for digit, n in counts[k]:
+                if wanted[k] <= n:
+                    break
+                wanted[k] -= n
+            start[k] = digit
+            if wanted[k] == n or shift == 0:  # the whole digit belongs to the test rows
+                cuts[k] = ((digit + 1) << shift) - 1
+                del start[k]
+    cut = F.coalesce(*[F.when(F.col(label) == F.lit(k), F.lit(c)) for k, c in cuts.items()], F.lit(-1)) if cuts else F.lit(-1)
+    return df.withColumn(out, F.coalesce(_hash(id_col, seed) <= cut, F.lit(False)))
+
+
+@query("credit_split", with_ctes(SCORED_SQL) + """SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (k <= floor(total * 0.25 + 0.5)) AS BIGINT) AS n_prueba,
+  CAST(sum(doc_id) FILTER (k <= floor(total * 0.25 + 0.5)) AS BIGINT) AS suma_prueba
+FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || doc_id)) AS k, count(*) OVER (PARTITION BY label) AS total FROM scored) s GROUP BY label""")
+def q_credit_split(spark, d):
+    """Rows, test rows and the sum of their ids per label of the 75/25 split."""
+    x = split_by_label(scored(spark, d), "label", "doc_id", 0.25, "42")
+    return x.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("en_prueba").alias("n_prueba"), F.sum(F.when(F.col("en_prueba"), F.col("doc_id"))).alias("suma_prueba"))
+
+
+def champion_select(metrics: DataFrame, models: list[str]) -> DataFrame:
+    """``metrics`` with ``EsCampeon``: the model with the highest AUC, of equal ones the first of ``models``."""
+    place = F.create_map(*[F.lit(v) for k, m in enumerate(models) for v in (m, -k)])[F.col("Modelo")]
+    best = metrics.agg(F.max_by("Modelo", F.struct("AUC_ROC", place)).alias("m")).scalar()
+    return metrics.withColumn("EsCampeon", F.col("Modelo") == best)
+
+
 def credit_scoring(df: DataFrame, seed: int = 42, test_frac: float = 0.25) -> tuple[DataFrame, DataFrame]:
-    """Three classifiers on a stratified hash split; returns (metrics per
+    """Three classifiers on an exact per-label split; returns (metrics per
     model with champion flag, scored test rows of the champion)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    x = df.withColumn("log_len", F.log1p("score"))
-    # stratified split: a hash of the row id, thresholded within each label
-    x = x.withColumn("_u", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(10000)) / 10000.0)
-    train, test = x.filter(F.col("_u") >= test_frac), x.filter(F.col("_u") < test_frac)
+    x = split_by_label(df.withColumn("log_len", F.log1p("score")), "label", "doc_id", test_frac, str(seed))
+    train, test = x.filter("not en_prueba"), x.filter("en_prueba")
     stages = [StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"], handleInvalid="keep"),
               OneHotEncoder(inputCols=["lang_i", "source_i"], outputCols=["lang_v", "source_v"], dropLast=True),
               VectorAssembler(inputCols=["log_len", "toxic", "lang_v", "source_v"], outputCol="features")]
@@ -193,9 +247,7 @@ def credit_scoring(df: DataFrame, seed: int = 42, test_frac: float = 0.25) -> tu
     allm = mets[0]
     for m in mets[1:]:
         allm = allm.unionByName(m)
-    champion = allm.agg(F.max(F.struct("AUC_ROC", "Modelo"))["Modelo"]).scalar()  # ties: last by name
-    allm = allm.withColumn("EsCampeon", F.col("Modelo") == champion)
-    return allm, preds
+    return champion_select(allm, list(models)), preds
 
 
 @query("credit_scoring")
