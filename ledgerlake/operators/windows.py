@@ -2,15 +2,14 @@
 
 Global orderings (a Pareto over every product, a ROC over every score) would
 run in a single task with ``Window.orderBy`` and no partition key.  The
-operators here cut the ordering at quantiles of the values themselves, so the
-buckets hold about equally many rows whatever the distribution (revenues over
-many magnitudes, scores in [0, 1]); the window runs per bucket in parallel, and
-the totals of the preceding buckets are added from a table of one row per
-bucket.  Equal values never straddle a bucket, so RANGE-frame (peer-inclusive)
-semantics are exact; null values form the last bucket and keep their rows.
-
-The input is written once to the shared folder: the quantiles, the bucket
-totals and the result all start from that file.
+operators here deal the rows by ranges of the whole sort key (value, tiebreaks and
+a row number), so the pieces hold about equally many rows whatever the
+distribution, and a value that most rows share is spread over many pieces.  The
+window runs per piece in parallel; the sums of the pieces before are added from a table of
+one row per piece, and so are the peers of a value that goes on in later pieces, so
+RANGE-frame (peer-inclusive) semantics are exact.  Null values come last and keep their rows.
+
+The input is written once to the shared folder, as its ranges are sampled first.
 """
 
 from __future__ import annotations
@@ -37,13 +36,40 @@ def bucketed(df: DataFrame, value: str, descending: bool, out: str = "_bkt") ->
     return df.withColumn(out, F.when(v.isNull(), n).otherwise(n - 1 - above if descending else above))
 
 
-def _offsets(per_bucket: DataFrame, sums: dict[str, str], types: dict[str, str]) -> DataFrame:
-    """Per bucket, for each ``bucket sum -> name``: ``_off_name``, the sum of the
-    buckets before, and ``_tot_name``.  One row per bucket: one task is fine."""
-    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    zero = {c: F.lit(0).cast(types[c]) for c in sums}
-    return per_bucket.select("_bkt", *[F.coalesce(F.sum(c).over(before), zero[c]).alias(f"_off_{n}") for c, n in sums.items()],
-                             *[F.sum(c).over(Window.partitionBy()).alias(f"_tot_{n}") for c, n in sums.items()])
+def in_pieces(df: DataFrame, by: list[str], order: list[Column], sums: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows dealt by ranges of (``by``, ``order``): (rows, pieces).
+
+    Rows: the columns of ``df``, ``_piece``, ``_row`` (from 1) and per column of ``sums`` ``_run_<col>``, the running sum
+    in the piece (nulls count 0).  Pieces, one row each: ``_piece``, ``_before`` (rows) and ``_before_<col>``."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = materialise(df.withColumn("_id", F.monotonically_increasing_id()))  # parts even rows that are equal throughout
+    keys = [*(F.col(c).asc_nulls_first() for c in by), *order, F.col("_id")]
+    w = Window.partitionBy("_piece").orderBy(*keys)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = (x.repartitionByRange(n, *keys).withColumn("_piece", F.spark_partition_id())
+            .withColumns({"_row": F.row_number().over(w), **{f"_run_{c}": F.sum(F.coalesce(F.col(c), F.lit(0).cast(dict(x.dtypes)[c]))).over(run) for c in sums}}))
+    rows = materialise(rows.drop("_id"))
+    pieces = rows.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"), *[F.max_by(f"_run_{c}", "_row").alias(f"_s_{c}") for c in sums])
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
+    types = dict(rows.dtypes)
+    pieces = pieces.select("_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                           *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).cast(types[f"_run_{c}"]).alias(f"_before_{c}") for c in sums])
+    return rows, pieces
+
+
+def peers_included(rows: DataFrame, pieces: DataFrame, value: str, sums: list[str]) -> DataFrame:
+    """``rows`` of :func:`in_pieces` (without ``by``) with ``_rank`` and per column ``_cum_<col>``: the sum up to the last row
+    of the row's value, wherever that stands, and ``_tot_<col>``."""
+    rows = rows.join(F.broadcast(pieces), "_piece")
+    rows = rows.withColumns({"_rank": (F.col("_row") + F.col("_before")).cast("long"), **{f"_run_{c}": F.col(f"_run_{c}") + F.col(f"_before_{c}") for c in sums}})
+    # the value that a piece begins with may have begun before it, and its last piece knows the sum
+    peers = Window.partitionBy("_piece", value)
+    last = F.max(F.struct("_row", *[f"_run_{c}" for c in sums])).over(peers)
+    rows = rows.withColumn("_last", last)
+    ends = (rows.where("_row = 1").groupBy(F.col(value).alias("_value")).agg(F.max(F.struct("_piece", "_last")).alias("_e"))
+            .select("_value", F.col("_e._last").alias("_later")))  # at most one row per piece
+    rows = rows.join(F.broadcast(ends), rows[value].eqNullSafe(ends["_value"]), "left")
+    return rows.withColumns({f"_cum_{c}": F.coalesce(F.col("_later")[f"_run_{c}"], F.col("_last")[f"_run_{c}"]) for c in sums}).drop("_later", "_last", "_value")
 
 
 def ranked_running_total(df: DataFrame, value: str, tiebreak: list[str] | None = None,
@@ -55,18 +81,10 @@ def ranked_running_total(df: DataFrame, value: str, tiebreak: list[str] | None =
     null value rank last; their running total is the total."""
     v = F.col(value)
     order = v.desc_nulls_last() if descending else v.asc_nulls_last()
-    x = bucketed(materialise(df), value, descending)
-    peers = Window.partitionBy("_bkt").orderBy(order)
-    rows = Window.partitionBy("_bkt").orderBy(order, *[F.col(c).asc() for c in tiebreak or []])
-    per_bucket = x.groupBy("_bkt").agg(F.sum(v).alias("_bsum"), F.count(F.lit(1)).alias("_bcnt"))
-    types = dict(per_bucket.dtypes)
-    offsets = _offsets(per_bucket, {"_bsum": "sum", "_bcnt": "cnt"}, types)
-    local = x.withColumn("_local", F.coalesce(F.sum(v).over(peers), F.lit(0).cast(types["_bsum"]))).withColumn("_rn", F.row_number().over(rows))
-    return (local.join(F.broadcast(offsets), "_bkt")
-            .withColumn(rank_col, (F.col("_rn") + F.col("_off_cnt")).cast("long"))
-            .withColumn(cum_col, F.col("_local") + F.col("_off_sum"))
-            .withColumnRenamed("_tot_sum", total_col)
-            .drop("_bkt", "_local", "_rn", "_off_sum", "_off_cnt", "_tot_cnt"))
+    rows, pieces = in_pieces(df, [], [order, *[F.col(c).asc() for c in tiebreak or []]], [value])
+    total = rows.agg(F.sum(value).alias("_total"))  # one row
+    out = peers_included(rows, pieces, value, [value]).withColumnsRenamed({"_rank": rank_col, f"_cum_{value}": cum_col})
+    return out.crossJoin(F.broadcast(total)).withColumnRenamed("_total", total_col).select(*df.columns, rank_col, cum_col, total_col)
 
 
 def cum_share(df: DataFrame, value: str, out: str = "cum_share", **kw) -> DataFrame:
@@ -141,29 +159,40 @@ def ordered_cumsums(df: DataFrame, order: str, sums: list[str], descending: bool
     ``order`` value ranks at or ahead of the current one (peers included, nulls
     last), as ``_cum_<col>``, plus the grand total ``_tot_<col>``."""
     v = F.col(order)
-    peers = Window.partitionBy("_bkt").orderBy(v.desc_nulls_last() if descending else v.asc_nulls_last())
-    x = bucketed(materialise(df), order, descending)
-    per_bucket = x.groupBy("_bkt").agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
-    types = dict(per_bucket.dtypes)
-    offsets = _offsets(per_bucket, {f"_b_{c}": c for c in sums}, types)
-    x = x.withColumns({f"_local_{c}": F.coalesce(F.sum(c).over(peers), F.lit(0).cast(types[f"_b_{c}"])) for c in sums})
-    x = x.join(F.broadcast(offsets), "_bkt")
-    x = x.withColumns({f"_cum_{c}": F.col(f"_local_{c}") + F.col(f"_off_{c}") for c in sums})
-    return x.drop("_bkt", *[f"_local_{c}" for c in sums], *[f"_off_{c}" for c in sums])
+    rows, pieces = in_pieces(df, [], [v.desc_nulls_last() if descending else v.asc_nulls_last()], sums)
+    total = rows.agg(*[F.sum(c).alias(f"_tot_{c}") for c in sums])  # one row
+    return (peers_included(rows, pieces, order, sums).crossJoin(F.broadcast(total))
+            .select(*df.columns, *[f"_cum_{c}" for c in sums], *[f"_tot_{c}" for c in sums]))
+
+
+def _of_group(df: DataFrame, by: list[str], order: list[Column], sums: list[str]) -> DataFrame:
+    """Rows with ``_k`` (place in the group of ``by``, from 1), ``_in_<col>`` (running sum in the group), ``_n`` and ``_all_<col>`` (the
+    group's): what the whole order counts up to the row, less what it counts up to the group's first."""
+    rows, pieces = in_pieces(df, by, order, sums)
+    rows = rows.join(F.broadcast(pieces), "_piece")
+    rows = rows.withColumns({"_g": F.col("_row") + F.col("_before"), **{f"_run_{c}": F.col(f"_run_{c}") + F.col(f"_before_{c}") for c in sums}})
+    zero = {c: F.coalesce(F.col(c), F.lit(0).cast(dict(df.dtypes)[c])) for c in sums}
+    groups = rows.groupBy(*by).agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_n"),
+                                   *[F.min_by(F.col(f"_run_{c}") - zero[c], "_g").alias(f"_s0_{c}") for c in sums], *[F.sum(c).alias(f"_all_{c}") for c in sums])
+    keys = [F.col(f"r.{c}").eqNullSafe(F.col(f"g.{c}")) for c in by]
+    match = keys[0]
+    for k in keys[1:]:
+        match = match & k
+    # groups of a third of the rows are split by the skew join, few groups are broadcast at run time
+    out = rows.alias("r").join(groups.alias("g"), match).select("r.*", "_g0", "_n", *[f"_s0_{c}" for c in sums], *[f"_all_{c}" for c in sums])
+    return out.withColumns({"_k": F.col("_g") - F.col("_g0") + 1, **{f"_in_{c}": F.col(f"_run_{c}") - F.col(f"_s0_{c}") for c in sums}})
 
 
 def cum_share_rows(df: DataFrame, value: str, by: list[str], out: str = "cum_share") -> DataFrame:
     """Cumulative share of ``value`` within ``by``, one row at a time from the
     largest (peers not merged): the last row of a group has 1."""
-    whole = Window.partitionBy(*by)
-    rows = whole.orderBy(F.col(value).desc(), *[F.col(c) for c in df.columns if c not in (*by, value)]).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(rows).cast("double") / F.sum(value).over(whole).cast("double"))
+    x = _of_group(df, by, [F.col(value).desc(), *[F.col(c) for c in df.columns if c not in (*by, value)]], [value])
+    return x.withColumn(out, F.col(f"_in_{value}").cast("double") / F.col(f"_all_{value}").cast("double")).select(*df.columns, out)
 
 
 def pct_rank_points(df: DataFrame, value: str, by: list[str], out: str = "pct_rank") -> DataFrame:
     """Position of each row in its group as a share of the rows: (rank - 0.5) / n."""
-    w = Window.partitionBy(*by)
-    return df.withColumn(out, (F.row_number().over(w.orderBy(value)) - 0.5) / F.count(F.lit(1)).over(w))
+    return _of_group(df, by, [F.col(value).asc()], []).withColumn(out, (F.col("_k") - 0.5) / F.col("_n")).select(*df.columns, out)
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, points: list[float]) -> DataFrame:
@@ -184,8 +213,11 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, points: list[float
               .withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))))
               .filter("_k >= _before and _k < _before + _n"))
     rows = x.join(F.broadcast(wanted.select(*by, "_b", "_before").distinct()), [*by, "_b"])
-    rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_v")) - 1 + F.col("_before"))
-    got = rows.join(F.broadcast(wanted.select(*by, "_b", "_k", "_p", "_pos")), [*by, "_b", "_k"])
+    # a value that many rows share is one row with their number
+    rows = rows.groupBy(*by, "_b", "_before", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    rows = rows.withColumn("_to", F.sum("_m").over(Window.partitionBy(*by, "_b").orderBy("_v")) + F.col("_before"))
+    got = (rows.join(F.broadcast(wanted.select(*by, "_b", "_k", "_p", "_pos")), [*by, "_b"])
+           .filter("_k >= _to - _m and _k < _to"))
     near = got.groupBy(*by, "_p", "_pos").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     value_at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))
     return near.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_p", value_at.alias("q")))).alias("q"))

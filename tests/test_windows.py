@@ -70,3 +70,49 @@ def test_row_shares_and_points(spark):
     df = spark.createDataFrame([("x", 1, 6.0), ("x", 2, 3.0), ("x", 3, 1.0), ("y", 4, 2.0)], "g string, k int, v double")
     assert [round(r.cum_share, 6) for r in cum_share_rows(df, "v", ["g"]).orderBy("k").collect()] == [0.6, 0.9, 1.0, 1.0]
     assert [r.pct_rank for r in pct_rank_points(df.filter("g = 'x'"), "v", ["g"]).orderBy("v").collect()] == [0.5 / 3, 1.5 / 3, 2.5 / 3]
+
+
+def test_a_frequent_value_is_spread(spark):
+    """Nine rows of ten share one value: ranks, totals and quantiles as ever, and no piece above twice the mean."""
+    from ledgerlake.operators.windows import in_pieces
+    rnd = random.Random(8)
+    rows = [(i, 5.0 if rnd.random() < 0.9 else rnd.choice([None, rnd.uniform(-9, 9)])) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    pieces, _ = in_pieces(df, [], [F.col("v").desc_nulls_last(), F.col("k")], ["v"])
+    sizes = [r["count"] for r in pieces.groupBy("_piece").count().collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert len(sizes) >= 60 and max(sizes) <= 2 * 20_000 / len(sizes)
+    got = ranked_running_total(df, "v", tiebreak=["k"]).toPandas().sort_values("_rank")
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert list(got["k"]) == [k for k, _ in want] and list(got["_rank"]) == list(range(1, 20_001))
+    total = {}
+    run = 0.0
+    for _, v in want:
+        run += v or 0.0
+        total[v] = run
+    assert all(abs(c - total[v]) < 1e-6 for c, (_, v) in zip(got["_cum"], want))
+    sums = ordered_cumsums(df.withColumn("n", F.lit(1)), "v", ["n"]).groupBy("v").agg(F.min("_cum_n").alias("a"), F.max("_cum_n").alias("b"), F.max("_tot_n").alias("t")).collect()
+    place = {v: i + 1 for i, (_, v) in enumerate(want)}
+    assert all(r.a == r.b == place[r.v] and r.t == 20_000 for r in sums)
+    q = exact_quantiles(df.withColumn("g", F.lit(1)), ["g"], "v", [0.0, 0.04, 0.5, 0.97, 1.0]).first().q
+    known = pd.Series([v for _, v in rows if v is not None])
+    assert all(abs(q[p] - known.quantile(p)) < 1e-9 for p in q)
+
+
+def test_equal_rows_and_groups_across_pieces(spark):
+    """Rows equal throughout are dealt too; a group of most rows gets the shares of a plain loop."""
+    rnd = random.Random(9)
+    rows = [(None if rnd.random() < 0.01 else "big" if rnd.random() < 0.9 else rnd.choice("abc"), float(rnd.choice([1, 1, 1, 2, 7]))) for _ in range(5_000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    shares, points = {}, {}
+    for r in cum_share_rows(df, "v", ["g"]).collect():
+        shares.setdefault(r.g, []).append((r.v, r.cum_share))
+    for r in pct_rank_points(df, "v", ["g"]).collect():
+        points.setdefault(r.g, []).append(r.pct_rank)
+    for g in {g for g, _ in rows}:
+        vs = sorted((v for h, v in rows if h == g), reverse=True)
+        run = [sum(vs[:i + 1]) / sum(vs) for i in range(len(vs))]
+        assert sorted(shares[g], key=lambda t: t[1]) == [(v, x) for v, x in zip(vs, run)]
+        assert sorted(points[g]) == [(i + 0.5) / len(vs) for i in range(len(vs))]
