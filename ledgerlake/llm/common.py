@@ -64,6 +64,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
     """Apply ``function(texts) -> {column: values}`` to bounded batches of one
     text column.  The result has the id, with its own type, and the columns of
     ``schema``; other columns of ``df`` take no part, whatever their names."""
+    ship(df.sparkSession)
     id_type = df.schema[id_col].dataType.simpleString()
     source = df.select(F.col(id_col).alias("_id"),
                        F.col(text_col).cast("binary" if as_bytes else "string").alias("_text"))
@@ -81,6 +82,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
 def with_texts(df: DataFrame, text_col: str, schema: str, function: Callable[[list], dict], as_bytes: bool = False) -> DataFrame:
     """``df`` with the columns of ``schema`` put behind its own, from
     ``function(texts)``.  Rows keep all their columns and are not moved."""
+    ship(df.sparkSession)
     added = StructType.fromDDL(schema)
     if clash := set(df.columns) & set(added.names):
         raise ValueError(f"columns {sorted(clash)} are there already")

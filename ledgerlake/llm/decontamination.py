@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, with_texts, written
+from .common import ship, text_batches, with_texts, written
 
 WINDOW = 10
 #: Characters of patterns in one automaton.  More patterns are dealt over
@@ -117,6 +117,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     each scanned; other columns take no part; an empty table on either side is
     no error.
     """
+    ship(docs.sparkSession)
     shards = shared_patterns(docs, items, item_col, item_text_col, window, pattern_chars)
     id_type = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))

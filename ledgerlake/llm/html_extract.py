@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import ship, text_batches, written
 from .url_filter import url_host
 
 #: Elements without an end tag; with raw text; that do not end a block.
@@ -441,6 +441,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     ``://``) are each read by their own expression.  Repeated rows are each
     extracted; other columns take no part; an empty table gives an empty result.
     """
+    ship(df.sparkSession)
     rows = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     rows = rows.withColumn("host", url_host(F.col("url")))
     inferred = wrappers(rows.filter("host <> ''").select("host", "html"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: Projected dimensions (even), and the stopping test's confidence.
 DIMENSIONS, CONFIDENCE = 16, 0.93
 #: Vectors in a block (one kd-tree), queries in a chunk, vectors in a leaf.
@@ -158,6 +160,7 @@ def nearest(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_co
     Blocks of vectors meet chunks of queries in cells of bounded size; every cell
     builds its kd-tree, and the cells' results are ranked at the end.
     """
+    ship(df.sparkSession)
     rows = usable(df, id_col, vector_col).distinct()
     by_vector = Window.partitionBy("vector").orderBy("id")
     entries = (rows.withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= k + 1)

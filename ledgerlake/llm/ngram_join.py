@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_batches, written
+from .common import map_texts, ship, text_batches, with_texts, written
 from .words import runs, word_hashes
 
 #: Links need PERCENT * union <= 100 * intersection; WORDS words make a shingle.
@@ -355,6 +355,15 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("id", "label")
 
 
+def _digested(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` (with ``text``) and the digest of each text's shingles, null without any."""
+    def digest(texts):
+        sets = [shingles(t, words) for t in texts]
+        return {"digest": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())}
+
+    return with_texts(docs, "text", "digest binary", digest, as_bytes=True)
+
+
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``df``: id, n_shingles, component_id (smallest id that links
@@ -366,6 +375,13 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each on its own.  Ids must be integers.  Other columns take no part; an
     empty table gives an empty result.
     """
+    found = _groups(df, id_col, text_col, words, percent)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
+
+
+def _groups(df: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """Per row: id, digest (of the shingles; null without any), n, c (component)."""
+    ship(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def measure(texts):
@@ -390,8 +406,13 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = df.sparkSession
     frequent = spark.sparkContext.broadcast(np.sort(np.array(top, np.int64).view(np.uint64)))
     classes = written(measured.filter("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")))
-    copies = written(measured.filter("n > 0").join(classes, "digest").filter("id <> rep").select("id").distinct())
-    distinct = docs.filter("id is not null").join(_listed(copies), "id", "left_anti")
+    copies = written(measured.filter("n > 0").join(classes, "digest").filter("id <> rep").select("id", "digest").distinct())
+    distinct = docs.filter("id is not null").join(_listed(copies.select("id").distinct()), "id", "left_anti")
+    # an id of several texts may represent one class and hold a copy of another
+    mixed = written(copies.select("id").distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_semi"))
+    if not mixed.isEmpty():
+        own = _digested(docs.join(_listed(mixed), "id", "left_semi"), words).join(copies, ["id", "digest"], "left_anti")
+        distinct = distinct.unionByName(own.select(distinct.columns))
 
     def cut(batches):
         for part in text_batches(batches):
@@ -449,17 +470,24 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labels = components(written(links))
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("label", "rep").alias("component_id"))
-    grouped = measured.filter("n > 0").join(named, "digest", "left").select("id", "n", F.expr("if(id is null, null, component_id)").alias("c"))
-    alone = measured.filter("n = 0").select("id", "n", F.col("id").alias("c"))
-    return grouped.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
+    grouped = measured.filter("n > 0").join(named, "digest", "left").select("id", "digest", "n", F.expr("if(id is null, null, component_id)").alias("c"))
+    alone = measured.filter("n = 0").select("id", "digest", "n", F.col("id").alias("c"))
+    return grouped.union(alone)
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` without those that link, directly or over others, with a
     row of a smaller id; of rows with equal id and text one stays."""
-    groups = written(jaccard_groups(df, id_col, text_col, words, percent).select(F.col(id_col).alias("id"), F.col("component_id").alias("c")))
-    dropped = _listed(groups.filter("id <> c").select(F.col("id").alias(id_col)).distinct())
+    groups = written(_groups(df, id_col, text_col, words, percent))
+    smaller = groups.filter("id <> c").select("id").distinct()
+    dropped = _listed(smaller.select(F.col("id").alias(id_col)))
     kept = df.join(dropped, id_col, "left_anti").select(df.columns)
+    # an id of several texts may lose one and keep another
+    mixed = written(groups.filter("id = c").join(smaller, "id", "left_semi").select("id", "digest").distinct())
+    if not mixed.isEmpty():
+        both = df.join(_listed(mixed.select(F.col("id").alias(id_col)).distinct()), id_col, "left_semi").select(F.struct(*df.columns).alias("row"), F.col(text_col).alias("text"))
+        both = _digested(both, words).join(mixed.withColumnRenamed("digest", "own"), (F.col(f"row.{id_col}") == F.col("id")) & F.col("digest").eqNullSafe(F.col("own")), "left_semi")
+        kept = kept.unionByName(both.select("row.*"))
     again = written(groups.filter("id = c").groupBy("id").count().filter("count > 1").select(F.col("id").alias(id_col)))
     if again.isEmpty():
         return kept

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_batches, with_texts, written
+from .common import map_texts, ship, text_batches, with_texts, written
 
 BUCKETS, DIMENSIONS, SIGNS, REACH = 1 << 14, 32, 2, 2
 #: Labelled rows that the network is fitted on at most (the first by a hash of their id).
@@ -77,6 +77,7 @@ def add_contexts(sums: np.ndarray, texts: list[bytes | None], places: np.ndarray
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit vectors of all buckets, from every text of ``docs`` (id, text)."""
+    ship(docs.sparkSession)
 
     def count(batches):
         places, signs = sparse_vectors()

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_texts
+from .common import map_texts, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations of text chunks that a worker remembers.
@@ -182,6 +182,7 @@ class Codec:
 
     def decode(self, ids) -> str:
         """The text that was encoded; control pieces have none."""
+    ship(self.sparkSession)
         table = self.table
         return b"".join([table[k] for k in ids])[1:].decode("utf-8", "replace")
 

@@ -84,3 +84,20 @@ def test_bounds_never_cut_a_link():
             frequent = np.sort(rng.choice(base, min(len(base), 30), replace=False))
             assert common >= j.least_overlap(len(a), len(b))
             assert set(j.prefix(a, frequent).tolist()) & set(j.prefix(b, frequent).tolist())
+
+
+def test_ids_of_several_texts(spark):
+    """An id whose one text is a copy keeps the links of its other text."""
+    a, b = " ".join(prose(1, 40)), prose(2, 40)
+    near = " ".join([*b[:-1], "other"])
+    b = " ".join(b)
+    rows = [(1, a), (5, a), (5, b), (9, near), (12, "no kin at all to the others here")]
+    got = sorted(map(tuple, j.jaccard_groups(documents(spark, rows)).collect()), key=repr)
+    assert got == brute(rows) and (9, 36, 5) in got
+    kept = sorted(map(tuple, j.keep_one(crowded(documents(spark, rows))).select("doc_id", "text").collect()))
+    assert kept == [(1, a), (5, b), (12, rows[4][1])]
+    assert sorted(map(tuple, j.jaccard_groups(documents(spark, rows[2:])).collect()), key=repr) == brute(rows[2:])
+    # the same with empty texts beside, which have no kin
+    odd = [*rows, (5, None), (9, ""), (5, b)]
+    kept = [tuple(r) for r in j.keep_one(documents(spark, odd)).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (5, b), (5, None), (9, ""), (12, rows[4][1])], key=repr)
