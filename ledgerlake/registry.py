@@ -30,6 +30,6 @@ def load_all() -> None:
     for m in ("ledgerlake.plans.commercial", "ledgerlake.plans.etl", "ledgerlake.plans.budget",
               "ledgerlake.plans.finance", "ledgerlake.plans.plant", "ledgerlake.plans.treasury",
               "ledgerlake.plans.risk", "ledgerlake.plans.series",
-              "ledgerlake.plans.econometrics", "ledgerlake.plans.star", "ledgerlake.plans.quality", "ledgerlake.plans.causal",
+              "ledgerlake.plans.econometrics", "ledgerlake.plans.star", "ledgerlake.plans.texts", "ledgerlake.plans.quality", "ledgerlake.plans.causal",
               "ledgerlake.plans.conform"):
         importlib.import_module(m)
