@@ -20,13 +20,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import norm_cdf
 from ledgerlake.registry import query, with_ctes
-from ledgerlake.session import materialise, ship_package
+from ledgerlake.session import materialise
 from ledgerlake.sources import bridge as B
 
 
@@ -271,13 +270,13 @@ def elasticity_panel(ventas: DataFrame, export_channel: str = B.EXPORT_SEGMENT)
     return g.filter("q > 0 and r > 0").select("ProductoID", "Segmento", "Mes", F.log(F.col("r") / F.col("q")).alias("x"), F.log("q").alias("y"))
 
 
-def _solve(rows: pa.Table) -> pa.Table:
+def _solve(rows: list) -> list[dict]:
     """Per scope, from the sums of products of (month dummies, x, y) within SKUs:
     coefficients of x and y on the dummies, slope of y on x given them, and the
     number of fitted parameters."""
     out = []
     size = len(MONTHS) + 2
-    for r in rows.to_pylist():
+    for r in rows:
         gram = np.zeros((size, size))
         gram[np.triu_indices(size)] = r["gram"]
         gram = gram + gram.T - np.diag(np.diag(gram))
@@ -289,11 +288,10 @@ def _solve(rows: pa.Table) -> pa.Table:
         known = sxx > 1e-9 * max(gram[-2, -2], 1e-300) and r["n"] > k
         out.append({"Segmento": r["Segmento"], "n": r["n"], "k": k, "sst": r["sst"], "sxx": float(sxx), "on_x": on_x.tolist(), "on_y": on_y.tolist(),
                     "beta": float(sxy / sxx) if known else None})
-    return pa.Table.from_pylist(out, schema=_FITTED)
+    return out
 
 
-_FITTED = pa.schema([("Segmento", pa.string()), ("n", pa.int64()), ("k", pa.int64()), ("sst", pa.float64()), ("sxx", pa.float64()),
-                     ("on_x", pa.list_(pa.float64())), ("on_y", pa.list_(pa.float64())), ("beta", pa.float64())])
+_FITTED = {"Segmento": "string", "n": "long", "k": "long", "sst": "double", "sxx": "double", "on_x": "array<double>", "on_y": "array<double>", "beta": "double"}
 
 
 def price_elasticity(panel: DataFrame) -> DataFrame:
@@ -303,16 +301,15 @@ def price_elasticity(panel: DataFrame) -> DataFrame:
     Products around SKU means follow from one row of sums per SKU (rows, x, y by
     month), so the panel is summed once and the 13 x 13 products are taken over
     SKUs, not over rows; added up they give the fits of the segments and the
-    global one.  This is exact on any panel, balanced or not.  A second pass over
-    the panel sums the squared residuals.  Where the parameters use up the
+    global one, a row each, which are solved on the driver.  This is exact on any panel, balanced or not.
+    A second pass over the panel sums the squared residuals of both fits of a row.  Where the parameters use up the
     observations, slope and error are null."""
-    ship_package(panel.sparkSession)
     panel = materialise(panel)
     x, y = F.col("x"), F.col("y")
     by_month = [F.sum(F.when(F.col("Mes") == m, v).otherwise(0.0)).alias(f"{n}{m}") for n, v in (("c", F.lit(1.0)), ("sx", x), ("sy", y)) for m in MONTHS]
-    skus = materialise(panel.groupBy("ProductoID", "Segmento").agg(
+    skus = panel.groupBy("ProductoID", "Segmento").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
-        F.sum(x * y).alias("sxy"), F.sum(y * y).alias("syy"), *by_month))
+        F.sum(x * y).alias("sxy"), F.sum(y * y).alias("syy"), *by_month)
     n = F.col("n")
     c = {m: F.col(f"c{m}") for m in MONTHS}
 
@@ -327,22 +324,25 @@ def price_elasticity(panel: DataFrame) -> DataFrame:
     sums = skus.groupingSets([[F.col("Segmento")], []], F.col("Segmento")).agg(  # one row per segment and one for all
         F.array(*[F.sum(product(a, b)) for i, a in enumerate(names) for b in names[i:]]).alias("gram"), F.sum(n).cast("long").alias("n"),
         F.count(F.lit(1)).alias("skus"), (F.sum("syy") - F.sum("sy") ** 2 / F.sum(n)).alias("sst"))
-    sums = sums.withColumn("Segmento", F.coalesce("Segmento", F.lit("GLOBAL")))
-    fitted = materialise(sums.select("Segmento", "gram", "n", "skus", "sst").mapInArrow(
-        lambda batches: (_solve(pa.Table.from_batches([b])).to_batches()[0] for b in batches if b.num_rows),
-        "Segmento string, n long, k long, sst double, sxx double, on_x array<double>, on_y array<double>, beta double"))
+    sums = sums.withColumn("Segmento", F.coalesce("Segmento", F.lit("GLOBAL"))).select("Segmento", "gram", "n", "skus", "sst")
+    fits = _solve(sums.collect())  # one row per segment, and one
+    spark = panel.sparkSession
+    fitted = F.broadcast(spark.createDataFrame([tuple(f[c] for c in _FITTED) for f in fits], ", ".join(f"{c} {t}" for c, t in _FITTED.items())))
     # a residual is the value less its month's effect less a constant of the SKU
-    effects = F.broadcast(fitted.select(F.col("Segmento").alias("scope"), "on_x", "on_y", "beta"))  # one row per scope
-    counts = F.array(*c.values())
-    dot = lambda e: F.aggregate(F.zip_with(counts, F.col(e), lambda p, q: p * q), F.lit(0.0), lambda p, q: p + q)
-    level = (skus.withColumn("scope", F.explode(F.array(F.lit("GLOBAL"), F.col("Segmento")))).join(effects.drop("beta"), "scope")
-             .select("ProductoID", "Segmento", "scope", ((F.col("sx") - dot("on_x")) / n).alias("kx"), ((F.col("sy") - dot("on_y")) / n).alias("ky")))
-    month = lambda e: F.coalesce(F.get(F.col(e), F.col("Mes") - 2), F.lit(0.0))
-    res = (panel.join(level, ["ProductoID", "Segmento"]).join(effects, "scope")
-           .select("scope", (x - month("on_x") - F.col("kx")).alias("xr"), (y - month("on_y") - F.col("ky")).alias("yr"), "beta"))
-    error = F.col("yr") - F.col("beta") * F.col("xr")
-    squares = res.groupBy(F.col("scope").alias("Segmento")).agg(F.sum((F.col("xr") * error) ** 2).alias("meat"), F.sum(error ** 2).alias("sse"))
-    j = fitted.join(squares, "Segmento")
+    sku = Window.partitionBy("ProductoID", "Segmento")
+    month = lambda e: F.coalesce(F.get(e, F.col("Mes") - 2), F.lit(0.0))
+    freed = lambda v, e: (v - month(e)) - F.avg(v - month(e)).over(sku)
+    whole = next((f for f in fits if f["Segmento"] == "GLOBAL"), {"on_x": [], "on_y": [], "beta": None})
+    literal = lambda values: F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
+    own = panel.join(fitted.select("Segmento", "on_x", "on_y", "beta"), "Segmento")
+    own = own.select("Segmento", "beta", freed(x, F.col("on_x")).alias("xr"), freed(y, F.col("on_y")).alias("yr"),
+                     freed(x, literal(whole["on_x"])).alias("xg"), freed(y, literal(whole["on_y"])).alias("yg"))
+    error, error_g = F.col("yr") - F.col("beta") * F.col("xr"), F.col("yg") - F.lit(whole["beta"]).cast("double") * F.col("xg")
+    squares = own.groupBy("Segmento").agg(F.sum((F.col("xr") * error) ** 2).alias("meat"), F.sum(error ** 2).alias("sse"),
+                                          F.sum((F.col("xg") * error_g) ** 2).alias("meat_g"), F.sum(error_g ** 2).alias("sse_g"))
+    squares = squares.select(F.inline(F.array(F.struct("Segmento", "meat", "sse"), F.struct(F.lit("GLOBAL").alias("Segmento"), F.col("meat_g").alias("meat"), F.col("sse_g").alias("sse")))))
+    squares = squares.groupBy("Segmento").agg(F.sum("meat").alias("meat"), F.sum("sse").alias("sse"))
+    j = squares.join(fitted, "Segmento")
     se = F.sqrt(F.col("meat") * F.col("n") / (F.col("n") - F.col("k"))) / F.col("sxx")
     p = 2 * (1 - norm_cdf(F.abs(F.col("beta") / se)))
     return j.select("Segmento", F.round("beta", 6).alias("Beta_Elasticidad"), F.round(F.when(F.col("beta").isNotNull(), se), 6).alias("ErrorEstandar"),

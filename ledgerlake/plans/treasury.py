@@ -8,12 +8,10 @@ day, either as one series or one per user (many independent accounts).
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.registry import query, with_ctes
-from ledgerlake.session import ship_package
 from ledgerlake.sources import bridge as B
 
 # Parameters (scaled to the test flows): fixed cost per transfer, lower band,
@@ -78,38 +76,29 @@ def q_miller_orr_params(spark, d):
     return p.select("CuentaID", F.inline(rows))
 
 
-def _fold_days(days: pa.Table) -> pa.Table:
-    """Balance, action and amount of one account's days in order."""
-    days = days.sort_by("Fecha")
-    flow = days["FlujoNetoDiario"].to_pylist()
-    low, z, h = (days[c][0].as_py() for c in ("L", "z", "h"))
-    balance, saldo, accion, monto = z, [], [], []
-    for f in flow:
-        balance += f
-        if balance >= h:
-            act, amount, balance = ACT_INVEST, balance - z, z
-        elif balance <= low:
-            act, amount, balance = ACT_REDEEM, z - balance, z
-        else:
-            act, amount = ACT_HOLD, 0.0
-        saldo.append(balance)
-        accion.append(act)
-        monto.append(amount)
-    return (days.append_column("saldo", pa.array(saldo, pa.float64())).append_column("accion", pa.array(accion, pa.string()))
-            .append_column("monto", pa.array(monto, pa.float64())))
-
-
 def miller_orr_path(flows: DataFrame, params: DataFrame) -> DataFrame:
     """Daily balance with the band rule: start at z, add each day's flow; at
     or above h invest the excess back to z, at or below L redeem up to z.
 
     The reset makes this a true recurrence, so each account's days are folded in
-    order, in one pass.  A group is one account's days (bounded by the calendar,
-    not by the data volume); accounts are spread over the cluster."""
-    ship_package(flows.sparkSession)
-    j = flows.join(params.select("CuentaID", "L", "z", "h", "r_diaria"), "CuentaID").select(
-        "CuentaID", "Fecha", F.col("FlujoNetoDiario").cast("double").alias("FlujoNetoDiario"), "L", "z", "h", "r_diaria")
-    p = j.groupBy("CuentaID").applyInArrow(_fold_days, j._jdf.schema().toDDL() + ", saldo double, accion string, monto double")
+    order.  An account's days are one array (bounded by the calendar, not by the
+    data volume); accounts are spread over the cluster."""
+    days = flows.groupBy("CuentaID").agg(F.sort_array(F.collect_list(F.struct("Fecha", F.col("FlujoNetoDiario").cast("double").alias("f")))).alias("days"))
+    j = days.join(params.select("CuentaID", "L", "z", "h", "r_diaria"), "CuentaID")
+    low, z, h = F.col("L"), F.col("z"), F.col("h")
+
+    def step(state, day):
+        b = state["b"] + day["f"]
+        over, under = b >= h, b <= low
+        balance = F.when(over | under, z).otherwise(b)
+        row = F.struct(day["Fecha"].alias("Fecha"), day["f"].alias("FlujoNetoDiario"), balance.alias("saldo"),
+                       F.when(over, ACT_INVEST).when(under, ACT_REDEEM).otherwise(ACT_HOLD).alias("accion"),
+                       F.when(over, b - z).when(under, z - b).otherwise(0.0).alias("monto"))
+        return F.struct(balance.alias("b"), F.array_append(state["rows"], row).alias("rows"))
+
+    kind = f"array<struct<Fecha:{flows.schema['Fecha'].dataType.simpleString()},FlujoNetoDiario:double,saldo:double,accion:string,monto:double>>"
+    folded = F.aggregate("days", F.struct(z.cast("double").alias("b"), F.array().cast(kind).alias("rows")), step)["rows"]
+    p = j.select("CuentaID", "L", "z", "h", "r_diaria", F.inline(folded))
     idle = F.greatest(F.lit(0.0), F.col("saldo") - F.col("z"))
     return p.select(
         "CuentaID", "Fecha", F.round("FlujoNetoDiario", 2).alias("FlujoNetoDiario"), F.round("saldo", 2).alias("SaldoEfectivoReal"),
