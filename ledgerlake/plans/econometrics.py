@@ -8,6 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.loess import decompose, decompose_sql
 from ledgerlake.operators.regression import SURFACE, adf, adf_sql, fit, matrix, ols_sql, products, solved, unit_root_p
 from ledgerlake.plans.series import _ncdf_sql, monthly_series, series_sql
 from ledgerlake.registry import query, with_ctes
@@ -439,3 +440,27 @@ def q_order_grid(spark, d):
     """Lag orders with several regressors per segment, the best by AIC marked."""
     g = order_grid(monthly_series(B.ventas(spark, d, channel=False), "Segmento"))
     return g.select("serie", "Observaciones", "Rezagos", "Parametros", F.round("AIC", 4).alias("AIC"), "Error", "Elegido")
+
+
+# ---------------------------------------------------------------------------
+# Seasonal decomposition by local regression
+# ---------------------------------------------------------------------------
+
+_STL_CTES = [B.ventas_sql(channel=False), series_sql("Segmento"), decompose_sql("stl", "ms")]
+
+
+@query("seasonal_decomposition", with_ctes(*_STL_CTES) + "SELECT serie, t, round(tendencia, 3) AS Tendencia, round(estacional, 3) AS Estacional, round(resto, 3) AS Resto FROM stl")
+def q_seasonal_decomposition(spark, d):
+    """Trend, season and rest of the monthly sales per segment."""
+    x = decompose(monthly_series(B.ventas(spark, d, channel=False), "Segmento"))
+    return x.select("serie", "t", F.round("tendencia", 3).alias("Tendencia"), F.round("estacional", 3).alias("Estacional"), F.round("resto", 3).alias("Resto"))
+
+
+@query("seasonal_index_loess", with_ctes(*_STL_CTES) + """SELECT serie, Mes, round(1 + avg(estacional) / any_value(nivel), 8) AS indice_estacional
+FROM (SELECT *, avg(tendencia) OVER (PARTITION BY serie) AS nivel FROM stl) s GROUP BY serie, Mes""")
+def q_seasonal_index_loess(spark, d):
+    """Seasonal index from the decomposition: one plus the mean season of a calendar month over the mean trend."""
+    x = decompose(monthly_series(B.ventas(spark, d, channel=False), "Segmento"))
+    level = x.groupBy("serie").agg(F.avg("tendencia").alias("nivel"))  # one row per series
+    return (x.groupBy("serie", "Mes").agg(F.avg("estacional").alias("s")).join(level, "serie")
+            .select("serie", "Mes", F.round(1 + F.col("s") / F.col("nivel"), 8).alias("indice_estacional")))
