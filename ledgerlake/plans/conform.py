@@ -221,7 +221,13 @@ def q_geo_rollup(spark, d):
 
 # Score levels with their advice, and the health of the portfolio.
 LEVELS = [(70, "RIESGO CRITICO"), (45, "RIESGO MODERADO"), (20, "RIESGO BAJO")]
-LEVEL_ELSE = "SIN RIESGO"
+LEVEL_ELSE = "SOLVENTE EXCELENTE"
+PRESCRIPTION = {
+    "RIESGO CRITICO": "EXIGIR PAGO CONTADO ANTICIPADO: Bloquear cuenta corriente y retener remito de despacho.",
+    "RIESGO MODERADO": "REDUCIR PLAZO A 30 DIAS: Solicitar aval bancario o cheque de pago diferido endosable.",
+    "RIESGO BAJO": "CONDICIONES ESTANDAR: Monitorear rotacion trimestral y otorgar descuento por pronto pago 5%.",
+    "SOLVENTE EXCELENTE": "CLIENTE PREFERENCIAL: Autorizar linea de credito ampliada a 60 dias y bonificacion por volumen.",
+}
 HEALTH = [(0.15, "ALTO RIESGO"), (0.08, "ALERTA")]
 HEALTH_ELSE = "CARTERA SANA"
 
@@ -268,3 +274,10 @@ def q_scoring_portfolio(spark, d):
         F.coalesce(F.sum(F.when(critical, F.col("volumen"))), F.lit(0)).cast("double").alias("VolumenCritico"),
         F.round(F.avg("score"), 8).alias("ScorePromedio"), F.round(F.avg("plazo"), 8).alias("PlazoPromedio"), share.alias("ParteCritica_"))
     return g.withColumn("ParteCritica", F.round("ParteCritica_", 10)).withColumn("Salud", health.otherwise(HEALTH_ELSE)).drop("ParteCritica_")
+
+
+@query("score_prescription", with_ctes(_SCORE_SQL) + f"""SELECT ClienteID, round(score, 8) AS Score, nivel AS Nivel, CASE nivel {' '.join(f"WHEN '{n}' THEN '{t}'" for n, t in PRESCRIPTION.items())} END AS Prescripcion FROM l""")
+def q_score_prescription(spark, d):
+    """Level and prescription of every customer's score."""
+    text = F.create_map(*[F.lit(v) for kv in PRESCRIPTION.items() for v in kv])
+    return customer_scores(spark, d).select("ClienteID", F.round("score", 8).alias("Score"), F.col("nivel").alias("Nivel"), text[F.col("nivel")].alias("Prescripcion"))

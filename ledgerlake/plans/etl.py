@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import clean as C
 from ledgerlake.operators import etl as E
+from ledgerlake.plans import budget as BU
 from ledgerlake.registry import query, with_ctes
 from ledgerlake.sources import bridge as B
 from ledgerlake.sources.tables import read, small
@@ -332,3 +333,56 @@ def q_cast_columns(spark, d):
     typed, _ = E.cast_columns(raw_sales_extract(spark, d), RAW_TYPES)
     return typed.agg(F.count(F.lit(1)).alias("filas"), F.count("VBELN").alias("pedidos"), F.min("FKDAT").alias("primera"),
                      F.sum("FKIMG").cast("double").alias("volumen"), F.sum("NETWR").cast("double").alias("ingresos"))
+
+
+# --- quality of the dimensions and the plan -------------------------------------
+
+def dimension_quality(table: str, rows: DataFrame, key: str, texts: list[str], foreign: tuple[str, DataFrame, str] | None = None) -> DataFrame:
+    """Metrics of a dimension: rows read, distinct keys kept, text cells that cleaning changes and repeated keys, and keys into another
+    dimension that this does not have (column, dimension, its key)."""
+    x = rows.select(F.col(key).alias("_key"), *[C.changed(c, C.clean_string(c, "title")).alias(f"_c{k}") for k, c in enumerate(texts)],
+                    (F.col(foreign[0]) if foreign else F.lit(None)).alias("_foreign"))
+    orphan = F.lit(0)
+    if foreign:
+        x = x.join(foreign[1].select(F.col(foreign[2]).alias("_known")).distinct(), F.col("_foreign") == F.col("_known"), "left")
+        orphan = F.col("_known").isNull().cast("int")
+    changed = sum((F.col(f"_c{k}") for k in range(len(texts))), F.lit(0))
+    rows_, keys = F.count(F.lit(1)), F.count_distinct("_key")
+    return x.agg(*E.quality_metrics(table, rows_, keys, F.coalesce(F.sum(changed), F.lit(0)) + rows_ - keys, F.coalesce(F.sum(orphan), F.lit(0)), F.lit(0)))
+
+
+def _title_sql(c: str) -> str:
+    """Upper after any non-letter, lower elsewhere, of the cleaned text."""
+    low = f"lower({C.clean_string_sql(c)})"
+    return (f"list_aggregate(list_transform(range(1, length({low}) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches(substr({low}, i - 1, 1), '[\\p{{L}}]') "
+            f"THEN upper(substr({low}, i, 1)) ELSE substr({low}, i, 1) END), 'string_agg', '')")
+
+
+def _dimension_sql(table: str, source: str, key: str, texts: list[str], orphans: str = "0") -> str:
+    changed = " + ".join(f"count(*) FILTER (WHERE {c} IS DISTINCT FROM {_title_sql(c)})" for c in texts) or "0"
+    return (f"SELECT '{table}' AS tabla, CAST(count(*) AS BIGINT) AS registros_leidos, CAST(count(DISTINCT {key}) AS BIGINT) AS registros_curados, "
+            f"CAST({changed} + count(*) - count(DISTINCT {key}) AS BIGINT) AS inconsistencias_corregidas, CAST({orphans} AS BIGINT) AS claves_huerfanas_detectadas, "
+            f"CAST(0 AS BIGINT) AS claves_huerfanas_resueltas FROM {source}")
+
+
+@query("quality_dimensions", with_ctes(B.ventas_sql(), BU.budget_sql(), "calendar AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS f FROM lineitem)", "q AS (" + " UNION ALL ".join([
+    _dimension_sql("Productos", "part", "p_partkey", ["p_name"]),
+    _dimension_sql("CentrosCosto", "nation", "n_nationkey", ["n_name"], "count(*) FILTER (WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region))"),
+    _dimension_sql("PlanCuentas", "(SELECT DISTINCT l_returnflag FROM lineitem) a", "l_returnflag", []),
+    _dimension_sql("Calendario", "calendar", "f", []),
+    _dimension_sql("Presupuesto", "presupuesto", "(DateKey, ProductoID, CentroCostoID)", [], "count(*) FILTER (WHERE ProductoID NOT IN (SELECT p_brand FROM part))")]) + ")")
+       + """SELECT *, CASE WHEN claves_huerfanas_detectadas = claves_huerfanas_resueltas THEN 100.0
+  ELSE round(claves_huerfanas_resueltas * 100.0 / greatest(claves_huerfanas_detectadas, 1), 2) END AS tasa_integridad_pct
+FROM (SELECT * FROM q UNION ALL SELECT 'TOTAL', CAST(sum(registros_leidos) AS BIGINT), CAST(sum(registros_curados) AS BIGINT), CAST(sum(inconsistencias_corregidas) AS BIGINT),
+  CAST(sum(claves_huerfanas_detectadas) AS BIGINT), CAST(sum(claves_huerfanas_resueltas) AS BIGINT) FROM q) t""")
+def q_quality_dimensions(spark, d):
+    """The quality report of the other tables: products, cost centres, accounts, calendar and plan."""
+    part, nation = read(spark, d, "part", "p_partkey", "p_name", "p_brand"), read(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey")
+    li = read(spark, d, "lineitem", "l_returnflag", "l_shipdate")
+    plan = BU.presupuesto(spark, d).withColumn("_celda", F.struct("DateKey", "ProductoID", "CentroCostoID"))
+    return E.quality_report([
+        dimension_quality("Productos", part, "p_partkey", ["p_name"]),
+        dimension_quality("CentrosCosto", nation, "n_nationkey", ["n_name"], ("n_regionkey", read(spark, d, "region", "r_regionkey"), "r_regionkey")),
+        dimension_quality("PlanCuentas", li.select("l_returnflag").distinct(), "l_returnflag", []),
+        dimension_quality("Calendario", li.select(F.to_date("l_shipdate").alias("f")).distinct(), "f", []),
+        dimension_quality("Presupuesto", plan, "_celda", [], ("ProductoID", part, "p_brand"))])

@@ -65,8 +65,7 @@ SANITARY = ("CASE l_returnflag WHEN 'N' THEN 'Optima' WHEN 'A' THEN 'Buena' "
 VESSELS = ("Piletas de Acero Inoxidable", "Barricas de Roble Frances", "Barricas de Roble Americano", "Botellero en Estiba Climatizada")
 VESSEL = (f"CASE WHEN l_linestatus = 'O' THEN '{VESSELS[0]}' WHEN l_linenumber % 3 = 0 THEN '{VESSELS[1]}' "
           f"WHEN l_linenumber % 3 = 1 THEN '{VESSELS[2]}' ELSE '{VESSELS[3]}' END")
-ACCOUNT_NAME = ("CASE l_returnflag WHEN 'A' THEN 'Insumos Secos (Botellas, Corchos, Capsulas, Cajas)' "
-                "WHEN 'N' THEN 'Energia y Servicios' ELSE 'Mano de Obra Directa' END")
+ACCOUNT_NAME = "CASE l_returnflag WHEN 'A' THEN 'Account A' WHEN 'N' THEN 'Account N' ELSE 'Account R' END"
 
 
 def _e(expr: str):
