@@ -118,7 +118,7 @@ def q_star_role_key(spark, d):
 
 
 TOTALS = [("Ingresos", "b_ingresos"), ("MargenPct", "round(" + div("b_ingresos - b_costo", "b_ingresos") + ", 8)"), ("Clientes", "b_clientes"),
-          ("IngresoPorCliente", "round(" + div("b_ingresos", "b_clientes") + ", 4)"), ("ParteSeleccion", "round(" + div("b_ingresos", "b_ingresos_sel") + ", 10)"),
+          ("IngresoPorCliente", "round(" + div("b_ingresos", "b_clientes") + ", 8)"), ("ParteSeleccion", "round(" + div("b_ingresos", "b_ingresos_sel") + ", 10)"),
           ("StockLitros", "b_litros"), ("OPEX", "b_opex")]
 _LEVELS = [["Calendario.Anio", "Productos.Linea"], ["Calendario.Anio"], ["Productos.Linea"], []]
 _CHANNELS = {"Productos.Segmento": ["ECONOMY", "STANDARD", "SMALL"], "Clientes.CanalVenta": ["BUILDING", "MACHINERY"]}
