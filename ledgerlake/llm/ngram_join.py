@@ -406,7 +406,7 @@ def _groups(df: DataFrame, id_col: str, text_col: str, words: int, percent: int)
     spark = df.sparkSession
     frequent = spark.sparkContext.broadcast(np.sort(np.array(top, np.int64).view(np.uint64)))
     classes = written(measured.filter("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")))
-    copies = written(measured.filter("n > 0").join(classes, "digest").filter("id <> rep").select("id", "digest").distinct())
+    copies = written(measured.filter("n > 0").join(classes, "digest").filter("id <> rep").select("id", "digest"))
     distinct = docs.filter("id is not null").join(_listed(copies.select("id").distinct()), "id", "left_anti")
     # an id of several texts may represent one class and hold a copy of another
     mixed = written(copies.select("id").distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_semi"))
